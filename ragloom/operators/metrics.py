@@ -123,6 +123,6 @@ def knee(df: DataFrame, size: str, metrics: Sequence[str], latency: str | None =
     is_lat = F.col("metric") == F.lit(latency) if latency else F.lit(False)
     mag = F.when(is_lat, F.col("now") / F.greatest(F.col("base"), F.lit(0.01))).otherwise(
         (F.col("base") - F.col("now")) / F.col("base"))
-    long = long.withColumn("magnitude", F.round(mag, decimals))
-    fired = F.when(is_lat, F.col("magnitude") >= growth).otherwise(F.col("magnitude") >= drop)
-    return long.filter((F.col("size") != F.col("_first")) & fired).drop("_first")
+    fired = F.when(is_lat, mag >= growth).otherwise(mag >= drop)
+    long = long.filter((F.col("size") != F.col("_first")) & fired).drop("_first")
+    return long.withColumn("magnitude", F.round(mag, decimals))

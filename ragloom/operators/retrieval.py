@@ -67,29 +67,34 @@ def _score_block(metric: str, docs: np.ndarray, q: np.ndarray, q_sq: np.ndarray)
     return s
 
 
-def _merge_topk(qi: np.ndarray, di: np.ndarray, sc: np.ndarray, dids: np.ndarray, k: int):
-    """Exact top-k per query under the total order (score desc, did asc)."""
+def _merge_topk(gi: np.ndarray, qi: np.ndarray, dd: np.ndarray, sc: np.ndarray, k: int) -> np.ndarray:
+    """Indices of the exact top-k per (group, query) under (score desc, did asc)."""
     if qi.size == 0:
-        return qi, di, sc
-    order = np.lexsort((dids[di] if dids.dtype != object else np.asarray(dids[di], dtype=str), -sc, qi))
-    qi, di, sc = qi[order], di[order], sc[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
+        return np.zeros(0, dtype=np.int64)
+    tie = dd if dd.dtype != object else np.asarray(dd, dtype=str)
+    order = np.lexsort((tie, -sc, qi, gi))
+    g2, q2 = gi[order], qi[order]
+    new = np.r_[True, (np.diff(g2) != 0) | (np.diff(q2) != 0)]
+    starts = np.flatnonzero(new)
     group_start = np.repeat(starts, np.diff(np.r_[starts, qi.size]))
     keep = (np.arange(qi.size) - group_start) < k
-    return qi[keep], di[keep], sc[keep]
+    return order[keep]
 
 
 def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine",
                qid: str = "qid", qvec: str = "embedding", did: str = "did", dvec: str = "embedding",
-               decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+               by: str | None = None, decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
     """RET1: exact top-k of every query over the whole corpus.
 
     The corpus is never shuffled: each task scores its own Arrow batches
     against a broadcast block of query vectors with one matrix product and keeps
     a running exact top-k per query (at most ``k`` rows per query leave a task).
-    A final ``row_number`` merge per query picks the global top-k. The query
-    side is shipped in blocks of at most ``block_bytes``; a larger query set
-    is processed block by block, never as a single broadcast.
+    A final ``row_number`` merge per query picks the global top-k (planned as a
+    partial + final ``WindowGroupLimit``). The query side is shipped in blocks
+    of at most ``block_bytes``; a larger query set runs block by block.
+
+    ``by`` names an integer corpus column (e.g. a subset size): top-k is then
+    kept per ``(by, qid)``, so several nested corpora are searched in one pass.
     """
     spark = queries.sparkSession
     qid_type = queries.schema[qid].dataType.simpleString()
@@ -97,14 +102,18 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str =
     q = queries.select(F.col(qid).alias("_qid"), F.col(qvec).alias("_qv"))
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_qv")).alias("d")).first()
     n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
-    out_schema = f"qid {qid_type}, did {did_type}, score double"
+    by_out = f"{by} bigint, " if by else ""
+    out_schema = f"{by_out}qid {qid_type}, did {did_type}, score double"
     if n_q == 0:
         return spark.createDataFrame([], out_schema)
     n_blocks = max(1, math.ceil(n_q * max(dim, 1) * 8 / block_bytes))
     if n_blocks > 1:
         q = q.withColumn("_blk", F.pmod(F.xxhash64("_qid"), F.lit(n_blocks)))
 
-    docs = corpus.select(F.col(did).alias("did"), F.col(dvec).alias("_dv"))
+    doc_cols = [F.col(did).alias("did"), F.col(dvec).alias("_dv")]
+    if by:
+        doc_cols.append(F.col(by).cast("bigint").alias("_grp"))
+    docs = corpus.select(*doc_cols)
     parts = []
     for b in range(n_blocks):
         block = q if n_blocks == 1 else q.filter(F.col("_blk") == b)
@@ -115,33 +124,42 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str =
         def score_partition(batches, bc=bc):
             q_ids, qm = bc.value
             q_sq = (qm * qm).sum(axis=1)
+            acc_g = np.zeros(0, dtype=np.int64)
             acc_q = np.zeros(0, dtype=np.int64)
-            acc_d = np.zeros(0, dtype=object)
+            acc_d = None
             acc_s = np.zeros(0)
             for pdf_docs in batches:
                 if len(pdf_docs) == 0:
                     continue
                 dm = _prepare(_stack(pdf_docs["_dv"]), metric)
-                s = np.round(_score_block(metric, dm, qm, q_sq), decimals)
-                kk = min(k, s.shape[0])
-                # tie-inclusive candidate set per query: every score >= k-th best
-                kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
-                rows, cols = np.nonzero(s >= kth[None, :])
+                s_all = np.round(_score_block(metric, dm, qm, q_sq), decimals)
+                grp = pdf_docs["_grp"].to_numpy(dtype=np.int64) if "_grp" in pdf_docs else np.zeros(len(pdf_docs), np.int64)
                 dids = pdf_docs["did"].to_numpy()
-                qi = np.concatenate([acc_q, cols.astype(np.int64)])
-                dd = np.concatenate([acc_d, dids[rows].astype(object)])
-                sc = np.concatenate([acc_s, s[rows, cols]])
-                idx = np.arange(dd.size)
-                qi, idx, sc = _merge_topk(qi, idx, sc, dd, k)
-                acc_q, acc_d, acc_s = qi, dd[idx], sc
+                for g in np.unique(grp):
+                    sel = np.flatnonzero(grp == g)
+                    s = s_all[sel]
+                    kk = min(k, s.shape[0])
+                    # tie-inclusive candidates per query: every score >= k-th best
+                    kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
+                    rows, cols = np.nonzero(s >= kth[None, :])
+                    new_d = dids[sel][rows]
+                    acc_d = new_d if acc_d is None else np.concatenate([acc_d, new_d])
+                    acc_g = np.concatenate([acc_g, np.full(rows.size, g, dtype=np.int64)])
+                    acc_q = np.concatenate([acc_q, cols.astype(np.int64)])
+                    acc_s = np.concatenate([acc_s, s[rows, cols]])
+                keep = _merge_topk(acc_g, acc_q, acc_d, acc_s, k)
+                acc_g, acc_q, acc_d, acc_s = acc_g[keep], acc_q[keep], acc_d[keep], acc_s[keep]
             if acc_q.size:
-                yield pd.DataFrame({"qid": q_ids[acc_q], "did": acc_d, "score": acc_s})
+                out = {"qid": q_ids[acc_q], "did": acc_d, "score": acc_s}
+                if by:
+                    out = {by: acc_g, **out}
+                yield pd.DataFrame(out)
 
         parts.append(docs.mapInPandas(score_partition, out_schema))
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    return topk_per_group(scored, k, ["qid"], decimals=decimals)
+    return topk_per_group(scored, k, ([by] if by else []) + ["qid"], decimals=decimals)
 
 
 def filtered_topk(queries: DataFrame, corpus: DataFrame, k: int, predicate: Column | None = None, **kw) -> DataFrame:

@@ -81,3 +81,100 @@ FROM per_q
 def dense_metrics(spark: SparkSession, sf: str) -> DataFrame:
     ranked = dense_topk(spark, sf)
     return M.retrieval_metrics(ranked, dense_qrels(spark, sf), ks=(1, 5, 10))
+
+
+# ---------------------------------------------------------------------------
+# FIL4 / RET8 / RET13: nested subsets and the knee report
+# ---------------------------------------------------------------------------
+
+# Fixed experiment parameters: share of vectors drawn as evaluation queries
+# (md5 of "<id>-q" below the hex prefix "0a", about 1 in 25.6) and subset sizes
+# as fractions of the corpus.
+QUERY_HEX_BELOW = "0a"
+SIZE_FRACTIONS = (0.1, 0.2, 0.5, 1.0)
+SEED = 42
+
+
+def eval_sample(e: DataFrame) -> DataFrame:
+    """FIL3: seeded evaluation-query sample (a sampling operator)."""
+    return e.filter(F.md5(F.concat(F.col("vec_id").cast("string"), F.lit("-q"))) < F.lit(QUERY_HEX_BELOW))
+
+
+def scaling_results(spark: SparkSession, sf: str) -> DataFrame:
+    e = embeddings(spark, sf)
+    ev = eval_sample(e)
+    queries = ev.select(F.col("vec_id").alias("qid"), V.truncate("embedding", KEEP_DIMS).alias("embedding"))
+    qrels = ev.select(F.col("vec_id").alias("qid"), F.col("vec_id").alias("did"))
+    corpus = e.select(F.col("vec_id").alias("did"), "embedding")
+    ranked_corpus = R.subset_rank(corpus, qrels, seed=SEED)
+    n = corpus.select(F.count(F.lit(1))).scalar()
+    sizes = F.array(*[F.ceil(n * F.lit(f)).cast("bigint") for f in SIZE_FRACTIONS])
+    n_rel = qrels.select(F.count(F.lit(1))).scalar()
+    # FIL4: too few distractors is an error, raised inside the job
+    sized = ranked_corpus.withColumn("size", F.explode(sizes)).withColumn(
+        "size", F.when(F.col("size") >= n_rel, F.col("size")).otherwise(
+            F.raise_error(F.lit("subset smaller than the relevant set")).cast("bigint")))
+    sized = sized.filter(F.col("subset_rank") <= F.col("size"))
+    ranked = R.exact_topk(queries, sized, k=K, by="size")
+    qrels_by = qrels.withColumn("size", F.explode(sizes))
+    return M.retrieval_metrics(ranked, qrels_by, ks=(1, 5, 10), by=["size"]).drop(
+        "recall_at_1", "recall_at_5", "recall_at_10")
+
+
+SQL_SCALING = f"""
+e AS (SELECT * FROM embeddings),
+ev AS (SELECT * FROM e WHERE md5(CAST(vec_id AS VARCHAR) || '-q') < '{QUERY_HEX_BELOW}'),
+n AS (SELECT count(*) AS n FROM e),
+sizes AS (SELECT CAST(ceil(n * f) AS BIGINT) AS size FROM n, (VALUES {", ".join(f"({f})" for f in SIZE_FRACTIONS)}) t(f)),
+rc AS (
+  SELECT e.vec_id AS did, CAST(e.embedding AS DOUBLE[]) AS v,
+         row_number() OVER (ORDER BY CASE WHEN ev.vec_id IS NULL THEN 1 ELSE 0 END,
+                                     md5(CAST(e.vec_id AS VARCHAR) || '-{SEED}'), e.vec_id) AS subset_rank
+  FROM e LEFT JOIN ev ON e.vec_id = ev.vec_id),
+q AS (SELECT vec_id AS qid, CAST(embedding[1:{KEEP_DIMS}] AS DOUBLE[]) AS v FROM ev),
+s AS (
+  SELECT sizes.size, q.qid, rc.did,
+         round(list_dot_product(q.v, rc.v[1:{KEEP_DIMS}])
+               / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(rc.v, rc.v))), 6) AS score
+  FROM q, rc, sizes WHERE rc.subset_rank <= sizes.size),
+ranked AS (
+  SELECT size, qid, did, row_number() OVER (PARTITION BY size, qid ORDER BY score DESC, did) AS rank
+  FROM s QUALIFY rank <= {K}),
+per_q AS (
+  SELECT sizes.size, ev.vec_id AS qid, min(r.rank) AS first_hit
+  FROM ev CROSS JOIN sizes LEFT JOIN ranked r ON r.size = sizes.size AND r.qid = ev.vec_id AND r.did = ev.vec_id
+  GROUP BY sizes.size, ev.vec_id),
+results AS (
+  SELECT size, count(*) AS n_queries,
+    round(avg(CASE WHEN first_hit <= 1 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_1,
+    round(avg(CASE WHEN first_hit <= 5 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_5,
+    round(avg(CASE WHEN first_hit <= 10 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_10,
+    round(avg(CASE WHEN first_hit <= 10 THEN 1.0 / first_hit ELSE 0.0 END), 4) AS mrr_at_10
+  FROM per_q GROUP BY size)
+"""
+
+
+@register("nested_subset_scaling", sql=f"WITH {SQL_SCALING} SELECT * FROM results",
+          ops="FIL3 FIL4 RET8 RET1 AGG8 SET1")
+def nested_subset_scaling(spark: SparkSession, sf: str) -> DataFrame:
+    return scaling_results(spark, sf)
+
+
+KNEE_METRICS = ("hit_rate_at_1", "hit_rate_at_5", "hit_rate_at_10", "mrr_at_10")
+
+SQL_KNEE = f"""
+WITH {SQL_SCALING},
+long AS (
+  SELECT size, metric, now FROM results
+  UNPIVOT (now FOR metric IN ({", ".join(KNEE_METRICS)}))),
+b AS (SELECT metric, arg_min(now, size) AS base, min(size) AS first_size FROM long GROUP BY metric)
+SELECT long.size, long.metric, CAST(long.now AS DOUBLE) AS now, CAST(b.base AS DOUBLE) AS base,
+       round((b.base - long.now) / b.base, 4) AS magnitude
+FROM long JOIN b USING (metric)
+WHERE long.size <> b.first_size AND (b.base - long.now) / b.base >= 0.2
+"""
+
+
+@register("knee_report", sql=SQL_KNEE, ops="RET13 WIN5")
+def knee_report(spark: SparkSession, sf: str) -> DataFrame:
+    return M.knee(scaling_results(spark, sf), "size", KNEE_METRICS, drop=0.20)
