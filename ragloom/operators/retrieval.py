@@ -387,3 +387,35 @@ def ivf_topk(queries: DataFrame, index: DataFrame, centroids: DataFrame, k: int
     sweep = cand.withColumn("nprobe", F.explode(F.array(*[F.lit(p) for p in sorted(set(nprobes))])))
     sweep = sweep.filter(F.col("cell_rank") <= F.col("nprobe")).drop("cell_rank")
     return topk_per_group(sweep, k, ["nprobe", "qid"], decimals=decimals)
+
+
+# ---------------------------------------------------------------------------
+# Relevance by containment (stand-in qrels for the lexical task)
+# ---------------------------------------------------------------------------
+
+
+def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFrame], qid: str = "qid",
+                      qtext: str = "text", did: str = "did", dtext: str = "text") -> DataFrame:
+    """``(qid, did)`` where the document text contains the item text verbatim.
+
+    Candidates come from an equi-join of each item's rarest *interior* token
+    (not the first or last, which may be glued to neighbouring characters in a
+    document) with the BM25 postings; each candidate is verified with
+    ``instr``. Every containing document holds that token, so nothing is
+    missed, and no item is compared with the whole corpus. Items with fewer than
+    three tokens have no interior token and are matched against every document
+    with a plain containment test.
+    """
+    toks = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt"), F.posexplode(tokenize(F.col(qtext))).alias("pos", "term"))
+    n_tok = toks.groupBy("qid").agg(F.max("pos").alias("last"))
+    interior = toks.join(n_tok, "qid").filter((F.col("pos") > 0) & (F.col("pos") < F.col("last")))
+    dft = index["terms_raw"].select("term", "df")
+    anchor = interior.join(dft, "term").groupBy("qid").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
+    cand = anchor.join(index["postings"].select("term", "did"), "term")
+    texts_q = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt"))
+    texts_d = docs.select(F.col(did).alias("did"), F.col(dtext).alias("_dt"))
+    long_hits = cand.join(texts_q, "qid").join(texts_d, "did").filter(F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
+    short = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt")).join(n_tok, "qid", "left") \
+        .filter(F.coalesce(F.col("last"), F.lit(-1)) < 2).select("qid", "_qt")
+    short_hits = texts_d.join(F.broadcast(short), F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
+    return long_hits.unionByName(short_hits)

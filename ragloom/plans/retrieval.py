@@ -178,3 +178,196 @@ WHERE long.size <> b.first_size AND (b.base - long.now) / b.base >= 0.2
 @register("knee_report", sql=SQL_KNEE, ops="RET13 WIN5")
 def knee_report(spark: SparkSession, sf: str) -> DataFrame:
     return M.knee(scaling_results(spark, sf), "size", KNEE_METRICS, drop=0.20)
+
+
+# ---------------------------------------------------------------------------
+# Lexical task: corpus = documents, queries = benchmark passages,
+# relevant = documents containing the passage verbatim
+# ---------------------------------------------------------------------------
+
+TOKEN_RE = "[a-z0-9]+"
+HEX = "0123456789abcdef"
+
+
+def lexical_inputs(spark: SparkSession, sf: str):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("did"), "text")
+    items = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
+    return docs, items
+
+
+def bm25_ranked(spark: SparkSession, sf: str, k: int = 100):
+    docs, items = lexical_inputs(spark, sf)
+    index = R.bm25_index(docs)
+    return R.bm25_topk(items, index, k=k), index
+
+
+SQL_BM25 = f"""
+toks AS (SELECT doc_id AS did, regexp_extract_all(lower(text), '{TOKEN_RE}') AS t FROM documents),
+docs AS (SELECT did, len(t) AS dl FROM toks),
+post AS (SELECT term, did, count(*) AS tf FROM (SELECT did, unnest(t) AS term FROM toks) GROUP BY term, did),
+stats AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl FROM docs),
+dft AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+raw AS (SELECT term, df, ln(n_docs - df + 0.5) - ln(df + 0.5) AS raw_idf FROM dft, stats),
+idf AS (SELECT term, CASE WHEN raw_idf < 0 THEN 0.25 * (SELECT avg(raw_idf) FROM raw) ELSE raw_idf END AS idf FROM raw),
+qt AS (SELECT qid, term, count(*) AS qtf
+       FROM (SELECT item_id AS qid, unnest(regexp_extract_all(lower(text), '{TOKEN_RE}')) AS term FROM benchmark)
+       GROUP BY qid, term),
+bm25_scores AS (
+  SELECT qt.qid, post.did,
+         round(sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (1 - 0.75 + 0.75 * dl / avgdl))), 6) AS score
+  FROM qt JOIN idf USING (term) JOIN post USING (term) JOIN docs USING (did), stats
+  GROUP BY qt.qid, post.did),
+bm25_ranked AS (
+  SELECT qid, did, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, did) AS INTEGER) AS rank
+  FROM bm25_scores QUALIFY rank <= 100)
+"""
+
+
+@register("bm25_topk", sql=f"WITH {SQL_BM25} SELECT qid, did, score, rank FROM bm25_ranked WHERE rank <= 10",
+          ops="RET3 FUN1 WIN1 SRT1")
+def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
+    ranked, _ = bm25_ranked(spark, sf)
+    return ranked.filter(F.col("rank") <= 10)
+
+
+SQL_QRELS = """
+lex_qrels AS (SELECT b.item_id AS qid, d.doc_id AS did FROM benchmark b JOIN documents d ON contains(d.text, b.text))
+"""
+
+
+@register("lexical_qrels", sql=f"WITH {SQL_QRELS} SELECT qid, did FROM lex_qrels", ops="JON4 SET3 FIL2")
+def lexical_qrels(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = lexical_inputs(spark, sf)
+    return R.containment_pairs(items, docs, R.bm25_index(docs))
+
+
+def _hashed_sql(src: str, id_col: str, name: str) -> str:
+    bucket = (f"(instr('{HEX}', substr(md5(term), 1, 1)) - 1) * 16 + (instr('{HEX}', substr(md5(term), 2, 1)) - 1)")
+    return f"""
+{name}_b AS (
+  SELECT id, {bucket} AS bucket, count(*) AS cnt
+  FROM (SELECT {id_col} AS id, unnest(regexp_extract_all(lower(text), '{TOKEN_RE}')) AS term FROM {src})
+  GROUP BY ALL),
+{name} AS (SELECT id, bucket, cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY id)) AS w FROM {name}_b)"""
+
+
+SQL_DENSE_LEX = f"""
+{_hashed_sql('benchmark', 'item_id', 'hq')},
+{_hashed_sql('documents', 'doc_id', 'hd')},
+hashed_scores AS (
+  SELECT hq.id AS qid, hd.id AS did, round(sum(hq.w * hd.w), 6) AS score
+  FROM hq JOIN hd USING (bucket) GROUP BY ALL),
+dense_ranked AS (
+  SELECT qid, did, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, did) AS INTEGER) AS rank
+  FROM hashed_scores QUALIFY rank <= 10)
+"""
+
+
+def hashed_dense_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.embed import hashed_embedding
+
+    docs, items = lexical_inputs(spark, sf)
+    dq = hashed_embedding(items, "qid", "text")
+    dd = hashed_embedding(docs, "did", "text")
+    return R.exact_topk(dq, dd, k=10, metric="cosine")
+
+
+@register("hashed_dense_topk", sql=f"WITH {SQL_DENSE_LEX} SELECT qid, did, score, rank FROM dense_ranked",
+          ops="RET9 UDF4 RET1")
+def hashed_dense_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return hashed_dense_ranked(spark, sf)
+
+
+SQL_RRF = """
+rrf_in AS (
+  SELECT qid, did, rank, 0 AS list_no FROM dense_ranked
+  UNION ALL SELECT qid, did, rank, 1 AS list_no FROM bm25_ranked WHERE rank <= 10),
+rrf_f AS (
+  SELECT qid, did, round(sum(1.0 / (60 + rank)), 6) AS score, min(list_no * 1000000 + rank) AS first_seen
+  FROM rrf_in GROUP BY qid, did),
+rrf_ranked AS (
+  SELECT qid, did, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, first_seen, did) AS INTEGER) AS rank
+  FROM rrf_f QUALIFY rank <= 10)
+"""
+
+
+def rrf_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    bm, _ = bm25_ranked(spark, sf)
+    return R.rrf([hashed_dense_ranked(spark, sf), bm.filter(F.col("rank") <= 10)], k=60, top_k=10)
+
+
+@register("rrf_hybrid", sql=f"WITH {SQL_BM25}, {SQL_DENSE_LEX}, {SQL_RRF} SELECT qid, did, score, rank FROM rrf_ranked",
+          ops="RET4 WIN10 SET1")
+def rrf_hybrid(spark: SparkSession, sf: str) -> DataFrame:
+    return rrf_ranked(spark, sf)
+
+
+SQL_RERANK = f"""
+pairs AS (
+  SELECT r.qid, r.did, r.rank AS first_rank,
+         list_distinct(regexp_extract_all(lower(b.text), '{TOKEN_RE}')) AS qt,
+         list_distinct(regexp_extract_all(lower(d.text), '{TOKEN_RE}')) AS dt
+  FROM bm25_ranked r JOIN benchmark b ON b.item_id = r.qid JOIN documents d ON d.doc_id = r.did),
+rr AS (
+  SELECT qid, did, first_rank,
+         round(CASE WHEN len(qt) > 0 THEN len(list_intersect(qt, dt)) / len(qt) ELSE 0.0 END, 6) AS score
+  FROM pairs),
+rerank_ranked AS (
+  SELECT qid, did, first_rank, score,
+         CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, first_rank, did) AS INTEGER) AS rank
+  FROM rr QUALIFY rank <= 10)
+"""
+
+
+def rerank_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = lexical_inputs(spark, sf)
+    bm, _ = bm25_ranked(spark, sf, k=100)
+    return R.rerank(bm, items, docs, top_k=10)
+
+
+@register("rerank_two_stage", sql=f"WITH {SQL_BM25}, {SQL_RERANK} SELECT qid, did, first_rank, score, rank FROM rerank_ranked",
+          ops="RET5 UDF3 JON4")
+def rerank_two_stage(spark: SparkSession, sf: str) -> DataFrame:
+    return rerank_ranked(spark, sf)
+
+
+def _metrics_sql(src: str, name: str) -> str:
+    return f"""
+SELECT '{name}' AS retriever, count(*) AS n_queries,
+  round(avg(CASE WHEN first_hit <= 1 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_1,
+  round(avg(CASE WHEN first_hit <= 5 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_5,
+  round(avg(CASE WHEN first_hit <= 10 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_10,
+  round(avg(CASE WHEN first_hit <= 10 THEN 1.0 / first_hit ELSE 0.0 END), 4) AS mrr_at_10,
+  round(avg(coalesce(hits_10, 0) / least(10, n_rel)), 4) AS recall_at_10
+FROM (SELECT qid, count(*) AS n_rel FROM lex_qrels GROUP BY qid) rn
+LEFT JOIN (
+  SELECT r.qid, min(r.rank) AS first_hit, count(*) AS hits_10
+  FROM {src} r JOIN lex_qrels q ON q.qid = r.qid AND q.did = r.did WHERE r.rank <= 10 GROUP BY r.qid) h USING (qid)
+"""
+
+
+SQL_LEX_EVAL = f"""
+WITH {SQL_BM25}, {SQL_DENSE_LEX}, {SQL_RRF}, {SQL_RERANK}, {SQL_QRELS}
+{_metrics_sql('bm25_ranked', 'bm25')}
+UNION ALL {_metrics_sql('dense_ranked', 'hashed_dense')}
+UNION ALL {_metrics_sql('rrf_ranked', 'rrf')}
+UNION ALL {_metrics_sql('rerank_ranked', 'rerank')}
+"""
+
+
+@register("lexical_retrieval_eval", sql=SQL_LEX_EVAL, ops="RET11 AGG8 AGG9 RET3 RET4 RET5 SET1")
+def lexical_retrieval_eval(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = lexical_inputs(spark, sf)
+    bm, index = bm25_ranked(spark, sf, k=100)
+    bm = bm.persist()
+    dense = hashed_dense_ranked(spark, sf)
+    fused = R.rrf([dense, bm.filter(F.col("rank") <= 10)], k=60, top_k=10)
+    rr = R.rerank(bm, items, docs, top_k=10)
+    qrels = R.containment_pairs(items, docs, index)
+    lists = [("bm25", bm.filter(F.col("rank") <= 10)), ("hashed_dense", dense), ("rrf", fused), ("rerank", rr)]
+    u = None
+    for name, df in lists:
+        part = df.select(F.lit(name).alias("retriever"), "qid", "did", "rank")
+        u = part if u is None else u.unionByName(part)
+    q_by = qrels.withColumn("retriever", F.explode(F.array(*[F.lit(n) for n, _ in lists])))
+    return M.retrieval_metrics(u, q_by, ks=(1, 5, 10), by=["retriever"]).drop("recall_at_1", "recall_at_5")
