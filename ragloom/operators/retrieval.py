@@ -419,3 +419,17 @@ def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFr
         .filter(F.coalesce(F.col("last"), F.lit(-1)) < 2).select("qid", "_qt")
     short_hits = texts_d.join(F.broadcast(short), F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
     return long_hits.unionByName(short_hits)
+
+
+def ivf_cost(queries: DataFrame, index: DataFrame, centroids: DataFrame, nprobes: Sequence[int], qid: str = "qid",
+             qvec: str = "embedding", metric: str = "cosine") -> DataFrame:
+    """Vectors scored per query for each probe count: the sum of the sizes of
+    the probed cells (cell sizes are one small aggregate)."""
+    max_p = max(nprobes)
+    probes = nearest_rows(queries, centroids, max_p, qid, qvec, "cell", "centroid", metric)
+    sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_size"))
+    p = probes.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"))
+    p = p.join(F.broadcast(sizes), "cell", "left").fillna(0, ["cell_size"])
+    p = p.withColumn("nprobe", F.explode(F.array(*[F.lit(x) for x in sorted(set(nprobes))]))).filter(
+        F.col("cell_rank") <= F.col("nprobe"))
+    return p.groupBy("nprobe", "qid").agg(F.sum("cell_size").alias("candidates"))

@@ -7,7 +7,7 @@ the corpus is the whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
@@ -371,3 +371,117 @@ def lexical_retrieval_eval(spark: SparkSession, sf: str) -> DataFrame:
         u = part if u is None else u.unionByName(part)
     q_by = qrels.withColumn("retriever", F.explode(F.array(*[F.lit(n) for n, _ in lists])))
     return M.retrieval_metrics(u, q_by, ks=(1, 5, 10), by=["retriever"]).drop("recall_at_1", "recall_at_5")
+
+
+# ---------------------------------------------------------------------------
+# RET6 / RET7 / AGG10 / RET12: IVF probe sweep, recall vs exact, Pareto
+# ---------------------------------------------------------------------------
+
+NPROBES = (1, 2, 4, 8, 16)
+
+
+def ivf_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells: round(sqrt(N)) seeded vectors (md5 order) as fixed centroids, so
+    the cell count grows with the corpus."""
+    e = embeddings(spark, sf)
+    n_cells = int(e.select(F.floor(F.sqrt(F.count(F.lit(1))) + 0.5)).first()[0])
+    key = F.md5(F.concat(F.col("vec_id").cast("string"), F.lit("-c")))
+    picked = e.select("vec_id", "embedding", key.alias("_k")).orderBy("_k", "vec_id").limit(n_cells)
+    return picked.select(F.row_number().over(Window.orderBy("_k", "vec_id")).alias("cell"),
+                         F.col("embedding").alias("centroid"))
+
+
+def ivf_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    queries, corpus = dense_queries(spark, sf), dense_corpus(spark, sf)
+    cents = ivf_centroids(spark, sf)
+    index = R.ivf_build(corpus, cents)
+    approx = R.ivf_topk(queries, index, cents, k=K, nprobes=NPROBES)
+    exact = dense_topk(spark, sf)
+    qrels = dense_qrels(spark, sf).withColumn("nprobe", F.explode(F.array(*[F.lit(p) for p in NPROBES])))
+    quality = M.retrieval_metrics(approx, qrels, ks=(1, 10), by=["nprobe"]).drop("recall_at_1", "recall_at_10")
+    vs_exact = M.recall_vs_exact(approx, exact, k=K, by=["nprobe"]).drop("n_queries")
+    cost = R.ivf_cost(queries, index, cents, NPROBES).groupBy("nprobe").agg(
+        F.round(F.avg("candidates"), 4).alias("avg_candidates"))
+    return quality.join(vs_exact, "nprobe").join(cost, "nprobe")
+
+
+SQL_IVF = f"""
+{SQL_DENSE_SCORES},
+ne AS (SELECT count(*) AS n FROM embeddings),
+cent AS (
+  SELECT row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || '-c'), vec_id) AS cell, CAST(embedding AS DOUBLE[]) AS c
+  FROM embeddings QUALIFY cell <= (SELECT floor(sqrt(n) + 0.5) FROM ne)),
+assign AS (
+  SELECT d.did, cent.cell,
+         row_number() OVER (PARTITION BY d.did ORDER BY
+           round(list_dot_product(d.v, cent.c) / (sqrt(list_dot_product(d.v, d.v)) * sqrt(list_dot_product(cent.c, cent.c))), 6) DESC,
+           cent.cell) AS r
+  FROM d, cent QUALIFY r = 1),
+probe AS (
+  SELECT q.qid, cent.cell,
+         row_number() OVER (PARTITION BY q.qid ORDER BY
+           round(list_dot_product(q.v, cent.c[1:{KEEP_DIMS}]) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(cent.c, cent.c))), 6) DESC,
+           cent.cell) AS cell_rank
+  FROM q, cent),
+np AS (SELECT * FROM (VALUES {", ".join(f"({p})" for p in NPROBES)}) t(nprobe)),
+cand AS (
+  SELECT np.nprobe, s.qid, s.did, s.score
+  FROM np JOIN probe p ON p.cell_rank <= np.nprobe JOIN assign a ON a.cell = p.cell
+  JOIN s ON s.qid = p.qid AND s.did = a.did),
+approx AS (
+  SELECT nprobe, qid, did, row_number() OVER (PARTITION BY nprobe, qid ORDER BY score DESC, did) AS rank
+  FROM cand QUALIFY rank <= {K}),
+quality AS (
+  SELECT np.nprobe, count(*) AS n_queries,
+    round(avg(CASE WHEN h.first_hit <= 1 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_1,
+    round(avg(CASE WHEN h.first_hit <= 10 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_10,
+    round(avg(CASE WHEN h.first_hit <= 10 THEN 1.0 / h.first_hit ELSE 0.0 END), 4) AS mrr_at_10
+  FROM np CROSS JOIN (SELECT vec_id AS qid FROM embeddings) e
+  LEFT JOIN (SELECT nprobe, qid, min(rank) AS first_hit FROM approx WHERE qid = did GROUP BY ALL) h
+    ON h.nprobe = np.nprobe AND h.qid = e.qid
+  GROUP BY np.nprobe),
+vs AS (
+  SELECT a.nprobe, a.qid, count(r.did) AS n_common
+  FROM approx a LEFT JOIN ranked r ON r.qid = a.qid AND r.did = a.did GROUP BY ALL),
+vs_exact AS (
+  SELECT nprobe, round(avg(n_common / least({K}, n_exact)), 4) AS recall_vs_exact_at_{K}
+  FROM vs JOIN (SELECT qid, count(*) AS n_exact FROM ranked GROUP BY qid) USING (qid) GROUP BY nprobe),
+sizes AS (SELECT cell, count(*) AS cell_size FROM assign GROUP BY cell),
+cost AS (
+  SELECT nprobe, round(avg(c), 4) AS avg_candidates FROM (
+    SELECT np.nprobe, p.qid, sum(coalesce(sizes.cell_size, 0)) AS c
+    FROM np JOIN probe p ON p.cell_rank <= np.nprobe LEFT JOIN sizes ON sizes.cell = p.cell GROUP BY ALL) GROUP BY nprobe),
+sweep AS (SELECT * FROM quality JOIN vs_exact USING (nprobe) JOIN cost USING (nprobe))
+"""
+
+
+@register("ivf_probe_sweep", sql=f"WITH {SQL_IVF} SELECT * FROM sweep", ops="RET6 RET7 SNK9 AGG10 JON3 SET2")
+def ivf_probe_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    return ivf_sweep(spark, sf)
+
+
+@register("recall_vs_exact", sql=f"WITH {SQL_IVF} SELECT nprobe, recall_vs_exact_at_{K} FROM sweep",
+          ops="AGG10 JON3")
+def recall_vs_exact(spark: SparkSession, sf: str) -> DataFrame:
+    queries, corpus = dense_queries(spark, sf), dense_corpus(spark, sf)
+    cents = ivf_centroids(spark, sf)
+    approx = R.ivf_topk(queries, R.ivf_build(corpus, cents), cents, k=K, nprobes=NPROBES)
+    return M.recall_vs_exact(approx, dense_topk(spark, sf), k=K, by=["nprobe"]).drop("n_queries")
+
+
+SQL_PARETO = f"""
+WITH {SQL_IVF}
+SELECT nprobe, avg_candidates, hit_rate_at_10, recall_vs_exact_at_{K},
+  hit_rate_at_10 > coalesce(max(hit_rate_at_10) OVER (ORDER BY avg_candidates, hit_rate_at_10 DESC, nprobe
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '-infinity'::DOUBLE) AS on_frontier_qrels,
+  recall_vs_exact_at_{K} > coalesce(max(recall_vs_exact_at_{K}) OVER (ORDER BY avg_candidates, recall_vs_exact_at_{K} DESC, nprobe
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '-infinity'::DOUBLE) AS on_frontier_exact
+FROM sweep
+"""
+
+
+@register("pareto_frontier", sql=SQL_PARETO, ops="RET12 WIN2 FIL16 AGG27")
+def pareto_frontier(spark: SparkSession, sf: str) -> DataFrame:
+    sweep = ivf_sweep(spark, sf).select("nprobe", "avg_candidates", "hit_rate_at_10", f"recall_vs_exact_at_{K}")
+    a = M.pareto(sweep, "avg_candidates", "hit_rate_at_10", tie="nprobe", flag="on_frontier_qrels")
+    return M.pareto(a, "avg_candidates", f"recall_vs_exact_at_{K}", tie="nprobe", flag="on_frontier_exact")
