@@ -1,3 +1,536 @@
-"""Registered evals queries."""
+"""Registered evaluation, ML, language-model, graph and RAG-context queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import evals as E
+from ..operators import graph as G
+from ..operators import lm as LM
+from ..operators import ml as ML
+from ..operators.documents import section_of
+from ..sources.tables import REQUEST_LOG_SQL, request_log, table
+from .registry import register
+
+# ---------------------------------------------------------------------------
+# LLM8 / AGG15 / AGG16 / LLM9: extraction evaluation
+# ---------------------------------------------------------------------------
+
+# Fixed stand-in owners (our own names).
+OWNERS = ["ingrid", "oskar", "yusuf"]
+HALLUCINATED = "zed"
+
+
+def _esc(c):
+    c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    c = F.replace(c, F.lit('"'), F.lit('\\"'))
+    c = F.replace(c, F.lit("\n"), F.lit("\\n"))
+    return F.replace(c, F.lit("\t"), F.lit("\\t"))
+
+
+def _first_words(n: int):
+    return F.array_join(F.slice(F.split(F.regexp_replace(F.trim(F.col("text")), r"\s+", " "), " "), 1, n), " ")
+
+
+def extraction_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Stand-in gold labels and two providers' raw outputs per conversation:
+    user turns are tasks (owner by turn, keywords = first two ASCII words),
+    assistant turns are decisions. The local provider drops some tasks, invents
+    an owner on others, wraps some outputs in prose/fences and fails JSON on
+    others; the hosted provider is complete."""
+    c = table(spark, sf, "conversations")
+    words = F.regexp_extract_all(F.lower(F.col("text")), F.lit("([a-z]+)"), 1)
+    owner = F.element_at(F.array(*[F.lit(o) for o in OWNERS]), (F.col("turn") % 3 + 1).cast("int"))
+    c = c.select("conv_id", "turn", "role", "text", F.slice(words, 1, 2).alias("kw"), owner.alias("owner"),
+                 _first_words(6).alias("task6"), _first_words(4).alias("dec4"))
+    user = F.col("role") == "user"
+    asst = F.col("role") == "assistant"
+    gold = c.groupBy(F.col("conv_id").alias("dataset")).agg(
+        F.sort_array(F.collect_list(F.when(user, F.struct("turn", "owner", "kw")))).alias("_t"),
+        F.sort_array(F.collect_list(F.when(asst, F.struct("turn", "kw")))).alias("_d"),
+        F.sum(asst.cast("int")).cast("int").alias("decisions_count"),
+    ).select("dataset",
+             F.transform("_t", lambda x: F.struct(x["owner"].alias("owner"), x["kw"].alias("task_keywords"))).alias("tasks"),
+             F.array(*[F.lit(o) for o in OWNERS]).alias("valid_owners"),
+             F.transform("_d", lambda x: x["kw"]).alias("decision_keywords"), "decisions_count")
+
+    def task_json(o):
+        return F.concat(F.lit('{"owner": "'), _esc(o), F.lit('", "task": "'), _esc(F.col("task6")), F.lit('"}'))
+
+    def doc_json(tasks, decs):
+        return F.concat(F.lit('{"summary": "conversation '), F.col("dataset").cast("string"), F.lit('", "tasks": ['),
+                        F.array_join(F.transform(tasks, lambda x: x["j"]), ", "), F.lit('], "decisions": ['),
+                        F.array_join(F.transform(decs, lambda x: x["j"]), ", "), F.lit("]}"))
+
+    local_owner = F.when(F.col("turn") % 5 == 4, F.lit(HALLUCINATED)).otherwise(F.col("owner"))
+    per = c.groupBy(F.col("conv_id").alias("dataset")).agg(
+        F.sort_array(F.collect_list(F.when(user & (F.col("turn") % 4 != 2), F.struct("turn", task_json(local_owner).alias("j"))))).alias("lt"),
+        F.sort_array(F.collect_list(F.when(asst & (F.col("turn") % 3 != 1),
+                                           F.struct("turn", F.concat(F.lit('"'), _esc(F.col("dec4")), F.lit('"')).alias("j"))))).alias("ld"),
+        F.sort_array(F.collect_list(F.when(user, F.struct("turn", task_json(F.col("owner")).alias("j"))))).alias("ht"),
+        F.sort_array(F.collect_list(F.when(asst, F.struct("turn", F.concat(F.lit('"'), _esc(F.col("task6")), F.lit('"')).alias("j"))))).alias("hd"),
+        F.floor(F.sum(F.length("text")) / 4).cast("bigint").alias("input_tokens"),
+    )
+    ljson = doc_json(F.col("lt"), F.col("ld"))
+    hjson = doc_json(F.col("ht"), F.col("hd"))
+    lraw = (F.when(F.col("dataset") % 13 == 0, F.lit("I could not produce JSON for this one."))
+            .when(F.col("dataset") % 5 == 0, F.concat(F.lit("Sure! Here it is:\n```json\n"), ljson, F.lit("\n```")))
+            .otherwise(ljson))
+    hraw = F.when(F.col("dataset") % 11 == 0, F.concat(hjson, F.lit(" Hope this helps."))).otherwise(hjson)
+    outs = per.select("dataset", F.lit("local").alias("provider"), lraw.alias("raw"), "input_tokens").unionByName(
+        per.select("dataset", F.lit("hosted").alias("provider"), hraw.alias("raw"), "input_tokens"))
+    outs = outs.withColumn("output_tokens", F.greatest(F.lit(1), F.floor(F.length("raw") / 4)).cast("bigint"))
+    return outs, gold
+
+
+def _extraction_scores(spark: SparkSession, sf: str) -> DataFrame:
+    outs, gold = extraction_inputs(spark, sf)
+    return E.extraction_eval(outs, gold)
+
+
+_OWN = "[" + ", ".join(f"'{o}'" for o in OWNERS) + "]"
+_SQL_ESC = "replace(replace(replace(replace({x}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(9), '\\t')"
+
+
+def _esc_sql(x: str) -> str:
+    return _SQL_ESC.format(x=x)
+
+
+SQL_EXTRACTION = f"""
+c AS (
+  SELECT conv_id, turn, role, text, regexp_extract_all(lower(text), '[a-z]+')[1:2] AS kw,
+         {_OWN}[turn % 3 + 1] AS owner,
+         array_to_string(string_split(regexp_replace(trim(text), '\\s+', ' ', 'g'), ' ')[1:6], ' ') AS task6,
+         array_to_string(string_split(regexp_replace(trim(text), '\\s+', ' ', 'g'), ' ')[1:4], ' ') AS dec4
+  FROM conversations),
+gold AS (
+  SELECT conv_id AS dataset,
+         coalesce(list({{'owner': owner, 'task_keywords': kw}} ORDER BY turn) FILTER (WHERE role = 'user'), []) AS tasks,
+         coalesce(list(kw ORDER BY turn) FILTER (WHERE role = 'assistant'), []) AS decision_keywords,
+         CAST(count(*) FILTER (WHERE role = 'assistant') AS INTEGER) AS decisions_count
+  FROM c GROUP BY conv_id),
+per AS (
+  SELECT conv_id AS dataset,
+    coalesce(string_agg('{{"owner": "' || {_esc_sql(f"CASE WHEN turn % 5 = 4 THEN '{HALLUCINATED}' ELSE owner END")} || '", "task": "' || {_esc_sql('task6')} || '"}}', ', ' ORDER BY turn)
+             FILTER (WHERE role = 'user' AND turn % 4 <> 2), '') AS lt,
+    coalesce(string_agg('"' || {_esc_sql('dec4')} || '"', ', ' ORDER BY turn) FILTER (WHERE role = 'assistant' AND turn % 3 <> 1), '') AS ld,
+    coalesce(string_agg('{{"owner": "' || {_esc_sql('owner')} || '", "task": "' || {_esc_sql('task6')} || '"}}', ', ' ORDER BY turn)
+             FILTER (WHERE role = 'user'), '') AS ht,
+    coalesce(string_agg('"' || {_esc_sql('task6')} || '"', ', ' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS hd,
+    CAST(floor(sum(length(text)) / 4) AS BIGINT) AS input_tokens
+  FROM c GROUP BY conv_id),
+js AS (
+  SELECT dataset, input_tokens,
+         '{{"summary": "conversation ' || dataset || '", "tasks": [' || lt || '], "decisions": [' || ld || ']}}' AS lj,
+         '{{"summary": "conversation ' || dataset || '", "tasks": [' || ht || '], "decisions": [' || hd || ']}}' AS hj
+  FROM per),
+outs AS (
+  SELECT dataset, 'local' AS provider, input_tokens,
+         CASE WHEN dataset % 13 = 0 THEN 'I could not produce JSON for this one.'
+              WHEN dataset % 5 = 0 THEN 'Sure! Here it is:' || chr(10) || '```json' || chr(10) || lj || chr(10) || '```'
+              ELSE lj END AS raw
+  FROM js
+  UNION ALL
+  SELECT dataset, 'hosted', input_tokens, CASE WHEN dataset % 11 = 0 THEN hj || ' Hope this helps.' ELSE hj END FROM js),
+parsed AS (
+  SELECT *, CAST(greatest(1, floor(length(raw) / 4)) AS BIGINT) AS output_tokens,
+         CASE WHEN json_valid(raw) THEN raw
+              WHEN regexp_extract(raw, '(?s)\\{{.*\\}}', 0) <> '' AND json_valid(regexp_extract(raw, '(?s)\\{{.*\\}}', 0))
+              THEN regexp_extract(raw, '(?s)\\{{.*\\}}', 0) END AS chosen
+  FROM outs),
+p2 AS (
+  SELECT parsed.*, chosen IS NOT NULL AS valid_json,
+         from_json(chosen, '{{"summary":"VARCHAR","tasks":[{{"owner":"VARCHAR","task":"VARCHAR","deadline":"VARCHAR"}}],"decisions":["VARCHAR"]}}') AS pj
+  FROM parsed),
+p3 AS (SELECT p2.*, coalesce(pj.tasks, []) AS mt, lower(array_to_string(coalesce(pj.decisions, []), ' ')) AS blob FROM p2),
+scores AS (
+  SELECT p3.dataset, provider, valid_json,
+    CASE WHEN pj IS NULL THEN 0 ELSE len(list_filter(gold.tasks, lambda g: len(list_filter(mt, lambda m:
+         lower(trim(coalesce(m.owner, ''))) = lower(trim(g.owner))
+         AND len(list_filter(g.task_keywords, lambda k: instr(lower(trim(coalesce(m.task, ''))), lower(k)) > 0)) > 0)) > 0)) END AS tasks_found,
+    len(gold.tasks) AS tasks_total,
+    CASE WHEN pj IS NULL THEN 0 ELSE len(list_filter(mt, lambda m: lower(trim(coalesce(m.owner, ''))) <> ''
+         AND NOT list_contains({_OWN}, lower(trim(coalesce(m.owner, '')))))) END AS hallucinated_owners,
+    CASE WHEN pj IS NULL THEN 0 ELSE len(list_filter(gold.decision_keywords, lambda grp:
+         len(list_filter(grp, lambda k: instr(blob, lower(k)) = 0)) = 0)) END AS decisions_found,
+    gold.decisions_count AS decisions_total, input_tokens, output_tokens, input_tokens + output_tokens AS total_tokens,
+    CASE WHEN provider = 'hosted' THEN input_tokens * 1500 + output_tokens * 6000 ELSE 0 END AS cost_units,
+    len(mt) AS n_tasks,
+    len(list_filter(mt, lambda m: len(list_filter({_OWN}, lambda v: lower(v) <> lower(trim(coalesce(m.owner, '')))
+         AND instr(lower(trim(coalesce(m.task, ''))), lower(v)) > 0)) > 0)) > 0 AS entangled
+  FROM p3 JOIN gold USING (dataset))
+"""
+
+_EVAL_COLS = ["dataset", "provider", "valid_json", "tasks_found", "tasks_total", "hallucinated_owners", "decisions_found",
+              "decisions_total", "input_tokens", "output_tokens", "total_tokens"]
+
+
+@register("extraction_eval", sql=f"""WITH {SQL_EXTRACTION}
+SELECT {", ".join(_EVAL_COLS)}, CAST((cost_units + 5000) // 10000 AS BIGINT) / 1e6 AS cost_usd FROM scores""",
+          ops="LLM8 AGG15 AGG28 JON8 JON9 FUN8 FUN9 SRC9 SNK11 UDF7 D22")
+def extraction_eval(spark: SparkSession, sf: str) -> DataFrame:
+    s = _extraction_scores(spark, sf)
+    return s.select(*_EVAL_COLS, E.usd6(F.col("cost_units")).alias("cost_usd"))
+
+
+@register("extraction_rollup", sql=f"""WITH {SQL_EXTRACTION}
+SELECT provider, count(*) AS datasets, CAST(sum(CAST(valid_json AS INTEGER)) AS BIGINT) AS valid_json,
+       round(sum(tasks_found) / sum(tasks_total), 4) AS task_recall,
+       CAST(sum(hallucinated_owners) AS BIGINT) AS hallucinated_owners,
+       round(sum(decisions_found) / sum(decisions_total), 4) AS decision_recall,
+       CAST((sum(cost_units) + 5000) // 10000 AS BIGINT) / 1e6 AS cost_usd
+FROM scores GROUP BY provider""", ops="AGG16")
+def extraction_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    return E.extraction_rollup(_extraction_scores(spark, sf))
+
+
+@register("provider_routing", sql=f"""WITH {SQL_EXTRACTION},
+l AS (SELECT * FROM scores WHERE provider = 'local'), h AS (SELECT * FROM scores WHERE provider = 'hosted')
+SELECT l.dataset, (NOT l.valid_json OR l.n_tasks = 0 OR l.entangled) AS fallback,
+       CASE WHEN (NOT l.valid_json OR l.n_tasks = 0 OR l.entangled) THEN 'hosted' ELSE 'local' END AS chosen,
+       CASE WHEN (NOT l.valid_json OR l.n_tasks = 0 OR l.entangled) THEN h.tasks_found ELSE l.tasks_found END AS tasks_found,
+       h.tasks_total,
+       CAST(l.cost_units + CASE WHEN (NOT l.valid_json OR l.n_tasks = 0 OR l.entangled) THEN h.cost_units ELSE 0 END AS BIGINT) AS cost_units
+FROM l JOIN h USING (dataset)""", ops="LLM9")
+def provider_routing(spark: SparkSession, sf: str) -> DataFrame:
+    return E.provider_routing(_extraction_scores(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# AGG11-13, ML2, ML9 on labels x documents with a rule predictor (FIL13)
+# ---------------------------------------------------------------------------
+
+SEED = 42
+
+
+def labeled_docs(spark: SparkSession, sf: str) -> DataFrame:
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source",
+                                            F.size(F.split(F.col("text"), " ")).alias("words"))
+    return lab.join(d, "doc_id")
+
+
+def rule_prediction(df: DataFrame) -> DataFrame:
+    """FIL13 rule model: weighted conditions, predict 1 when score >= 1.5."""
+    s = E.rule_score([(F.col("n_chars") >= 1000, 1.0), (F.col("lang") == "en", 1.0), (F.col("words") >= 150, 0.5)])
+    return df.withColumn("score", s).withColumn("prediction", (F.col("score") >= 1.5).cast("int"))
+
+
+SQL_LABELED = f"""
+ld AS (
+  SELECT l.doc_id, l.quality AS label, d.n_chars, d.lang, d.source, len(string_split(d.text, ' ')) AS words
+  FROM labels l JOIN documents d USING (doc_id)),
+rk AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR) || '-{SEED}'), doc_id) AS class_rank,
+         count(*) OVER (PARTITION BY label) AS class_n
+  FROM ld),
+sp AS (
+  SELECT *, CASE WHEN class_rank <= round(class_n * 0.7) THEN 'train'
+                 WHEN class_rank <= round(class_n * 0.85) THEN 'val' ELSE 'test' END AS split,
+         CAST((class_rank - 1) % 3 AS INTEGER) AS fold,
+         CAST(CAST(n_chars >= 1000 AS INTEGER) * 1.0 + CAST(lang = 'en' AS INTEGER) * 1.0 + CAST(words >= 150 AS INTEGER) * 0.5 >= 1.5 AS INTEGER) AS prediction
+  FROM rk)
+"""
+
+
+@register("stratified_split", sql=f"WITH {SQL_LABELED} SELECT doc_id, label, split FROM sp", ops="ML2 ML3")
+def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    return E.stratified_split(labeled_docs(spark, sf), "label", "doc_id", seed=SEED).select("doc_id", "label", "split")
+
+
+def _report_sql(where: str) -> str:
+    return f"""WITH {SQL_LABELED},
+t AS (SELECT CAST(label AS VARCHAR) AS y, CAST(prediction AS VARCHAR) AS p FROM sp WHERE {where}),
+cls AS (SELECT y AS c FROM t UNION SELECT p FROM t),
+per AS (
+  SELECT c, coalesce((SELECT count(*) FROM t WHERE y = c AND p = c), 0) AS tp,
+         coalesce((SELECT count(*) FROM t WHERE y = c), 0) AS support,
+         coalesce((SELECT count(*) FROM t WHERE p = c), 0) AS predicted
+  FROM cls),
+m AS (
+  SELECT c, CASE WHEN predicted <> 0 THEN tp / predicted ELSE 0.0 END AS precision,
+         CASE WHEN support <> 0 THEN tp / support ELSE 0.0 END AS recall, support, tp FROM per),
+m2 AS (SELECT *, CASE WHEN precision + recall <> 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM m),
+tot AS (SELECT sum(support) AS n, sum(tp) AS tp, avg(precision) AS mp, avg(recall) AS mr, avg(f1) AS mf,
+               sum(precision * support) AS wp, sum(recall * support) AS wr, sum(f1 * support) AS wf FROM m2)
+SELECT c AS row, round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, round(CASE WHEN n <> 0 THEN tp / n ELSE 0.0 END, 4), CAST(n AS BIGINT) FROM tot
+UNION ALL SELECT 'macro avg', round(mp, 4), round(mr, 4), round(mf, 4), CAST(n AS BIGINT) FROM tot
+UNION ALL SELECT 'weighted avg', round(CASE WHEN n <> 0 THEN wp / n ELSE 0.0 END, 4), round(CASE WHEN n <> 0 THEN wr / n ELSE 0.0 END, 4),
+                 round(CASE WHEN n <> 0 THEN wf / n ELSE 0.0 END, 4), CAST(n AS BIGINT) FROM tot
+"""
+
+
+@register("classification_report", sql=_report_sql("split = 'test'"), ops="AGG12 AGG11 FIL13 FUN19")
+def classification_report(spark: SparkSession, sf: str) -> DataFrame:
+    d = E.stratified_split(rule_prediction(labeled_docs(spark, sf)), "label", "doc_id", seed=SEED)
+    return E.classification_report(d.filter(F.col("split") == "test"), "label", "prediction")
+
+
+@register("cv_folds", sql=f"""WITH {SQL_LABELED},
+f AS (
+  SELECT fold, sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp,
+         sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS fp,
+         sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS fn
+  FROM sp GROUP BY fold),
+g AS (SELECT fold, CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END AS pr,
+             CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc FROM f),
+h AS (SELECT fold, round(CASE WHEN pr + rc <> 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END, 4) AS f1 FROM g)
+SELECT count(*) AS folds, round(avg(f1), 4) AS mean, round(stddev_pop(f1), 4) AS std FROM h""", ops="ML9")
+def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
+    d = E.stratified_folds(rule_prediction(labeled_docs(spark, sf)), "label", "doc_id", k=3, seed=SEED)
+    per_fold = E.binary_metrics(d, "label", "prediction", by=["fold"])
+    return E.cv_summary(per_fold, "f1")
+
+
+@register("class_balance", sql="""
+SELECT quality AS label, count(*) AS n, round(count(*) / (SELECT count(*) FROM labels), 4) AS share FROM labels GROUP BY quality""",
+          ops="AGG13")
+def class_balance(spark: SparkSession, sf: str) -> DataFrame:
+    return E.class_balance(table(spark, sf, "labels").select(F.col("quality").alias("label")), "label")
+
+
+@register("event_type_entropy", sql="""
+WITH c AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL),
+t AS (SELECT day, sum(n) AS tot, count(*) AS k FROM c GROUP BY day)
+SELECT day, round(-sum(n / tot * ln(n / tot + 1e-9)), 6) + 0.0 AS entropy, CAST(max(k) AS BIGINT) AS categories,
+       round(ln(CAST(max(k) AS DOUBLE)), 6) AS max_entropy
+FROM c JOIN t USING (day) GROUP BY day""", ops="AGG22")
+def event_type_entropy(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "events").select(F.to_date(F.col("ts").cast("timestamp")).alias("day"), "event_type")
+    return E.distribution_entropy(ev, "event_type", by=["day"])
+
+
+@register("latency_by_length", sql=f"""
+WITH req AS ({REQUEST_LOG_SQL}),
+r AS (SELECT CAST(50 * greatest(1, ceil(output_tokens / 50)) AS BIGINT) AS size, latency_ms FROM req),
+g AS (SELECT size, count(*) AS runs, avg(latency_ms) AS mean, coalesce(stddev_samp(latency_ms), 0.0) AS std FROM r GROUP BY size),
+b AS (SELECT arg_min(mean, size) AS m0, min(size) AS s0 FROM g)
+SELECT size, runs, round(mean, 4) AS mean, round(std, 4) AS std, round(mean / m0, 4) AS ratio,
+       round(m0 * size / s0, 4) AS linear_reference FROM g, b""", ops="AGG21 WIN5")
+def latency_by_length(spark: SparkSession, sf: str) -> DataFrame:
+    r = request_log(table(spark, sf, "events"))
+    r = r.select((F.lit(50) * F.greatest(F.lit(1), F.ceil(F.col("output_tokens") / 50))).cast("bigint").alias("size"), "latency_ms")
+    return E.benchmark_summary(r, "size", "latency_ms")
+
+
+# ---------------------------------------------------------------------------
+# ML4-ML14 on customers x orders (rows-only: model training)
+# ---------------------------------------------------------------------------
+
+NOISE_SHARE = 0.08
+
+
+def credit_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Stand-in credit table derived from ``customer`` and ``orders``: account
+    balance, order count, total and average order value, urgent orders and
+    market segment; ``approved`` by a weighted rule (FIL13) with 8 % of labels
+    flipped by a seeded hash (ML1's label noise)."""
+    o = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total_spend"),
+        F.avg("o_totalprice").alias("avg_order"), F.sum((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("n_urgent"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").join(o, "c_custkey", "left")
+    c = c.fillna(0, ["n_orders", "n_urgent"])
+    s = E.rule_score([(F.col("c_acctbal") > 2000, 1.5), (F.col("n_orders") >= 10, 1.0),
+                      (F.col("avg_order") > 150000, 1.0), (F.col("n_urgent") >= 2, 0.5)])
+    flip = F.conv(F.substring(F.md5(F.concat(F.col("c_custkey").cast("string"), F.lit("-noise"))), 1, 6), 16, 10).cast("double") \
+        / float(16 ** 6) < NOISE_SHARE
+    label = (s >= 2.5).cast("int")
+    return c.withColumn("approved", F.when(flip, 1 - label).otherwise(label))
+
+
+CREDIT_NUMERIC = ["c_acctbal", "n_orders", "total_spend", "avg_order", "n_urgent"]
+
+
+@register("credit_models", ops="ML1 ML4 ML5 ML6 ML7 ML8 ML10 ML11 ML12 AGG11 AGG26 FUN19 D20 D21")
+def credit_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Experiment table: three classifiers on a stratified 70/15/15 split,
+    metrics on val and test, best run by test F1 (rows-only)."""
+    df = E.stratified_split(credit_table(spark, sf), "approved", "c_custkey", seed=SEED)
+    runs, _ = ML.run_experiments(df, "approved", CREDIT_NUMERIC, ["c_mktsegment"])
+    best = ML.best_run(runs).select(F.col("run_id").alias("_best"))
+    return runs.join(best, F.col("run_id") == F.col("_best"), "left").withColumn("is_best", F.col("_best").isNotNull()).drop(
+        "_best", "fit_seconds")
+
+
+@register("registry_promote", ops="ML13 JON13 ML11 SRT2")
+def registry_promote(spark: SparkSession, sf: str) -> DataFrame:
+    """Register every run's model as a version of one name, alias the best as
+    staging, promote it to production when its F1 is not lower, and score the
+    test split with the production model (rows-only)."""
+    df = E.stratified_split(credit_table(spark, sf), "approved", "c_custkey", seed=SEED)
+    runs, models = ML.run_experiments(df, "approved", CREDIT_NUMERIC, ["c_mktsegment"])
+    test = runs.filter(F.col("split") == "test").orderBy("pos").collect()  # one row per run (3)
+    reg = None
+    for i, r in enumerate(test):
+        reg = ML.register(reg, spark, "credit", r["run_id"], r["f1"], float(i))
+    aliases = ML.set_alias(None, spark, "credit", "production", 1)
+    best = ML.best_run(runs).first()
+    best_version = [i + 1 for i, r in enumerate(test) if r["run_id"] == best["run_id"]][0]
+    aliases = ML.set_alias(aliases, spark, "credit", "staging", best_version)
+    aliases, _ = ML.promote(reg, aliases, spark, "credit")
+    prod_version = aliases.filter(F.col("alias") == "production").first()["version"]
+    model = models[test[prod_version - 1]["run_id"]]
+    scored = ML.score(model, df.filter(F.col("split") == "test"))
+    table_v = ML.versions_by_alias(reg, aliases).select("version", "aliases", F.round("f1", 4).alias("f1"))
+    approved = scored.filter(F.col("decision") == "approved").count()
+    return table_v.withColumn("production_version", F.lit(int(prod_version))).withColumn(
+        "production_test_approved", F.lit(int(approved)))
+
+
+@register("kmeans_segments", ops="ML14 AGG14")
+def kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer segments (k=3, 10 restarts, lowest cost kept) on balance,
+    order count and spend; profile per segment (rows-only)."""
+    c = credit_table(spark, sf).fillna(0.0, ["total_spend", "avg_order"])
+    _, prof = ML.kmeans_segments(c, ["c_acctbal", "n_orders", "total_spend"], k=3, restarts=10, seed=SEED)
+    return prof
+
+
+# ---------------------------------------------------------------------------
+# AGG20 / ML15 / ML16 on English documents
+# ---------------------------------------------------------------------------
+
+
+def english(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+
+
+@register("char_vocab", sql="""
+WITH ch AS (SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents WHERE lang = 'en')
+SELECT ch, CAST(row_number() OVER (ORDER BY ch) - 1 AS INTEGER) AS id FROM ch WHERE length(ch) > 0""", ops="AGG20 FUN21 D19")
+def char_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    return LM.vocabulary(english(spark, sf)).select("ch", F.col("id").cast("int"))
+
+
+SQL_PAIRS = """
+en AS (SELECT doc_id, string_split(text, '') AS a FROM documents WHERE lang = 'en'),
+vocab AS (SELECT count(DISTINCT ch) AS v FROM (SELECT unnest(a) AS ch FROM en) WHERE length(ch) > 0),
+pairs AS (
+  SELECT a[i] AS ch, a[i + 1] AS next,
+         CASE WHEN i < len(a) * 0.9 THEN 'train' ELSE 'val' END AS split
+  FROM (SELECT a, unnest(range(1, len(a))) AS i FROM en)),
+pc AS (SELECT ch, next, count(*) AS cnt FROM pairs WHERE split = 'train' GROUP BY ALL),
+cc AS (SELECT ch, count(*) AS ch_cnt FROM pairs WHERE split = 'train' GROUP BY ch)
+"""
+
+
+@register("bigram_loss", sql=f"""WITH {SQL_PAIRS},
+s AS (SELECT p.split, -ln((coalesce(pc.cnt, 0) + 1) / (coalesce(cc.ch_cnt, 0) + (SELECT v FROM vocab))) AS nll
+      FROM pairs p LEFT JOIN pc USING (ch, next) LEFT JOIN cc USING (ch))
+SELECT split, count(*) AS pairs, round(avg(nll), 6) AS loss, round(exp(avg(nll)), 6) AS perplexity FROM s GROUP BY split""",
+          ops="ML15 WIN8 ML3 TXT14")
+def bigram_loss(spark: SparkSession, sf: str) -> DataFrame:
+    docs = english(spark, sf)
+    v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
+    return LM.cross_entropy(LM.pairs(docs), v)
+
+
+TEMPERATURES = (0.5, 1.0, 1.5)
+TOP_KS = (None, 5, 10)
+_GRID_SQL = ", ".join(f"({t}, {'NULL' if k is None else k})" for t in TEMPERATURES for k in TOP_KS)
+
+
+@register("temperature_topk", sql=f"""WITH {SQL_PAIRS},
+model AS (SELECT ch, next, (cnt + 1) / (ch_cnt + (SELECT v FROM vocab)) AS p FROM pc JOIN cc USING (ch)),
+g AS (SELECT * FROM (VALUES {_GRID_SQL}) t(temperature, top_k)),
+m AS (SELECT ch, next, p, CAST(temperature AS DOUBLE) AS temperature, CAST(top_k AS INTEGER) AS top_k,
+             ln(p) / temperature AS logit FROM model, g),
+r AS (SELECT *, rank() OVER (PARTITION BY ch, temperature, top_k ORDER BY logit DESC) AS rk FROM m),
+k AS (SELECT *, exp(logit - max(logit) OVER w) AS e FROM r WHERE top_k IS NULL OR rk <= top_k
+      WINDOW w AS (PARTITION BY ch, temperature, top_k)),
+q AS (SELECT *, e / sum(e) OVER (PARTITION BY ch, temperature, top_k) AS q FROM k)
+SELECT ch, temperature, top_k, count(*) AS kept, round(-sum(q * ln(q)), 6) + 0.0 AS entropy, round(sum(p), 6) AS kept_mass
+FROM q GROUP BY ch, temperature, top_k""", ops="ML16 FUN15")
+def temperature_topk(spark: SparkSession, sf: str) -> DataFrame:
+    docs = english(spark, sf)
+    v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
+    model = LM.bigram_model(LM.pairs(docs), v)
+    return LM.reshape(model, v, TEMPERATURES, TOP_KS)
+
+
+# ---------------------------------------------------------------------------
+# GRA1: concept expansion over part attributes
+# ---------------------------------------------------------------------------
+
+MAX_DEPTH = 3
+
+
+def part_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Stand-in prerequisite edges: type -> brand -> noun -> adjective."""
+    p = table(spark, sf, "part")
+    noun = F.element_at(F.split("p_name", " "), 2)
+    adj = F.element_at(F.split("p_name", " "), 1)
+    e = p.select(F.col("p_type").alias("source"), F.col("p_brand").alias("target")).unionByName(
+        p.select(F.col("p_brand").alias("source"), noun.alias("target"))).unionByName(
+        p.select(noun.alias("source"), adj.alias("target")))
+    return e.filter(F.col("target").isNotNull()).distinct()
+
+
+@register("concept_expansion", sql=f"""
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT source, target FROM (
+    SELECT p_type AS source, p_brand AS target FROM part
+    UNION ALL SELECT p_brand, split_part(p_name, ' ', 2) FROM part
+    UNION ALL SELECT split_part(p_name, ' ', 2), split_part(p_name, ' ', 1) FROM part) WHERE target IS NOT NULL AND target <> ''),
+e AS (SELECT DISTINCT lower(source) AS pkey, target AS cand, lower(target) AS key FROM edges),
+r(key, level) AS (
+  SELECT DISTINCT lower(p_type), 0 FROM part
+  UNION SELECT e.key, r.level + 1 FROM r JOIN e ON e.pkey = r.key WHERE r.level < {MAX_DEPTH}),
+lv AS (SELECT key, min(level) AS level FROM r GROUP BY key),
+roots AS (SELECT lower(p_type) AS key, min(p_type) AS name, 0 AS level, CAST(NULL AS VARCHAR) AS parent FROM part GROUP BY 1),
+inner_nodes AS (
+  SELECT lv.key, min(e.cand) AS name, lv.level, min(e.pkey) AS parent
+  FROM lv JOIN e ON e.key = lv.key JOIN lv AS pl ON pl.key = e.pkey AND pl.level = lv.level - 1
+  WHERE lv.level > 0 GROUP BY lv.key, lv.level)
+SELECT key, name, CAST(level AS INTEGER) AS level, parent FROM roots
+UNION ALL SELECT key, name, CAST(level AS INTEGER), parent FROM inner_nodes
+""", ops="GRA1 GRA2 JON11 JON12 FIL15 D23")
+def concept_expansion(spark: SparkSession, sf: str) -> DataFrame:
+    roots = table(spark, sf, "part").select(F.col("p_type").alias("name")).distinct()
+    nodes, _ = G.expand(part_edges(spark, sf), roots, MAX_DEPTH)
+    return nodes.select("key", "name", F.col("level").cast("int"), "parent")
+
+
+# ---------------------------------------------------------------------------
+# RET14 / FUN17 / RET16 / FUN20: RAG prompt and extractive answer
+# ---------------------------------------------------------------------------
+
+RAG_K = 3
+
+
+def _strip(c):
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
+@register("rag_context", ops="RET14 FUN17 RET16 FUN20 FUN5 FUN4 RET2")
+def rag_context(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-3 hashed-dense documents per benchmark passage -> prompt with
+    labelled context blocks in rank order, the extractive answer (first
+    paragraph of the best chunk cut at a word within 280 characters) and a
+    relevance band of the top score."""
+    from .retrieval import hashed_dense_ranked, lexical_inputs
+
+    docs, items = lexical_inputs(spark, sf)
+    ranked = hashed_dense_ranked(spark, sf).filter(F.col("rank") <= RAG_K)
+    r = ranked.join(docs.select("did", F.col("text").alias("dtext")), "did")
+    sec = section_of(F.col("dtext"))
+    block = F.concat(F.lit("[chunk_id="), F.col("did").cast("string"), F.lit(" section="),
+                     F.when(sec.isNull(), F.lit("None")).otherwise(F.concat(F.lit("'"), sec, F.lit("'"))),
+                     F.lit("]\n"), _strip(F.col("dtext")))
+    para = F.element_at(F.split(_strip(F.col("dtext")), "\n\n"), 1)
+    snippet = F.when(F.length(para) > 280, F.concat(F.regexp_replace(F.substring(para, 1, 280), " [^ ]*$", ""), F.lit("...")))\
+        .otherwise(para)
+    r = r.select("qid", "rank", "score", block.alias("block"), sec.alias("section"), snippet.alias("snippet"))
+    g = r.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("rank", "block", "section", "snippet", "score"))).alias("c"))
+    q = items.join(g, "qid", "left")
+    context = F.coalesce(F.array_join(F.transform("c", lambda x: x["block"]), "\n\n"), F.lit("(no relevant chunks found)"))
+    prompt = F.concat(F.lit("<context>\n"), context, F.lit("\n</context>\n\n<user_query>\n"), F.col("text"), F.lit("\n</user_query>"))
+    top = F.element_at("c", 1)
+    sections = F.array_join(F.filter(F.transform("c", lambda x: x["section"]), lambda s: s.isNotNull()), ", ")
+    band = F.when(top["score"] >= 0.6, F.lit("high")).when(top["score"] >= 0.4, F.lit("medium")).otherwise(F.lit("low"))
+    return q.select("qid", F.size("c").alias("n_chunks"), F.length(prompt).alias("prompt_chars"), F.md5(prompt).alias("prompt_md5"),
+                    top["snippet"].alias("answer_snippet"),
+                    F.when(sections == "", F.lit("the indexed document")).otherwise(sections).alias("sections"),
+                    band.alias("relevance"))
