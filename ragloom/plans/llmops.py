@@ -346,10 +346,14 @@ PAD_TO = 4100
 
 
 def guarded_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return guard_input(table(spark, sf, "conversations"))
+
+
+def guard_input(c: DataFrame) -> DataFrame:
     """Stand-in input: conversation turns with one test sentence appended to
     first user turns of every third conversation, a leak phrase on some
-    assistant turns, and padding past the length limit on others."""
-    c = table(spark, sf, "conversations")
+    assistant turns, and padding past the length limit on others (batch or
+    stream)."""
     idx = (F.floor(F.col("conv_id") / 3) % 9).cast("int")
     inj = F.element_at(F.array(*[F.lit(s) for s in INJECTIONS]), idx + 1)
     text = F.col("text")

@@ -1,3 +1,85 @@
-"""Registered streams queries."""
+"""Registered streaming queries: each runs a Structured Streaming job over a
+test table read as a file stream (``availableNow``), then returns the sink's
+content; the oracle is the SQL of the batch twin."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources.tables import REQUEST_LOG_SQL, request_log, table
+from ..streaming import jobs as S
+from .llmops import _guard_sql, guard_input
+from .registry import register
+
+
+def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    schema = table(spark, sf, name).schema
+    # a file stream watches a folder; the glob picks the one table file
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            .option("pathGlobFilter", f"{name}.parquet").parquet(sf.rstrip("/")))
+
+
+@register("token_window_stream", sql=f"""
+WITH req AS ({REQUEST_LOG_SQL})
+SELECT time_bucket(INTERVAL 1 HOUR, created_at) AS window_start, api_key,
+       CAST(sum(input_tokens + output_tokens) AS BIGINT) AS tokens, count(*) AS requests
+FROM req GROUP BY ALL""", ops="STR1 FUN12")
+def token_window_stream(spark: SparkSession, sf: str) -> DataFrame:
+    log = request_log(stream_of(spark, sf, "events"))
+    out = S.run_to_table(S.stream_token_windows(log, "1 hour", "2 hours"), "token_windows", mode="update")
+    return S.latest_rows(spark, out, ["window_start", "api_key"])
+
+
+@register("rolling_usage_stream", sql=f"""
+WITH req AS ({REQUEST_LOG_SQL}),
+w AS (SELECT time_bucket(INTERVAL 1 HOUR, created_at) - INTERVAL (r.hk) HOUR AS window_start, api_key,
+             input_tokens + output_tokens AS t
+      FROM req, range(24) r(hk))
+SELECT window_start, api_key, count(*) AS requests, CAST(sum(t) AS BIGINT) AS tokens FROM w GROUP BY ALL""",
+          ops="STR2")
+def rolling_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
+    log = request_log(stream_of(spark, sf, "events"))
+    out = S.run_to_table(S.stream_rolling_usage(log), "rolling_usage", mode="update")
+    return S.latest_rows(spark, out, ["window_start", "api_key"])
+
+
+@register("dedupe_stream", sql=f"""
+WITH req AS ({REQUEST_LOG_SQL})
+SELECT request_id, api_key, CAST(input_tokens + output_tokens AS BIGINT) AS tokens FROM req""", ops="STR3 SNK6")
+def dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event is delivered twice (two readers of the same files, as an
+    at-least-once source would); the stream keeps one row per request."""
+    a = request_log(stream_of(spark, sf, "events"))
+    b = request_log(stream_of(spark, sf, "events"))
+    out = S.run_to_table(S.stream_dedupe(a.unionByName(b)), "dedupe")
+    return spark.read.parquet(out).select("request_id", "api_key",
+                                          (F.col("input_tokens") + F.col("output_tokens")).cast("bigint").alias("tokens"))
+
+
+@register("guard_stream", sql=f"""WITH {_guard_sql()}
+SELECT role, reject_reason, pattern, leak_marker, count(*) AS n FROM guarded
+WHERE reject_reason IS NOT NULL OR leak_marker IS NOT NULL GROUP BY ALL""", ops="STR6 SNK7")
+def guard_stream(spark: SparkSession, sf: str) -> DataFrame:
+    from ..session import scratch_path
+    import uuid
+
+    run = uuid.uuid4().hex[:12]
+    rejected, clean = scratch_path(spark, f"guard/{run}/rejected"), scratch_path(spark, f"guard/{run}/clean")
+    turns = guard_input(stream_of(spark, sf, "conversations"))
+    S.run_to_table(S.stream_guard(turns), "guard", foreach_batch=S.guard_sinks(rejected, clean))
+    bad = spark.read.json(rejected)
+    return bad.groupBy("role", "reject_reason", "pattern", "leak_marker").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("service_gauges_stream", sql=f"""
+WITH req AS ({REQUEST_LOG_SQL})
+SELECT model, count(*) AS total, CAST(sum(CAST(cache_hit AS INTEGER)) AS BIGINT) AS hits,
+       CAST(sum(CAST(NOT cache_hit AS INTEGER)) AS BIGINT) AS misses, CAST(sum(CAST(failed AS INTEGER)) AS BIGINT) AS failures,
+       CAST(sum(CAST(aborted AS INTEGER)) AS BIGINT) AS aborted
+FROM req GROUP BY model""", ops="STR8 AGG25")
+def service_gauges_stream(spark: SparkSession, sf: str) -> DataFrame:
+    log = request_log(stream_of(spark, sf, "events"))
+    out = S.run_to_table(S.stream_gauges(log), "gauges", mode="update")
+    g = S.latest_rows(spark, out, ["model"])
+    return g.select("model", "total", *[F.col(c).cast("bigint").alias(c) for c in ("hits", "misses", "failures", "aborted")])
