@@ -527,56 +527,83 @@ def assemble_traces(spans: DataFrame) -> DataFrame:
 
 
 def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
-                 ts: str = "created_at", vec: str = "embedding", decimals: int = 6) -> DataFrame:
+                 ts: str = "created_at", vec: str = "embedding", decimals: int = 6, bucket_s: int | None = None,
+                 target_group_rows: int = 2000) -> DataFrame:
     """LLM2, independent form: every earlier request has stored an entry; a
     request hits when its most similar *live* entry (``created <= t <
     created + ttl``, strictly earlier in (time, id)) has cosine >= threshold
     (S13). Output: ``hit, matched_request_id, similarity, age_seconds``.
 
-    Exact candidate blocking (no all-pairs within a time window): requests are
+    Exact candidate blocking (no all-pairs scan of a time window): requests are
     assigned to their nearest of ~sqrt(N) seeded centroids; each cell keeps its
     angular radius ``r`` (largest angle of a member to the centroid); an entry
     is copied to every cell whose centroid is within ``acos(threshold) + r`` of
     it, which by the triangle inequality on angles covers every request that
-    can reach the threshold. Entries are also copied to the next TTL-sized time
-    bucket so the live window is an equi-join on (cell, bucket).
+    can reach the threshold. Entries are also copied to the next time bucket
+    (buckets are at least one TTL wide), so the live window is an equi-join on
+    (cell, bucket); each (cell, bucket) group is scored with one matrix product
+    in a ``cogroup``. Without ``bucket_s`` the bucket width is a whole number of
+    TTLs chosen so a group holds about ``target_group_rows`` requests (one TTL
+    on dense logs, wider on sparse ones).
     """
-    from .retrieval import nearest_rows
+    from .retrieval import _prepare, _stack, nearest_rows
 
-    spark = requests.sparkSession
     base = requests.select(F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v"))
-    n = int(base.select(F.floor(F.sqrt(F.count(F.lit(1))) + 0.5)).first()[0] or 1)
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("t")).alias("lo"), F.max(F.unix_seconds("t")).alias("hi")).first()
+    n = int(np.floor(np.sqrt(st["n"] or 0) + 0.5)) or 1
+    if bucket_s is None:
+        span_ttls = max(1.0, ((st["hi"] or 0) - (st["lo"] or 0)) / ttl_s)
+        per_group = max(st["n"] or 1, 1) / (n * span_ttls)
+        bucket_s = ttl_s * max(1, int(np.ceil(target_group_rows / max(per_group, 1e-9))))
+    bucket_s = max(int(bucket_s), ttl_s)
     cents = base.select("v", F.md5(F.concat(F.col("rid").cast("string"), F.lit("-cache"))).alias("_k"), "rid") \
         .orderBy("_k", "rid").limit(max(n, 1))
     cents = cents.select(F.row_number().over(Window.orderBy("_k", "rid")).alias("cell"), F.col("v").alias("centroid"))
-    own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12)
-    own = own.select("rid", F.col("near_key").alias("cell"),
+    cents = cents.checkpoint(eager=True)  # small; fixes the seeded centroid choice once
+    own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"])
+    own = own.select("rid", F.col("near_key").alias("cell"), "t", "v",
                      F.acos(F.least(F.greatest(F.col("near_score"), F.lit(-1.0)), F.lit(1.0))).alias("ang"))
-    radius = own.groupBy("cell").agg(F.max("ang").alias("radius"))
     reach = float(np.arccos(max(-1.0, min(1.0, threshold - 10.0 ** -decimals)))) + 1e-9
-    n_cells = int(cents.count())
-    near_all = nearest_rows(base, cents, n_cells, "rid", "v", "cell", "centroid", decimals=12)
-    replicas = near_all.join(F.broadcast(radius), near_all["near_key"] == radius["cell"]).filter(
-        F.acos(F.least(F.greatest(F.col("near_score"), F.lit(-1.0)), F.lit(1.0))) <= F.col("radius") + F.lit(reach)
-    ).select(F.col("rid").alias("eid"), "cell")
-    bucket = lambda c: F.floor(F.unix_seconds(c) / ttl_s).cast("bigint")
-    q = own.join(base, "rid").select("rid", "cell", "t", F.col("v").alias("qv"), bucket(F.col("t")).alias("bucket"))
-    e = replicas.join(base.withColumnRenamed("rid", "eid"), "eid").select(
-        "eid", "cell", F.col("t").alias("et"), F.col("v").alias("ev"),
-        F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket"))
-    live = (F.col("et") <= F.col("t")) & (F.col("et") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_s)) > F.col("t")) \
-        & ((F.col("et") < F.col("t")) | (F.col("eid") < F.col("rid")))
-    from ..functions.vectors import cosine
-
-    pairs = q.join(e, ["cell", "bucket"]).filter(live).select(
-        "rid", "eid", "t", "et", F.round(cosine("qv", "ev"), decimals).alias("sim"))
-    hits = pairs.filter(F.col("sim") >= threshold).groupBy("rid").agg(
-        F.max_by(F.struct("eid", "sim", "et"), F.struct(F.col("sim"), -F.col("eid"))).alias("best"))
+    floors = own.groupBy("cell").agg(F.max("ang").alias("radius")).select(
+        "cell", F.cos(F.least(F.col("radius") + F.lit(reach), F.lit(float(np.pi)))).alias("floor"))
+    replicas = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"], floors=floors)
+    bucket = lambda c: F.floor(F.unix_seconds(c) / bucket_s).cast("bigint")
+    q = own.select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v")
+    e = replicas.select(F.col("near_key").alias("cell"), F.col("rid").alias("eid"), F.col("t").alias("et"), F.col("v").alias("ev"),
+                        F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket"))
+    ttl = np.timedelta64(int(ttl_s), "s")
+    rid_type = requests.schema[id_col].dataType.simpleString()
+
+    def best_live(qp: pd.DataFrame, ep: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"rid": pd.Series([], dtype="int64"), "eid": pd.Series([], dtype="int64"),
+                              "sim": pd.Series([], dtype="float64"), "et": pd.Series([], dtype="datetime64[us]")})
+        if len(qp) == 0 or len(ep) == 0:
+            return empty
+        qm, em = _prepare(_stack(qp["v"]), "cosine"), _prepare(_stack(ep["ev"]), "cosine")
+        sim = np.round(qm @ em.T, decimals)
+        tq = qp["t"].to_numpy(dtype="datetime64[us]")[:, None]
+        te = ep["et"].to_numpy(dtype="datetime64[us]")[None, :]
+        rq = qp["rid"].to_numpy()[:, None]
+        re_ = ep["eid"].to_numpy()[None, :]
+        ok = (te <= tq) & (te + ttl > tq) & ((te < tq) | (re_ < rq)) & (sim >= threshold)
+        if not ok.any():
+            return empty
+        # best = highest similarity, then the lowest entry id
+        key = np.where(ok, sim, -np.inf)
+        order = np.lexsort((np.broadcast_to(re_, ok.shape), -key), axis=1)
+        best = order[:, 0]
+        rows = np.flatnonzero(ok[np.arange(len(qp)), best])
+        cols = best[rows]
+        return pd.DataFrame({"rid": qp["rid"].to_numpy()[rows], "eid": ep["eid"].to_numpy()[cols],
+                             "sim": sim[rows, cols], "et": ep["et"].to_numpy()[cols]})
+
+    hits = q.groupBy("cell", "bucket").cogroup(e.groupBy("cell", "bucket")).applyInPandas(
+        best_live, f"rid {rid_type}, eid {rid_type}, sim double, et timestamp")
     out = base.select("rid", "t").join(hits, "rid", "left")
     return out.select(
         F.col("rid").alias(id_col),
-        F.col("best").isNotNull().alias("hit"),
-        F.col("best.eid").alias("matched_request_id"),
-        F.col("best.sim").alias("similarity"),
-        (F.unix_seconds("t") - F.unix_seconds(F.col("best.et"))).alias("age_seconds"),
+        F.col("eid").isNotNull().alias("hit"),
+        F.col("eid").alias("matched_request_id"),
+        F.col("sim").alias("similarity"),
+        (F.unix_seconds("t") - F.unix_seconds(F.col("et"))).alias("age_seconds"),
     )

@@ -53,25 +53,59 @@ def pairs(docs: DataFrame, train_fraction: float = 0.9, id_col: str = "doc_id",
     return d.withColumn("split", F.when(F.col("pos") + 1 < F.col("n") * F.lit(train_fraction), F.lit("train")).otherwise(F.lit("val")))
 
 
-def bigram_model(pair_rows: DataFrame, vocab_size) -> DataFrame:
-    """ML15: add-one smoothed next-character probabilities from train pairs:
-    ``(ch, next, count, p)``; unseen pairs have ``1 / (count(ch) + V)``."""
-    tr = pair_rows.filter(F.col("split") == "train")
-    pc = tr.groupBy("ch", "next").agg(F.count(F.lit(1)).alias("cnt"))
-    cc = tr.groupBy("ch").agg(F.count(F.lit(1)).alias("ch_cnt"))
-    return pc.join(cc, "ch").withColumn("p", (F.col("cnt") + 1) / (F.col("ch_cnt") + vocab_size))
-
-
-def cross_entropy(pair_rows: DataFrame, vocab_size, decimals: int = 6) -> DataFrame:
+def pair_counts(pair_rows: DataFrame) -> DataFrame:
+    """(split, ch, next) -> count from pair rows; partial aggregation shrinks
+    them to at most 2 x V^2 rows before the shuffle."""
+    return pair_rows.groupBy("split", "ch", "next").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def doc_pair_counts(docs: DataFrame, train_fraction: float = 0.9, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Same counts as ``pair_counts(pairs(docs))`` computed inside each task:
+    every document's characters are paired with numpy and counted, and each
+    partition emits its own (split, ch, next, cnt) table (bounded by 2 x V^2),
+    which a final ``groupBy`` sums. Characters are code points."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(batches):
+        for pdf in batches:
+            parts = []
+            for t in pdf[text].tolist():
+                if not t or len(t) < 2:
+                    continue
+                c = np.array(list(t), dtype=object)
+                n = len(c)
+                train = np.arange(1, n) < n * train_fraction
+                parts.append(pd.DataFrame({"split": np.where(train, "train", "val"), "ch": c[:-1], "next": c[1:]}))
+            if parts:
+                allp = pd.concat(parts, ignore_index=True)
+                g = allp.groupby(["split", "ch", "next"], sort=False).size().reset_index(name="cnt")
+                yield g.astype({"cnt": "int64"})
+
+    local = docs.select(text).mapInPandas(fn, "split string, ch string, next string, cnt long")
+    return local.groupBy("split", "ch", "next").agg(F.sum("cnt").alias("cnt"))
+
+
+def bigram_model(counts: DataFrame, vocab_size) -> DataFrame:
+    """ML15: add-one smoothed next-character probabilities from the train
+    counts: ``(ch, next, cnt, ch_cnt, p)``; an unseen pair of a known context
+    has ``1 / (count(ch) + V)``."""
+    tr = counts.filter(F.col("split") == "train").select("ch", "next", "cnt")
+    cc = tr.groupBy("ch").agg(F.sum("cnt").alias("ch_cnt"))
+    return tr.join(cc, "ch").withColumn("p", (F.col("cnt") + 1) / (F.col("ch_cnt") + vocab_size))
+
+
+def cross_entropy(counts: DataFrame, vocab_size, decimals: int = 6) -> DataFrame:
     """ML15: mean negative log-likelihood and perplexity per split under the
-    smoothed model trained on the train split."""
-    tr = pair_rows.filter(F.col("split") == "train")
-    pc = tr.groupBy("ch", "next").agg(F.count(F.lit(1)).alias("cnt"))
-    cc = tr.groupBy("ch").agg(F.count(F.lit(1)).alias("ch_cnt"))
-    scored = pair_rows.join(pc, ["ch", "next"], "left").join(cc, "ch", "left").fillna(0, ["cnt", "ch_cnt"])
-    nll = -F.log((F.col("cnt") + 1) / (F.col("ch_cnt") + vocab_size))
-    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg(nll), decimals).alias("loss"),
-                                       F.round(F.exp(F.avg(nll)), decimals).alias("perplexity"))
+    smoothed model trained on the train split (count-weighted, so every pair
+    occurrence counts once)."""
+    tr = counts.filter(F.col("split") == "train").select("ch", "next", F.col("cnt").alias("tcnt"))
+    cc = tr.groupBy("ch").agg(F.sum("tcnt").alias("ch_cnt"))
+    scored = counts.join(tr, ["ch", "next"], "left").join(cc, "ch", "left").fillna(0, ["tcnt", "ch_cnt"])
+    nll = -F.log((F.col("tcnt") + 1) / (F.col("ch_cnt") + vocab_size))
+    return scored.groupBy("split").agg(F.sum("cnt").alias("pairs"),
+                                       F.round(F.sum(F.col("cnt") * nll) / F.sum("cnt"), decimals).alias("loss"),
+                                       F.round(F.exp(F.sum(F.col("cnt") * nll) / F.sum("cnt")), decimals).alias("perplexity"))
 
 
 def reshape(model: DataFrame, vocab_size, temperatures: Sequence[float], top_ks: Sequence[int | None],

@@ -320,10 +320,16 @@ def rerank(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, top_k: int
 
 
 def nearest_rows(big: DataFrame, small: DataFrame, m: int, key: str, vec: str, small_key: str, small_vec: str,
-                 metric: str = "cosine", decimals: int = 6, max_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
-    """For every row of ``big``, the ``m`` best rows of a small table (by score
-    desc, key asc). The small side is size-checked and broadcast as a matrix;
-    ``big`` is scored batch by batch in place (no shuffle, no pair rows)."""
+                 metric: str = "cosine", decimals: int = 6, max_bytes: int = DEFAULT_BLOCK_BYTES,
+                 carry: Sequence[str] = (), floors: DataFrame | None = None) -> DataFrame:
+    """For every row of ``big``, the ``m`` best rows of a small table (score
+    desc, key asc) -> ``(key, near_key, near_rank, near_score, *carry)``.
+
+    The small side is size-checked and broadcast as one matrix; ``big`` is
+    scored batch by batch where it lies (no shuffle, no pair rows). With
+    ``floors`` (``small_key, floor``) the output is instead every small row
+    whose score reaches its own floor (``near_rank`` is then the rank among
+    all small rows)."""
     spark = big.sparkSession
     st = small.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(small_vec)).alias("d")).first()
     if int(st["n"]) * int(st["d"] or 1) * 8 > max_bytes:
@@ -332,12 +338,18 @@ def nearest_rows(big: DataFrame, small: DataFrame, m: int, key: str, vec: str, s
     order = np.argsort(pdf[small_key].to_numpy(), kind="stable")
     keys = pdf[small_key].to_numpy()[order]
     mat = _prepare(_stack(pdf[small_vec])[order], metric)
-    bc = spark.sparkContext.broadcast((keys, mat))
+    floor_arr = None
+    if floors is not None:
+        fl = dict(floors.select(small_key, "floor").toPandas().itertuples(index=False, name=None))
+        floor_arr = np.array([fl.get(k_, np.inf) for k_ in keys], dtype=np.float64)
+    bc = spark.sparkContext.broadcast((keys, mat, floor_arr))
     key_type = big.schema[key].dataType.simpleString()
     sk_type = small.schema[small_key].dataType.simpleString()
+    carry = [c for c in carry if c != key]
+    carry_schema = "".join(f", {c} {big.schema[c].dataType.simpleString()}" for c in carry)
 
     def fn(batches):
-        ks, cm = bc.value
+        ks, cm, fa = bc.value
         c_sq = (cm * cm).sum(axis=1)
         mm = min(m, len(ks))
         for b in batches:
@@ -346,49 +358,107 @@ def nearest_rows(big: DataFrame, small: DataFrame, m: int, key: str, vec: str, s
             x = _prepare(_stack(b[vec]), metric)
             s = np.round(_score_block(metric, x, cm, c_sq), decimals)  # (rows, cells)
             # stable sort on -score keeps the lower key first among ties
-            idx = np.argsort(-s, axis=1, kind="stable")[:, :mm]
-            rows = np.repeat(np.arange(len(b)), mm)
-            yield pd.DataFrame({
-                key: b[key].to_numpy()[rows],
-                "near_key": ks[idx.ravel()],
-                "near_rank": np.tile(np.arange(1, mm + 1), len(b)),
-                "near_score": s[rows, idx.ravel()],
-            })
-
-    return big.select(key, vec).mapInPandas(
-        fn, f"{key} {key_type}, near_key {sk_type}, near_rank int, near_score double")
+            idx = np.argsort(-s, axis=1, kind="stable")
+            if fa is None:
+                idx = idx[:, :mm]
+                rows = np.repeat(np.arange(len(b)), mm)
+                cols = idx.ravel()
+                ranks = np.tile(np.arange(1, mm + 1), len(b))
+            else:
+                rank_of = np.empty_like(idx)
+                np.put_along_axis(rank_of, idx, np.arange(1, idx.shape[1] + 1)[None, :].repeat(len(b), 0), axis=1)
+                rows, cols = np.nonzero(s >= fa[None, :])
+                ranks = rank_of[rows, cols]
+            out = {key: b[key].to_numpy()[rows], "near_key": ks[cols], "near_rank": ranks.astype(np.int32),
+                   "near_score": s[rows, cols]}
+            for c in carry:
+                out[c] = b[c].to_numpy()[rows]
+            yield pd.DataFrame(out)
+
+    return big.select(key, vec, *[c for c in carry if c != vec]).mapInPandas(
+        fn, f"{key} {key_type}, near_key {sk_type}, near_rank int, near_score double{carry_schema}")
+
+
+IVF_CHUNK_ROWS = 50_000  # most vectors one scoring task holds
 
 
 def ivf_build(corpus: DataFrame, centroids: DataFrame, did: str = "did", vec: str = "embedding",
               metric: str = "cosine") -> DataFrame:
-    """RET6 build: assign every vector to its nearest cell. Persist the result
-    clustered by ``cell`` (``repartition('cell').sortWithinPartitions(did)``)
-    so a probe reads only its cells."""
-    near = nearest_rows(corpus, centroids, 1, did, vec, "cell", "centroid", metric)
-    return corpus.select(did, vec).join(near.select(did, F.col("near_key").alias("cell")), did)
+    """RET6 build: assign every vector to its nearest cell in place (the
+    vector is carried through, no join back). Persist the result clustered by
+    ``cell`` (``repartition('cell').sortWithinPartitions(did)``) so a probe
+    reads only its cells."""
+    near = nearest_rows(corpus, centroids, 1, did, vec, "cell", "centroid", metric, carry=[vec])
+    return near.select(did, vec, F.col("near_key").alias("cell"))
+
+
+def _cell_chunks(index: DataFrame, chunk_rows: int) -> DataFrame:
+    """One row per cell with the number of scoring chunks it is cut into, so
+    a hot cell is spread over several tasks."""
+    return index.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_size")).withColumn(
+        "n_chunks", F.greatest(F.lit(1), F.ceil(F.col("cell_size") / F.lit(chunk_rows))).cast("int"))
 
 
 def ivf_topk(queries: DataFrame, index: DataFrame, centroids: DataFrame, k: int = 10, nprobes: Sequence[int] = (1,),
              qid: str = "qid", qvec: str = "embedding", did: str = "did", dvec: str = "embedding",
-             metric: str = "cosine", decimals: int = 6) -> DataFrame:
-    """RET6/RET7: probe the ``nprobe`` nearest cells of each query, score only
-    the vectors of those cells exactly, keep top-k, for several probe counts in
-    one job (the sweep is a column, not a loop).
-
-    Candidates come from an equi-join on ``cell``: each query meets only the
-    vectors of its probed cells.
+             metric: str = "cosine", decimals: int = 6, chunk_rows: int = IVF_CHUNK_ROWS) -> DataFrame:
+    """RET6/RET7: probe the ``nprobe`` nearest cells of each query and score
+    only the vectors of those cells, for several probe counts in one job.
+
+    Index rows are grouped by (cell, chunk) (cells larger than ``chunk_rows``
+    are hashed into several chunks); each query is sent to every chunk of its
+    probed cells; one ``cogroup`` task scores a chunk's vectors against its
+    queries with one matrix product and emits each query's exact top-k in
+    that chunk. Top-k over the union of the first ``p`` cells is then the
+    merge of those lists with ``cell_rank <= p``.
     """
     max_p = max(nprobes)
-    probes = nearest_rows(queries, centroids, max_p, qid, qvec, "cell", "centroid", metric)
-    probes = probes.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"))
-    probes = probes.join(queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("_qv")), "qid")
-    cand = probes.join(index.select(F.col(did).alias("did"), F.col(dvec).alias("_dv"), "cell"), "cell")
-    cand = cand.select("qid", "did", "cell_rank", F.round(V.similarity(metric, "_qv", "_dv"), decimals).alias("score"))
-    sweep = cand.withColumn("nprobe", F.explode(F.array(*[F.lit(p) for p in sorted(set(nprobes))])))
+    chunks = F.broadcast(_cell_chunks(index, chunk_rows))
+    probes = nearest_rows(queries, centroids, max_p, qid, qvec, "cell", "centroid", metric, carry=[qvec])
+    probes = probes.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"),
+                           F.col(qvec).alias("_qv"))
+    probes = probes.join(chunks, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
+    idx = index.select(F.col(did).alias("did"), F.col(dvec).alias("_dv"), "cell").join(chunks, "cell")
+    idx = idx.withColumn("chunk", F.pmod(F.xxhash64("did"), F.col("n_chunks")).cast("int"))
+    qid_type = queries.schema[qid].dataType.simpleString()
+    did_type = index.schema[did].dataType.simpleString()
+
+    def score_chunk(ipdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(ipdf) == 0 or len(qpdf) == 0:
+            return pd.DataFrame({"qid": [], "cell_rank": [], "did": [], "score": []})
+        dm = _prepare(_stack(ipdf["_dv"]), metric)
+        qm = _prepare(_stack(qpdf["_qv"]), metric)
+        s = np.round(_score_block(metric, dm, qm, (qm * qm).sum(axis=1)), decimals)
+        kk = min(k, s.shape[0])
+        kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
+        rows, cols = np.nonzero(s >= kth[None, :])
+        dids = ipdf["did"].to_numpy()[rows]
+        keep = _merge_topk(np.zeros(rows.size, np.int64), cols.astype(np.int64), dids, s[rows, cols], k)
+        return pd.DataFrame({"qid": qpdf["qid"].to_numpy()[cols[keep]], "cell_rank": qpdf["cell_rank"].to_numpy()[cols[keep]],
+                             "did": dids[keep], "score": s[rows, cols][keep]})
+
+    scored = idx.select("cell", "chunk", "did", "_dv").groupBy("cell", "chunk").cogroup(
+        probes.select("cell", "chunk", "qid", "cell_rank", "_qv").groupBy("cell", "chunk")).applyInPandas(
+        score_chunk, f"qid {qid_type}, cell_rank int, did {did_type}, score double")
+    sweep = scored.withColumn("nprobe", F.explode(F.array(*[F.lit(p) for p in sorted(set(nprobes))])))
     sweep = sweep.filter(F.col("cell_rank") <= F.col("nprobe")).drop("cell_rank")
     return topk_per_group(sweep, k, ["nprobe", "qid"], decimals=decimals)
 
 
+def ivf_cost(queries: DataFrame, index: DataFrame, centroids: DataFrame, nprobes: Sequence[int], qid: str = "qid",
+             qvec: str = "embedding", metric: str = "cosine") -> DataFrame:
+    """Vectors scored per query for each probe count: the sum of the sizes of
+    the probed cells (cell sizes are one small aggregate)."""
+    max_p = max(nprobes)
+    probes = nearest_rows(queries, centroids, max_p, qid, qvec, "cell", "centroid", metric)
+    sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_size"))
+    p = probes.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"))
+    p = p.join(F.broadcast(sizes), "cell", "left").fillna(0, ["cell_size"])
+    p = p.withColumn("nprobe", F.explode(F.array(*[F.lit(x) for x in sorted(set(nprobes))]))).filter(
+        F.col("cell_rank") <= F.col("nprobe"))
+    return p.groupBy("nprobe", "qid").agg(F.sum("cell_size").alias("candidates"))
+
+
 # ---------------------------------------------------------------------------
 # Relevance by containment (stand-in qrels for the lexical task)
 # ---------------------------------------------------------------------------
@@ -420,16 +490,3 @@ def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFr
     short_hits = texts_d.join(F.broadcast(short), F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
     return long_hits.unionByName(short_hits)
 
-
-def ivf_cost(queries: DataFrame, index: DataFrame, centroids: DataFrame, nprobes: Sequence[int], qid: str = "qid",
-             qvec: str = "embedding", metric: str = "cosine") -> DataFrame:
-    """Vectors scored per query for each probe count: the sum of the sizes of
-    the probed cells (cell sizes are one small aggregate)."""
-    max_p = max(nprobes)
-    probes = nearest_rows(queries, centroids, max_p, qid, qvec, "cell", "centroid", metric)
-    sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_size"))
-    p = probes.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"))
-    p = p.join(F.broadcast(sizes), "cell", "left").fillna(0, ["cell_size"])
-    p = p.withColumn("nprobe", F.explode(F.array(*[F.lit(x) for x in sorted(set(nprobes))]))).filter(
-        F.col("cell_rank") <= F.col("nprobe"))
-    return p.groupBy("nprobe", "qid").agg(F.sum("cell_size").alias("candidates"))

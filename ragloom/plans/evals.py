@@ -424,7 +424,7 @@ SELECT split, count(*) AS pairs, round(avg(nll), 6) AS loss, round(exp(avg(nll))
 def bigram_loss(spark: SparkSession, sf: str) -> DataFrame:
     docs = english(spark, sf)
     v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
-    return LM.cross_entropy(LM.pairs(docs), v)
+    return LM.cross_entropy(LM.doc_pair_counts(docs), v)
 
 
 TEMPERATURES = (0.5, 1.0, 1.5)
@@ -446,7 +446,7 @@ FROM q GROUP BY ch, temperature, top_k""", ops="ML16 FUN15")
 def temperature_topk(spark: SparkSession, sf: str) -> DataFrame:
     docs = english(spark, sf)
     v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
-    model = LM.bigram_model(LM.pairs(docs), v)
+    model = LM.bigram_model(LM.doc_pair_counts(docs), v)
     return LM.reshape(model, v, TEMPERATURES, TOP_KS)
 
 
