@@ -446,10 +446,17 @@ def repair(df: DataFrame, noise: Sequence[str], exact: dict[str, str], variants:
             cur = cur.withColumn(name, count(F.col("t"), pat)).withColumn("t", F.regexp_replace("t", pat, canon))
             counts.append(name)
     for w in proper:
-        pat = rf"(?U)(?<=[^.!?\n \t][ \t]{{0,1000}})(?<![\w']){_quote(w)}(?![\w'])"
+        # not at a sentence start: the previous non-space/tab character exists
+        # and is not . ! ? or a newline. The prefix is matched (no look-behind)
+        # and put back; a second pass catches a word whose prefix was consumed
+        # by the previous match (two in a row).
+        pat = rf"(?U)([^.!?\n \t][ \t]*)\b{_quote(w)}\b"
         cap = w[:1].upper() + w[1:]
         name = f"cap:{w}->{cap}"
-        cur = cur.withColumn(name, count(F.col("t"), pat)).withColumn("t", F.regexp_replace("t", pat, cap))
+        n1 = count(F.col("t"), pat)
+        cur = cur.withColumn("_n1", n1).withColumn("t", F.regexp_replace("t", pat, "$1" + cap.replace("$", "\\$")))
+        cur = cur.withColumn(name, F.col("_n1") + count(F.col("t"), pat)).withColumn(
+            "t", F.regexp_replace("t", pat, "$1" + cap.replace("$", "\\$"))).drop("_n1")
         counts.append(name)
     fixed = cur.select(F.col("id").alias(id_col), F.col("t").alias(text))
     stack = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("n")) for n in counts]))

@@ -221,6 +221,8 @@ def bm25_index(corpus: DataFrame, did: str = "did", text: str = "text") -> dict[
     toks = corpus.select(F.col(did).alias("did"), tokenize(F.col(text)).alias("toks"))
     docs = toks.select("did", F.size("toks").alias("dl"))
     postings = toks.select("did", F.explode("toks").alias("term")).groupBy("term", "did").agg(F.count(F.lit(1)).alias("tf"))
+    # built once, probed by several statistics and query batches
+    docs, postings = docs.persist(), postings.persist()
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     raw = df_t.select("term", "df", (F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
