@@ -37,9 +37,16 @@ def decode_files(files: DataFrame, content: str = "content") -> DataFrame:
     utf8_ok = F.is_valid_utf8(F.col("_body").cast("string"))
 
     def letter_share(t: Column) -> Column:
+        """Share of letters, minus the share of implausible words: words that
+        mix Latin and Cyrillic letters (Latin text read as Cyrillic) and words
+        made only of accented Latin letters (Cyrillic text read as Latin)."""
         n = F.length(t)
         letters = F.length(F.regexp_replace(t, r"(?U)[^\p{L}]", ""))
-        return F.when(n > 0, letters / n).otherwise(F.lit(0.0))
+        words = F.regexp_count(t, F.lit(r"(?U)\b\p{L}+\b"))
+        mixed = F.regexp_count(t, F.lit(r"(?U)\b(?=\p{L}*\p{IsCyrillic})(?=\p{L}*\p{IsLatin})\p{L}+\b"))
+        accented = F.regexp_count(t, F.lit(r"(?U)\b[\p{IsLatin}&&[^a-zA-Z]]{3,}\b"))
+        bad = F.when(words > 0, (mixed + accented) / words).otherwise(F.lit(0.0))
+        return F.when(n > 0, letters / n - bad).otherwise(F.lit(0.0))
 
     best_enc = None
     best_score = None

@@ -118,6 +118,8 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str =
     for b in range(n_blocks):
         block = q if n_blocks == 1 else q.filter(F.col("_blk") == b)
         pdf = block.select("_qid", "_qv").toPandas()  # bounded by block_bytes
+        if len(pdf) == 0:
+            continue
         qmat = _prepare(_stack(pdf["_qv"]), metric)
         bc = spark.sparkContext.broadcast((pdf["_qid"].to_numpy(), qmat))
 
