@@ -94,7 +94,8 @@ def file_arrivals(spark: SparkSession, uploads: str, glob: str = "*.pdf") -> Dat
     """STR7 / SRC11: new files under ``uploads`` as a stream of
     ``(path, modificationTime, length, content)``; each file is seen once per
     checkpoint, duplicates of a path are dropped."""
-    return (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(uploads)
             .dropDuplicates(["path"]))
 
