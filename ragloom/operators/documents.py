@@ -552,3 +552,9 @@ def commit_version(df: DataFrame, root: str, tag: str, mode: str = "errorifexist
     df.write.mode(mode).parquet(path)
     back = df.sparkSession.read.parquet(path)
     return back.agg(F.lit(tag).alias("version"), F.count(F.lit(1)).alias("rows"), content_hash(back).alias("content_hash"))
+
+
+def upsert(existing: DataFrame, new: DataFrame, key: str = "point_id") -> DataFrame:
+    """SNK10: keep existing points whose key is not re-sent, add the new ones
+    (write the result to a new version; ``recreate`` is simply ``new``)."""
+    return existing.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)

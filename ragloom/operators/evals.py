@@ -298,3 +298,22 @@ def loss_curve_summary(curve: DataFrame, run: str = "run", step: str = "step", t
         F.min_by(step, F.struct(val, step)).alias("best_step"), F.round(F.min(val), decimals).alias("best_val"),
         F.round(F.max_by(train, step), decimals).alias("final_train"), F.round(F.max_by(val, step), decimals).alias("final_val"),
     ).withColumn("gap", F.round(F.col("final_val") - F.col("final_train"), decimals))
+
+
+def result_records(scores: DataFrame, outputs: DataFrame) -> DataFrame:
+    """SNK11: one JSON document per (dataset, provider): meta, metrics, the
+    parsed result, and the raw text only when it was not valid JSON."""
+    parsed, valid = lenient_json(F.col("raw"))
+    o = outputs.select("dataset", "provider", "raw", parsed.alias("parsed"), valid.alias("_valid"))
+    j = scores.join(o, ["dataset", "provider"])
+    meta = F.struct("provider", F.col("valid_json"), "input_tokens", "output_tokens")
+    metrics = F.struct("tasks_found", "tasks_total", "hallucinated_owners", "decisions_found", "decisions_total")
+    doc = F.struct(meta.alias("meta"), metrics.alias("metrics"), F.col("parsed").alias("result"),
+                   F.when(~F.col("_valid"), F.col("raw")).alias("raw"))
+    return j.select("dataset", "provider", F.to_json(doc).alias("record"))
+
+
+def feature_ratio(amount: Column, income: Column, term: Column, lo: float = 0.0, hi: float = 10.0) -> Column:
+    """FUN19: ``round(amount / (income * term), 3)`` clipped to [lo, hi]."""
+    r = F.round(amount / (income * term), 3)
+    return F.least(F.greatest(r, F.lit(lo)), F.lit(hi))

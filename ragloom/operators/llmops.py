@@ -607,3 +607,16 @@ def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600
         F.col("sim").alias("similarity"),
         (F.unix_seconds("t") - F.unix_seconds(F.col("et"))).alias("age_seconds"),
     )
+
+
+def admit(requests: DataFrame, tier_table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """FIL9 / JON6: requests with a known key get their tier (broadcast inner
+    join); unknown keys are the rejected stream (``left_anti``)."""
+    t = F.broadcast(tier_table)
+    return requests.join(t, "api_key"), requests.join(t, "api_key", "left_anti")
+
+
+def sse_event(kind: Column | str, payload: Column) -> Column:
+    """FUN10: one server-sent event line ``data: {json}\\n\\n`` (non-ASCII kept)."""
+    k = F.lit(kind) if isinstance(kind, str) else kind
+    return F.concat(F.lit("data: "), F.to_json(F.struct(k.alias("type"), payload.alias("content"))), F.lit("\n\n"))

@@ -140,3 +140,13 @@ def training_blocks(ids: DataFrame, block: int = 128, id_col: str = "doc_id", st
     d = d.select(id_col, "ids", F.explode(starts).alias("start"))
     return d.select(id_col, "start", F.slice("ids", F.col("start"), block).alias("x"),
                     F.slice("ids", F.col("start") + 1, block).alias("y"))
+
+
+def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """FUN21: token ids back to text; ids missing from the vocabulary are
+    dropped (the serving rule). The vocabulary (bounded by the number of
+    distinct characters) is broadcast; each document is regrouped on its own."""
+    v = F.broadcast(vocab.select(F.col("id").alias("tok"), "ch"))
+    e = ids.select(id_col, F.posexplode("ids").alias("pos", "tok")).join(v, "tok")
+    g = e.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "ch"))).alias("_c"))
+    return g.select(id_col, F.array_join(F.transform("_c", lambda x: x["ch"]), "").alias("text"))

@@ -126,3 +126,48 @@ def knee(df: DataFrame, size: str, metrics: Sequence[str], latency: str | None =
     fired = F.when(is_lat, mag >= growth).otherwise(mag >= drop)
     long = long.filter((F.col("size") != F.col("_first")) & fired).drop("_first")
     return long.withColumn("magnitude", F.round(mag, decimals))
+
+
+def throughput(df: DataFrame, ms: str = "latency_ms", by: Sequence[str] = (), wall_s: float | None = None) -> DataFrame:
+    """AGG7: queries per second, ``n / sum(ms) * 1000``, or ``n / wall_s`` when
+    the wall time of the whole run is given (the two forms of the source)."""
+    n = F.count(F.lit(1))
+    q = n / F.lit(wall_s) if wall_s else n / F.sum(ms) * 1000.0
+    return df.groupBy(*by).agg(n.alias("n"), F.round(q, 3).alias("qps"))
+
+
+def max_per_family(df: DataFrame, family: str, value: str) -> DataFrame:
+    """AGG27: largest value per family."""
+    return df.groupBy(family).agg(F.max(value).alias(f"max_{value}"))
+
+
+def compare_to_baseline(baseline: DataFrame, variants: DataFrame, size: str, retriever: str, metrics: Sequence[str],
+                        decimals: int = 4) -> DataFrame:
+    """JON14: first row per (size, retriever) of the union of baseline and
+    variant results, each joined with the baseline row of its size."""
+    u = baseline.unionByName(variants, allowMissingColumns=True).withColumn("_pos", F.monotonically_increasing_id())
+    w = Window.partitionBy(size, retriever).orderBy("_pos")
+    first = u.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_pos")
+    base = baseline.groupBy(size).agg(*[F.first(m).alias(f"base_{m}") for m in metrics])
+    out = first.join(base, size, "left")
+    for m in metrics:
+        out = out.withColumn(f"delta_{m}", F.round(F.col(m) - F.col(f"base_{m}"), decimals))
+    return out
+
+
+def stream_timing(tokens: DataFrame, request: str = "request_id", ts: str = "ts", start: str = "start_ts") -> DataFrame:
+    """AGG29 / WIN9: per request time to first token, mean and max gap between
+    tokens (``ts - lag(ts)`` inside the request), tokens per second and total
+    time. Windows are per request (bounded by one answer)."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    w = Window.partitionBy(request).orderBy(ts)
+    t = tokens.withColumn("_us", us).withColumn("_gap", (F.col("_us") - F.lag("_us").over(w)) / 1000.0)
+    g = t.groupBy(request).agg(
+        F.min("_us").alias("_first"), F.max("_us").alias("_last"), F.count(F.lit(1)).alias("tokens"),
+        F.avg("_gap").alias("mean_gap_ms"), F.max("_gap").alias("max_gap_ms"),
+        F.first(F.unix_micros(F.col(start).cast("timestamp"))).alias("_start"))
+    total = (F.col("_last") - F.col("_start")) / 1000.0
+    return g.select(request, ((F.col("_first") - F.col("_start")) / 1000.0).alias("ttft_ms"),
+                    F.round("mean_gap_ms", 3).alias("mean_gap_ms"), F.round("max_gap_ms", 3).alias("max_gap_ms"), "tokens",
+                    F.round(F.when(total > 0, F.col("tokens") / (total / 1000.0)), 3).alias("tokens_per_s"),
+                    total.alias("total_ms"))

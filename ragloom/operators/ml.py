@@ -202,3 +202,24 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 3, restarts
     prof = assigned.groupBy("segment").agg(F.count(F.lit(1)).alias("size"),
                                            *[F.round(F.avg(c), decimals).alias(f"mean_{c}") for c in feats])
     return assigned, prof.withColumn("training_cost", F.lit(round(float(best[0]), 4)))
+
+
+def synthetic_credit_table(spark: SparkSession, n: int, seed: int = 42, noise: float = 0.08) -> DataFrame:
+    """ML1: a generated credit table with the source's rules (uniform ages and
+    terms, clipped normal incomes and amounts, Poisson(0.5) delinquencies by
+    inverse CDF, debt-to-income ratio, weighted approval rule >= 3.5, labels
+    flipped with probability ``noise``). Same rules, not the same draws."""
+    u = lambda i: F.rand(seed + i)
+    d = spark.range(n).select(
+        (F.floor(u(1) * 48) + 21).cast("int").alias("age"),
+        F.greatest(F.lit(8000), F.least(F.lit(200000), F.round(F.randn(seed + 2) * 15000 + 45000))).cast("int").alias("monthly_income"),
+        F.least(F.lit(5), F.when(u(3) < 0.6065, 0).when(u(3) < 0.9098, 1).when(u(3) < 0.9856, 2).when(u(3) < 0.9982, 3)
+                .otherwise(4)).cast("int").alias("num_delinquencies"),
+        F.element_at(F.array(*[F.lit(x) for x in (6, 12, 24, 36, 48, 60)]), (F.floor(u(4) * 6) + 1).cast("int")).alias("credit_term_months"),
+        F.greatest(F.lit(5000), F.least(F.lit(500000), F.round(F.randn(seed + 5) * 40000 + 100000))).cast("int").alias("credit_amount"),
+        u(6).alias("_flip"))
+    d = d.withColumn("debt_to_income", F.round(F.col("credit_amount") / (F.col("monthly_income") * F.col("credit_term_months")), 3))
+    score = ((F.col("monthly_income") > 40000).cast("double") * 1.5 + (F.col("num_delinquencies") == 0).cast("double") * 2.0
+             + (F.col("debt_to_income") < 0.3).cast("double") * 1.0 + ((F.col("age") >= 25) & (F.col("age") <= 60)).cast("double") * 0.5)
+    label = (score >= 3.5).cast("int")
+    return d.withColumn("approved", F.when(F.col("_flip") < noise, 1 - label).otherwise(label)).drop("_flip")

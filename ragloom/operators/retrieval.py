@@ -494,3 +494,77 @@ def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFr
     short_hits = texts_d.join(F.broadcast(short), F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
     return long_hits.unionByName(short_hits)
 
+
+
+def save_ivf(index: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """SNK9: write the IVF index clustered by cell (one folder per cell, rows
+    sorted by id) so a probe prunes to its cells' files."""
+    index.repartition("cell").sortWithinPartitions("cell", index.columns[0]).write.mode(mode).partitionBy("cell").parquet(path)
+
+
+def nearest(corpus: DataFrame, vector: Sequence[float], k: int = 10, metric: str = "cosine", did: str = "did",
+            dvec: str = "embedding") -> DataFrame:
+    """SRT3: ``ORDER BY distance LIMIT k`` for one query vector (planned as
+    TakeOrderedAndProject: a per-task top-k then a final merge), returning
+    ``similarity = 1 - distance`` for cosine."""
+    q = F.array(*[F.lit(float(x)) for x in vector])
+    if metric == "cosine":
+        dist = V.cosine_distance(dvec, q)
+    elif metric in ("l2", "euclidean"):
+        dist = V.euclidean(dvec, q)
+    else:
+        dist = -V.inner_product(dvec, q)
+    return corpus.select(did, dist.alias("distance")).orderBy("distance", did).limit(k).withColumn(
+        "similarity", F.lit(1.0) - F.col("distance"))
+
+
+def sanity_cosine(queries: DataFrame, corpus: DataFrame, qrels: DataFrame, qid: str = "qid", did: str = "did",
+                  vec: str = "embedding") -> DataFrame:
+    """RET10: cosine of each query with each of its relevant documents (a check
+    that ids and vectors are aligned)."""
+    q = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("_qv"))
+    d = corpus.select(F.col(did).alias("did"), F.col(vec).alias("_dv"))
+    return qrels.select("qid", "did").join(q, "qid").join(d, "did").select(
+        "qid", "did", F.round(V.cosine("_qv", "_dv"), 6).alias("cosine"))
+
+
+class Retriever:
+    """UDF1: the retriever contract - ``search(queries, k) -> (qid, did,
+    score, rank)``; implementations below wrap the jobs of this module."""
+
+    def search(self, queries: DataFrame, k: int) -> DataFrame:  # pragma: no cover - interface
+        raise NotImplementedError
+
+
+class DenseRetriever(Retriever):
+    def __init__(self, corpus: DataFrame, metric: str = "cosine"):
+        self.corpus, self.metric = corpus, metric
+
+    def search(self, queries: DataFrame, k: int) -> DataFrame:
+        return exact_topk(queries, self.corpus, k, self.metric)
+
+
+class BM25Retriever(Retriever):
+    def __init__(self, corpus: DataFrame):
+        self.index = bm25_index(corpus)
+
+    def search(self, queries: DataFrame, k: int) -> DataFrame:
+        return bm25_topk(queries, self.index, k)
+
+
+class IVFIndex:
+    """UDF2: the index contract - build once, search with a probe knob, report
+    its footprint."""
+
+    def __init__(self, centroids: DataFrame, metric: str = "cosine"):
+        self.centroids, self.metric, self.index = centroids, metric, None
+
+    def build(self, corpus: DataFrame, path: str | None = None) -> DataFrame:
+        self.index = ivf_build(corpus, self.centroids, metric=self.metric)
+        if path:
+            save_ivf(self.index, path)
+            self.index = corpus.sparkSession.read.parquet(path)
+        return self.index
+
+    def search(self, queries: DataFrame, k: int, nprobes: Sequence[int] = (1,)) -> DataFrame:
+        return ivf_topk(queries, self.index, self.centroids, k, nprobes, metric=self.metric)

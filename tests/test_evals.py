@@ -79,3 +79,13 @@ def test_entropy(spark):
     r = E.distribution_entropy(df, "c").first()
     exp = -sum(p * math.log(p + 1e-9) for p in (0.5, 0.25, 0.25))
     assert abs(r["entropy"] - round(exp, 6)) < 1e-9 and r["categories"] == 3
+
+
+def test_encode_decode_roundtrip(spark):
+    docs = spark.createDataFrame([(1, "abca"), (2, "ba")], "doc_id long, text string")
+    vocab = LM.vocabulary(docs)
+    enc = LM.encode(docs, vocab)
+    assert {r["doc_id"]: r["ids"] for r in enc.collect()} == {1: [0, 1, 2, 0], 2: [1, 0]}
+    assert {r["doc_id"]: r["text"] for r in LM.decode(enc, vocab).collect()} == {1: "abca", 2: "ba"}
+    blocks = LM.training_blocks(enc, block=2, stride=1).collect()
+    assert all(len(b["x"]) == 2 and b["y"][0] == b["x"][1] for b in blocks)

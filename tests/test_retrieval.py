@@ -144,3 +144,15 @@ def test_pareto_and_knee(spark):
     k = {(r["size"], r["metric"]) for r in M.knee(res, "size", ["r1"], latency="p50").collect()}
     # baseline latency 0 -> growth over max(0, 0.01): 2.0/0.01 = 200 >= 100
     assert k == {(2, "r1"), (2, "p50")}
+
+
+def test_nearest_and_timing(spark):
+    import datetime as dt
+    corpus = _vec_df(spark, range(4), np.array([[1, 0], [0, 1], [1, 1], [-1, 0]], dtype=float), "did")
+    got = [r["did"] for r in R.nearest(corpus, [1.0, 0.1], k=2).collect()]
+    assert got == [0, 2]
+    t0 = dt.datetime(2024, 1, 1)
+    toks = spark.createDataFrame([(1, t0, t0 + dt.timedelta(milliseconds=ms)) for ms in (200, 300, 500)],
+                                 "request_id int, start_ts timestamp, ts timestamp")
+    r = M.stream_timing(toks).first()
+    assert r["ttft_ms"] == 200.0 and r["max_gap_ms"] == 200.0 and r["tokens"] == 3
