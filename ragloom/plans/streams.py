@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import REQUEST_LOG_SQL, request_log, table
 from ..streaming import jobs as S
-from .llmops import _guard_sql, guard_input
+from .llmops import BREAKER_OPEN_S, BREAKER_WINDOW_S, SQL_BREAKER, _guard_sql, guard_input
 from .registry import register
 
 
@@ -83,3 +83,11 @@ def service_gauges_stream(spark: SparkSession, sf: str) -> DataFrame:
     out = S.run_to_table(S.stream_gauges(log), "gauges", mode="update")
     g = S.latest_rows(spark, out, ["model"])
     return g.select("model", "total", *[F.col(c).cast("bigint").alias(c) for c in ("hits", "misses", "failures", "aborted")])
+
+
+@register("breaker_stream", sql=SQL_BREAKER, ops="STR4 LLM4")
+def breaker_stream(spark: SparkSession, sf: str) -> DataFrame:
+    log = request_log(stream_of(spark, sf, "events"))
+    out = S.run_to_table(S.stream_breaker(log, 5, BREAKER_WINDOW_S, BREAKER_OPEN_S), "breaker")
+    return spark.read.parquet(out).select("request_id", "model", "state_before", "skipped", "state_after",
+                                          F.col("recent_failures").cast("int"))

@@ -141,3 +141,71 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     cols = [c for c in df.columns if c not in ("_batch", "batch")]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in cols if c not in keys]), "batch").alias("_r"))
     return last.select(*keys, "_r.*")
+
+
+# ---------------------------------------------------------------------------
+# STR4: circuit breaker as a stateful stream
+# ---------------------------------------------------------------------------
+
+BREAKER_OUT = "request_id long, model string, state_before string, skipped boolean, state_after string, recent_failures int"
+
+
+def _breaker_processor(threshold: int, window_s: float, open_s: float, maxlen: int):
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class BreakerProcessor(StatefulProcessor):
+        """Per model: list state of recent failure times (at most ``maxlen``),
+        value state (state, open_until). Rows of one micro-batch are applied in
+        event-time order with the same rules as the batch replay."""
+
+        def init(self, handle) -> None:
+            self.failures = handle.getListState("failures", "t double")
+            self.breaker = handle.getValueState("breaker", "state string, open_until double")
+
+        def handleInputRows(self, key, rows, timerValues):
+            pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t", "request_id"], kind="stable")
+            fails = [r[0] for r in self.failures.get()] if self.failures.exists() else []
+            cur = self.breaker.get() if self.breaker.exists() else None
+            state, until = (cur[0], cur[1]) if cur else ("CLOSED", 0.0)
+            out = {"request_id": [], "model": [], "state_before": [], "skipped": [], "state_after": [], "recent_failures": []}
+            for rid, t, failed in zip(pdf["request_id"], pdf["t"], pdf["failed"]):
+                if state == "OPEN" and t >= until:
+                    state = "HALF_OPEN"
+                before, skipped = state, state == "OPEN"
+                if not skipped:
+                    if failed:
+                        fails = [x for x in fails if x >= t - window_s] + [t]
+                        fails = fails[-maxlen:]
+                        if len(fails) >= threshold:
+                            state, until = "OPEN", t + open_s
+                    else:
+                        fails, state, until = [], "CLOSED", 0.0
+                for k_, v in (("request_id", int(rid)), ("model", key[0]), ("state_before", before), ("skipped", bool(skipped)),
+                              ("state_after", state), ("recent_failures", len(fails))):
+                    out[k_].append(v)
+            if fails:
+                self.failures.put([(float(x),) for x in fails])
+            else:  # the store keeps no empty lists
+                self.failures.clear()
+            self.breaker.update((state, float(until)))
+            yield pd.DataFrame(out).astype({"recent_failures": "int32"})
+
+        def close(self) -> None:
+            pass
+
+    return BreakerProcessor()
+
+
+def stream_breaker(calls: DataFrame, threshold: int = 5, window_s: float = 60, open_s: float = 60,
+                   maxlen: int | None = None, key: str = "model", ts: str = "created_at") -> DataFrame:
+    """STR4: breaker state per model with ``transformWithStateInPandas`` (list
+    state of failures, value state of the breaker). Needs the RocksDB state
+    store, which this sets on the session."""
+    spark = calls.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    c = calls.select(F.col("request_id").cast("long"), F.col(key).alias("model"),
+                     (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t"), F.col("failed"))
+    proc = _breaker_processor(threshold, float(window_s), float(open_s), maxlen or threshold * 2)
+    return c.groupBy("model").transformWithStateInPandas(proc, BREAKER_OUT, "Append", "None")
