@@ -160,19 +160,22 @@ def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pre
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                           decimals: int = 4) -> DataFrame:
     """AGG12: per class precision / recall / F1 / support, then accuracy,
-    macro and weighted averages as extra rows (``row`` names the line)."""
-    classes = pred.select(F.col(label).cast("string").alias("c")).union(
-        pred.select(F.col(prediction).cast("string").alias("c"))).distinct()
-    y, p = F.col(label).cast("string"), F.col(prediction).cast("string")
-    per = pred.select(y.alias("y"), p.alias("p"))
-    tp = per.filter(F.col("y") == F.col("p")).groupBy(F.col("y").alias("c")).agg(F.count(F.lit(1)).alias("tp"))
-    sup = per.groupBy(F.col("y").alias("c")).agg(F.count(F.lit(1)).alias("support"))
-    prd = per.groupBy(F.col("p").alias("c")).agg(F.count(F.lit(1)).alias("predicted"))
+    macro and weighted averages as extra rows (``row`` names the line).
+
+    Everything is derived from one confusion table (at most classes^2 rows),
+    checkpointed once so the report's branches do not recompute the input."""
+    conf = pred.groupBy(F.col(label).cast("string").alias("y"), F.col(prediction).cast("string").alias("p")).agg(
+        F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    classes = conf.select(F.col("y").alias("c")).union(conf.select(F.col("p").alias("c"))).distinct()
+    tp = conf.filter(F.col("y") == F.col("p")).select(F.col("y").alias("c"), F.col("n").alias("tp"))
+    sup = conf.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
+    prd = conf.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("predicted"))
     t = classes.join(tp, "c", "left").join(sup, "c", "left").join(prd, "c", "left").fillna(0)
     prec = _div(F.col("tp"), F.col("predicted"))
     rec = _div(F.col("tp"), F.col("support"))
     t = t.select("c", prec.alias("precision"), rec.alias("recall"), "support", "tp")
     t = t.withColumn("f1", _div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+    t = t.checkpoint(eager=True)  # one row per class
     total = t.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("k"),
                   F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
                   F.sum(F.col("precision") * F.col("support")).alias("wp"), F.sum(F.col("recall") * F.col("support")).alias("wr"),

@@ -477,13 +477,14 @@ def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFr
     document) with the BM25 postings; each candidate is verified with
     ``instr``. Every containing document holds that token, so nothing is
     missed, and no item is compared with the whole corpus. Items with fewer than
-    three tokens have no interior token and are matched against every document
-    with a plain containment test.
+    three tokens have no interior token; they are found by one Aho-Corasick
+    pass over each document (:func:`substring_matches`).
     """
     toks = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt"), F.posexplode(tokenize(F.col(qtext))).alias("pos", "term"))
     n_tok = toks.groupBy("qid").agg(F.max("pos").alias("last"))
     interior = toks.join(n_tok, "qid").filter((F.col("pos") > 0) & (F.col("pos") < F.col("last")))
     dft = index["terms_raw"].select("term", "df")
+    # items of 3+ tokens: rarest interior token
     anchor = interior.join(dft, "term").groupBy("qid").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
     cand = anchor.join(index["postings"].select("term", "did"), "term")
     texts_q = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt"))
@@ -491,7 +492,7 @@ def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFr
     long_hits = cand.join(texts_q, "qid").join(texts_d, "did").filter(F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
     short = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt")).join(n_tok, "qid", "left") \
         .filter(F.coalesce(F.col("last"), F.lit(-1)) < 2).select("qid", "_qt")
-    short_hits = texts_d.join(F.broadcast(short), F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
+    short_hits = substring_matches(short, texts_d, "qid", "_qt", "did", "_dt")
     return long_hits.unionByName(short_hits)
 
 
@@ -568,3 +569,47 @@ class IVFIndex:
 
     def search(self, queries: DataFrame, k: int, nprobes: Sequence[int] = (1,)) -> DataFrame:
         return ivf_topk(queries, self.index, self.centroids, k, nprobes, metric=self.metric)
+
+
+MAX_PATTERN_BYTES = 64 << 20
+
+
+def substring_matches(patterns: DataFrame, docs: DataFrame, pid: str, ptext: str, did: str, dtext: str) -> DataFrame:
+    """``(pid, did)`` for every document containing a pattern verbatim, with
+    one Aho-Corasick pass per document (linear in the document length, no
+    pattern x document loop). The pattern set is size-checked and shipped to
+    every task; empty patterns match every document and are handled apart."""
+    spark = docs.sparkSession
+    size = patterns.select(F.coalesce(F.sum(F.length(ptext)), F.lit(0))).first()[0]
+    if size * 4 > MAX_PATTERN_BYTES:
+        raise ValueError("pattern set too large to ship; index it instead")
+    pats = [(r[0], r[1]) for r in patterns.select(pid, ptext).collect()]  # bounded by the check above
+    pid_type = patterns.schema[pid].dataType.simpleString()
+    did_type = docs.schema[did].dataType.simpleString()
+    empty = [p for p, t in pats if not t]
+    bc = spark.sparkContext.broadcast([(p, t) for p, t in pats if t])
+
+    def fn(batches):
+        import ahocorasick
+
+        auto = ahocorasick.Automaton()
+        by_text: dict[str, list] = {}
+        for p, t in bc.value:
+            by_text.setdefault(t, []).append(p)
+        for t, ps in by_text.items():
+            auto.add_word(t, ps)
+        if by_text:
+            auto.make_automaton()
+        for b in batches:
+            out_p, out_d = [], []
+            for d, text in zip(b[did].tolist(), b[dtext].tolist()):
+                found = set()
+                if by_text and text:
+                    for _, ps in auto.iter(text):
+                        found.update(ps)
+                found.update(empty)
+                out_p.extend(found)
+                out_d.extend([d] * len(found))
+            yield pd.DataFrame({pid: out_p, did: out_d})
+
+    return docs.select(did, dtext).mapInPandas(fn, f"{pid} {pid_type}, {did} {did_type}")

@@ -156,3 +156,11 @@ def test_nearest_and_timing(spark):
                                  "request_id int, start_ts timestamp, ts timestamp")
     r = M.stream_timing(toks).first()
     assert r["ttft_ms"] == 200.0 and r["max_gap_ms"] == 200.0 and r["tokens"] == 3
+
+
+def test_containment_pairs_short_and_long_items(spark):
+    docs = spark.createDataFrame([(1, "the quick brown fox jumps"), (2, "concatenate cats"), (3, "xquick brown foxy")],
+                                 "did long, text string")
+    items = spark.createDataFrame([(10, "quick brown fox"), (11, "cat"), (12, "")], "qid long, text string")
+    got = sorted((r["qid"], r["did"]) for r in R.containment_pairs(items, docs, R.bm25_index(docs)).collect())
+    assert got == [(10, 1), (10, 3), (11, 2), (12, 1), (12, 2), (12, 3)]
