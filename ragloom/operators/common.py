@@ -41,3 +41,16 @@ def first_value_by(order: Column | str, value: Column | str) -> Column:
 
 def safe_div(num: Column, den: Column, default: float = 0.0) -> Column:
     return F.when(den != 0, num / den).otherwise(F.lit(default))
+
+
+def ensure_parallel(df: DataFrame) -> DataFrame:
+    """Spread an input over the cluster before a Python-side scan when it has
+    fewer partitions than the default parallelism (e.g. one small file); on
+    large inputs (many splits) nothing is added to the plan."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # streaming or unsupported: leave as is
+        return df
+    return df.repartition(target) if n < target else df

@@ -339,7 +339,10 @@ def recursive_chunks(docs: DataFrame, size: int = 512, overlap: int = 50, separa
                     lens.append(length(c))
             yield pd.DataFrame({id_col: ids, "chunk_index": idx, "chunk": chunks, "length": lens})
 
-    return docs.select(id_col, text).mapInPandas(fn, f"{id_col} {id_type}, chunk_index int, chunk string, length int")
+    from .common import ensure_parallel
+
+    return ensure_parallel(docs.select(id_col, text)).mapInPandas(
+        fn, f"{id_col} {id_type}, chunk_index int, chunk string, length int")
 
 
 def section_of(chunk: Column) -> Column:

@@ -34,11 +34,40 @@ def hashed_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_DIM) -> DataFrame:
-    """Dense ``(id, embedding array<double>)`` of length ``dim`` (=256)."""
-    sparse = hashed_terms(df, id_col, text_col)
-    per_id = sparse.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "weight"))).alias("m"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at(F.col("m"), i), F.lit(0.0)))
-    return per_id.select(F.col("id").alias(id_col), vec.alias("embedding"))
+    """Dense ``(id, embedding array<double>)`` of length ``dim`` (=256) in one
+    pass over Arrow batches (no shuffle): tokens, md5 bucket per distinct term
+    (memoised per task), counts, L2 normalisation. Rows without tokens are
+    dropped. Equal to the sparse form of :func:`hashed_terms`."""
+    import hashlib
+    import re
+
+    if dim != HASH_DIM:
+        raise ValueError("the bucket rule (two hex digits of md5) fixes dim = 256")
+    token_re = re.compile(r"[a-z0-9]+")
+    id_type = df.schema[id_col].dataType.simpleString()
+
+    def fn(batches):
+        memo: dict[str, int] = {}
+        for pdf in batches:
+            ids, vecs = [], []
+            for i, t in zip(pdf[id_col].tolist(), pdf[text_col].tolist()):
+                toks = token_re.findall((t or "").lower())
+                if not toks:
+                    continue
+                v = np.zeros(dim)
+                for tok in toks:
+                    bkt = memo.get(tok)
+                    if bkt is None:
+                        bkt = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:2], 16)
+                        memo[tok] = bkt
+                    v[bkt] += 1.0
+                ids.append(i)
+                vecs.append(v / np.sqrt((v * v).sum()))
+            yield pd.DataFrame({id_col: ids, "embedding": vecs})
+
+    from .common import ensure_parallel
+
+    return ensure_parallel(df.select(id_col, text_col)).mapInPandas(fn, f"{id_col} {id_type}, embedding array<double>")
 
 
 def embed(df: DataFrame, text_col: str, model_factory: Callable[[], Callable[[list[str]], np.ndarray]],

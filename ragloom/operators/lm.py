@@ -82,7 +82,9 @@ def doc_pair_counts(docs: DataFrame, train_fraction: float = 0.9, id_col: str =
                 g = allp.groupby(["split", "ch", "next"], sort=False).size().reset_index(name="cnt")
                 yield g.astype({"cnt": "int64"})
 
-    local = docs.select(text).mapInPandas(fn, "split string, ch string, next string, cnt long")
+    from .common import ensure_parallel
+
+    local = ensure_parallel(docs.select(text)).mapInPandas(fn, "split string, ch string, next string, cnt long")
     return local.groupBy("split", "ch", "next").agg(F.sum("cnt").alias("cnt"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from .common import global_row_number
+from .common import ensure_parallel, global_row_number
 
 # ---------------------------------------------------------------------------
 # WIN1 / SRT1: top-k per group
@@ -113,7 +113,7 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str =
     doc_cols = [F.col(did).alias("did"), F.col(dvec).alias("_dv")]
     if by:
         doc_cols.append(F.col(by).cast("bigint").alias("_grp"))
-    docs = corpus.select(*doc_cols)
+    docs = ensure_parallel(corpus.select(*doc_cols))
     parts = []
     for b in range(n_blocks):
         block = q if n_blocks == 1 else q.filter(F.col("_blk") == b)
@@ -212,50 +212,111 @@ def tokenize(text: Column) -> Column:
 
 
 def bm25_index(corpus: DataFrame, did: str = "did", text: str = "text") -> dict[str, DataFrame]:
-    """Build the BM25 tables: postings ``(term, did, tf)``, ``docs (did, dl)``
-    and ``terms (term, df, idf)``.
-
-    Postings come from one ``explode`` and one ``groupBy(term, did)``; ``df``
-    is a second aggregation by term. Corpus size and mean length enter as
-    scalar subqueries. Negative idf is replaced by ``eps * mean(idf)`` as the
-    published package does (applied in :func:`bm25_topk`).
-    """
-    toks = corpus.select(F.col(did).alias("did"), tokenize(F.col(text)).alias("toks"))
-    docs = toks.select("did", F.size("toks").alias("dl"))
-    postings = toks.select("did", F.explode("toks").alias("term")).groupBy("term", "did").agg(F.count(F.lit(1)).alias("tf"))
-    # built once, probed by several statistics and query batches
-    docs, postings = docs.persist(), postings.persist()
+    """Build the BM25 statistics: ``postings`` = distinct ``(term, did)``,
+    ``docs (did, dl)`` and ``terms_raw (term, df, raw_idf)``.
+
+    Each document contributes its distinct terms once (``array_distinct`` before
+    the explode), so the only shuffle is the inverted-index build itself.
+    Corpus size enters as a scalar subquery. The index is persisted: it is
+    built once and probed by several statistics and query batches."""
+    toks = ensure_parallel(corpus.select(F.col(did).alias("did"), F.col(text).alias("_t"))).select(
+        "did", tokenize(F.col("_t")).alias("toks"))
+    docs = toks.select("did", F.size("toks").alias("dl")).persist()
+    postings = toks.select("did", F.explode(F.array_distinct("toks")).alias("term")).persist()
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     raw = df_t.select("term", "df", (F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
     return {"postings": postings, "docs": docs, "terms_raw": raw}
 
 
-def bm25_topk(queries: DataFrame, index: dict[str, DataFrame], k: int = 10, qid: str = "qid", text: str = "text",
-              k1: float = 1.5, b: float = 0.75, eps: float = 0.25, decimals: int = 6) -> DataFrame:
-    """RET3: score every document sharing a term with the query, keep top-k.
+def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict[str, DataFrame] | None = None, k: int = 10,
+              qid: str = "qid", qtext: str = "text", did: str = "did", dtext: str = "text", k1: float = 1.5,
+              b: float = 0.75, eps: float = 0.25, decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+    """RET3: Okapi BM25 top-k of every query over the whole corpus.
 
-    Query terms join the postings on ``term`` (a repeated query term counts once
-    per occurrence, as in the package). Documents with score 0 never appear:
-    only postings that match a query term are scored.
+    Query-term weights ``qtf * idf`` (idf from the index; negative idf becomes
+    ``eps * mean idf`` as in the published package) are size-checked and
+    broadcast. Each task then scans its own documents once: term frequencies of
+    the query terms, the BM25 saturation, one sparse x dense product for all
+    queries, and a running exact top-k per query (score desc, did asc). Only
+    ``k`` rows per query leave a task; posting lists are never joined to
+    queries, so common terms do not create hot join keys. Documents scoring 0
+    (no query term) are never returned.
     """
+    import re
+
+    spark = queries.sparkSession
+    index = index or bm25_index(corpus, did, dtext)
+    stats = index["docs"].agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    avgdl = float(stats["avgdl"] or 0.0)
     raw = index["terms_raw"]
-    mean_idf = raw.select(F.avg("raw_idf")).scalar()
-    avgdl = index["docs"].select(F.avg("dl")).scalar()
-    terms = raw.select("term", F.when(F.col("raw_idf") < 0, F.lit(eps) * mean_idf).otherwise(F.col("raw_idf")).alias("idf"))
-    qt = queries.select(F.col(qid).alias("qid"), F.explode(tokenize(F.col(text))).alias("term"))
+    mean_idf = raw.select(F.avg("raw_idf")).first()[0] or 0.0
+    qt = queries.select(F.col(qid).alias("qid"), F.explode(tokenize(F.col(qtext))).alias("term"))
     qt = qt.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    post = index["postings"].join(index["docs"], "did")
-    scored = (
-        qt.join(terms, "term")
-        .join(post, "term")
-        .select(
-            "qid", "did",
-            (F.col("qtf") * F.col("idf") * F.col("tf") * (k1 + 1)
-             / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))).alias("part"),
-        )
-        .groupBy("qid", "did").agg(F.sum("part").alias("score"))
-    )
+    weights = qt.join(raw.select("term", "raw_idf"), "term").select(
+        "qid", "term", (F.col("qtf") * F.when(F.col("raw_idf") < 0, F.lit(eps * mean_idf)).otherwise(F.col("raw_idf"))).alias("w"))
+    n_w = weights.count()
+    if n_w * 64 > block_bytes:
+        raise ValueError("query-term weights exceed block_bytes; split the queries into batches")
+    w_pdf = weights.toPandas()  # bounded by the check above
+    qid_type = queries.schema[qid].dataType.simpleString()
+    did_type = corpus.schema[did].dataType.simpleString()
+    out_schema = f"qid {qid_type}, did {did_type}, score double"
+    if len(w_pdf) == 0:
+        return spark.createDataFrame([], out_schema).withColumn("rank", F.lit(1))
+    q_ids = np.array(sorted(w_pdf["qid"].unique().tolist()))
+    terms = sorted(w_pdf["term"].unique().tolist())
+    t_index = {t: i for i, t in enumerate(terms)}
+    q_index = {q: i for i, q in enumerate(q_ids.tolist())}
+    wm = np.zeros((len(terms), len(q_ids)))
+    for q, t, w in w_pdf.itertuples(index=False, name=None):
+        wm[t_index[t], q_index[q]] = w
+    bc = spark.sparkContext.broadcast((q_ids, t_index, wm))
+    token_re = re.compile(r"[a-z0-9]+")
+
+    def scan(batches):
+        q_arr, tix, wmat = bc.value
+        acc_q = np.zeros(0, dtype=np.int64)
+        acc_d = None
+        acc_s = np.zeros(0)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            rows, cols, vals, dls = [], [], [], []
+            for r, t in enumerate(pdf["_t"].tolist()):
+                toks = token_re.findall((t or "").lower())
+                dls.append(len(toks))
+                counts: dict[int, int] = {}
+                for tok in toks:
+                    j = tix.get(tok)
+                    if j is not None:
+                        counts[j] = counts.get(j, 0) + 1
+                for j, c in counts.items():
+                    rows.append(r)
+                    cols.append(j)
+                    vals.append(c)
+            if not rows:
+                continue
+            rows, cols, tf = np.array(rows), np.array(cols), np.array(vals, dtype=np.float64)
+            dl = np.array(dls, dtype=np.float64)[rows]
+            part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
+            s = np.zeros((len(pdf), wmat.shape[1]))
+            np.add.at(s, rows, part[:, None] * wmat[cols])
+            s = np.round(s, decimals)
+            rr, cc = np.nonzero(s > 0)
+            if rr.size == 0:
+                continue
+            dids = pdf["did"].to_numpy()[rr]
+            sc = s[rr, cc]
+            acc_d = dids if acc_d is None else np.concatenate([acc_d, dids])
+            acc_q = np.concatenate([acc_q, cc.astype(np.int64)])
+            acc_s = np.concatenate([acc_s, sc])
+            keep = _merge_topk(np.zeros(acc_q.size, np.int64), acc_q, acc_d, acc_s, k)
+            acc_q, acc_d, acc_s = acc_q[keep], acc_d[keep], acc_s[keep]
+        if acc_q.size:
+            yield pd.DataFrame({"qid": q_arr[acc_q], "did": acc_d, "score": acc_s})
+
+    scored = ensure_parallel(corpus.select(F.col(did).alias("did"), F.col(dtext).alias("_t"))).mapInPandas(scan, out_schema)
     return topk_per_group(scored, k, ["qid"], decimals=decimals)
 
 
@@ -379,7 +440,7 @@ def nearest_rows(big: DataFrame, small: DataFrame, m: int, key: str, vec: str, s
                 out[c] = b[c].to_numpy()[rows]
             yield pd.DataFrame(out)
 
-    return big.select(key, vec, *[c for c in carry if c != vec]).mapInPandas(
+    return ensure_parallel(big.select(key, vec, *[c for c in carry if c != vec])).mapInPandas(
         fn, f"{key} {key_type}, near_key {sk_type}, near_rank int, near_score double{carry_schema}")
 
 
@@ -547,10 +608,11 @@ class DenseRetriever(Retriever):
 
 class BM25Retriever(Retriever):
     def __init__(self, corpus: DataFrame):
+        self.corpus = corpus
         self.index = bm25_index(corpus)
 
     def search(self, queries: DataFrame, k: int) -> DataFrame:
-        return bm25_topk(queries, self.index, k)
+        return bm25_topk(queries, self.corpus, self.index, k)
 
 
 class IVFIndex:
@@ -612,4 +674,4 @@ def substring_matches(patterns: DataFrame, docs: DataFrame, pid: str, ptext: str
                 out_d.extend([d] * len(found))
             yield pd.DataFrame({pid: out_p, did: out_d})
 
-    return docs.select(did, dtext).mapInPandas(fn, f"{pid} {pid_type}, {did} {did_type}")
+    return ensure_parallel(docs.select(did, dtext)).mapInPandas(fn, f"{pid} {pid_type}, {did} {did_type}")

@@ -198,7 +198,7 @@ def lexical_inputs(spark: SparkSession, sf: str):
 def bm25_ranked(spark: SparkSession, sf: str, k: int = 100):
     docs, items = lexical_inputs(spark, sf)
     index = R.bm25_index(docs)
-    return R.bm25_topk(items, index, k=k), index
+    return R.bm25_topk(items, docs, index, k=k), index
 
 
 SQL_BM25 = f"""

@@ -99,7 +99,7 @@ def test_bm25_matches_plain_python(spark):
     docs = ["the cat sat on the mat", "the dog sat", "a cat and a cat", "nothing here at all", "cat dog cat dog"]
     corpus = spark.createDataFrame(list(enumerate(docs)), "did long, text string")
     queries = spark.createDataFrame([(0, "cat cat dog"), (1, "the mat")], "qid long, text string")
-    got = R.bm25_topk(queries, R.bm25_index(corpus), k=10).collect()
+    got = R.bm25_topk(queries, corpus, k=10).collect()
     for qid, q in [(0, "cat cat dog"), (1, "the mat")]:
         exp = _bm25_plain(docs, q)
         for r in [x for x in got if x["qid"] == qid]:
