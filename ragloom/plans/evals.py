@@ -504,7 +504,38 @@ def _strip(c):
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-@register("rag_context", ops="RET14 FUN17 RET16 FUN20 FUN5 FUN4 RET2")
+def _rag_sql() -> str:
+    from .retrieval import SQL_DENSE_LEX
+
+    nl = "chr(10)"
+    return f"""WITH {SQL_DENSE_LEX},
+r AS (SELECT d.qid, d.did, d.rank, d.score, doc.text AS dtext
+      FROM dense_ranked d JOIN documents doc ON doc.doc_id = d.did WHERE d.rank <= {RAG_K}),
+r2 AS (SELECT qid, did, rank, score,
+              nullif(trim(regexp_extract(dtext, '(?m)^[ \t]*#{{1,3}}[ \t]+(.+?)[ \t]*$', 1)), '') AS section,
+              regexp_replace(dtext, '^\s+|\s+$', '', 'g') AS st
+       FROM r),
+r3 AS (SELECT *, '[chunk_id=' || did || ' section=' || CASE WHEN section IS NULL THEN 'None' ELSE chr(39) || section || chr(39) END
+                 || ']' || {nl} || st AS block,
+              string_split(st, {nl} || {nl})[1] AS para
+       FROM r2),
+r4 AS (SELECT *, CASE WHEN length(para) > 280 THEN regexp_replace(substring(para, 1, 280), ' [^ ]*$', '') || '...'
+                      ELSE para END AS snippet FROM r3),
+g AS (SELECT qid, string_agg(block, {nl} || {nl} ORDER BY rank) AS context, count(*) AS n,
+             arg_min(snippet, rank) AS snip, arg_min(score, rank) AS top_score,
+             string_agg(section, ', ' ORDER BY rank) AS sections
+      FROM r4 GROUP BY qid),
+p AS (SELECT b.item_id AS qid, g.n, g.snip, g.sections, g.top_score,
+             '<context>' || {nl} || coalesce(g.context, '(no relevant chunks found)') || {nl} || '</context>' || {nl} || {nl}
+             || '<user_query>' || {nl} || b.text || {nl} || '</user_query>' AS prompt
+      FROM benchmark b LEFT JOIN g ON g.qid = b.item_id)
+SELECT qid, CAST(n AS INTEGER) AS n_chunks, length(prompt) AS prompt_chars, md5(prompt) AS prompt_md5,
+       snip AS answer_snippet, CASE WHEN coalesce(sections, '') = '' THEN 'the indexed document' ELSE sections END AS sections,
+       CASE WHEN top_score >= 0.6 THEN 'high' WHEN top_score >= 0.4 THEN 'medium' ELSE 'low' END AS relevance
+FROM p"""
+
+
+@register("rag_context", sql=_rag_sql(), ops="RET14 FUN17 RET16 FUN20 FUN5 FUN4 RET2")
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     """Top-3 hashed-dense documents per benchmark passage -> prompt with
     labelled context blocks in rank order, the extractive answer (first
