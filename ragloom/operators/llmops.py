@@ -620,3 +620,108 @@ def sse_event(kind: Column | str, payload: Column) -> Column:
     """FUN10: one server-sent event line ``data: {json}\\n\\n`` (non-ASCII kept)."""
     k = F.lit(kind) if isinstance(kind, str) else kind
     return F.concat(F.lit("data: "), F.to_json(F.struct(k.alias("type"), payload.alias("content"))), F.lit("\n\n"))
+
+
+def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
+                            ts: str = "created_at", vec: str = "embedding", decimals: int = 6, bucket_s: int | None = None,
+                            target_group_rows: int = 2000, max_rounds: int = 50) -> DataFrame:
+    """LLM2, sequential form (the service's behaviour): only misses store an
+    entry, so a hit depends on earlier answers.
+
+    Same exact blocking as :func:`cache_replay`. Each (cell, bucket) group
+    replays its own requests in time order, deciding their stored flags as it
+    goes; entries copied in from other cells or from the previous bucket use
+    the flags computed for them in the previous round (all stored in round 0).
+    Rounds repeat until no flag changes; the fixed point is the sequential
+    answer (a request's flag only depends on earlier requests). Each round is
+    checkpointed; more than ``max_rounds`` rounds is an error, never a silent
+    approximation. Output adds ``rounds``.
+    """
+    from .retrieval import _prepare, _stack, nearest_rows
+
+    base = requests.select(F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v"))
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("t")).alias("lo"), F.max(F.unix_seconds("t")).alias("hi")).first()
+    n = int(np.floor(np.sqrt(st["n"] or 0) + 0.5)) or 1
+    if bucket_s is None:
+        span_ttls = max(1.0, ((st["hi"] or 0) - (st["lo"] or 0)) / ttl_s)
+        per_group = max(st["n"] or 1, 1) / (n * span_ttls)
+        bucket_s = ttl_s * max(1, int(np.ceil(target_group_rows / max(per_group, 1e-9))))
+    bucket_s = max(int(bucket_s), ttl_s)
+    cents = base.select("v", F.md5(F.concat(F.col("rid").cast("string"), F.lit("-cache"))).alias("_k"), "rid") \
+        .orderBy("_k", "rid").limit(max(n, 1))
+    cents = cents.select(F.row_number().over(Window.orderBy("_k", "rid")).alias("cell"), F.col("v").alias("centroid"))
+    cents = cents.checkpoint(eager=True)
+    own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"])
+    own = own.select("rid", F.col("near_key").alias("cell"), "t", "v",
+                     F.acos(F.least(F.greatest(F.col("near_score"), F.lit(-1.0)), F.lit(1.0))).alias("ang"))
+    reach = float(np.arccos(max(-1.0, min(1.0, threshold - 10.0 ** -decimals)))) + 1e-9
+    floors = own.groupBy("cell").agg(F.max("ang").alias("radius")).select(
+        "cell", F.cos(F.least(F.col("radius") + F.lit(reach), F.lit(float(np.pi)))).alias("floor"))
+    replicas = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"], floors=floors)
+    bucket = lambda c: F.floor(F.unix_seconds(c) / bucket_s).cast("bigint")
+    q = own.select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v").checkpoint(eager=True)
+    e = replicas.select(F.col("near_key").alias("cell"), F.col("rid").alias("eid"), F.col("t").alias("et"), F.col("v").alias("ev"),
+                        F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket")).checkpoint(eager=True)
+    ttl = np.timedelta64(int(ttl_s), "s")
+    rid_type = requests.schema[id_col].dataType.simpleString()
+    out_schema = f"rid {rid_type}, hit boolean, eid {rid_type}, sim double, et timestamp"
+
+    def replay(qp: pd.DataFrame, ep: pd.DataFrame) -> pd.DataFrame:
+        if len(qp) == 0:
+            return pd.DataFrame({"rid": pd.Series([], dtype="int64"), "hit": pd.Series([], dtype=bool),
+                                 "eid": pd.Series([], dtype="int64"), "sim": pd.Series([], dtype="float64"),
+                                 "et": pd.Series([], dtype="datetime64[us]")})
+        qp = qp.sort_values(["t", "rid"], kind="stable").reset_index(drop=True)
+        nq = len(qp)
+        rids = qp["rid"].to_numpy()
+        hit = np.zeros(nq, dtype=bool)
+        best_e = np.full(nq, -1, dtype=np.int64)
+        best_s = np.full(nq, np.nan)
+        best_t = np.full(nq, np.datetime64("NaT"), dtype="datetime64[us]")
+        if len(ep):
+            qm, em = _prepare(_stack(qp["v"]), "cosine"), _prepare(_stack(ep["ev"]), "cosine")
+            sim = np.round(qm @ em.T, decimals)
+            tq = qp["t"].to_numpy(dtype="datetime64[us]")[:, None]
+            te = ep["et"].to_numpy(dtype="datetime64[us]")[None, :]
+            eids = ep["eid"].to_numpy()
+            ok = (te <= tq) & (te + ttl > tq) & ((te < tq) | (eids[None, :] < rids[:, None])) & (sim >= threshold)
+            pos_of = {r: i for i, r in enumerate(rids.tolist())}
+            own_idx = np.array([pos_of.get(x, -1) for x in eids.tolist()])  # entry decided in this group
+            prev = ep["stored_prev"].to_numpy(dtype=bool)
+            et_arr = ep["et"].to_numpy(dtype="datetime64[us]")
+            for i in range(nq):
+                cand = np.flatnonzero(ok[i])
+                if cand.size:
+                    stored = np.where(own_idx[cand] >= 0, ~hit[np.maximum(own_idx[cand], 0)], prev[cand])
+                    cand = cand[stored]
+                if cand.size:
+                    order = np.lexsort((eids[cand], -sim[i, cand]))
+                    j = cand[order[0]]
+                    hit[i], best_e[i], best_s[i], best_t[i] = True, eids[j], sim[i, j], et_arr[j]
+        return pd.DataFrame({"rid": rids, "hit": hit, "eid": best_e, "sim": best_s, "et": best_t})
+
+    flags = None
+    res = None
+    rounds = 0
+    for rounds in range(1, max_rounds + 1):
+        er = e if flags is None else e.join(flags, "eid", "left")
+        er = er.withColumn("stored_prev", F.coalesce(F.col("stored_prev"), F.lit(True))) if flags is not None \
+            else er.withColumn("stored_prev", F.lit(True))
+        res = q.groupBy("cell", "bucket").cogroup(er.groupBy("cell", "bucket")).applyInPandas(replay, out_schema)
+        res = res.checkpoint(eager=True)
+        new_flags = res.select(F.col("rid").alias("eid"), (~F.col("hit")).alias("stored_prev"))
+        if flags is not None:
+            changed = new_flags.join(flags.withColumnRenamed("stored_prev", "_old"), "eid").filter(
+                F.col("stored_prev") != F.col("_old"))
+            if changed.isEmpty():
+                break
+        flags = new_flags.checkpoint(eager=True)
+    else:
+        raise RuntimeError(f"sequential cache replay did not converge in {max_rounds} rounds")
+    out = base.select("rid", "t").join(res, "rid", "left")
+    return out.select(
+        F.col("rid").alias(id_col), F.col("hit"),
+        F.when(F.col("hit"), F.col("eid")).alias("matched_request_id"),
+        F.when(F.col("hit"), F.col("sim")).alias("similarity"),
+        F.when(F.col("hit"), F.unix_seconds("t") - F.unix_seconds(F.col("et"))).alias("age_seconds"),
+        F.lit(rounds).alias("rounds"))

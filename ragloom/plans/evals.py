@@ -512,8 +512,8 @@ def _rag_sql() -> str:
 r AS (SELECT d.qid, d.did, d.rank, d.score, doc.text AS dtext
       FROM dense_ranked d JOIN documents doc ON doc.doc_id = d.did WHERE d.rank <= {RAG_K}),
 r2 AS (SELECT qid, did, rank, score,
-              nullif(trim(regexp_extract(dtext, '(?m)^[ \t]*#{{1,3}}[ \t]+(.+?)[ \t]*$', 1)), '') AS section,
-              regexp_replace(dtext, '^\s+|\s+$', '', 'g') AS st
+              nullif(trim(regexp_extract(dtext, '(?m)^[ \\t]*#{{1,3}}[ \\t]+(.+?)[ \\t]*$', 1)), '') AS section,
+              regexp_replace(dtext, '^\\s+|\\s+$', '', 'g') AS st
        FROM r),
 r3 AS (SELECT *, '[chunk_id=' || did || ' section=' || CASE WHEN section IS NULL THEN 'None' ELSE chr(39) || section || chr(39) END
                  || ']' || {nl} || st AS block,

@@ -527,3 +527,11 @@ FROM rv LEFT JOIN best USING (request_id)
 @register("semantic_cache_candidates", sql=SQL_CACHE, ops="JON10 LLM2 FIL11 D8 FUN13")
 def semantic_cache_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return L.cache_replay(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
+
+
+@register("semantic_cache_sequential", ops="LLM2 STR5 FIL11 FUN13")
+def semantic_cache_sequential(spark: SparkSession, sf: str) -> DataFrame:
+    """Sequential cache replay (only misses store entries), exact by rounds to
+    a fixed point; rows-only check here, brute-force check in
+    tests/test_llmops.py."""
+    return L.cache_replay_sequential(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
