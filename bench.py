@@ -37,7 +37,9 @@ def main() -> None:
     reg = load_all()
     todo = list(reg) if names == "all" else (names.split(",") if names else HEADLINE)
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="ragloom-bench")
-    reg["class_balance"].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+    # warm-up: JVM code paths and Python workers (Arrow batches), untimed
+    reg["class_balance"].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    spark.range(64).mapInPandas(lambda it: it, "id long").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     failed: dict[str, str] = {}
     for n in todo:

@@ -72,13 +72,20 @@ def _learner(cfg: ModelConfig, n_train: int, label: str, seed: int):
     raise ValueError(cfg.name)
 
 
+def _ml_layout(df: DataFrame) -> DataFrame:
+    """Iterative learners aggregate over every partition per iteration: merge
+    tiny partitions (no shuffle) down to about twice the cluster's cores."""
+    cap = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(cap) if df.rdd.getNumPartitions() > cap else df
+
+
 def run_experiments(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
                     configs: Sequence[ModelConfig] = DEFAULT_CONFIGS, split_col: str = "split", seed: int = 42):
     """ML5-ML8 + ML12: fit every config on ``split == 'train'`` and score val
     and test. Returns ``(runs, models)``: ``runs`` has one row per run and
     split with metrics; ``models`` maps run id -> fitted ``PipelineModel``."""
     spark = df.sparkSession
-    train = df.filter(F.col(split_col) == "train").persist()
+    train = _ml_layout(df.filter(F.col(split_col) == "train")).persist()
     n_train = train.count()
     rows = []
     models = {}
@@ -187,7 +194,7 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 3, restarts
     feats = list(features)
     prep = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="raw"),
                             StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]).fit(df)
-    x = prep.transform(df).persist()
+    x = _ml_layout(prep.transform(df)).persist()
     best = None
     for r in range(restarts):
         m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(x)

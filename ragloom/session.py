@@ -39,6 +39,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -73,3 +74,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ragloom`` importable on every executor's Python workers (the
+    functions of ``mapInPandas``/``applyInPandas`` jobs are pickled by
+    reference). The package is zipped once per SparkContext on the driver and
+    distributed by Spark with ``addPyFile``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_ragloom_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="ragloom-pkg-"), "ragloom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._ragloom_shipped = True

@@ -106,12 +106,19 @@ def processed_key(path: str = "path") -> F.Column:
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append",
-                 foreach_batch: Callable[[DataFrame, int], None] | None = None, timeout_s: int = 600) -> str:
+                 foreach_batch: Callable[[DataFrame, int], None] | None = None, timeout_s: int = 600,
+                 state_partitions: int | None = None) -> str:
     """Run a streaming DataFrame to completion (``availableNow``) into a fresh
     parquet folder under the shared checkpoint directory; returns the folder.
     Update-mode aggregates go through ``foreachBatch`` as an upsert log (one
-    file set per batch id); read them back with :func:`latest_rows`."""
+    file set per batch id); read them back with :func:`latest_rows`.
+
+    A new query's state is laid out over ``state_partitions`` (default: the
+    cluster's parallelism) - fixed for the life of a checkpoint, so it is
+    chosen here rather than inherited from a batch-sized shuffle setting."""
     spark = stream.sparkSession
+    prev_parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     run = uuid.uuid4().hex[:12]
     out = scratch_path(spark, f"streams/{name}-{run}/out")
     ckpt = scratch_path(spark, f"streams/{name}-{run}/checkpoint")
@@ -125,7 +132,10 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append",
             batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
         q = w.foreachBatch(upsert).start()
-    q.awaitTermination(timeout_s)
+    try:
+        q.awaitTermination(timeout_s)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev_parts)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
