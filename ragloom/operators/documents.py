@@ -561,3 +561,9 @@ def upsert(existing: DataFrame, new: DataFrame, key: str = "point_id") -> DataFr
     """SNK10: keep existing points whose key is not re-sent, add the new ones
     (write the result to a new version; ``recreate`` is simply ``new``)."""
     return existing.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def read_version(spark, root: str, tag: str) -> DataFrame:
+    """TXT12: switch to a stored version by tag (versions are never
+    overwritten, so switching back and forth is a read)."""
+    return spark.read.parquet(f"{root.rstrip('/')}/version={tag}")

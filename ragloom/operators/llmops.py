@@ -526,6 +526,15 @@ def assemble_traces(spans: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def _cache_centroids(base: DataFrame, n: int) -> DataFrame:
+    """About ``n`` seeded request vectors with distinct values as cell
+    centroids (duplicate vectors would make empty twin cells); cells are
+    numbered in seed order. ``orderBy().limit()`` is a top-n (no full sort)."""
+    picked = (base.select("v", F.md5(F.concat(F.col("rid").cast("string"), F.lit("-cache"))).alias("_k"), "rid")
+              .orderBy("_k", "rid").limit(max(4 * n, 1)).dropDuplicates(["v"]).orderBy("_k", "rid").limit(max(n, 1)))
+    return picked.select(F.row_number().over(Window.orderBy("_k", "rid")).alias("cell"), F.col("v").alias("centroid"))
+
+
 def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
                  ts: str = "created_at", vec: str = "embedding", decimals: int = 6, bucket_s: int | None = None,
                  target_group_rows: int = 2000) -> DataFrame:
@@ -556,9 +565,7 @@ def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600
         per_group = max(st["n"] or 1, 1) / (n * span_ttls)
         bucket_s = ttl_s * max(1, int(np.ceil(target_group_rows / max(per_group, 1e-9))))
     bucket_s = max(int(bucket_s), ttl_s)
-    cents = base.select("v", F.md5(F.concat(F.col("rid").cast("string"), F.lit("-cache"))).alias("_k"), "rid") \
-        .orderBy("_k", "rid").limit(max(n, 1))
-    cents = cents.select(F.row_number().over(Window.orderBy("_k", "rid")).alias("cell"), F.col("v").alias("centroid"))
+    cents = _cache_centroids(base, n)
     cents = cents.checkpoint(eager=True)  # small; fixes the seeded centroid choice once
     own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"])
     own = own.select("rid", F.col("near_key").alias("cell"), "t", "v",
@@ -571,6 +578,7 @@ def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600
     q = own.select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v")
     e = replicas.select(F.col("near_key").alias("cell"), F.col("rid").alias("eid"), F.col("t").alias("et"), F.col("v").alias("ev"),
                         F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket"))
+    e = e.join(q.select("cell", "bucket").distinct(), ["cell", "bucket"], "left_semi")  # only groups with requests
     ttl = np.timedelta64(int(ttl_s), "s")
     rid_type = requests.schema[id_col].dataType.simpleString()
 
@@ -588,12 +596,13 @@ def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600
         ok = (te <= tq) & (te + ttl > tq) & ((te < tq) | (re_ < rq)) & (sim >= threshold)
         if not ok.any():
             return empty
-        # best = highest similarity, then the lowest entry id
+        # best = highest similarity, then the lowest entry id (no per-row sort)
         key = np.where(ok, sim, -np.inf)
-        order = np.lexsort((np.broadcast_to(re_, ok.shape), -key), axis=1)
-        best = order[:, 0]
-        rows = np.flatnonzero(ok[np.arange(len(qp)), best])
-        cols = best[rows]
+        top = key.max(axis=1)
+        rows = np.flatnonzero(np.isfinite(top))
+        tied = key[rows] == top[rows, None]
+        ids = np.where(tied, np.broadcast_to(re_, ok.shape)[rows].astype(np.float64), np.inf)
+        cols = ids.argmin(axis=1)
         return pd.DataFrame({"rid": qp["rid"].to_numpy()[rows], "eid": ep["eid"].to_numpy()[cols],
                              "sim": sim[rows, cols], "et": ep["et"].to_numpy()[cols]})
 
@@ -647,9 +656,7 @@ def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s:
         per_group = max(st["n"] or 1, 1) / (n * span_ttls)
         bucket_s = ttl_s * max(1, int(np.ceil(target_group_rows / max(per_group, 1e-9))))
     bucket_s = max(int(bucket_s), ttl_s)
-    cents = base.select("v", F.md5(F.concat(F.col("rid").cast("string"), F.lit("-cache"))).alias("_k"), "rid") \
-        .orderBy("_k", "rid").limit(max(n, 1))
-    cents = cents.select(F.row_number().over(Window.orderBy("_k", "rid")).alias("cell"), F.col("v").alias("centroid"))
+    cents = _cache_centroids(base, n)
     cents = cents.checkpoint(eager=True)
     own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"])
     own = own.select("rid", F.col("near_key").alias("cell"), "t", "v",
@@ -661,7 +668,8 @@ def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s:
     bucket = lambda c: F.floor(F.unix_seconds(c) / bucket_s).cast("bigint")
     q = own.select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v").checkpoint(eager=True)
     e = replicas.select(F.col("near_key").alias("cell"), F.col("rid").alias("eid"), F.col("t").alias("et"), F.col("v").alias("ev"),
-                        F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket")).checkpoint(eager=True)
+                        F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket"))
+    e = e.join(q.select("cell", "bucket").distinct(), ["cell", "bucket"], "left_semi").checkpoint(eager=True)
     ttl = np.timedelta64(int(ttl_s), "s")
     rid_type = requests.schema[id_col].dataType.simpleString()
     out_schema = f"rid {rid_type}, hit boolean, eid {rid_type}, sim double, et timestamp"

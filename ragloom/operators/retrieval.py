@@ -196,11 +196,6 @@ def subset_rank(corpus: DataFrame, relevant_ids: DataFrame, seed: int = 42, did:
     return global_row_number(c, ["is_distractor", "_h", did], "subset_rank").drop("_h")
 
 
-def check_subset_sizes(ranked_corpus: DataFrame, n_relevant: int, sizes: Sequence[int]) -> None:
-    if n_relevant > min(sizes):
-        raise ValueError(f"subset size {min(sizes)} is smaller than the {n_relevant} relevant documents")
-
-
 # ---------------------------------------------------------------------------
 # RET3: BM25 (Okapi, k1=1.5, b=0.75, epsilon=0.25)
 # ---------------------------------------------------------------------------

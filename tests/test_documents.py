@@ -101,3 +101,29 @@ def test_clean_dataset_and_rules(spark):
     assert out == {1: "a", 3: "fixed"}
     q = {r["rule"]: r["passed"] for r in D.quality_rules(D.clean_dataset(df, "id", "pos", ["label"]), "id", ["label"], 2).collect()}
     assert all(q.values())
+
+
+def test_versions_commit_diff_and_switch(spark):
+    import tempfile
+    root = tempfile.mkdtemp(prefix="ragloom-versions-")
+    v1 = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id int, label string")
+    v2 = spark.createDataFrame([(1, "a"), (2, "b")], "id int, label string")
+    m1 = D.commit_version(v1, root, "v1").first()
+    m2 = D.commit_version(v2, root, "v2").first()
+    assert (m1["rows"], m2["rows"]) == (3, 2) and m1["content_hash"] != m2["content_hash"]
+    assert D.read_version(spark, root, "v1").count() == 3
+    diff = {r["change"]: r["n"] for r in D.diff_versions(v1, v2).collect()}
+    assert diff == {"removed": 1, "added": 0}
+
+
+def test_pluggable_embedder_batches_and_normalises(spark):
+    import numpy as np
+    from ragloom.operators.embed import embed
+
+    def factory():
+        return lambda texts: np.array([[len(t), t.count("a"), 1.0] for t in texts])
+
+    df = spark.createDataFrame([(i, "a" * i + "b") for i in range(1, 30)], "id int, text string")
+    out = {r["id"]: r["embedding"] for r in embed(df, "text", factory, id_col="id", batch=4, prefix="q: ").collect()}
+    assert len(out) == 29
+    assert all(abs(sum(x * x for x in v) - 1.0) < 1e-5 for v in out.values())
