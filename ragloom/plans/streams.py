@@ -22,13 +22,14 @@ def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @register("token_window_stream", sql=f"""
 WITH req AS ({REQUEST_LOG_SQL})
-SELECT time_bucket(INTERVAL 1 HOUR, created_at) AS window_start, api_key,
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, created_at), '%Y-%m-%d %H:%M:%S') AS window_start, api_key,
        CAST(sum(input_tokens + output_tokens) AS BIGINT) AS tokens, count(*) AS requests
 FROM req GROUP BY ALL""", ops="STR1 FUN12")
 def token_window_stream(spark: SparkSession, sf: str) -> DataFrame:
     log = request_log(stream_of(spark, sf, "events"))
     out = S.run_to_table(S.stream_token_windows(log, "1 hour", "2 hours"), "token_windows", mode="update")
-    return S.latest_rows(spark, out, ["window_start", "api_key"])
+    r = S.latest_rows(spark, out, ["window_start", "api_key"])
+    return r.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register("rolling_usage_stream", sql=f"""
@@ -36,12 +37,14 @@ WITH req AS ({REQUEST_LOG_SQL}),
 w AS (SELECT time_bucket(INTERVAL 1 HOUR, created_at) - INTERVAL (r.hk) HOUR AS window_start, api_key,
              input_tokens + output_tokens AS t
       FROM req, range(24) r(hk))
-SELECT window_start, api_key, count(*) AS requests, CAST(sum(t) AS BIGINT) AS tokens FROM w GROUP BY ALL""",
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, api_key, count(*) AS requests,
+       CAST(sum(t) AS BIGINT) AS tokens FROM w GROUP BY ALL""",
           ops="STR2")
 def rolling_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
     log = request_log(stream_of(spark, sf, "events"))
     out = S.run_to_table(S.stream_rolling_usage(log), "rolling_usage", mode="update")
-    return S.latest_rows(spark, out, ["window_start", "api_key"])
+    r = S.latest_rows(spark, out, ["window_start", "api_key"])
+    return r.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register("dedupe_stream", sql=f"""
