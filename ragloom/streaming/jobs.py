@@ -219,3 +219,18 @@ def stream_breaker(calls: DataFrame, threshold: int = 5, window_s: float = 60, o
                      (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t"), F.col("failed"))
     proc = _breaker_processor(threshold, float(window_s), float(open_s), maxlen or threshold * 2)
     return c.groupBy("model").transformWithStateInPandas(proc, BREAKER_OUT, "Append", "None")
+
+
+def stream_first_token(tokens: DataFrame, request: str = "request_id", ts: str = "ts", start: str = "start_ts",
+                       watermark: str = "5 minutes") -> DataFrame:
+    """STR9 / AGG29: per request, time to first token, token count, total time
+    and tokens per second as the token stream arrives (update mode; a request
+    is final once the watermark passes its last token)."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    g = (tokens.withWatermark(ts, watermark).groupBy(request)
+         .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("tokens"),
+              F.min(F.unix_micros(F.col(start).cast("timestamp"))).alias("_start")))
+    total = (F.col("_last") - F.col("_start")) / 1000.0
+    return g.select(request, ((F.col("_first") - F.col("_start")) / 1000.0).alias("ttft_ms"), "tokens",
+                    total.alias("total_ms"),
+                    F.round(F.when(total > 0, F.col("tokens") / (total / 1000.0)), 3).alias("tokens_per_s"))

@@ -48,3 +48,22 @@ def test_file_arrival_extracts_and_rewrites_keys(spark):
     assert set(rows) == {"a.pdf", "b.pdf"}
     assert rows["b.pdf"]["error_type"] == "type_mismatch"
     assert rows["a.pdf"]["target"].endswith("/processed/a.txt")
+
+
+def test_first_token_stream_and_span_batches(spark):
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="ragloom-tokens-")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(r, t0, t0 + dt.timedelta(milliseconds=r * 1000 + ms)) for r in (1, 2) for ms in (250, 400, 900)]
+    spark.createDataFrame(rows, "request_id int, start_ts timestamp, ts timestamp").write.parquet(os.path.join(root, "tok"))
+    src = spark.readStream.schema("request_id int, start_ts timestamp, ts timestamp").parquet(os.path.join(root, "tok"))
+    out = S.run_to_table(S.stream_first_token(src), "ttft", mode="update")
+    got = {r["request_id"]: r for r in S.latest_rows(spark, out, ["request_id"]).collect()}
+    assert got[1]["ttft_ms"] == 1250.0 and got[1]["tokens"] == 3 and got[2]["total_ms"] == 2900.0
+    spans = spark.createDataFrame([(1, t0, "embed"), (1, t0 + dt.timedelta(seconds=1), "generate"),
+                                   (1, t0 + dt.timedelta(seconds=3), "store")], "trace_id int, start_ts timestamp, name string")
+    spans.write.parquet(os.path.join(root, "spans"))
+    s2 = spark.readStream.schema("trace_id int, start_ts timestamp, name string").parquet(os.path.join(root, "spans"))
+    out2 = S.run_to_table(S.stream_span_batches(s2), "spans", mode="update")
+    names = sorted(r["names"] for r in S.latest_rows(spark, out2, ["trace_id", "window_start"]).collect())
+    assert names == ["embed>generate", "store"]
