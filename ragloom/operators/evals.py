@@ -77,10 +77,10 @@ def extraction_eval(outputs: DataFrame, gold: DataFrame) -> DataFrame:
     units = F.col("input_tokens").cast("bigint") * price_in + F.col("output_tokens").cast("bigint") * price_out
     return j.select(
         "dataset", "provider", "valid_json",
-        F.when(ok, found).otherwise(F.lit(0)).alias("tasks_found"),
-        F.size("tasks").alias("tasks_total"),
-        F.when(ok, halluc).otherwise(F.lit(0)).alias("hallucinated_owners"),
-        F.when(ok, dfound).otherwise(F.lit(0)).alias("decisions_found"),
+        F.when(ok, found).otherwise(F.lit(0)).cast("bigint").alias("tasks_found"),
+        F.size("tasks").cast("bigint").alias("tasks_total"),
+        F.when(ok, halluc).otherwise(F.lit(0)).cast("bigint").alias("hallucinated_owners"),
+        F.when(ok, dfound).otherwise(F.lit(0)).cast("bigint").alias("decisions_found"),
         F.col("decisions_count").alias("decisions_total"),
         F.col("input_tokens").cast("bigint").alias("input_tokens"),
         F.col("output_tokens").cast("bigint").alias("output_tokens"),

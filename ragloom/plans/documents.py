@@ -38,7 +38,8 @@ FROM (SELECT page_id, html, {_sql_html_text('html')} AS text FROM pages)
 @register("html_main_text", sql=SQL_HTML, ops="TXT3")
 def html_main_text(spark: SparkSession, sf: str) -> DataFrame:
     p = D.html_main_text(table(spark, sf, "pages"))
-    return p.select("page_id", "raw_size", "text_size", F.round("useful_ratio", 4).alias("useful_ratio"), "text")
+    return p.select("page_id", F.col("raw_size").cast("bigint"), F.col("text_size").cast("bigint"),
+                    F.round("useful_ratio", 4).alias("useful_ratio"), "text")
 
 
 # ---------------------------------------------------------------------------
@@ -103,7 +104,7 @@ FROM parsed
 @register("parse_status", sql=SQL_PARSE, ops="TXT4 UDF6 D16")
 def parse_status(spark: SparkSession, sf: str) -> DataFrame:
     p = D.parse_files(raw_files(spark, sf))
-    return p.select("page_id", "status", "error_type", "error_message", "char_count")
+    return p.select("page_id", "status", "error_type", "error_message", F.col("char_count").cast("bigint"))
 
 
 @register("parse_summary", sql=f"""WITH q AS ({SQL_PARSE})
@@ -166,7 +167,8 @@ FROM c
 """, ops="TXT10 (fixed windows)")
 def fixed_chunks(spark: SparkSession, sf: str) -> DataFrame:
     c = D.fixed_chunks(table(spark, sf, "documents"), CHUNK_SIZE, CHUNK_OVERLAP)
-    return c.select("doc_id", "chunk_index", "start", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("chunk_md5"))
+    return c.select("doc_id", "chunk_index", "start", F.length("chunk").cast("bigint").alias("n_chars"),
+                    F.md5("chunk").alias("chunk_md5"))
 
 
 _GRID = ", ".join(f"({s}, {o})" for s in SWEEP_SIZES for o in SWEEP_OVERLAPS)

@@ -561,7 +561,8 @@ def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     top = F.element_at("c", 1)
     sections = F.array_join(F.filter(F.transform("c", lambda x: x["section"]), lambda s: s.isNotNull()), ", ")
     band = F.when(top["score"] >= 0.6, F.lit("high")).when(top["score"] >= 0.4, F.lit("medium")).otherwise(F.lit("low"))
-    return q.select("qid", F.size("c").alias("n_chunks"), F.length(prompt).alias("prompt_chars"), F.md5(prompt).alias("prompt_md5"),
+    return q.select("qid", F.size("c").alias("n_chunks"), F.length(prompt).cast("bigint").alias("prompt_chars"),
+                    F.md5(prompt).alias("prompt_md5"),
                     top["snippet"].alias("answer_snippet"),
                     F.when(sections == "", F.lit("the indexed document")).otherwise(sections).alias("sections"),
                     band.alias("relevance"))
