@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import REQUEST_LOG_SQL, request_log, table
 from ..streaming import jobs as S
-from .llmops import BREAKER_OPEN_S, BREAKER_WINDOW_S, SQL_BREAKER, _guard_sql, guard_input
+from .llmops import BREAKER_OPEN_S, BREAKER_WINDOW_S, SQL_BREAKER, SQL_CACHE, _guard_sql, guard_input
 from .registry import register
 
 
@@ -94,3 +94,22 @@ def breaker_stream(spark: SparkSession, sf: str) -> DataFrame:
     out = S.run_to_table(S.stream_breaker(log, 5, BREAKER_WINDOW_S, BREAKER_OPEN_S), "breaker")
     return spark.read.parquet(out).select("request_id", "model", "state_before", "skipped", "state_after",
                                           F.col("recent_failures").cast("int"))
+
+
+@register("semantic_cache_stream", sql=SQL_CACHE, ops="STR5 LLM2 JON10 FIL11")
+def semantic_cache_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The semantic cache over the request stream (micro-batches, cache state
+    as an entries table in the shared folder); same answers as the batch
+    replay."""
+    import uuid
+
+    from ..session import scratch_path
+
+    run = uuid.uuid4().hex[:12]
+    entries, results = scratch_path(spark, f"cache/{run}/entries"), scratch_path(spark, f"cache/{run}/results")
+    ev = stream_of(spark, sf, "events")
+    reqs = request_log(ev).select("request_id", "created_at", (F.col("request_id") % 20).alias("vec_id"))
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    stream = reqs.join(emb, "vec_id").drop("vec_id")  # stream-static join on a small dimension
+    S.run_to_table(stream, "cache", foreach_batch=S.cache_sinks(entries, results, 0.92, 3600))
+    return spark.read.parquet(results).drop("batch_id")

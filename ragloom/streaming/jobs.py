@@ -234,3 +234,39 @@ def stream_first_token(tokens: DataFrame, request: str = "request_id", ts: str =
     return g.select(request, ((F.col("_first") - F.col("_start")) / 1000.0).alias("ttft_ms"), "tokens",
                     total.alias("total_ms"),
                     F.round(F.when(total > 0, F.col("tokens") / (total / 1000.0)), 3).alias("tokens_per_s"))
+
+
+# ---------------------------------------------------------------------------
+# STR5: semantic cache over a request stream
+# ---------------------------------------------------------------------------
+
+
+def cache_sinks(entries_path: str, results_path: str, threshold: float = 0.92, ttl_s: int = 3600,
+                id_col: str = "request_id", ts: str = "created_at", vec: str = "embedding") -> Callable[[DataFrame, int], None]:
+    """STR5 / LLM2 (independent form) per micro-batch. The cache state is a
+    table of entries in the shared folder (one folder per batch id, so a
+    replayed batch overwrites its own files). For each batch, the live entries
+    (created within one TTL before the batch's first request) and the batch
+    itself go through the exact batch replay; results are kept for the batch's
+    requests only, and the batch's requests are added as entries. Entries older
+    than the TTL are never read again (expiry by predicate, S13)."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        cur = batch.select(F.col(id_col).alias("request_id"), F.col(ts).cast("timestamp").alias("created_at"),
+                           F.col(vec).alias("embedding")).persist()
+        lo = cur.select(F.min("created_at")).first()[0]
+        if lo is None:
+            cur.unpersist()
+            return
+        try:
+            prev = spark.read.parquet(entries_path).filter(F.col("batch_id") < batch_id).drop("batch_id")
+            prev = prev.filter(F.col("created_at") > F.lit(lo) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_s)))
+        except Exception:  # first batch: no entries yet
+            prev = None
+        both = cur if prev is None else prev.unionByName(cur)
+        res = L.cache_replay(both, threshold, ttl_s).join(cur.select("request_id"), "request_id", "left_semi")
+        res.write.mode("overwrite").parquet(f"{results_path}/batch_id={batch_id}")
+        cur.write.mode("overwrite").parquet(f"{entries_path}/batch_id={batch_id}")
+        cur.unpersist()
+
+    return fn

@@ -67,3 +67,30 @@ def test_first_token_stream_and_span_batches(spark):
     out2 = S.run_to_table(S.stream_span_batches(s2), "spans", mode="update")
     names = sorted(r["names"] for r in S.latest_rows(spark, out2, ["trace_id", "window_start"]).collect())
     assert names == ["embed>generate", "store"]
+
+
+def test_cache_stream_across_micro_batches_equals_batch(spark):
+    import datetime as dt
+
+    import numpy as np
+
+    from ragloom.operators import llmops as L
+
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(4, 8))
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(seconds=i * 200), [float(x) for x in base[i % 4] + rng.normal(scale=0.1, size=8)])
+            for i in range(80)]
+    root = tempfile.mkdtemp(prefix="ragloom-cache-stream-")
+    schema = "request_id long, created_at timestamp, embedding array<double>"
+    for part in range(4):  # four files -> four micro-batches in time order
+        spark.createDataFrame(rows[part * 20:(part + 1) * 20], schema).coalesce(1).write.parquet(os.path.join(root, "in", f"p{part}"))
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(
+        os.path.join(root, "in"))
+    entries, results = os.path.join(root, "entries"), os.path.join(root, "results")
+    S.run_to_table(src, "cache_t", foreach_batch=S.cache_sinks(entries, results, 0.92, 3600))
+    got = {r["request_id"]: (r["hit"], r["matched_request_id"]) for r in spark.read.parquet(results).collect()}
+    exp = {r["request_id"]: (r["hit"], r["matched_request_id"])
+           for r in L.cache_replay(spark.createDataFrame(rows, schema), 0.92, 3600).collect()}
+    assert spark.read.parquet(results).select("batch_id").distinct().count() == 4
+    assert got == exp and any(h for h, _ in exp.values())
