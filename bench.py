@@ -26,7 +26,7 @@ HEADLINE = [
     "semantic_cache_candidates", "html_main_text", "parse_status", "fixed_chunks", "chunk_sweep", "recursive_chunks",
     "clean_captions", "dataset_clean_v2", "quality_rules", "version_diff", "extraction_eval", "classification_report",
     "char_vocab", "bigram_loss", "temperature_topk", "concept_expansion", "rag_context", "token_window_stream",
-    "dedupe_stream",
+    "dedupe_stream", "semantic_cache_sequential", "breaker_stream", "semantic_cache_stream",
 ]
 
 
