@@ -71,7 +71,8 @@ def latency_summary(df: DataFrame, value: str = "latency_ms", by: Sequence[str]
                     repeat: str = "median", decimals: int = 4) -> DataFrame:
     """AGG5 / AGG6: p50/p95/p99 (linear interpolation, = numpy default), mean,
     min, max. With ``per`` (a query id) the repeats of one query are first
-    reduced by median (hw8) or min (hw9)."""
+    reduced by their median or by their minimum (the two conventions of the
+    source benchmarks)."""
     by = list(by)
     if per is not None:
         red = F.median(value) if repeat == "median" else F.min(value)

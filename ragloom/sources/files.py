@@ -226,43 +226,14 @@ def parse_sectioned_log(lines: DataFrame, file: str = "file", line_no: str = "li
                         g(4).alias("recall_qrels_at_10"), g(5).alias("recall_flat_at_10"))
 
 
-def family_of(name: Column) -> Column:
-    """FIL16: engine family from a result name prefix."""
-    return (F.when(name.startswith("FAISS-Flat"), F.lit("FAISS-Flat")).when(name.startswith("FAISS-HNSW"), F.lit("FAISS-HNSW"))
-            .when(name.startswith("Chroma"), F.lit("Chroma")).when(name.startswith("Qdrant"), F.lit("Qdrant"))
-            .when(name.startswith("pgvector"), F.lit("pgvector")).otherwise(F.lit("other")))
+# Result-name prefixes and the engine family they denote, in the
+# order they are tested.
+FAMILIES = ["FAISS-Flat", "FAISS-HNSW", "Chroma", "Qdrant", "pgvector"]
 
 
-# ---------------------------------------------------------------------------
-# SRC6 / SRC7 / SRC9: caption folders, raw files, gold labels
-# ---------------------------------------------------------------------------
-
-
-def read_caption_files(spark: SparkSession, folder: str, ids: Sequence[str] | None = None, suffix: str = ".vtt") -> DataFrame:
-    """SRC6: every caption file of a folder (or only an allow-list of ids;
-    missing ones are simply absent) as numbered lines ``(file, line_no,
-    line)``; one row per file is read whole, then split, so line order is kept
-    without a global sort."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").text(folder)
-    df = df.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), "value")
-    if ids is not None:
-        wanted = spark.createDataFrame([(f"{i}{suffix}",) for i in ids], "file string")
-        df = df.join(F.broadcast(wanted), "file", "left_semi")
-    return df.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
-
-
-def read_raw_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """SRC7: bytes with name, suffix and size (``binaryFile``)."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    return df.select("path", name.alias("name"), F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1)).alias("suffix"),
-                     F.col("length").alias("size"), "content")
-
-
-GOLD_SCHEMA = ("dataset string, tasks array<struct<owner:string,task_keywords:array<string>>>, valid_owners array<string>, "
-               "decision_keywords array<array<string>>, decisions_count int")
-
-
-def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    """SRC9: gold labels, one multi-line JSON document per dataset."""
-    return spark.read.schema(GOLD_SCHEMA).option("multiLine", True).json(path)
+def family_of(name: Column, families=None) -> Column:
+    """FIL16: engine family from a result name prefix ('other' otherwise)."""
+    out = F.lit("other")
+    for fam in reversed(families or FAMILIES):
+        out = F.when(name.startswith(fam), F.lit(fam)).otherwise(out)
+    return out
