@@ -424,51 +424,64 @@ def clean_captions(lines: DataFrame, file: str = "file", line_no: str = "line_no
 # ---------------------------------------------------------------------------
 
 
+WORD = r"[\p{L}\p{N}_]+"
+PIECES = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"
+
+
+def _cap(x: Column) -> Column:
+    return F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1 << 30))
+
+
 def repair(df: DataFrame, noise: Sequence[str], exact: dict[str, str], variants: dict[str, Sequence[str]],
            proper: Sequence[str], text: str = "text", id_col: str = "id") -> tuple[DataFrame, DataFrame]:
-    """TXT8: ordered passes - noise markers removed (then double spaces and
-    spaces after newlines), exact word fixes, name variants to a canonical
-    form, and capitalisation of known proper nouns that are not at a sentence
-    start (previous non-space/tab character is not ``.!?`` or newline, and the
-    word is not at the start). Returns the repaired rows and per-rule counts
-    ``(rule, n)`` (AGG17), counted on the text each pass sees."""
-    t = F.col(text)
-    counts = []
-
-    def count(col: Column, pattern: str) -> Column:
-        return F.regexp_count(col, F.lit(pattern))
-
-    cur = df.select(F.col(id_col).alias("id"), t.alias("t"))
+    """TXT8: ordered passes - noise markers removed (then runs of spaces and
+    spaces after newlines squeezed), exact whole-word fixes, name variants to a
+    canonical form, and capitalisation of known proper nouns that are not at a
+    sentence start (the previous non-space/tab character exists and is not
+    ``.!?`` or a newline). Returns the repaired rows and per-rule counts
+    ``(rule, n)`` (AGG17), counted on the text each pass sees.
+
+    Whole words are handled at token level: the text is split once into
+    alternating word runs (``[\\p{L}\\p{N}_]+``) and separator runs, each
+    rule is an element-wise transform of that array, and the pieces are joined
+    back - no look-around, so any regular-expression engine gives the same
+    result."""
+    counts: list[str] = []
+    cur = df.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
     for m in noise:
-        pat = "(?U)" + _quote(m)
-        cur = cur.withColumn(f"noise:{m}", count(F.col("t"), pat)).withColumn("t", F.replace(F.col("t"), F.lit(m), F.lit("")))
-        counts.append(f"noise:{m}")
+        name = f"noise:{m}"
+        n = (F.length("t") - F.length(F.replace(F.col("t"), F.lit(m), F.lit("")))) / F.lit(len(m))
+        cur = cur.withColumn(name, n.cast("bigint")).withColumn("t", F.replace(F.col("t"), F.lit(m), F.lit("")))
+        counts.append(name)
     cur = cur.withColumn("t", F.regexp_replace(F.regexp_replace("t", "  +", " "), "\n +", "\n"))
-    for bad, good in exact.items():
-        pat = rf"(?U)\b{_quote(bad)}\b"
-        name = f"exact:{bad}->{good}"
-        cur = cur.withColumn(name, count(F.col("t"), pat)).withColumn("t", F.regexp_replace("t", pat, good.replace("$", "\\$")))
+    cur = cur.withColumn("p", F.regexp_extract_all(F.col("t"), F.lit(PIECES), 1))
+
+    def word_rule(name: str, old: str, new: Column | str, cond=None):
+        nonlocal cur
+        hit = lambda x, i: (x == F.lit(old)) & (cond(x, i) if cond else F.lit(True))
+        cur = cur.withColumn(name, F.size(F.filter(F.col("p"), lambda x, i: hit(x, i))).cast("bigint"))
+        repl = (lambda x: F.lit(new)) if isinstance(new, str) else new
+        cur = cur.withColumn("p", F.transform(F.col("p"), lambda x, i: F.when(hit(x, i), repl(x)).otherwise(x)))
         counts.append(name)
+
+    for bad, good in exact.items():
+        word_rule(f"exact:{bad}->{good}", bad, good)
     for canon, vs in variants.items():
         for v in vs:
-            pat = rf"(?U)\b{_quote(v)}\b"
-            name = f"variant:{v}->{canon}"
-            cur = cur.withColumn(name, count(F.col("t"), pat)).withColumn("t", F.regexp_replace("t", pat, canon))
-            counts.append(name)
+            word_rule(f"variant:{v}->{canon}", v, canon)
+
+    def not_sentence_start(x: Column, i: Column) -> Column:
+        # separator before the word: 0-based i is the previous piece's 1-based position
+        prev = F.try_element_at(F.col("p"), F.greatest(i, F.lit(1)))
+        stripped = F.regexp_replace(prev, "[ \t]+$", "")
+        last = F.substring(stripped, -1, 1)
+        inner = F.when(F.length(stripped) > 0, ~last.isin(".", "!", "?", "\n")).otherwise(i >= 2)
+        return F.when(i >= 1, inner).otherwise(F.lit(False))
+
     for w in proper:
-        # not at a sentence start: the previous non-space/tab character exists
-        # and is not . ! ? or a newline. The prefix is matched (no look-behind)
-        # and put back; a second pass catches a word whose prefix was consumed
-        # by the previous match (two in a row).
-        pat = rf"(?U)([^.!?\n \t][ \t]*)\b{_quote(w)}\b"
         cap = w[:1].upper() + w[1:]
-        name = f"cap:{w}->{cap}"
-        n1 = count(F.col("t"), pat)
-        cur = cur.withColumn("_n1", n1).withColumn("t", F.regexp_replace("t", pat, "$1" + cap.replace("$", "\\$")))
-        cur = cur.withColumn(name, F.col("_n1") + count(F.col("t"), pat)).withColumn(
-            "t", F.regexp_replace("t", pat, "$1" + cap.replace("$", "\\$"))).drop("_n1")
-        counts.append(name)
-    fixed = cur.select(F.col("id").alias(id_col), F.col("t").alias(text))
+        word_rule(f"cap:{w}->{cap}", w, _cap, not_sentence_start)
+    fixed = cur.select(F.col("id").alias(id_col), F.array_join("p", "").alias(text))
     stack = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("n")) for n in counts]))
     per_rule = cur.select(stack.alias("r")).groupBy("r.rule").agg(F.sum("r.n").alias("n")).filter(F.col("n") > 0)
     return fixed, per_rule

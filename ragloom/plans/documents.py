@@ -296,14 +296,59 @@ VARIANTS = {"Thorne": ["thnt", "thorn", "thornt"]}
 PROPER = ["der", "die", "que", "und"]
 
 
-@register("asr_repair_counts", ops="TXT8 AGG17 SRT2")
+def _asr_sql() -> str:
+    def q(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    steps = ["s0 AS (SELECT file, text AS t FROM captions)"]
+    names: list[str] = []
+    k = 0
+
+    def add(body: str) -> None:
+        nonlocal k
+        steps.append(f"s{k + 1} AS ({body} FROM s{k})")
+        k += 1
+
+    for m in NOISE:
+        name = f"noise:{m}"
+        names.append(name)
+        add(f"SELECT * REPLACE (replace(t, {q(m)}, '') AS t), "
+            f"CAST((length(t) - length(replace(t, {q(m)}, ''))) / {len(m)} AS BIGINT) AS \"{name}\"")
+    add("SELECT * REPLACE (regexp_replace(regexp_replace(t, '  +', ' ', 'g'), chr(10) || ' +', chr(10), 'g') AS t)")
+    add("SELECT *, regexp_extract_all(t, '([\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+)', 1) AS p")
+
+    def word(name: str, old: str, new_expr: str, cond: str = "true") -> None:
+        names.append(name)
+        hit = f"x = {q(old)} AND ({cond})"
+        add(f"SELECT * REPLACE (list_transform(p, lambda x, i: CASE WHEN {hit} THEN {new_expr} ELSE x END) AS p), "
+            f"CAST(len(list_filter(p, lambda x, i: {hit})) AS BIGINT) AS \"{name}\"")
+
+    for bad, good in EXACT.items():
+        word(f"exact:{bad}->{good}", bad, q(good))
+    for canon, vs in VARIANTS.items():
+        for v in vs:
+            word(f"variant:{v}->{canon}", v, q(canon))
+    stripped = "rtrim(p[i - 1], ' ' || chr(9))"
+    cond = (f"i > 1 AND CASE WHEN length({stripped}) > 0 THEN right({stripped}, 1) NOT IN ('.', '!', '?', chr(10)) "
+            f"ELSE i > 2 END")
+    for w in PROPER:
+        word(f"cap:{w}->{w[:1].upper() + w[1:]}", w, "upper(left(x, 1)) || substring(x, 2)", cond)
+    cols = ", ".join(f'"{n}"' for n in names)
+    return f"""WITH {SQL_CAPTIONS}, {", ".join(steps)},
+long AS (SELECT rule, n FROM (SELECT {cols} FROM s{k}) UNPIVOT (n FOR rule IN ({cols}))),
+per_rule AS (SELECT rule, CAST(sum(n) AS BIGINT) AS n FROM long GROUP BY rule HAVING sum(n) > 0)
+SELECT rule, n, CAST(sum(n) OVER () AS BIGINT) AS total FROM per_rule ORDER BY n DESC, rule LIMIT 30"""
+
+
+@register("asr_repair_counts", sql=_asr_sql(), ops="TXT8 AGG17 SRT2")
 def asr_repair_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Dictionary repair of the cleaned captions; per-rule counts, top 30 by
-    count (rows-only: capitalisation uses a look-behind)."""
+    count, with the total over all rules."""
     caps = D.clean_captions(caption_lines(spark, sf))
     _, counts = D.repair(caps, NOISE, EXACT, VARIANTS, PROPER, text="text", id_col="file")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.orderBy(F.col("n").desc(), F.col("rule")).limit(30).withColumn("total", F.lit(int(total)))
+    counts = counts.withColumn("n", F.col("n").cast("bigint"))
+    total = counts.select(F.sum("n")).scalar()
+    return counts.orderBy(F.col("n").desc(), F.col("rule")).limit(30).withColumn("total", total.cast("bigint"))
 
 
 # ---------------------------------------------------------------------------
