@@ -8,6 +8,7 @@ latency_ms, ttft_ms, cache_hit, fallback_used, failed, aborted``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -310,7 +311,8 @@ def breaker_sessions(calls: DataFrame, gap_s: float, key: str = "model", ts: str
 
 
 def breaker_replay(calls: DataFrame, threshold: int = 5, window_s: float = 60, open_s: float = 60,
-                   maxlen: int | None = None, key: str = "model", ts: str = "created_at") -> DataFrame:
+                   maxlen: int | None = None, key: str = "model", ts: str = "created_at",
+                   segment_rows: int = 20000) -> DataFrame:
     """LLM4: replay the circuit breaker exactly as the router code runs it (S16).
 
     Per model, in time order: an OPEN breaker whose time is up turns HALF_OPEN
@@ -323,6 +325,27 @@ def breaker_replay(calls: DataFrame, threshold: int = 5, window_s: float = 60, o
     """
     maxlen = maxlen or threshold * 2
     s = breaker_sessions(calls, max(window_s, open_s), key, ts)
+    # Safe successes: a success with fewer than `threshold` failures of its model
+    # in [t - window - open, t] cannot meet an OPEN breaker, so it runs and resets
+    # the breaker to CLOSED with no failures; the next call starts a new segment.
+    fw = failure_window(calls.select("request_id", key, ts, "failed"), window_s=int(math.ceil(window_s + open_s)),
+                        key=key, ts=ts)
+    s = s.join(fw.select("request_id", F.col("failures_in_window").alias("_fw")), "request_id")
+    s = s.withColumn("_safe", ~F.col("failed") & (F.col("_fw") < threshold))
+    # At most one cut per (model, time bucket): the bucket width per model is a
+    # whole number of hours chosen so a segment holds about `segment_rows`
+    # calls (hourly on a hot model, one bucket on a small log).
+    per_m = s.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), (F.max("_t") - F.min("_t")).alias("_span"))
+    per_m = per_m.select(key, (F.greatest(F.lit(1.0), F.ceil(F.col("_span") * segment_rows / F.col("_n") / 3600.0))
+                               * 3600.0).alias("_B"))
+    s = s.join(F.broadcast(per_m), key).withColumn("_sb", F.floor(F.col("_t") / F.col("_B")).cast("bigint"))
+    me = F.struct(F.col("_t"), F.col("request_id").cast("bigint"))
+    buckets = s.groupBy(key, "_sb").agg(F.min(F.when(F.col("_safe"), me)).alias("_cut"))
+    buckets = buckets.withColumn("_off", F.coalesce(F.sum(F.col("_cut").isNotNull().cast("int")).over(
+        Window.partitionBy(key).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    s = s.join(buckets, [key, "_sb"])
+    after = F.when(F.col("_cut").isNotNull() & (me > F.col("_cut")), 1).otherwise(0)
+    s = s.withColumn("session", F.col("session") + F.col("_off") + after)
     s = s.select(F.col("request_id").cast("bigint"), F.col(key).alias("model"), "session",
                  F.col("_t").alias("t"), F.col("failed"))
     out = s.groupBy("model", "session").applyInPandas(_breaker_fn(threshold, window_s, open_s, maxlen), BREAKER_SCHEMA)

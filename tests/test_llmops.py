@@ -54,13 +54,14 @@ def test_breaker_scenarios(spark):
     assert got[5][1] is True and got[6][0] == "HALF_OPEN" and got[6][2] == "HALF_OPEN"
 
 
-def test_breaker_sessions_equal_plain_loop_on_random_log(spark):
+@pytest.mark.parametrize("segment_rows,gap", [(20000, 8.0), (8, 8.0), (8, 150.0)])
+def test_breaker_sessions_equal_plain_loop_on_random_log(spark, segment_rows, gap):
     rng = np.random.default_rng(7)
-    t = np.cumsum(rng.exponential(8.0, size=600))
+    t = np.cumsum(rng.exponential(gap, size=600))  # gap 150 s: ~25 hours, many hourly cuts
     t[300:] += 400  # a long silence splits sessions
     rows = [(i, f"m{i % 2}", float(t[i]), bool(rng.random() < 0.45)) for i in range(600)]
     got = {r["request_id"]: (r["state_before"], r["skipped"], r["state_after"], r["recent_failures"])
-           for r in L.breaker_replay(_calls(spark, rows)).collect()}
+           for r in L.breaker_replay(_calls(spark, rows), segment_rows=segment_rows).collect()}
     assert got == plain_breaker(rows)
 
 
