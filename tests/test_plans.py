@@ -44,3 +44,21 @@ def test_index_percentiles_property(spark, values):
 def test_language_filter_is_pushed_to_parquet(spark):
     plan = _plan(load_all()["char_vocab"].fn(spark, SF))
     assert "PushedFilters" in plan and "EqualTo(lang,en)" in plan
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 30)), min_size=1, max_size=60),
+       st.lists(st.tuples(st.integers(0, 5), st.integers(0, 30)), min_size=1, max_size=20))
+def test_hit_rate_monotone_in_k(spark, retrieved, relevant):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from ragloom.operators import metrics as M
+
+    r = spark.createDataFrame(list(set(retrieved)), "qid int, did int")
+    ranked = r.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("did")))
+    qrels = spark.createDataFrame(list(set(relevant)), "qid int, did int")
+    m = M.retrieval_metrics(ranked, qrels, ks=(1, 5, 10)).first()
+    assert m["hit_rate_at_1"] <= m["hit_rate_at_5"] <= m["hit_rate_at_10"]
+    assert m["mrr_at_10"] <= m["hit_rate_at_10"] + 1e-9
+    assert m["recall_at_1"] <= 1.0 and m["recall_at_10"] <= 1.0
