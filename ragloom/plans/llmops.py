@@ -529,9 +529,34 @@ def semantic_cache_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return L.cache_replay(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
 
 
-@register("semantic_cache_sequential", ops="LLM2 STR5 FIL11 FUN13")
+SQL_CACHE_SEQUENTIAL = f"""
+WITH RECURSIVE req AS ({REQUEST_LOG_SQL}),
+rv AS (SELECT r.request_id, epoch_us(r.created_at) AS tus, CAST(e.embedding AS DOUBLE[]) AS v,
+              sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))) AS nv,
+              row_number() OVER (ORDER BY r.created_at, r.request_id) AS rn
+       FROM req r JOIN embeddings e ON e.vec_id = r.request_id % 20),
+walk AS (
+  SELECT rn, request_id, tus, false AS hit, CAST(NULL AS STRUCT(ns DOUBLE, id BIGINT, tus BIGINT)) AS best,
+         [{{'id': request_id, 'tus': tus, 'v': v, 'nv': nv}}] AS store
+  FROM rv WHERE rn = 1
+  UNION ALL
+  SELECT rn, request_id, tus, b IS NOT NULL, b,
+         CASE WHEN b IS NULL THEN list_append(live, {{'id': request_id, 'tus': tus, 'v': v, 'nv': nv}}) ELSE live END
+  FROM (
+    SELECT c.rn, c.request_id, c.tus, c.v, c.nv, l.live,
+           list_min(list_filter(list_transform(l.live, lambda s: {{'ns': -round(list_dot_product(s.v, c.v) / (s.nv * c.nv), 6),
+                                                                   'id': s.id, 'tus': s.tus}}), lambda x: -x.ns >= 0.92)) AS b
+    FROM walk w JOIN rv c ON c.rn = w.rn + 1,
+         (SELECT list_filter(w.store, lambda s: s.tus + 3600000000 > c.tus) AS live) l))
+SELECT request_id, hit, best.id AS matched_request_id, -best.ns AS similarity,
+       CAST(floor(tus / 1e6) - floor(best.tus / 1e6) AS BIGINT) AS age_seconds
+FROM walk
+"""
+
+
+@register("semantic_cache_sequential", sql=SQL_CACHE_SEQUENTIAL, ops="LLM2 FIL11 FUN13")
 def semantic_cache_sequential(spark: SparkSession, sf: str) -> DataFrame:
     """Sequential cache replay (only misses store entries), exact by rounds to
-    a fixed point; rows-only check here, brute-force check in
-    tests/test_llmops.py."""
-    return L.cache_replay_sequential(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
+    a fixed point (the twin walks the requests one by one in a recursive
+    CTE)."""
+    return L.cache_replay_sequential(cache_requests(spark, sf), threshold=0.92, ttl_s=3600).drop("rounds")
