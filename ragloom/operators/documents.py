@@ -502,8 +502,8 @@ def clean_dataset(df: DataFrame, key: str, order: str, labels: Sequence[str], co
                   required: Sequence[str] | None = None) -> DataFrame:
     """TXT9: keep the first row (lowest ``order``) per key, drop rows with a
     null in ``required`` columns (all by default), lower-case label columns,
-    then apply point corrections ``(key, column, value)`` from a small table
-    (broadcast join)."""
+    then apply point corrections ``(key, column, value)`` (one left join on
+    the key after pivoting the corrections per column)."""
     w = Window.partitionBy(key).orderBy(order)
     d = df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     d = d.dropna(how="any", subset=list(required) if required else None)
@@ -512,7 +512,9 @@ def clean_dataset(df: DataFrame, key: str, order: str, labels: Sequence[str], co
     if corrections is not None:
         piv = corrections.groupBy(key).pivot("column").agg(F.first("value"))
         fix_cols = [c for c in piv.columns if c != key]
-        d = d.join(F.broadcast(piv.select(key, *[F.col(c).alias(f"_fix_{c}") for c in fix_cols])), key, "left")
+        # corrections are usually few, but their size is not bounded: let the
+        # planner choose the join (AQE broadcasts it when it is small)
+        d = d.join(piv.select(key, *[F.col(c).alias(f"_fix_{c}") for c in fix_cols]), key, "left")
         for c in fix_cols:
             d = d.withColumn(c, F.coalesce(F.col(f"_fix_{c}").cast(df.schema[c].dataType), F.col(c))).drop(f"_fix_{c}")
     return d
