@@ -65,3 +65,20 @@ def test_sectioned_log(spark):
     assert set(rows) == {"FAISS-HNSW(efS=16)", "FAISS-HNSW(efS=32)", "pgvector(efS=16)"}
     # the index line is carried across sections, as in the source parser
     assert rows["FAISS-HNSW(efS=32)"]["index_time"] == 283.0 and rows["pgvector(efS=16)"]["index_time"] == 283.0
+
+
+def test_caption_raw_and_gold_readers(spark):
+    d = _tmp()
+    with open(os.path.join(d, "a.vtt"), "w") as f:
+        f.write("WEBVTT\n\n00:00:01.000 --> 00:00:02.000\nhello\n")
+    with open(os.path.join(d, "b.vtt"), "w") as f:
+        f.write("WEBVTT\n")
+    with open(os.path.join(d, "gold.json"), "w") as f:
+        json.dump({"dataset": "d1", "tasks": [{"owner": "Ann", "task_keywords": ["x"]}], "valid_owners": ["Ann"],
+                   "decision_keywords": [["a", "b"]], "decisions_count": 1}, f, indent=2)
+    lines = SF.read_caption_files(spark, d, ids=["a", "missing"]).collect()
+    assert {r["file"] for r in lines} == {"a.vtt"} and any(r["line"] == "hello" for r in lines)
+    raw = {r["name"]: r for r in SF.read_raw_files(spark, d, "*.vtt").collect()}
+    assert raw["b.vtt"]["suffix"] == "vtt" and raw["b.vtt"]["size"] == 7
+    g = SF.read_gold(spark, os.path.join(d, "gold.json")).first()
+    assert g["dataset"] == "d1" and g["decision_keywords"] == [["a", "b"]]
