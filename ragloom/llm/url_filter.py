@@ -40,7 +40,7 @@ http://warez-crack.example.org/en/71 https://torrent-crack.example.com/en/205 ht
 http://buy-followers.example.com/en/48 https://phishing-login.example.org/en/7 http://make-money-fast.example.com/en/90
 http://miracle-diet.example.com/es/21 https://www.poker-online.example.com/en/6 http://sports-betting.example.org/en/11
 http://popup-ads.example.com/en/128 https://click-track.example.com/en/36 http://content-farm.example.org/en/59
-http://spam-links.example.com/en/410 http://free-pills.example.org/en/83 http://bet-bonus.example.com/de/29
+http://spam-links.example.com/en/410 https://m.casino-win.example.com/en/62 http://casino-win.example.org/fr/15 http://free-pills.example.org/en/83 http://bet-bonus.example.com/de/29
 """.split()
 ALLOWED_URLS = """
 https://www.example.com/en/120 https://blog.example.com/en/2020 https://m.example.org/en/12
@@ -56,7 +56,7 @@ https://weather.example.com/en/8 https://music.example.com/fr/902 https://www.la
 https://open-data.example.org/en/3 https://www.hospital.example.com/en/27 https://science-news.example.org/en/9
 https://m.ead.example.com/en/44 http://onthe.example.com/en/521 https://www.in-depth.example.org/en/66
 https://blog.city-guide.example.com/en/117 http://erin.example.com/es/6.html https://docs.example.org/en/650
-https://news.example.com/en/590 https://library.example.org/fr/240 https://www.university.example.com/en/22
+https://m.other.example.com/en/38 https://m.station.example.org/fr/7 https://www.this.example.com/fr/88 https://blog.sharing.example.com/en/27 https://library.example.org/fr/240 https://www.university.example.com/en/22
 """.split()
 
 
@@ -75,7 +75,7 @@ def _ngrams(text: Column, tag: str, sizes: Sequence[int]) -> Column:
     return F.concat(*grams)
 
 
-def url_ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5)) -> Column:
+def url_ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5, 6)) -> Column:
     """Character n-grams of host and path, each with its part's tag."""
     return F.concat(_ngrams(host, "h:", sizes), _ngrams(path, "p:", sizes))
 
@@ -102,7 +102,7 @@ def fit_urls(labelled: DataFrame, strength: float = 0.01):
 
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence[tuple[str, str, str]] = RULES,
-          id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
+          id_col: str = "page_id", url_col: str = "url", threshold: float = 0.6) -> DataFrame:
     """Judge every url.
 
     Returns one row per input row: the id column, ``host``, ``path``, ``rule``
