@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, secret_scan, sentencepiece_codec, sharding, url_filter
+from . import chat_format, decontamination, minhash_dedup, secret_scan, sentencepiece_codec, sharding, toxicity, url_filter
 from .session import prepare
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -69,6 +69,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
 
 
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of all ``documents`` that are ``benchmark`` items."""
+    return decontamination.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text of ``documents``."""
@@ -79,3 +85,43 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded and decoded."""
     return sentencepiece_codec.encode_decode(_table(spark, sf_dir, "documents"), piece_model(), with_ids=False, with_text=False)
+
+
+# Words by which a document labelled toxic is put into a category as well.
+CATEGORY_WORDS = {
+    "insult": "clown idiot loser moron stupid".split(),
+    "contempt": "disgusting pathetic scum trash worthless".split(),
+}
+LABELLED_ROWS = 8_000
+
+
+def labelled_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, label: str, rows: int, mod_rest: bool = False) -> DataFrame:
+    """A bounded sample of the labelled ``docs``: those of the ``rows`` ids with
+    the smallest hashes. The sampled ids (at most ``rows``) are broadcast."""
+    labels = _table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    if mod_rest:
+        labels = labels.where(~quality_held_out(F.col("doc_id")))
+    ids = labels.groupBy("doc_id").agg(F.max(label).alias(label)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+
+
+def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:
+    """The chain insult, contempt, toxic, fitted to a sample of ``labels``."""
+    rows = labelled_documents(spark, docs, sf_dir, "toxic", LABELLED_ROWS)
+    for name, words in CATEGORY_WORDS.items():
+        said = F.coalesce(F.col("text"), F.lit("")).rlike(rf"(?i)\b({'|'.join(words)})\b")
+        rows = rows.withColumn(name, ((F.col("toxic") == 1) & said).cast("int"))
+    return toxicity.fit_chain(rows, [*CATEGORY_WORDS, "toxic"], settings=toxicity.ChainSettings(rows=LABELLED_ROWS))
+
+
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probabilities of all ``documents``."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity_chain(spark, docs, sf_dir))
+
+
+@_query
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all ``documents``."""
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))

@@ -58,26 +58,40 @@ def text_blocks(texts: Sequence[str | None], max_bytes: int = BLOCK_BYTES) -> It
         yield start, len(texts)
 
 
-def word_hashes(texts: Sequence[str | None], lower: bool = True, separators: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the offsets of each text's words.
-
-    ``separators`` replaces the rule of what ends a word by a table of the 256
-    byte values (True: part of a word).
-    """
-    table = _IS_WORD if separators is None else separators
+def _words(texts: Sequence[str | None], lower: bool, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Running hash sums over the bytes of all texts, starts and ends of the
+    words, and the offsets of each text's words."""
     enc = [((t.lower() if lower else t).encode("utf-8", "surrogatepass") if t else b"") for t in texts]
     buf = b"\n".join(enc) + b"\n"
     first = np.zeros(len(enc) + 1, dtype=np.int64)
     np.cumsum([len(e) + 1 for e in enc], out=first[1:])
     raw = np.frombuffer(buf, dtype=np.uint8)
-    inside = table[raw]
-    edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
-    starts = np.flatnonzero(edge == 1)
-    ends = np.flatnonzero(edge == -1)
+    edge = np.diff(table[raw].view(np.int8), prepend=np.int8(0))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum(_BYTE_KEY[raw] * _power("up", _STEP, len(raw)), out=total[1:])
-    words = mix((total[ends] - total[starts]) * _power("down", _STEP_BACK, len(raw))[starts])
-    return words, np.searchsorted(starts, first)
+    return total, starts, ends, np.searchsorted(starts, first)
+
+
+def word_hashes(texts: Sequence[str | None], lower: bool = True, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the offsets of each text's words.
+
+    ``inside`` replaces the rule of what is part of a word by a table over the
+    256 byte values.
+    """
+    total, starts, ends, offsets = _words(texts, lower, _IS_WORD if inside is None else inside)
+    return mix((total[ends] - total[starts]) * _power("down", _STEP_BACK, len(total))[starts]), offsets
+
+
+def beginning_hashes(texts: Sequence[str | None], lengths: Sequence[int]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Hashes of all words; for each length those of their first bytes (of
+    words that are longer); and the offsets of each text's words. A beginning
+    never hashes like a word."""
+    total, starts, ends, offsets = _words(texts, True, _IS_WORD)
+    down = _power("down", _STEP_BACK, len(total))[starts]
+    whole = mix((total[ends] - total[starts]) * down)
+    parts = [np.where(ends - starts > n, mix((total[np.minimum(starts + n, ends)] - total[starts]) * down ^ _U(n << 56)), whole) for n in lengths]
+    return whole, parts, offsets
 
 
 def word_spans(text: str | None) -> tuple[np.ndarray, np.ndarray]:
