@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, minhash_dedup, secret_scan, sentencepiece_codec, sharding, toxicity, url_filter
+from . import (
+    chat_format,
+    decontamination,
+    embedding_dedup,
+    minhash_dedup,
+    quality,
+    secret_scan,
+    sentencepiece_codec,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from .session import prepare
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -81,6 +92,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 or more between all ``embeddings``."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded and decoded."""
@@ -95,6 +112,14 @@ CATEGORY_WORDS = {
 LABELLED_ROWS = 8_000
 
 
+QUALITY_ROWS = 6_000
+
+
+def quality_held_out(doc_id: Column) -> Column:
+    """Rows whose labels are never learned."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
 def labelled_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, label: str, rows: int, mod_rest: bool = False) -> DataFrame:
     """A bounded sample of the labelled ``docs``: those of the ``rows`` ids with
     the smallest hashes. The sampled ids (at most ``rows``) are broadcast."""
@@ -125,3 +150,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all ``documents``."""
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all ``documents``."""
+    docs = _table(spark, sf_dir, "documents")
+    rows = labelled_documents(spark, docs, sf_dir, "quality", QUALITY_ROWS, mod_rest=True)
+    network = quality.fit(rows, "quality", settings=quality.QualitySettings(rows=QUALITY_ROWS))
+    return quality.score(docs, network).select(
+        "doc_id", F.coalesce(quality_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
