@@ -66,7 +66,7 @@ once AS (
 inner_prefixes AS (
   SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM once))
 SELECT conv_id, 0 AS part, n_turns, copies,
-       array_to_string(list_transform(turns, x -> '<|im_start|>' || replace(coalesce(x.r, ''), '<|im_', '<| im_') || chr(10)
+       array_to_string(list_transform(turns, lambda x: '<|im_start|>' || replace(coalesce(x.r, ''), '<|im_', '<| im_') || chr(10)
          || replace(coalesce(x.t, ''), '<|im_', '<| im_') || '<|im_end|>' || chr(10)), '') AS rendered
 FROM once WHERE turns NOT IN (SELECT turns FROM inner_prefixes)
 """

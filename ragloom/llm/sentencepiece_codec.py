@@ -61,10 +61,12 @@ class ChunkTable:
         self.eos = self.sp.eos_id().to_bytes(4, "little")
 
     def _add(self, chunks: list[str]) -> None:
-        # the library puts the first marker in front itself
+        # the library puts the first marker in front itself, but not before nothing
+        chunks = [c for c in chunks if c != MARK]
         ids = self.sp.encode([c[1:].replace(MARK, " ") for c in chunks], num_threads=1)
         for c, i, text in zip(chunks, ids, self.sp.decode(ids), strict=True):
             self.table[c] = (b"".join([x.to_bytes(4, "little") for x in i]), " " + text)
+        self.table[MARK] = (self.sp.piece_to_id(MARK).to_bytes(4, "little"), " ")
 
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids with begin and end as little-endian unsigned 32-bit integers,

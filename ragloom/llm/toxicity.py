@@ -36,7 +36,7 @@ class ChainSettings:
     rows: int = 8_000
     columns: int = 3_000
     folds: int = 3
-    threshold: float = 0.5
+    threshold: float = 0.3
 
 
 def features(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,12 +143,13 @@ def fit_chain(labelled: DataFrame, categories: Sequence[str], id_col: str = "doc
     return Chain(tuple(categories), columns, tuple(models))
 
 
-def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """Probabilities of all categories for every whole text.
 
     Returns one row per input row: the id column, ``p_<category>`` for each
     category and ``toxic`` (the last category's probability is ``threshold`` or
-    more). Null and empty texts get the models' biases. Repeated rows and null
+    more). Both classes weigh the same in the fit, so the probabilities hold
+    for as many rows with as without the category. Null and empty texts get the models' biases. Repeated rows and null
     ids stay; other columns are not read; an empty table gives an empty one.
     Nothing is shuffled.
     """
@@ -165,7 +166,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     return src.mapInArrow(run, f"`{id_col}` {kind}, {', '.join(f'`{n}` double' for n in names)}, toxic boolean")
 
 
-def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, with all columns, whose last category's
     probability is below ``threshold``."""
     at, fields = docs.columns.index(text_col), docs.schema
