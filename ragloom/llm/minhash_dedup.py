@@ -11,7 +11,7 @@ to the weighted Jaccard similarity. Points come in order of time, so a shingle
 is done once its next point is later than all registers of the text.
 
 Bands of registers give candidate buckets. Within a bucket texts are compared
-with leaders, not with each other; what a leader cannot settle is compared on
+with one of them first; what that does not settle is compared block by block
 (see ``links``). Every link rests on the exact overlap of the whole texts.
 """
 
@@ -21,11 +21,10 @@ import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -33,6 +32,7 @@ from .session import stored
 from .shingles import counted, mix, multiset_similarity, shingle_hashes, text_blocks, word_hashes
 
 _U = np.uint64
+BLOCK_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -182,63 +182,88 @@ def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(F.col("a") != F.col("b")).distinct()
 
 
-def links(buckets: DataFrame, bodies: DataFrame, least: float) -> DataFrame:
-    """Exact links (a, b, sim) that connect what the buckets hold together.
+def _compare(table: pa.Table, i: int, j: int, least: float, bands: Bands) -> list[tuple[int, int]]:
+    """Links between the rows of block ``i`` and of block ``j`` that join two
+    components of one group, a spanning set of them. Pairs must share a band;
+    pairs whose registers agree so rarely that the threshold is five standard
+    deviations away are not verified."""
+    texts = table.column("_text").to_pylist()
+    values, counts, offsets = multisets(texts)
+    registers = signatures(values, counts, offsets, bands.registers)
+    keys = band_hashes(registers, bands)
+    own = table.column("_own").to_numpy()
+    group = table.column("_group").to_numpy()
+    node = table.column("id").to_pylist()
+    comp = table.column("comp").to_pylist()
+    bags = [(values[x:y], counts[x:y]) for x, y in zip(offsets, offsets[1:], strict=False)]
+    parent: dict = {c: c for c in comp}
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    low = least - 5 * (least * (1 - least) / bands.registers) ** 0.5
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    out = []
+    for x in left:
+        others = right[(group[right] == group[x]) & ((right > x) | (i != j))]
+        others = others[(keys[others] == keys[x]).any(axis=1)]
+        agree = (registers[others] == registers[x]).mean(axis=1)
+        for k in np.argsort(-agree, kind="stable"):
+            if agree[k] < low:
+                break
+            y = others[k]
+            rx, ry = root(comp[x]), root(comp[y])
+            if rx != ry and multiset_similarity(bags[x], bags[y]) >= least:
+                parent[max(rx, ry)] = min(rx, ry)
+                out.append((node[x], node[y]))
+    return out
+
+
+def links(buckets: DataFrame, bodies: DataFrame, least: float, bands: Bands) -> DataFrame:
+    """Exact links (a, b) that connect what the buckets hold together.
 
     ``buckets``: (bucket, id), at least two ids a bucket; ``bodies``: (_id,
     _text). First every id is compared with the smallest id it shares a bucket
-    with. Buckets whose ids are then one component are done. In the others every
-    id is compared with the bucket's leaders (its smallest ids; four times as
-    many in each round, so a bucket of unlike texts is settled in few rounds);
-    those linked to one are settled, the others go on. A settled text can be
-    linked to one that goes on only if the latter is within twice the margin of
-    the leader (triangle inequality of the Jaccard distance); such pairs are
-    compared too. So two components that this returns hold no linked pair with a
-    bucket in common.
+    with; that settles buckets of copies with one comparison an id. Buckets
+    whose ids are still several components are gathered into groups of ids that
+    they connect; groups are cut into blocks, and every pair of blocks is
+    compared in a task of its own, which returns links between components only.
+    So two components that this returns hold no linked pair with a bucket in
+    common, and a group of n ids makes at most about n rows for each of its
+    n / ``BLOCK_ROWS`` blocks.
     """
-    margin = 1.0 - least
     lead = buckets.groupBy("bucket").agg(F.min("id").alias("lead"))
     nearest = buckets.join(lead, "bucket").groupBy("id").agg(F.min("lead").alias("lead"))
     tested = stored(_similarities(_ordered(nearest, "lead", "id"), bodies), "tested")
-    tables = [tested]
-
-    def so_far() -> tuple[DataFrame, DataFrame]:
-        every = reduce(DataFrame.unionAll, tables)
-        return every, components(every.where(F.col("sim") >= least), "a", "b")
-
-    open_rows, leaders = buckets, 1
-    while True:
-        every, comps = so_far()
-        labelled = (open_rows.join(comps, F.col("id") == F.col("node"), "left")
-                    .select("bucket", "id", F.coalesce("component", "id").alias("comp")))
-        mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi")
-        labelled = stored(labelled.join(mixed.select("bucket"), "bucket"), "open-buckets")
-        if labelled.isEmpty():
-            return every.where(F.col("sim") >= least)
-        heads = _smallest(labelled, leaders)
-        against = (labelled.join(heads, "bucket").where(F.col("id") != F.col("l"))
-                   .select("bucket", "id", "comp", "l", F.least("l", "id").alias("a"), F.greatest("l", "id").alias("b")))
-        fresh = against.select("a", "b").distinct().join(every, ["a", "b"], "left_anti")
-        tables.append(stored(_similarities(fresh, bodies), "tested"))
-        every = reduce(DataFrame.unionAll, tables)
-        near = stored(against.join(every, ["a", "b"]).select("bucket", "id", "comp", "l", "sim"), "leader-distances")
-        linked = near.where(F.col("sim") >= least)
-        edge = near.where((F.col("sim") < least) & (F.col("sim") >= least - margin)).select(
-            "bucket", "l", F.col("id").alias("e"), F.col("comp").alias("ec"), F.col("sim").alias("es"))
-        rest = linked.join(edge, ["bucket", "l"]).where((F.col("comp") != F.col("ec")) & (F.col("sim") <= F.col("es") + margin + 1e-9))
-        more = _ordered(rest, "e", "id").join(every, ["a", "b"], "left_anti")
-        tables.append(stored(_similarities(more, bodies), "tested"))
-        done = linked.select("bucket", "id").unionAll(heads.select("bucket", F.col("l").alias("id"))).distinct()
-        open_rows = labelled.select("bucket", "id").join(done, ["bucket", "id"], "left_anti")
-        leaders *= 4
-
-
-def _smallest(rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` smallest ids of each bucket (bucket, l)."""
-    if n == 1:
-        return rows.groupBy("bucket").agg(F.min("id").alias("l"))
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-    return rows.select("bucket", F.col("id").alias("l"), rank.alias("_r")).where(F.col("_r") <= n).drop("_r")
+    first = tested.where(F.col("sim") >= least).select("a", "b")
+    comps = stored(components(first, "a", "b"), "first-components")
+    labelled = (buckets.join(comps, F.col("id") == F.col("node"), "left")
+                .select("bucket", "id", F.coalesce("component", "id").alias("comp")))
+    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.min("id").alias("_lead")).where("_lo <> _hi")
+    open_rows = stored(labelled.join(mixed.select("bucket", "_lead"), "bucket"), "open-buckets")
+    groups = stored(components(open_rows, "_lead", "id").select("node", F.col("component").alias("_group")), "groups")
+    members = (open_rows.select("id", "comp").distinct().join(groups, F.col("id") == F.col("node")).drop("node"))
+    sizes = members.groupBy("_group").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("_blocks"))
+    packs = int(members.count() // BLOCK_ROWS) + 1
+    spread = (members.join(sizes, "_group")
+              .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+              .withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")})
+              # small groups share a task, large ones have one for each pair of blocks
+              .withColumn("_pack", F.when(F.col("_blocks") == 1, F.pmod(F.xxhash64("_group"), F.lit(packs))).otherwise(-1 - F.pmod(F.xxhash64("_group"), F.lit(1 << 40)))))
+    full = spread.join(bodies.select(F.col("_id").alias("id"), "_text"), "id").select("_pack", "_i", "_j", "_own", "_group", "id", "comp", "_text")
+    kind = buckets.schema["id"].dataType.simpleString()
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        found = _compare(table, key[1].as_py(), key[2].as_py(), least, bands)
+        ids = table.column("id").type
+        return pa.table({"a": pa.array([a for a, _ in found], ids), "b": pa.array([b for _, b in found], ids)})
+
+    more = full.groupBy("_pack", "_i", "_j").applyInArrow(run, f"a {kind}, b {kind}")
+    return first.unionAll(stored(more, "block-links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8,
@@ -267,7 +292,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = buckets.select(F.col("id").alias("_id")).distinct()
     texts = src.where(F.col("_text").isNotNull()).join(wanted, "_id", "left_semi")
     bodies = stored(texts, "bodies")
-    found = links(buckets, bodies, least).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = links(buckets, bodies, least, bands).select(F.col("a").alias("u"), F.col("b").alias("v"))
     low = member.groupBy("_id").agg(F.min("_node").alias("_lo"), F.max("_node").alias("_hi"))
     several = member.join(low.where("_lo <> _hi"), "_id").select(F.col("_lo").alias("u"), F.col("_node").alias("v"))
     comps = components(found.unionAll(several))
