@@ -36,7 +36,7 @@ class ChainSettings:
     rows: int = 8_000
     columns: int = 3_000
     folds: int = 3
-    threshold: float = 0.3
+    threshold: float = 0.4
 
 
 def features(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +143,7 @@ def fit_chain(labelled: DataFrame, categories: Sequence[str], id_col: str = "doc
     return Chain(tuple(categories), columns, tuple(models))
 
 
-def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.4) -> DataFrame:
     """Probabilities of all categories for every whole text.
 
     Returns one row per input row: the id column, ``p_<category>`` for each
@@ -166,7 +166,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     return src.mapInArrow(run, f"`{id_col}` {kind}, {', '.join(f'`{n}` double' for n in names)}, toxic boolean")
 
 
-def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = 0.4) -> DataFrame:
     """The rows of ``docs``, with all columns, whose last category's
     probability is below ``threshold``."""
     at, fields = docs.columns.index(text_col), docs.schema
