@@ -58,14 +58,8 @@ def euclidean(a, b) -> Column:
     )
 
 
-def truncate(a, keep: int) -> Column:
-    """Zero every component after the first ``keep`` (a degraded query vector)."""
-    a = _c(a)
-    return F.transform(a, lambda x, i: F.when(i < keep, x.cast("double")).otherwise(F.lit(0.0)))
-
-
 def similarity(metric: str, a, b) -> Column:
-    """RET15: the score for a metric, higher is better."""
+    """FUN11 / RET15: the score for a metric, higher is better."""
     if metric == "cosine":
         return cosine(a, b)
     if metric in ("ip", "inner_product", "dot"):

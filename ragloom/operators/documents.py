@@ -10,7 +10,9 @@ one vectorised ``mapInPandas`` over document batches.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Sequence
+from itertools import accumulate, groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -90,8 +92,8 @@ def suffix_of(path: Column) -> Column:
 
 
 def detect_type(content: Column) -> Column:
-    """Magic bytes first; a zip whose first 2 KB name office parts becomes
-    docx/xlsx/pptx; otherwise HTML when the first 512 bytes (lower-cased) hold
+    """Magic bytes first; a zip that names office parts becomes docx/xlsx/pptx;
+    otherwise HTML when the first 512 bytes (lower-cased) hold
     ``<html`` or ``<!doctype``; otherwise null (unknown)."""
     head_hex = F.hex(F.substring(content, 1, 8))
     out = None
@@ -99,10 +101,10 @@ def detect_type(content: Column) -> Column:
         cond = head_hex.startswith(sig)
         val = F.lit(typ)
         if typ == "zip":
-            head2k = F.decode(F.substring(content, 1, 2048), "ISO-8859-1")
+            whole = F.decode(content, "ISO-8859-1")
             sub = F.lit("zip")
             for marker, t in reversed(ZIP_SUBTYPES):
-                sub = F.when(F.instr(head2k, marker) > 0, F.lit(t)).otherwise(sub)
+                sub = F.when(F.instr(whole, marker) > 0, F.lit(t)).otherwise(sub)
             val = sub
         out = F.when(cond, val) if out is None else out.when(cond, val)
     head = F.lower(F.decode(F.substring(content, 1, 512), "ISO-8859-1"))
@@ -165,23 +167,19 @@ Extractor = Callable[[DataFrame], DataFrame]
 
 def parse_files(files: DataFrame, path: str = "path", content: str = "content",
                 extractors: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
-    """TXT4: route every file to ``ok`` or a classified error; never fails.
+    """TXT4 / UDF6: route every file to ``ok`` or a classified error; never fails.
 
     Empty -> ``empty``; declared vs real type mismatch -> ``type_mismatch``;
-    otherwise the extractor of the declared type runs (built-in column
-    functions by default: HTML main text, UTF-8 text); a type without an
-    extractor, or an extractor returning null, is ``corrupted`` (S23).
+    otherwise the bytes are decoded (TXT1) and the extractor of the declared
+    type gets the text (by default HTML main text, or the text itself); a type
+    without an extractor, or an extractor returning null, is ``corrupted``
+    (S23).
     """
-    extractors = extractors or {
-        "html": lambda c: html_text(F.decode(c, "UTF-8")),
-        "htm": lambda c: html_text(F.decode(c, "UTF-8")),
-        "txt": lambda c: F.decode(c, "UTF-8"),
-        "md": lambda c: F.decode(c, "UTF-8"),
-    }
-    t = file_types(files, path, content)
+    extractors = extractors or {"html": html_text, "htm": html_text, "txt": lambda t: t, "md": lambda t: t}
+    t = decode_files(file_types(files, path, content), content).withColumnRenamed("text", "_decoded").drop("char_count")
     text = F.lit(None).cast("string")
     for typ in reversed(list(extractors)):
-        text = F.when(F.col("declared_type") == typ, extractors[typ](F.col(content))).otherwise(text)
+        text = F.when(F.col("declared_type") == typ, extractors[typ](F.col("_decoded"))).otherwise(text)
     empty = F.coalesce(F.length(F.col(content)), F.lit(0)) == 0
     t = t.withColumn("_text", F.when(~empty & ~F.col("is_mismatch"), text))
     status = F.when(empty | F.col("is_mismatch") | F.col("_text").isNull(), F.lit("error")).otherwise(F.lit("ok"))
@@ -191,7 +189,7 @@ def parse_files(files: DataFrame, path: str = "path", content: str = "content",
         F.col("_text").isNull(), F.concat(F.lit("no extractor produced text for ."), F.col("declared_type")))
     return t.withColumn("status", status).withColumn("error_type", etype).withColumn("error_message", emsg).withColumn(
         "text", F.when(F.col("status") == "ok", F.col("_text"))).withColumn(
-        "char_count", F.when(F.col("status") == "ok", F.length("_text"))).drop("_text")
+        "char_count", F.when(F.col("status") == "ok", F.length("_text"))).drop("_text", "_decoded")
 
 
 # ---------------------------------------------------------------------------
@@ -199,6 +197,16 @@ def parse_files(files: DataFrame, path: str = "path", content: str = "content",
 # ---------------------------------------------------------------------------
 
 
+def html_cells(pages: DataFrame, file: str = "file", html: str = "html") -> DataFrame:
+    """TXT5: cells ``(file, table_no, row_no, col_no, text)`` of all tables of
+    HTML files (all numbers from 0); text as in TXT3."""
+    inside = lambda c, tag: F.regexp_extract_all(c, F.lit(rf"(?is)(<{tag}\b.*?</{tag}\s*>)"), 1)
+    t = pages.select(F.col(file).alias("file"), F.posexplode(inside(F.col(html), "table")).alias("table_no", "_t"))
+    r = t.select("file", "table_no", F.posexplode(inside(F.col("_t"), "tr")).alias("row_no", "_r"))
+    c = r.select("file", "table_no", "row_no", F.posexplode(inside(F.col("_r"), "t[hd]")).alias("col_no", "_c"))
+    return c.select("file", "table_no", "row_no", "col_no", html_text(F.col("_c")).alias("text"))
+
+
 def records_from_cells(cells: DataFrame, keys: Sequence[str] = ("file", "table_no")) -> DataFrame:
     """TXT5: cells ``(keys..., row_no, col_no, text)`` -> one record per data
     row, ``map(header[col] -> cell)``; row 0 is the header. The header is
@@ -220,7 +228,7 @@ def records_from_cells(cells: DataFrame, keys: Sequence[str] = ("file", "table_n
 
 
 def fixed_chunks(docs: DataFrame, size: int, overlap: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Native fixed-window chunks of ``size`` characters advancing by
+    """TXT10, native variant: fixed-window chunks of ``size`` characters advancing by
     ``size - overlap``: ``(id, chunk_index, start, chunk)``; the last window may
     be shorter; windows wholly inside the previous one are not emitted."""
     if not 0 <= overlap < size:
@@ -236,7 +244,7 @@ def fixed_chunks(docs: DataFrame, size: int, overlap: int, id_col: str = "doc_id
 
 def chunk_sweep(docs: DataFrame, sizes: Sequence[int], overlaps: Sequence[int], id_col: str = "doc_id",
                 text: str = "text") -> DataFrame:
-    """AGG19: chunk counts and mean length for a grid of (size, overlap), plus
+    """AGG19 / WIN5: chunk counts and mean length for a grid of (size, overlap), plus
     the extra chunks over the smallest overlap of the same size. The grid is
     exploded per document (one row per setting), chunk counts and lengths are
     computed arithmetically without materialising chunks."""
@@ -269,54 +277,42 @@ DEFAULT_SEPARATORS = ["\n\n", "\n", " ", ""]
 MARKDOWN_SEPARATORS = ["\n## ", "\n### ", "\n\n", "\n", ". ", " ", ""]
 
 
-def _merge(pieces: list[str], sep: str, size: int, overlap: int, length) -> list[str]:
-    out: list[str] = []
-    cur: list[str] = []
-    total = 0
-    sep_len = length(sep)
-    for p in pieces:
-        plen = length(p)
-        if total + plen + (sep_len if cur else 0) > size and cur:
-            chunk = sep.join(cur).strip()
-            if chunk:
-                out.append(chunk)
-            while cur and (total > overlap or (total + plen + (sep_len if cur else 0) > size and total > 0)):
-                total -= length(cur[0]) + (sep_len if len(cur) > 1 else 0)
-                cur.pop(0)
-        cur.append(p)
-        total += plen + (sep_len if len(cur) > 1 else 0)
-    chunk = sep.join(cur).strip()
-    if chunk:
-        out.append(chunk)
+def _windows(sizes: Sequence[int], gap: int, limit: int, shared: int) -> list[tuple[int, int]]:
+    """Runs ``[i, j)`` of consecutive pieces, joined by ``gap``: each as long as
+    fits into ``limit`` (at least one new piece); the next one starts at the
+    first piece from which what it repeats is at most ``shared`` long and leaves
+    room for the piece after it (empty pieces are repeated without asking for
+    room). Found by bisection in the prefix sums of the sizes."""
+    ends = list(accumulate((n + gap for n in sizes), initial=0))
+    width = lambda i, j: ends[j] - ends[i] - gap if j > i else 0
+    out, i, j, n = [], 0, 0, len(sizes)
+    while j < n:
+        j = max(bisect_right(ends, limit + gap + ends[i]) - 1, j + 1)
+        out.append((i, j))
+        if j < n:
+            first = lambda at: bisect_left(ends, at - gap)
+            i = min(max(first(ends[j] - shared), min(first(ends[j + 1] - limit), first(ends[j]))), j)
     return out
 
 
 def split_text(text: str, size: int, overlap: int, separators: Sequence[str] = DEFAULT_SEPARATORS, length=char_length) -> list[str]:
-    """Recursive splitting: split on the first separator present, keep pieces
-    shorter than ``size`` and merge them with ``overlap``; split longer pieces
-    again with the finer separators."""
-    seps = list(separators)
-    sep, rest = seps[-1], []
-    for i, s in enumerate(seps):
-        if s == "" or s in text:
-            sep, rest = s, seps[i + 1:]
-            break
+    """Recursive splitting. A text is cut at the first separator that occurs in
+    it; neighbouring pieces shorter than ``size`` are joined into chunks of at
+    most ``size`` that share up to ``overlap`` (:func:`_windows`); a longer
+    piece is cut in turn at the separators after that one, and stands as it is
+    when none is left. Chunks are stripped, empty ones dropped."""
+    at = next((i for i, s in enumerate(separators) if s == "" or s in text), len(separators) - 1)
+    sep, finer = separators[at], separators[at + 1:]
     pieces = text.split(sep) if sep else list(text)
     out: list[str] = []
-    good: list[str] = []
-    for p in pieces:
-        if length(p) < size:
-            good.append(p)
-            continue
-        if good:
-            out.extend(_merge(good, sep, size, overlap, length))
-            good = []
-        if rest:
-            out.extend(split_text(p, size, overlap, rest, length))
+    for small, run in groupby(pieces, key=lambda p: length(p) < size):
+        if small:
+            run = list(run)
+            joined = (sep.join(run[i:j]) for i, j in _windows([length(p) for p in run], length(sep), size, overlap))
+            out.extend(c for c in map(str.strip, joined) if c)
         else:
-            out.append(p)
-    if good:
-        out.extend(_merge(good, sep, size, overlap, length))
+            for p in run:
+                out.extend(split_text(p, size, overlap, finer, length) if finer else [p])
     return out
 
 
@@ -357,31 +353,42 @@ def chunk_stats(chunks: DataFrame, length: str = "length") -> DataFrame:
                       F.min(length).alias("min_length"), F.max(length).alias("max_length"))
 
 
-def build_chunk_index(docs: DataFrame, size: int = 500, overlap: int = 50, id_col: str = "doc_id", text: str = "text",
-                      source: str = "source", length: Callable[[str], int] = word_tokens) -> DataFrame:
-    """TXT11: chunk -> section, token count, hashed embedding, stable id
-    ``sha2(source || chunk_index)`` for upserts (SNK10)."""
+def token_count(text: Column) -> Column:
+    """Word and punctuation pieces of a text, as a column."""
+    return F.size(F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_\s])"), 1))
+
+
+def chunk_points(chunks: DataFrame, id_col: str = "doc_id", source: str = "source") -> DataFrame:
+    """TXT11: chunks ``(id, source, chunk_index, chunk)`` -> index rows with a
+    stable id ``sha2(source | id | chunk_index)`` for upserts, section (FUN4),
+    token count and hashed embedding."""
     from .embed import hashed_embedding
 
+    point = F.sha2(F.concat_ws("|", F.col(source), F.col(id_col).cast("string"), F.col("chunk_index").cast("string")), 256)
+    ch = chunks.select(point.alias("point_id"), id_col, source, "chunk_index", "chunk", section_of(F.col("chunk")).alias("section"),
+                       token_count(F.col("chunk")).alias("token_count"))
+    return ch.join(hashed_embedding(ch.select("point_id", "chunk"), "point_id", "chunk"), "point_id", "left")
+
+
+def build_chunk_index(docs: DataFrame, size: int = 500, overlap: int = 50, id_col: str = "doc_id", text: str = "text",
+                      source: str = "source", length: Callable[[str], int] = word_tokens) -> DataFrame:
+    """TXT11 over recursive chunks (Markdown separators, word tokens)."""
     ch = recursive_chunks(docs, size, overlap, MARKDOWN_SEPARATORS, length, id_col, text)
-    ch = ch.join(docs.select(id_col, source), id_col)
-    ch = ch.withColumn("point_id", F.sha2(F.concat_ws("|", F.col(source), F.col(id_col).cast("string"),
-                                                      F.col("chunk_index").cast("string")), 256))
-    ch = ch.withColumn("section", section_of(F.col("chunk"))).withColumnRenamed("length", "token_count")
-    emb = hashed_embedding(ch.select("point_id", "chunk"), "point_id", "chunk")
-    return ch.join(emb, "point_id", "left")
+    return chunk_points(ch.join(docs.select(id_col, source), id_col), id_col, source)
 
 
 # ---------------------------------------------------------------------------
 # TXT6 / TXT7 / WIN3: caption cleaning
 # ---------------------------------------------------------------------------
 
+# Fixed value: the time line that opens a cue.
 CUE_TIME = r"^\d{2}:\d{2}:\d{2}\.\d{3}\s*-->"
 # Entity replacements in the order they are applied (S20).
 CAPTION_ENTITIES = [("&gt;", ""), ("&lt;", ""), ("&amp;", "&"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")]
 
 
 def clean_caption_line(line: Column) -> Column:
+    """FUN2: tags stripped, entities replaced, white space squeezed."""
     t = F.regexp_replace(line, "<[^>]+>", "")
     t = F.regexp_replace(t, r"^\s+|\s+$", "")
     for ent, rep in CAPTION_ENTITIES:
@@ -391,7 +398,7 @@ def clean_caption_line(line: Column) -> Column:
 
 
 def clean_captions(lines: DataFrame, file: str = "file", line_no: str = "line_no", line: str = "line") -> DataFrame:
-    """TXT6: caption lines -> one cleaned text per file.
+    """TXT6 / WIN3 / FUN3: caption lines -> one cleaned text per file.
 
     A time line opens a cue, a blank line (after strip) closes it; the last
     non-empty cleaned line of each cue is kept (so text after a blank-looking
@@ -419,6 +426,12 @@ def clean_captions(lines: DataFrame, file: str = "file", line_no: str = "line_no
     return doc.select("file", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def caption_corpus(captions: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
+    """TXT7: the cleaned texts in file order as one corpus, each followed by a
+    blank line (one column, ready for a text writer)."""
+    return captions.orderBy(file).select(F.concat(F.col(text), F.lit("\n")).alias("value"))
+
+
 # ---------------------------------------------------------------------------
 # TXT8 / AGG17: dictionary repair with per-rule counts
 # ---------------------------------------------------------------------------
@@ -551,7 +564,7 @@ def quality_rules(df: DataFrame, key: str, labels: Sequence[str], expected_rows:
 
 
 def diff_versions(a: DataFrame, b: DataFrame) -> DataFrame:
-    """TXT12: rows removed from ``a`` and added in ``b`` (multiset difference)."""
+    """TXT12 / SET3: rows removed from ``a`` and added in ``b`` (multiset difference)."""
     removed = a.exceptAll(b).agg(F.count(F.lit(1)).alias("n")).select(F.lit("removed").alias("change"), "n")
     added = b.exceptAll(a).agg(F.count(F.lit(1)).alias("n")).select(F.lit("added").alias("change"), "n")
     return removed.unionByName(added)

@@ -34,7 +34,7 @@ def hashed_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_DIM) -> DataFrame:
-    """Dense ``(id, embedding array<double>)`` of length ``dim`` (=256) in one
+    """RET9: dense ``(id, embedding array<double>)`` of length ``dim`` (=256) in one
     pass over Arrow batches (no shuffle): tokens, md5 bucket per distinct term
     (memoised per task), counts, L2 normalisation. Rows without tokens are
     dropped. Equal to the sparse form of :func:`hashed_terms`."""
@@ -72,7 +72,7 @@ def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_
 
 def embed(df: DataFrame, text_col: str, model_factory: Callable[[], Callable[[list[str]], np.ndarray]],
           id_col: str = "id", batch: int = 256, prefix: str = "", normalize: bool = True) -> DataFrame:
-    """Pluggable embedder: ``model_factory()`` returns ``texts -> (n, d)``
+    """UDF4: pluggable embedder: ``model_factory()`` returns ``texts -> (n, d)``
     matrix. Batches of ``batch`` texts, optional query prefix (FUN18), float32
     output, L2-normalised; input order inside a partition is kept."""
     id_type = df.schema[id_col].dataType.simpleString()

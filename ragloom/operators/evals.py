@@ -46,10 +46,10 @@ PROVIDER_PRICES = {"hosted": (0.15, 0.60), "local": (0.0, 0.0)}  # per 1M tokens
 
 
 def extraction_eval(outputs: DataFrame, gold: DataFrame) -> DataFrame:
-    """LLM8: score every (dataset, provider) output against its gold labels.
+    """LLM8 / AGG15 / AGG28 / JON8 / JON9: score every (dataset, provider) output against its gold labels.
 
-    ``outputs(dataset, provider, raw, input_tokens, output_tokens)``;
-    ``gold(dataset, tasks array<struct<owner, task_keywords array<string>>>,
+    ``outputs(dataset, provider, raw, input_tokens, output_tokens,
+    latency_ms)``; ``gold(dataset, tasks array<struct<owner, task_keywords array<string>>>,
     valid_owners array<string>, decision_keywords array<array<string>>,
     decisions_count int)``. A gold task is found when some model task has the
     same normalised owner and contains any of its keywords; a hallucinated
@@ -85,7 +85,7 @@ def extraction_eval(outputs: DataFrame, gold: DataFrame) -> DataFrame:
         F.col("input_tokens").cast("bigint").alias("input_tokens"),
         F.col("output_tokens").cast("bigint").alias("output_tokens"),
         (F.col("input_tokens") + F.col("output_tokens")).cast("bigint").alias("total_tokens"),
-        units.cast("bigint").alias("cost_units"),
+        "latency_ms", units.cast("bigint").alias("cost_units"),
         F.size(mt).alias("n_tasks"),
         F.exists(mt, lambda m: F.exists(F.col("valid_owners"), lambda v: (F.lower(v) != norm(m["owner"]))
                                         & (F.instr(norm(m["task"]), F.lower(v)) > 0))).alias("entangled"),
@@ -98,19 +98,20 @@ def usd6(units: Column) -> Column:
 
 def extraction_rollup(scores: DataFrame) -> DataFrame:
     """AGG16: per provider: datasets, valid outputs, task recall (found over
-    total, 4 places), hallucinated owners, decisions, total cost."""
+    total, 4 places), hallucinated owners, decisions, mean latency, total cost."""
     return scores.groupBy("provider").agg(
         F.count(F.lit(1)).alias("datasets"),
         F.sum(F.col("valid_json").cast("int")).cast("bigint").alias("valid_json"),
         F.round(F.sum("tasks_found") / F.sum("tasks_total"), 4).alias("task_recall"),
         F.sum("hallucinated_owners").cast("bigint").alias("hallucinated_owners"),
         F.round(F.sum("decisions_found") / F.sum("decisions_total"), 4).alias("decision_recall"),
+        F.round(F.avg("latency_ms"), 4).alias("mean_latency_ms"),
         usd6(F.sum("cost_units")).alias("cost_usd"),
     )
 
 
 def provider_routing(scores: DataFrame, cheap: str = "local", strong: str = "hosted") -> DataFrame:
-    """LLM9: use the cheap provider's result unless it is invalid JSON, has no
+    """LLM9 / UDF7: use the cheap provider's result unless it is invalid JSON, has no
     tasks or has entangled tasks (a task naming another valid owner); report
     the choice per dataset."""
     c = scores.filter(F.col("provider") == cheap).select(
@@ -282,7 +283,7 @@ def distribution_entropy(df: DataFrame, category: str, by: Sequence[str] = (), e
 
 
 def benchmark_summary(df: DataFrame, size: str, value: str, decimals: int = 4) -> DataFrame:
-    """AGG21: per size mean, sample std (0 for a single run) and the ratio of
+    """AGG21 / WIN5: per size mean, sample std (0 for a single run) and the ratio of
     the mean to the smallest size's mean (with the linear reference
     ``mean0 * size / size0``)."""
     g = df.groupBy(size).agg(F.count(F.lit(1)).alias("runs"), F.avg(value).alias("mean"),
@@ -316,7 +317,7 @@ def result_records(scores: DataFrame, outputs: DataFrame) -> DataFrame:
     return j.select("dataset", "provider", F.to_json(doc).alias("record"))
 
 
-def feature_ratio(amount: Column, income: Column, term: Column, lo: float = 0.0, hi: float = 10.0) -> Column:
-    """FUN19: ``round(amount / (income * term), 3)`` clipped to [lo, hi]."""
-    r = F.round(amount / (income * term), 3)
-    return F.least(F.greatest(r, F.lit(lo)), F.lit(hi))
+def feature_ratio(amount: Column, income: Column, term: Column) -> Column:
+    """FUN19: ``round(amount / (income * term), 3)``; null where the divisor is
+    zero or missing."""
+    return F.round(F.try_divide(amount, income * term), 3)

@@ -61,7 +61,7 @@ def usd_round6(units_sum: Column) -> Column:
 
 
 def logged_requests(requests: DataFrame, price_table: DataFrame) -> DataFrame:
-    """S15: which requests land in the log and with what numbers.
+    """SNK6 / S15: which requests land in the log and with what numbers.
 
     Aborted requests are not logged; cache hits are logged with 0 tokens and
     $0; failed requests are logged with 0 tokens under their initial model.
@@ -88,7 +88,7 @@ def _rate(num: Column, den: Column, places: int = 3) -> Column:
 
 
 def usage_daily(log: DataFrame, as_of_date: str) -> DataFrame:
-    """AGG1 / FIL12: today's totals for every key (UTC date ``as_of_date``)."""
+    """LLM1 / AGG1 / FIL12: today's totals for every key (UTC date ``as_of_date``)."""
     d = log.filter(F.to_date("created_at") == F.lit(as_of_date).cast("date"))
     g = d.groupBy("api_key").agg(
         F.count(F.lit(1)).alias("requests"),
@@ -137,20 +137,32 @@ def index_percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: dict[s
 
 
 def usage_breakdown(log: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
-    """AGG2: per key and model in the last ``hours``: counts, sums, int-truncated
-    averages, rates (3 places), cost (6 places), p50/p95 latency (index form)."""
+    """LLM1 / AGG2 / AGG4: per key and model in the last ``hours``: counts, sums, int-truncated
+    averages, rates (3 places), cost (6 places), p50/p95 latency (index form).
+
+    One scan: rows shrink to one per key, model and latency (map-side), which
+    carries both the sums and the running counts of the percentiles."""
     d = window_filter(log, as_of, hours)
-    g = d.groupBy("api_key", "model").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.sum(F.col("input_tokens") + F.col("output_tokens")).cast("bigint").alias("tokens"),
-        usd_round6(F.sum("cost_units")).alias("cost_usd"),
-        F.sum(F.col("cache_hit").cast("int")).cast("bigint").alias("cache_hits"),
-        F.sum(F.col("fallback_used").cast("int")).cast("bigint").alias("fallback_used"),
-        F.avg("latency_ms").cast("bigint").alias("avg_latency_ms"),
-        F.avg("ttft_ms").cast("bigint").alias("avg_ttft_ms"),
-    )
-    p = index_percentiles(d, ["api_key", "model"], "latency_ms", {"p95_latency_ms": 0.95}, median_name="p50_latency_ms")
-    g = g.join(p, ["api_key", "model"])
+    keys = ["api_key", "model"]
+    hist = d.groupBy(*keys, "latency_ms").agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.sum(F.col("input_tokens") + F.col("output_tokens")).alias("_tokens"), F.sum("cost_units").alias("_cost"),
+        F.sum(F.col("cache_hit").cast("int")).alias("_hits"), F.sum(F.col("fallback_used").cast("int")).alias("_fallback"),
+        F.sum("ttft_ms").alias("_ttft"), F.count("ttft_ms").alias("_ttft_n"))
+    known = F.col("latency_ms").isNotNull()
+    whole = Window.partitionBy(*keys)
+    n = F.when(known, F.col("_c")).otherwise(0)
+    hist = hist.withColumn("_cum", F.sum(n).over(whole.orderBy(F.col("latency_ms").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)))
+    hist = hist.withColumn("_n", F.sum(n).over(whole))
+    at = lambda index: F.min(F.when(known & (F.col("_cum") > index), F.col("latency_ms")))
+    g = hist.groupBy(*keys).agg(
+        F.sum("_c").alias("requests"), F.sum("_tokens").cast("bigint").alias("tokens"),
+        usd_round6(F.sum("_cost")).alias("cost_usd"), F.sum("_hits").cast("bigint").alias("cache_hits"),
+        F.sum("_fallback").cast("bigint").alias("fallback_used"),
+        (F.sum(F.col("latency_ms") * n) / F.max("_n")).cast("bigint").alias("avg_latency_ms"),
+        (F.sum("_ttft") / F.sum("_ttft_n")).cast("bigint").alias("avg_ttft_ms"),
+        at(F.floor(F.col("_n") / 2)).alias("p50_latency_ms"),
+        at(F.when(F.col("_n") > 1, F.floor(F.col("_n") * F.lit(0.95))).otherwise(F.lit(0))).alias("p95_latency_ms"))
     return g.select(
         "api_key", "model", "requests", "tokens", "cost_usd", "cache_hits",
         _rate(F.col("cache_hits"), F.col("requests")).alias("cache_hit_rate"), "fallback_used",
@@ -181,8 +193,29 @@ def usage_rollup(log: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+WINDOW_SLICES = 60
+
+
+def sums_before(df: DataFrame, keys: Sequence[str], slice_col: str, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over the earlier rows of the same
+    ``keys`` by ``order``. ``slice_col`` must not fall along the order; sums
+    run inside slices and start from the totals of the earlier slices."""
+    inside = Window.partitionBy(*keys, slice_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy(*keys, slice_col).agg(F.sum(value).alias("_t"))
+    over = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = over.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, slice_col])],
+                           F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_start"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, slice_col])]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    out = df.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(starts, cond)
+    return out.withColumn(name, (F.col("_in") + F.col("_start")).cast("bigint")).drop("_in", "_start", *[f"_k{i}" for i in range(len(keys) + 1)])
+
+
 def rate_limit_replay(log: DataFrame, tier_table: DataFrame, window_s: int = 60) -> DataFrame:
-    """LLM3: replay the fixed-window token limiter over a request log (S14).
+    """LLM3 / WIN6 / FUN12 / JON6: replay the fixed-window token limiter over a request log (S14).
 
     Bucket = ``floor(epoch / window_s)`` per key; a request is allowed iff the
     tokens charged earlier in its bucket are below the tier limit (so one
@@ -190,8 +223,9 @@ def rate_limit_replay(log: DataFrame, tier_table: DataFrame, window_s: int = 60)
     a full bucket stays full, the plain running sum of earlier charges gives
     the same decisions as charging only allowed requests; ``used_tokens`` is
     the running sum of charges of allowed requests only. Unknown keys are
-    rejected (FIL9, anti-join to the tier table). Windows are partitioned by
-    (key, bucket), so one task never holds more than one key-window.
+    rejected (FIL9, anti-join to the tier table). Running sums are taken in
+    slices of a window and the slices' totals added, so a hot key's window is
+    spread over tasks.
     """
     t = F.broadcast(tier_table.select("api_key", F.col("tokens_per_min").alias("limit")))
     epoch = F.unix_seconds(F.col("created_at"))
@@ -199,10 +233,13 @@ def rate_limit_replay(log: DataFrame, tier_table: DataFrame, window_s: int = 60)
     r = r.withColumn("bucket", F.floor(epoch / window_s).cast("bigint"))
     charge = F.when(F.col("cache_hit") | F.col("aborted"), F.lit(0)).otherwise(F.col("input_tokens") + F.col("output_tokens"))
     r = r.withColumn("charge", charge.cast("bigint"))
-    w = Window.partitionBy("api_key", "bucket").orderBy("created_at", "request_id").rowsBetween(Window.unboundedPreceding, -1)
-    r = r.withColumn("_before", F.coalesce(F.sum("charge").over(w), F.lit(0)))
+    slice_us = max(window_s * 1_000_000 // WINDOW_SLICES, 1)
+    r = r.withColumn("_slice", F.floor(F.unix_micros(F.col("created_at")) / slice_us).cast("bigint"))
+    keys, order = ["api_key", "bucket"], ["created_at", "request_id"]
+    r = sums_before(r, keys, "_slice", order, "charge", "_before")
     r = r.withColumn("allowed", F.col("known_key") & (F.col("_before") < F.col("limit")))
-    r = r.withColumn("used_tokens", F.coalesce(F.sum(F.when(F.col("allowed"), F.col("charge")).otherwise(0)).over(w), F.lit(0)).cast("bigint"))
+    r = r.withColumn("_taken", F.when(F.col("allowed"), F.col("charge")).otherwise(F.lit(0)).cast("bigint"))
+    r = sums_before(r, keys, "_slice", order, "_taken", "used_tokens")
     r = r.withColumn("retry_after_s", F.when(F.col("allowed"), F.lit(0)).otherwise(
         F.lit(window_s) - F.pmod(epoch, F.lit(window_s))).cast("bigint"))
     return r.select("request_id", "api_key", "bucket", "used_tokens", F.col("limit").cast("bigint").alias("limit"),
@@ -218,73 +255,74 @@ def failure_window(calls: DataFrame, window_s: int = 60, key: str = "model", ts:
                    failed: str = "failed", id_col: str = "request_id") -> DataFrame:
     """WIN7: failures of the same key within ``[t - window_s, t]`` at every call.
 
-    Time is cut into buckets of ``window_s``; every failure is copied into its
-    own bucket and the next one (a halo), so each call finds all failures of
-    its window inside its own (key, bucket) partition. No task sees more than
-    two buckets of one key, however hot the key.
+    The count is the failures up to ``t`` minus those before ``t - window_s``:
+    each call puts two markers among the key's failures, and running counts
+    (:func:`sums_before`, in slices of the window) at the markers give both. A
+    hot key is spread over as many tasks as it has slices.
     """
     epoch = F.unix_micros(F.col(ts).cast("timestamp"))
     w_us = window_s * 1_000_000
     base = calls.select(F.col(id_col).alias("id"), F.col(key).alias("key"), epoch.alias("t_us"), F.col(failed).alias("failed"))
-    base = base.withColumn("bucket", F.floor(F.col("t_us") / w_us).cast("bigint"))
-    probes = base.select("id", "key", "bucket", "t_us", F.lit(1).alias("is_call"), F.lit(0).alias("is_fail"))
-    fails = base.filter("failed").select("key", "bucket", "t_us").withColumn(
-        "bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)))
-    fails = fails.select(F.lit(None).cast(base.schema["id"].dataType).alias("id"), "key", "bucket", "t_us",
-                         F.lit(0).alias("is_call"), F.lit(1).alias("is_fail"))
-    u = probes.unionByName(fails)
-    w = Window.partitionBy("key", "bucket").orderBy("t_us").rangeBetween(-w_us, 0)
-    out = u.withColumn("failures_in_window", F.sum("is_fail").over(w)).filter("is_call = 1")
-    return out.select(F.col("id").alias(id_col), F.col("key").alias(key), F.col("failures_in_window").cast("bigint"))
+    # at equal times: markers of window starts, then failures, then calls
+    marks = F.array(
+        F.struct((F.col("t_us") - w_us).alias("t"), F.lit(0).alias("kind"), F.lit(0).alias("fail")),
+        F.struct(F.col("t_us").alias("t"), F.lit(1).alias("kind"), F.coalesce(F.col("failed"), F.lit(False)).cast("int").alias("fail")),
+        F.struct(F.col("t_us").alias("t"), F.lit(2).alias("kind"), F.lit(0).alias("fail")))
+    u = base.select("id", "key", F.explode(marks).alias("m")).select("id", "key", "m.t", "m.kind", "m.fail")
+    u = u.filter((F.col("kind") != 1) | (F.col("fail") == 1)).withColumn("slice", F.floor(F.col("t") / max(w_us // WINDOW_SLICES, 1)).cast("bigint"))
+    u = sums_before(u, ["key"], "slice", ["t", "kind"], "fail", "seen").filter("kind <> 1")
+    out = u.groupBy("id", "key").agg(F.sum(F.when(F.col("kind") == 2, F.col("seen")).otherwise(-F.col("seen"))).alias("n"))
+    return out.select(F.col("id").alias(id_col), F.col("key").alias(key), F.col("n").cast("bigint").alias("failures_in_window"))
 
 
 BREAKER_SCHEMA = "request_id bigint, model string, session bigint, state_before string, skipped boolean, " \
                  "state_after string, recent_failures int, inherits boolean, inherits_after boolean, final_state string"
 
 
+class Breaker:
+    """One model's circuit breaker, call by call (used by the replay and by
+    the stream). At most ``maxlen`` failure times are kept."""
+
+    def __init__(self, threshold: int, window_s: float, open_s: float, maxlen: int, state: str = "CLOSED",
+                 open_until: float = 0.0, failures: Sequence[float] = ()):
+        self.threshold, self.window_s, self.open_s, self.maxlen = threshold, window_s, open_s, maxlen
+        self.state, self.open_until, self.failures = state, open_until, list(failures)
+
+    def call(self, t: float, failed: bool) -> tuple[str, bool, str, int]:
+        """State at the check, whether the call was skipped, state after it,
+        and the failures then held. An OPEN breaker whose time is up turns
+        HALF_OPEN at the check."""
+        if self.state == "OPEN" and t >= self.open_until:
+            self.state = "HALF_OPEN"
+        before = self.state
+        if before != "OPEN":
+            if failed:
+                recent = [x for x in self.failures if x >= t - self.window_s]
+                self.failures = [*recent, t][-self.maxlen:]
+                if len(self.failures) >= self.threshold:
+                    self.state, self.open_until = "OPEN", t + self.open_s
+            else:
+                self.failures, self.state, self.open_until = [], "CLOSED", 0.0
+        return before, before == "OPEN", self.state, len(self.failures)
+
+
 def _breaker_fn(threshold: int, window_s: float, open_s: float, maxlen: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "request_id"], kind="stable")
-        failures: list[float] = []
-        state, open_until = "CLOSED", 0.0
-        out_state_before, out_skip, out_after, out_n, out_inh, out_inh_after = [], [], [], [], [], []
+        breaker = Breaker(threshold, window_s, open_s, maxlen)
+        steps, inherits, inherits_after = [], [], []
         settled = False  # a success or an opening decides the state from here on
-        for t, f in zip(pdf["t"].to_numpy(), pdf["failed"].to_numpy()):
-            # is_open(): an expired OPEN becomes HALF_OPEN before the check
-            if state == "OPEN" and t >= open_until:
-                state = "HALF_OPEN"
-            out_state_before.append(state)
-            if state == "OPEN":
-                out_skip.append(True)
-            else:
-                out_skip.append(False)
-                if f:
-                    while failures and failures[0] < t - window_s:
-                        failures.pop(0)
-                    failures.append(t)
-                    if len(failures) > maxlen:
-                        failures.pop(0)
-                    if len(failures) >= threshold:
-                        state, open_until = "OPEN", t + open_s
-                        settled_now = True
-                    else:
-                        settled_now = False
-                else:
-                    failures.clear()
-                    state, open_until = "CLOSED", 0.0
-                    settled_now = True
-            out_inh.append(not settled)
-            settled = settled or (not out_skip[-1] and settled_now)
-            out_inh_after.append(not settled)
-            out_after.append(state)
-            out_n.append(len(failures))
-        n = len(pdf)
+        for t, failed in zip(pdf["t"].to_numpy(), pdf["failed"].to_numpy()):
+            before, skipped, after, _ = step = breaker.call(float(t), bool(failed))
+            steps.append(step)
+            inherits.append(not settled)
+            settled = settled or (not skipped and (not failed or after == "OPEN"))
+            inherits_after.append(not settled)
         return pd.DataFrame({"request_id": pdf["request_id"].to_numpy(), "model": pdf["model"].to_numpy(),
-                             "session": pdf["session"].to_numpy(), "state_before": out_state_before,
-                             "skipped": out_skip, "state_after": out_after,
-                             "recent_failures": np.asarray(out_n, dtype=np.int32), "inherits": out_inh,
-                             "inherits_after": out_inh_after,
-                             "final_state": [state if settled else None] * n})
+                             "session": pdf["session"].to_numpy(), "state_before": [x[0] for x in steps],
+                             "skipped": [x[1] for x in steps], "state_after": [x[2] for x in steps],
+                             "recent_failures": np.asarray([x[3] for x in steps], dtype=np.int32), "inherits": inherits,
+                             "inherits_after": inherits_after, "final_state": [breaker.state if settled else None] * len(pdf)})
 
     return run
 
@@ -476,7 +514,7 @@ def leak_scan(text: Column, markers=None) -> Column:
 
 def guard(df: DataFrame, text_col: str = "text", max_chars: int = MAX_INPUT_CHARS,
           prior_reason: Column | None = None) -> DataFrame:
-    """LLM6 / FIL10: adds ``too_long``, ``pattern``, ``snippet`` and the first
+    """LLM6 / FIL6 / FIL10: adds ``too_long``, ``pattern``, ``snippet`` and the first
     failing ``reject_reason`` (earlier gates such as auth and rate limit come
     in through ``prior_reason``; cheap checks run first)."""
     t = F.col(text_col)
@@ -495,28 +533,47 @@ def guard(df: DataFrame, text_col: str = "text", max_chars: int = MAX_INPUT_CHAR
 
 
 def inflight(intervals: DataFrame, start: str = "start_ts", end: str = "end_ts", id_col: str = "request_id",
-             bucket_s: int = 3600) -> DataFrame:
+             bucket_s: int = 60, span_buckets: int = 1440) -> DataFrame:
     """AGG24: concurrency level right after every start event.
 
     Sweep over +1 (start) / -1 (end) events, ends first at equal times. The
-    running sum is computed per time bucket starting from the bucket's offset
-    (a prefix sum over one net count per bucket), so no task holds more than
-    one bucket of events.
+    running sum is computed per time bucket starting from the bucket's offset;
+    offsets are prefix sums of net counts in two levels (buckets of a span,
+    then one row per span), so no task holds more than one bucket of events or
+    one span of buckets.
     """
     s = F.unix_micros(F.col(start).cast("timestamp"))
     e = F.unix_micros(F.col(end).cast("timestamp"))
     ev = intervals.select(F.col(id_col).alias("id"), s.alias("t"), F.lit(1).alias("d")).unionByName(
         intervals.select(F.col(id_col).alias("id"), e.alias("t"), F.lit(-1).alias("d")))
     ev = ev.withColumn("bucket", F.floor(F.col("t") / (bucket_s * 1_000_000)).cast("bigint"))
-    net = ev.groupBy("bucket").agg(F.sum("d").alias("net"))
-    offs = net.select("bucket", F.coalesce(F.sum("net").over(
-        Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    ev = ev.join(F.broadcast(offs), "bucket")
+    net = ev.groupBy("bucket").agg(F.sum("d").alias("net")).withColumn("span", F.floor(F.col("bucket") / span_buckets).cast("bigint"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    spans = net.groupBy("span").agg(F.sum("net").alias("span_net"))
+    spans = spans.select("span", F.coalesce(F.sum("span_net").over(before(Window.orderBy("span"))), F.lit(0)).alias("span_start"))
+    offs = net.withColumn("_in", F.coalesce(F.sum("net").over(before(Window.partitionBy("span").orderBy("bucket"))), F.lit(0)))
+    offs = offs.join(spans, "span").select("bucket", (F.col("span_start") + F.col("_in")).alias("offset"))
+    ev = ev.join(offs, "bucket")
     w = Window.partitionBy("bucket").orderBy("t", "d", "id").rowsBetween(Window.unboundedPreceding, 0)
     ev = ev.withColumn("level", F.col("offset") + F.sum("d").over(w))
     return ev.filter(F.col("d") == 1).select(F.col("id").alias(id_col), F.col("level").cast("bigint"))
 
 
+def service_gauges(log: DataFrame, as_of: str, ttl_s: int = 3600) -> DataFrame:
+    """AGG25: counters per model at a moment: requests so far, cache hits and
+    misses, streams that are running (their latency is not over) and cache
+    entries that live (stored by a miss that was answered, within the TTL)."""
+    now = F.lit(as_of).cast("timestamp")
+    r = log.filter(F.col("created_at") <= now)
+    age_us = F.unix_micros(now) - F.unix_micros("created_at")
+    miss = ~F.col("cache_hit") & ~F.col("failed") & ~F.col("aborted")
+    n = lambda c: F.sum(c.cast("int")).cast("bigint")
+    return r.groupBy("model").agg(
+        F.count(F.lit(1)).alias("total"), n(F.col("cache_hit")).alias("hits"), n(~F.col("cache_hit")).alias("misses"),
+        n(F.col("aborted")).alias("aborted"), n(age_us < F.col("latency_ms") * 1_000_000).alias("active_streams"),
+        n(miss & (age_us < ttl_s * 1_000_000)).alias("live_entries"))
+
+
 # ---------------------------------------------------------------------------
 # LLM7 trace assembly
 # ---------------------------------------------------------------------------
@@ -656,7 +713,7 @@ def sse_event(kind: Column | str, payload: Column) -> Column:
 
 def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
                             ts: str = "created_at", vec: str = "embedding", decimals: int = 6, bucket_s: int | None = None,
-                            target_group_rows: int = 2000, max_rounds: int = 50) -> DataFrame:
+                            target_group_rows: int = 2000, entries: DataFrame | None = None) -> DataFrame:
     """LLM2, sequential form (the service's behaviour): only misses store an
     entry, so a hit depends on earlier answers.
 
@@ -665,13 +722,18 @@ def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s:
     goes; entries copied in from other cells or from the previous bucket use
     the flags computed for them in the previous round (all stored in round 0).
     Rounds repeat until no flag changes; the fixed point is the sequential
-    answer (a request's flag only depends on earlier requests). Each round is
-    checkpointed; more than ``max_rounds`` rounds is an error, never a silent
-    approximation. Output adds ``rounds``.
+    answer (a request's flag only depends on earlier requests, so every round
+    settles at least the next one of each chain). Each round is checkpointed.
+    ``entries`` (same columns) are stored before the replay begins and answer
+    no requests. Output adds ``rounds``.
     """
     from .retrieval import _prepare, _stack, nearest_rows
 
-    base = requests.select(F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v"))
+    columns = [F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v")]
+    asked = requests.select(*columns)
+    base = asked.withColumn("old", F.lit(False))
+    if entries is not None:
+        base = base.unionByName(entries.select(*columns).withColumn("old", F.lit(True)))
     st = base.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("t")).alias("lo"), F.max(F.unix_seconds("t")).alias("hi")).first()
     n = int(np.floor(np.sqrt(st["n"] or 0) + 0.5)) or 1
     if bucket_s is None:
@@ -681,15 +743,15 @@ def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s:
     bucket_s = max(int(bucket_s), ttl_s)
     cents = _cache_centroids(base, n)
     cents = cents.checkpoint(eager=True)
-    own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"])
-    own = own.select("rid", F.col("near_key").alias("cell"), "t", "v",
+    own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v", "old"])
+    own = own.select("rid", F.col("near_key").alias("cell"), "t", "v", "old",
                      F.acos(F.least(F.greatest(F.col("near_score"), F.lit(-1.0)), F.lit(1.0))).alias("ang"))
     reach = float(np.arccos(max(-1.0, min(1.0, threshold - 10.0 ** -decimals)))) + 1e-9
     floors = own.groupBy("cell").agg(F.max("ang").alias("radius")).select(
         "cell", F.cos(F.least(F.col("radius") + F.lit(reach), F.lit(float(np.pi)))).alias("floor"))
     replicas = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"], floors=floors)
     bucket = lambda c: F.floor(F.unix_seconds(c) / bucket_s).cast("bigint")
-    q = own.select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v").checkpoint(eager=True)
+    q = own.filter(~F.col("old")).select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v").checkpoint(eager=True)
     e = replicas.select(F.col("near_key").alias("cell"), F.col("rid").alias("eid"), F.col("t").alias("et"), F.col("v").alias("ev"),
                         F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket"))
     e = e.join(q.select("cell", "bucket").distinct(), ["cell", "bucket"], "left_semi").checkpoint(eager=True)
@@ -734,7 +796,8 @@ def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s:
     flags = None
     res = None
     rounds = 0
-    for rounds in range(1, max_rounds + 1):
+    while True:
+        rounds += 1
         er = e if flags is None else e.join(flags, "eid", "left")
         er = er.withColumn("stored_prev", F.coalesce(F.col("stored_prev"), F.lit(True))) if flags is not None \
             else er.withColumn("stored_prev", F.lit(True))
@@ -747,9 +810,7 @@ def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s:
             if changed.isEmpty():
                 break
         flags = new_flags.checkpoint(eager=True)
-    else:
-        raise RuntimeError(f"sequential cache replay did not converge in {max_rounds} rounds")
-    out = base.select("rid", "t").join(res, "rid", "left")
+    out = asked.select("rid", "t").join(res, "rid", "left")
     return out.select(
         F.col("rid").alias(id_col), F.col("hit"),
         F.when(F.col("hit"), F.col("eid")).alias("matched_request_id"),

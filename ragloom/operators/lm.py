@@ -32,12 +32,12 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """FUN21: characters -> ids in order (unknown characters dropped, as when
-    serving); one array per document."""
-    # the vocabulary is bounded by the number of distinct code points
-    v = vocab.select("ch", F.col("id").alias("tok"))
-    c = chars(docs, id_col, text).join(F.broadcast(v), "ch")
-    per_doc = c.groupBy(F.col("id").alias(id_col)).agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_p"))
-    return per_doc.select(id_col, F.transform("_p", lambda x: x["tok"]).alias("ids"))
+    serving); one array per document, made in place. The vocabulary (at most
+    one entry per code point) travels with the rows as one string of characters
+    in id order, and a character's id is its place there."""
+    alphabet = vocab.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "ch"))), lambda x: x["ch"]), "").alias("_a"))
+    places = F.transform(F.split(F.col(text), ""), lambda c: F.when(F.length(c) > 0, F.instr(F.col("_a"), c) - 1).otherwise(F.lit(-1)))
+    return docs.join(F.broadcast(alphabet), F.lit(True)).select(F.col(id_col), F.filter(places, lambda x: x >= 0).alias("ids"))  # one row
 
 
 def pairs(docs: DataFrame, train_fraction: float = 0.9, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -59,35 +59,6 @@ def pair_counts(pair_rows: DataFrame) -> DataFrame:
     return pair_rows.groupBy("split", "ch", "next").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def doc_pair_counts(docs: DataFrame, train_fraction: float = 0.9, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Same counts as ``pair_counts(pairs(docs))`` computed inside each task:
-    every document's characters are paired with numpy and counted, and each
-    partition emits its own (split, ch, next, cnt) table (bounded by 2 x V^2),
-    which a final ``groupBy`` sums. Characters are code points."""
-    import numpy as np
-    import pandas as pd
-
-    def fn(batches):
-        for pdf in batches:
-            parts = []
-            for t in pdf[text].tolist():
-                if not t or len(t) < 2:
-                    continue
-                c = np.array(list(t), dtype=object)
-                n = len(c)
-                train = np.arange(1, n) < n * train_fraction
-                parts.append(pd.DataFrame({"split": np.where(train, "train", "val"), "ch": c[:-1], "next": c[1:]}))
-            if parts:
-                allp = pd.concat(parts, ignore_index=True)
-                g = allp.groupby(["split", "ch", "next"], sort=False).size().reset_index(name="cnt")
-                yield g.astype({"cnt": "int64"})
-
-    from .common import ensure_parallel
-
-    local = ensure_parallel(docs.select(text)).mapInPandas(fn, "split string, ch string, next string, cnt long")
-    return local.groupBy("split", "ch", "next").agg(F.sum("cnt").alias("cnt"))
-
-
 def bigram_model(counts: DataFrame, vocab_size) -> DataFrame:
     """ML15: add-one smoothed next-character probabilities from the train
     counts: ``(ch, next, cnt, ch_cnt, p)``; an unseen pair of a known context
@@ -145,10 +116,8 @@ def training_blocks(ids: DataFrame, block: int = 128, id_col: str = "doc_id", st
 
 
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """FUN21: token ids back to text; ids missing from the vocabulary are
-    dropped (the serving rule). The vocabulary (bounded by the number of
-    distinct characters) is broadcast; each document is regrouped on its own."""
-    v = F.broadcast(vocab.select(F.col("id").alias("tok"), "ch"))
-    e = ids.select(id_col, F.posexplode("ids").alias("pos", "tok")).join(v, "tok")
-    g = e.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "ch"))).alias("_c"))
-    return g.select(id_col, F.array_join(F.transform("_c", lambda x: x["ch"]), "").alias("text"))
+    """FUN21: token ids back to text, in place; ids missing from the vocabulary
+    are dropped (the serving rule)."""
+    known = vocab.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "ch"))), lambda x: x["ch"]).alias("_k"))
+    chars_of = F.transform("ids", lambda i: F.try_element_at(F.col("_k"), i + 1))
+    return ids.join(F.broadcast(known), F.lit(True)).select(id_col, F.array_join(chars_of, "").alias("text"))  # one row

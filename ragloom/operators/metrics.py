@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 def retrieval_metrics(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = (1, 5, 10), by: Sequence[str] = (),
                       qid: str = "qid", did: str = "did", rank: str = "rank", decimals: int = 4) -> DataFrame:
-    """RET11 / AGG8 / AGG9: one row of metrics per ``by`` group.
+    """RET11 / AGG8 / AGG9 / JON2: one row of metrics per ``by`` group.
 
     ``qrels`` lists the relevant ``(qid, did)`` pairs (plus the ``by`` columns
     when the evaluation universe differs per group); its distinct queries are
@@ -50,17 +50,21 @@ def retrieval_metrics(ranked: DataFrame, qrels: DataFrame, ks: Sequence[int] = (
     return per_q.groupBy(*by).agg(F.count(F.lit(1)).alias("n_queries"), *out)
 
 
-def recall_vs_exact(approx: DataFrame, exact: DataFrame, k: int = 10, by: Sequence[str] = (), qid: str = "qid",
-                    did: str = "did", rank: str = "rank", decimals: int = 4) -> DataFrame:
-    """AGG10 / JON3: overlap of an approximate top-k with the exact top-k,
-    over ``min(k, |exact|)``; queries with an empty exact set are skipped (S4)."""
-    by = list(by)
+def recall_vs_exact(approx: DataFrame, exact: DataFrame, k: int = 10, by: str | None = None, values: Sequence = (),
+                    qid: str = "qid", did: str = "did", rank: str = "rank", decimals: int = 4) -> DataFrame:
+    """AGG10 / JON3 / SET2: overlap of an approximate top-k with the exact top-k,
+    over ``min(k, |exact|)``. Every query with an exact result counts, one
+    without any approximate result as 0; queries with an empty exact set are
+    skipped (S4). ``by`` names a column of settings in ``approx`` and
+    ``values`` lists the settings to compare."""
     ex = exact.filter(F.col(rank) <= k).select(F.col(qid).alias("qid"), F.col(did).alias("did"))
     ex_n = ex.groupBy("qid").agg(F.count(F.lit(1)).alias("n_exact"))
+    if by:
+        ex_n = ex_n.withColumn(by, F.explode(F.array(*[F.lit(v) for v in values])))
+    by = [by] if by else []
     ap = approx.filter(F.col(rank) <= k).select(*by, F.col(qid).alias("qid"), F.col(did).alias("did"))
     inter = ap.join(ex, ["qid", "did"]).groupBy(*by, "qid").agg(F.count(F.lit(1)).alias("n_common"))
-    universe = ap.select(*by, "qid").distinct().join(ex_n, "qid")
-    per_q = universe.join(inter, [*by, "qid"], "left").fillna(0, ["n_common"])
+    per_q = ex_n.join(inter, [*by, "qid"], "left").fillna(0, ["n_common"])
     return per_q.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_queries"),
         F.round(F.avg(F.col("n_common") / F.least(F.lit(k), F.col("n_exact"))), decimals).alias(f"recall_vs_exact_at_{k}"),
@@ -143,13 +147,14 @@ def max_per_family(df: DataFrame, family: str, value: str) -> DataFrame:
 
 
 def compare_to_baseline(baseline: DataFrame, variants: DataFrame, size: str, retriever: str, metrics: Sequence[str],
-                        decimals: int = 4) -> DataFrame:
+                        order: Sequence[str], decimals: int = 4) -> DataFrame:
     """JON14: first row per (size, retriever) of the union of baseline and
-    variant results, each joined with the baseline row of its size."""
-    u = baseline.unionByName(variants, allowMissingColumns=True).withColumn("_pos", F.monotonically_increasing_id())
-    w = Window.partitionBy(size, retriever).orderBy("_pos")
-    first = u.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_pos")
-    base = baseline.groupBy(size).agg(*[F.first(m).alias(f"base_{m}") for m in metrics])
+    variant results (baseline rows first, then by ``order``), each joined with
+    the first baseline row of its size."""
+    listed = baseline.withColumn("_list", F.lit(0)).unionByName(variants.withColumn("_list", F.lit(1)), allowMissingColumns=True)
+    w = Window.partitionBy(size, retriever).orderBy("_list", *order)
+    first = listed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_list")
+    base = baseline.groupBy(size).agg(*[F.min_by(m, F.struct(*order)).alias(f"base_{m}") for m in metrics])
     out = first.join(base, size, "left")
     for m in metrics:
         out = out.withColumn(f"delta_{m}", F.round(F.col(m) - F.col(f"base_{m}"), decimals))

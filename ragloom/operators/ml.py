@@ -24,7 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .evals import binary_metrics
+from .common import stored
+from .evals import binary_metrics, feature_ratio, rule_score
 
 
 def preprocessor(numeric: Sequence[str], categorical: Sequence[str] = ()) -> list:
@@ -32,7 +33,7 @@ def preprocessor(numeric: Sequence[str], categorical: Sequence[str] = ()) -> lis
     categorical columns with unknown values kept in their own slot."""
     numeric, categorical = list(numeric), list(categorical)
     imp = [f"{c}__imp" for c in numeric]
-    stages = [Imputer(strategy="median", inputCols=numeric, outputCols=imp)]
+    stages = [Imputer(strategy="median", relativeError=0.0, inputCols=numeric, outputCols=imp)]
     stages.append(VectorAssembler(inputCols=imp, outputCol="num_vec"))
     stages.append(StandardScaler(inputCol="num_vec", outputCol="num_scaled", withMean=True, withStd=True))
     cat_out = []
@@ -52,9 +53,9 @@ class ModelConfig:
 
 # The three learners and their settings (ML6-ML8).
 DEFAULT_CONFIGS = [
-    ModelConfig("logistic_regression", {"C": 1.0, "maxIter": 100}),
-    ModelConfig("random_forest", {"numTrees": 50, "maxDepth": 5}),
-    ModelConfig("gradient_boosting", {"maxIter": 20, "maxDepth": 3, "stepSize": 0.1}),
+    ModelConfig("logistic_regression", {"C": 1.0, "maxIter": 1000}),
+    ModelConfig("random_forest", {"numTrees": 200, "maxDepth": 8}),
+    ModelConfig("gradient_boosting", {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1}),
 ]
 
 
@@ -74,9 +75,9 @@ def _learner(cfg: ModelConfig, n_train: int, label: str, seed: int):
 
 def _ml_layout(df: DataFrame) -> DataFrame:
     """Iterative learners aggregate over every partition per iteration: merge
-    tiny partitions (no shuffle) down to about twice the cluster's cores."""
-    cap = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(cap) if df.rdd.getNumPartitions() > cap else df
+    tiny partitions (no shuffle) down to about twice the cluster's cores.
+    ``coalesce`` leaves an input with fewer partitions as it is."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def run_experiments(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
@@ -107,11 +108,45 @@ def run_experiments(df: DataFrame, label: str, numeric: Sequence[str], categoric
     return runs, models
 
 
-def best_run(runs: DataFrame, split: str = "test", metric: str = "f1") -> DataFrame:
-    """AGG26 / S24: the run with the highest metric on ``split``, first run
-    (lowest position) on ties."""
-    r = runs.filter(F.col("split") == split)
-    return r.agg(F.max_by(F.struct("run_id", "model", metric), F.struct(F.col(metric), -F.col("pos"))).alias("b")).select("b.*")
+def best_run(runs: DataFrame, split: str | None = "test", metric: str = "f1", by: Sequence[str] = ()) -> DataFrame:
+    """AGG26 / S24: the run with the highest metric on ``split`` (per ``by``
+    group), first run (lowest position) on ties."""
+    r = runs.filter(F.col("split") == split) if split is not None else runs
+    best = F.max_by(F.struct("run_id", "model", metric), F.struct(F.col(metric), -F.col("pos"))).alias("b")
+    return r.groupBy(*by).agg(best).select(*by, "b.*")
+
+
+def cross_validate(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
+                   config: ModelConfig | None = None, fold_col: str = "fold", seed: int = 42) -> DataFrame:
+    """ML9 (ML5, ML6 by default): per fold, fit the pipeline on the other folds and score this one:
+    ``(fold, n, accuracy, precision, recall, f1)``."""
+    config = config or DEFAULT_CONFIGS[0]
+    df = _ml_layout(df).persist()
+    out = None
+    for fold in sorted(r[0] for r in df.select(fold_col).distinct().collect()):  # a handful of folds
+        train = df.filter(F.col(fold_col) != fold)
+        model = Pipeline(stages=preprocessor(numeric, categorical) + [_learner(config, train.count(), label, seed)]).fit(train)
+        one = binary_metrics(model.transform(df.filter(F.col(fold_col) == fold)), label, "prediction", by=[fold_col])
+        one = stored(one, "fold-metrics")  # one row
+        out = one if out is None else out.unionByName(one)
+    df.unpersist()
+    return out
+
+
+def preprocess_statistics(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), split_col: str = "split") -> DataFrame:
+    """ML4 / ML5: what the preprocessing learns from the train split, as rows
+    ``(feature, statistic, value)``: median, mean and scale of each numeric
+    column, width of each one-hot block (unknown values have a slot)."""
+    spark = df.sparkSession
+    fitted = Pipeline(stages=preprocessor(numeric, categorical)).fit(df.filter(F.col(split_col) == "train"))
+    imputer, scaler = fitted.stages[0], fitted.stages[2]
+    medians = imputer.surrogateDF.first()
+    rows = []
+    for i, c in enumerate(numeric):
+        rows += [(c, "median", float(medians[c])), (c, "mean", float(scaler.mean[i])), (c, "scale", float(scaler.std[i]))]
+    encoders = [s for s in fitted.stages if hasattr(s, "categorySizes")]
+    rows += [(c, "width", float(e.categorySizes[0])) for c, e in zip(categorical, encoders, strict=True)]
+    return spark.createDataFrame([(f, s, round(v, 6)) for f, s, v in rows], "feature string, statistic string, value double")
 
 
 def feature_importances(model: PipelineModel, names: Sequence[str], spark: SparkSession) -> DataFrame:
@@ -143,35 +178,33 @@ def score(model: PipelineModel, df: DataFrame, positive: str = "approved", negat
 # ---------------------------------------------------------------------------
 
 
-def register(models: DataFrame | None, spark: SparkSession, name: str, run_id: str, f1: float, ts: float) -> DataFrame:
-    """New version = number of versions of ``name`` + 1."""
-    schema = "name string, version int, run_id string, f1 double, created double"
+def register_runs(runs: DataFrame, models: DataFrame | None = None) -> DataFrame:
+    """ML13: add runs ``(name, run_id, f1, created)`` to the models table: within a
+    name, versions go on from the highest one, by creation time."""
+    w = Window.partitionBy("name").orderBy("created", "run_id")
+    new = runs.select("name", F.row_number().over(w).alias("version"), "run_id", "f1", "created")
     if models is None:
-        models = spark.createDataFrame([], schema)
-    n = models.filter(F.col("name") == name).count()
-    return models.unionByName(spark.createDataFrame([(name, n + 1, run_id, float(f1), float(ts))], schema))
+        return new
+    last = models.groupBy("name").agg(F.max("version").alias("_last"))
+    new = new.join(last, "name", "left").withColumn("version", F.col("version") + F.coalesce("_last", F.lit(0))).drop("_last")
+    return models.unionByName(new)
 
 
-def set_alias(aliases: DataFrame | None, spark: SparkSession, name: str, alias: str, version: int) -> DataFrame:
-    """Alias upsert: one version per (name, alias)."""
-    schema = "name string, alias string, version int"
-    new = spark.createDataFrame([(name, alias, int(version))], schema)
-    if aliases is None:
-        return new
-    return aliases.join(new.select("name", "alias"), ["name", "alias"], "left_anti").unionByName(new)
+def set_alias(aliases: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Alias upsert of rows ``(name, alias, version)``: one version per name and
+    alias."""
+    new = new.select("name", "alias", F.col("version").cast("int").alias("version"))
+    return new if aliases is None else aliases.join(new.select("name", "alias"), ["name", "alias"], "left_anti").unionByName(new)
 
 
-def promote(models: DataFrame, aliases: DataFrame, spark: SparkSession, name: str, src: str = "staging",
-            dst: str = "production") -> tuple[DataFrame, bool]:
-    """Move ``dst`` to the ``src`` version iff its F1 >= the current ``dst``
-    F1 (or no ``dst`` exists)."""
-    f1 = aliases.filter(F.col("name") == name).join(models, ["name", "version"]).select("alias", "version", "f1").collect()
-    cur = {r["alias"]: (r["version"], r["f1"]) for r in f1}
-    if src not in cur:
-        return aliases, False
-    if dst in cur and cur[src][1] < cur[dst][1]:
-        return aliases, False
-    return set_alias(aliases, spark, name, dst, cur[src][0]), True
+def promote(models: DataFrame, aliases: DataFrame, src: str = "staging", dst: str = "production") -> DataFrame:
+    """For every name, move ``dst`` to the ``src`` version iff its F1 is not
+    lower than that of the current ``dst`` version (or there is none)."""
+    scored = aliases.join(models.select("name", "version", "f1"), ["name", "version"])
+    cur = scored.groupBy("name").agg(
+        *[F.max(F.when(F.col("alias") == a, F.struct("f1", "version"))).alias(n) for n, a in (("s", src), ("d", dst))])
+    moved = cur.filter(F.col("s").isNotNull() & (F.col("d").isNull() | (F.col("s.f1") >= F.col("d.f1"))))
+    return set_alias(aliases, moved.select("name", F.lit(dst).alias("alias"), F.col("s.version").alias("version")))
 
 
 def versions_by_alias(models: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -211,22 +244,35 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 3, restarts
     return assigned, prof.withColumn("training_cost", F.lit(round(float(best[0]), 4)))
 
 
-def synthetic_credit_table(spark: SparkSession, n: int, seed: int = 42, noise: float = 0.08) -> DataFrame:
-    """ML1: a generated credit table with the source's rules (uniform ages and
-    terms, clipped normal incomes and amounts, Poisson(0.5) delinquencies by
-    inverse CDF, debt-to-income ratio, weighted approval rule >= 3.5, labels
-    flipped with probability ``noise``). Same rules, not the same draws."""
-    u = lambda i: F.rand(seed + i)
-    d = spark.range(n).select(
-        (F.floor(u(1) * 48) + 21).cast("int").alias("age"),
-        F.greatest(F.lit(8000), F.least(F.lit(200000), F.round(F.randn(seed + 2) * 15000 + 45000))).cast("int").alias("monthly_income"),
-        F.least(F.lit(5), F.when(u(3) < 0.6065, 0).when(u(3) < 0.9098, 1).when(u(3) < 0.9856, 2).when(u(3) < 0.9982, 3)
-                .otherwise(4)).cast("int").alias("num_delinquencies"),
-        F.element_at(F.array(*[F.lit(x) for x in (6, 12, 24, 36, 48, 60)]), (F.floor(u(4) * 6) + 1).cast("int")).alias("credit_term_months"),
-        F.greatest(F.lit(5000), F.least(F.lit(500000), F.round(F.randn(seed + 5) * 40000 + 100000))).cast("int").alias("credit_amount"),
-        u(6).alias("_flip"))
-    d = d.withColumn("debt_to_income", F.round(F.col("credit_amount") / (F.col("monthly_income") * F.col("credit_term_months")), 3))
-    score = ((F.col("monthly_income") > 40000).cast("double") * 1.5 + (F.col("num_delinquencies") == 0).cast("double") * 2.0
-             + (F.col("debt_to_income") < 0.3).cast("double") * 1.0 + ((F.col("age") >= 25) & (F.col("age") <= 60)).cast("double") * 0.5)
+# Terms in months, Poisson(0.5) cumulative probabilities.
+CREDIT_TERMS = [6, 12, 24, 36, 48, 60]
+POISSON_HALF = [0.60653066, 0.90979599, 0.98561232, 0.99824838, 0.99982788, 0.99998584]
+
+
+def credit_table(draws: DataFrame, noise: float = 0.08) -> DataFrame:
+    """ML1: the credit table from uniform draws ``u1 .. u8`` in (0, 1) per row
+    (other columns stay): age 20 to 65; income normal (35000, 15000) within
+    5000 and 120000, whole; delinquencies Poisson(0.5) up to 10; term; amount of
+    1 to 8 incomes, whole; debt to income (FUN19); approved when the weighted
+    rule (FIL13) reaches 3.5, flipped with probability ``noise``."""
+    normal = F.sqrt(-2 * F.log("u2")) * F.cos(2 * F.lit(3.141592653589793) * F.col("u3"))
+    delinquencies = F.lit(0)
+    for p in POISSON_HALF:
+        delinquencies = delinquencies + (F.col("u4") >= p).cast("int")
+    terms = F.array(*[F.lit(t) for t in CREDIT_TERMS])
+    d = draws.withColumns({
+        "age": (F.floor(F.col("u1") * 46) + 20).cast("int"),
+        "monthly_income": F.floor(F.greatest(F.lit(5000.0), F.least(F.lit(120000.0), 35000 + 15000 * normal))).cast("bigint"),
+        "num_delinquencies": F.least(delinquencies, F.lit(10)),
+        "credit_term_months": F.element_at(terms, (F.floor(F.col("u5") * 6) + 1).cast("int"))})
+    d = d.withColumn("credit_amount", F.floor(F.col("monthly_income") * (1 + 7 * F.col("u6"))).cast("bigint"))
+    d = d.withColumn("debt_to_income", feature_ratio(F.col("credit_amount"), F.col("monthly_income"), F.col("credit_term_months")))
+    score = rule_score([(F.col("monthly_income") > 20000, 1.5), (F.col("num_delinquencies") == 0, 2.0), (F.col("debt_to_income") < 0.3, 1.5),
+                        (F.col("age") > 25, 0.5), (F.col("credit_term_months") <= 36, 0.5)])
     label = (score >= 3.5).cast("int")
-    return d.withColumn("approved", F.when(F.col("_flip") < noise, 1 - label).otherwise(label)).drop("_flip")
+    return d.withColumn("approved", F.when(F.col("u7") < noise, 1 - label).otherwise(label)).drop(*[f"u{i}" for i in range(1, 9)])
+
+
+def synthetic_credit_table(spark: SparkSession, n: int, seed: int = 42, noise: float = 0.08) -> DataFrame:
+    """ML1: ``n`` rows of :func:`credit_table` with random draws."""
+    return credit_table(spark.range(n).select(*[(F.rand(seed + i) * 0.999999 + 5e-7).alias(f"u{i}") for i in range(1, 9)]), noise)

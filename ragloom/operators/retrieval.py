@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from .common import ensure_parallel, global_row_number
+from .common import ensure_parallel, global_row_number, stored
 
 # ---------------------------------------------------------------------------
 # WIN1 / SRT1: top-k per group
@@ -25,7 +25,7 @@ from .common import ensure_parallel, global_row_number
 
 def topk_per_group(df: DataFrame, k: int, group: Sequence[str], score: str = "score", tie: str = "did",
                    rank_col: str = "rank", decimals: int | None = 6) -> DataFrame:
-    """Keep the best ``k`` rows per group by ``score`` desc, ``tie`` asc.
+    """WIN1 / SRT1: keep the best ``k`` rows per group by ``score`` desc, ``tie`` asc.
 
     ``row_number() <= k`` is planned as a partial ``WindowGroupLimit`` before
     the shuffle and a final one after it, so at most ``k`` rows per group and
@@ -42,7 +42,8 @@ def topk_per_group(df: DataFrame, k: int, group: Sequence[str], score: str = "sc
 # RET1 / RET15: exact dense top-k
 # ---------------------------------------------------------------------------
 
-DEFAULT_BLOCK_BYTES = 256 << 20  # largest query block shipped to every task
+DEFAULT_BLOCK_BYTES = 64 << 20  # largest block shipped to every task
+TILE_SCORES = 4 << 20  # scores held at a time: rows x queries
 
 
 def _stack(col: pd.Series) -> np.ndarray:
@@ -84,14 +85,16 @@ def _merge_topk(gi: np.ndarray, qi: np.ndarray, dd: np.ndarray, sc: np.ndarray,
 def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine",
                qid: str = "qid", qvec: str = "embedding", did: str = "did", dvec: str = "embedding",
                by: str | None = None, decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
-    """RET1: exact top-k of every query over the whole corpus.
+    """RET1 / RET15: exact top-k of every query over the whole corpus.
 
     The corpus is never shuffled: each task scores its own Arrow batches
-    against a broadcast block of query vectors with one matrix product and keeps
-    a running exact top-k per query (at most ``k`` rows per query leave a task).
-    A final ``row_number`` merge per query picks the global top-k (planned as a
-    partial + final ``WindowGroupLimit``). The query side is shipped in blocks
-    of at most ``block_bytes``; a larger query set runs block by block.
+    against a broadcast block of query vectors, tile by tile (at most
+    ``TILE_SCORES`` scores are held), and keeps a running exact top-k per query
+    (at most ``k`` rows per query leave a task). A final ``row_number`` merge
+    per query picks the global top-k (planned as a partial + final
+    ``WindowGroupLimit``). The query side is shipped in blocks of at most
+    ``block_bytes``; a larger query set takes one pass over the corpus per
+    block.
 
     ``by`` names an integer corpus column (e.g. a subset size): top-k is then
     kept per ``(by, qid)``, so several nested corpora are searched in one pass.
@@ -134,21 +137,23 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str =
                 if len(pdf_docs) == 0:
                     continue
                 dm = _prepare(_stack(pdf_docs["_dv"]), metric)
-                s_all = np.round(_score_block(metric, dm, qm, q_sq), decimals)
                 grp = pdf_docs["_grp"].to_numpy(dtype=np.int64) if "_grp" in pdf_docs else np.zeros(len(pdf_docs), np.int64)
                 dids = pdf_docs["did"].to_numpy()
+                step = max(1, TILE_SCORES // len(dm))
                 for g in np.unique(grp):
                     sel = np.flatnonzero(grp == g)
-                    s = s_all[sel]
-                    kk = min(k, s.shape[0])
-                    # tie-inclusive candidates per query: every score >= k-th best
-                    kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
-                    rows, cols = np.nonzero(s >= kth[None, :])
-                    new_d = dids[sel][rows]
-                    acc_d = new_d if acc_d is None else np.concatenate([acc_d, new_d])
-                    acc_g = np.concatenate([acc_g, np.full(rows.size, g, dtype=np.int64)])
-                    acc_q = np.concatenate([acc_q, cols.astype(np.int64)])
-                    acc_s = np.concatenate([acc_s, s[rows, cols]])
+                    own = dm if len(sel) == len(dm) else dm[sel]
+                    for q0 in range(0, len(qm), step):
+                        s = np.round(_score_block(metric, own, qm[q0:q0 + step], q_sq[q0:q0 + step]), decimals)
+                        kk = min(k, s.shape[0])
+                        # tie-inclusive candidates per query: every score >= k-th best
+                        kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
+                        rows, cols = np.nonzero(s >= kth[None, :])
+                        new_d = dids[sel][rows]
+                        acc_d = new_d if acc_d is None else np.concatenate([acc_d, new_d])
+                        acc_g = np.concatenate([acc_g, np.full(rows.size, g, dtype=np.int64)])
+                        acc_q = np.concatenate([acc_q, cols.astype(np.int64) + q0])
+                        acc_s = np.concatenate([acc_s, s[rows, cols]])
                 keep = _merge_topk(acc_g, acc_q, acc_d, acc_s, k)
                 acc_g, acc_q, acc_d, acc_s = acc_g[keep], acc_q[keep], acc_d[keep], acc_s[keep]
             if acc_q.size:
@@ -206,113 +211,110 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1)
 
 
-def bm25_index(corpus: DataFrame, did: str = "did", text: str = "text") -> dict[str, DataFrame]:
-    """Build the BM25 statistics: ``postings`` = distinct ``(term, did)``,
-    ``docs (did, dl)`` and ``terms_raw (term, df, raw_idf)``.
+def bm25_index(corpus: DataFrame, did: str = "did", text: str = "text") -> dict:
+    """Build the BM25 index once, as tables in the shared scratch folder:
+    ``postings (did, dl, term, tf)``; with ``terms_raw (term, df, raw_idf)``,
+    ``n_docs`` and ``avgdl`` (documents without tokens count).
 
-    Each document contributes its distinct terms once (``array_distinct`` before
-    the explode), so the only shuffle is the inverted-index build itself.
-    Corpus size enters as a scalar subquery. The index is persisted: it is
-    built once and probed by several statistics and query batches."""
+    A document's tokens lie in one task, so its term counts are complete before
+    the shuffle; the shuffle only lays the postings out."""
     toks = ensure_parallel(corpus.select(F.col(did).alias("did"), F.col(text).alias("_t"))).select(
         "did", tokenize(F.col("_t")).alias("toks"))
-    docs = toks.select("did", F.size("toks").alias("dl")).persist()
-    postings = toks.select("did", F.explode(F.array_distinct("toks")).alias("term")).persist()
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    split = toks.select("did", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
+    postings = stored(split.groupBy("did", "dl", "term").agg(F.count(F.lit(1)).cast("int").alias("tf")), "postings")
+    n_docs = corpus.count()
+    total = postings.agg(F.sum("tf")).first()[0] or 0
     df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = df_t.select("term", "df", (F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
-    return {"postings": postings, "docs": docs, "terms_raw": raw}
+    raw = df_t.select("term", "df", (F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
+    return {"postings": postings, "terms_raw": stored(raw, "terms"), "n_docs": n_docs, "avgdl": total / n_docs if n_docs else 0.0}
 
 
-def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict[str, DataFrame] | None = None, k: int = 10,
+def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict | None = None, k: int = 10,
               qid: str = "qid", qtext: str = "text", did: str = "did", dtext: str = "text", k1: float = 1.5,
               b: float = 0.75, eps: float = 0.25, decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
     """RET3: Okapi BM25 top-k of every query over the whole corpus.
 
-    Query-term weights ``qtf * idf`` (idf from the index; negative idf becomes
-    ``eps * mean idf`` as in the published package) are size-checked and
-    broadcast. Each task then scans its own documents once: term frequencies of
-    the query terms, the BM25 saturation, one sparse x dense product for all
-    queries, and a running exact top-k per query (score desc, did asc). Only
-    ``k`` rows per query leave a task; posting lists are never joined to
-    queries, so common terms do not create hot join keys. Documents scoring 0
-    (no query term) are never returned.
+    Query-term weights are ``qtf * idf`` (idf from the index; negative idf
+    becomes ``eps * mean idf`` as in the published package). The postings of the
+    query terms are gathered per document with their saturated term frequencies
+    (native), and tasks multiply tiles of documents x terms with terms x queries
+    (at most ``TILE_SCORES`` numbers each), keeping a running exact top-k per
+    query (score desc, did asc). Only ``k`` rows per query leave a task, and
+    posting lists are never joined to queries, so common terms make no hot keys
+    and no pair rows. Weights are shipped in blocks of at most ``block_bytes``;
+    a larger query set runs block by block. Documents without a query term are
+    never returned.
     """
-    import re
-
     spark = queries.sparkSession
     index = index or bm25_index(corpus, did, dtext)
-    stats = index["docs"].agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    avgdl = float(stats["avgdl"] or 0.0)
+    avgdl = float(index["avgdl"])
     raw = index["terms_raw"]
     mean_idf = raw.select(F.avg("raw_idf")).first()[0] or 0.0
     qt = queries.select(F.col(qid).alias("qid"), F.explode(tokenize(F.col(qtext))).alias("term"))
     qt = qt.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    weights = qt.join(raw.select("term", "raw_idf"), "term").select(
-        "qid", "term", (F.col("qtf") * F.when(F.col("raw_idf") < 0, F.lit(eps * mean_idf)).otherwise(F.col("raw_idf"))).alias("w"))
-    n_w = weights.count()
-    if n_w * 64 > block_bytes:
-        raise ValueError("query-term weights exceed block_bytes; split the queries into batches")
-    w_pdf = weights.toPandas()  # bounded by the check above
-    qid_type = queries.schema[qid].dataType.simpleString()
+    weights = stored(qt.join(raw.select("term", "raw_idf"), "term").select(
+        "qid", "term", (F.col("qtf") * F.when(F.col("raw_idf") < 0, F.lit(eps * mean_idf)).otherwise(F.col("raw_idf"))).alias("w")), "weights")
+    blocks = weights.count() * 64 // block_bytes + 1
     did_type = corpus.schema[did].dataType.simpleString()
-    out_schema = f"qid {qid_type}, did {did_type}, score double"
-    if len(w_pdf) == 0:
+    out_schema = f"qid {queries.schema[qid].dataType.simpleString()}, did {did_type}, score double"
+    tf = F.col("tf")
+    saturated = tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl or 1.0)))
+    parts = []
+    for i in range(blocks):
+        pdf = (weights if blocks == 1 else weights.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i)).toPandas()  # one block
+        if len(pdf) == 0:
+            continue
+        q_of, q_ids = pd.factorize(pdf["qid"], sort=True)
+        t_of, terms = pd.factorize(pdf["term"], sort=True)
+        bc = spark.sparkContext.broadcast((np.asarray(q_ids), q_of, t_of, pdf["w"].to_numpy(), len(terms)))
+        names = spark.createDataFrame([(t, n) for n, t in enumerate(terms.tolist())], "term string, tid int")
+        rows = (index["postings"].join(F.broadcast(names), "term")  # the terms of one block
+                .groupBy("did").agg(F.collect_list(F.struct("tid", saturated.alias("s"))).alias("_p")))
+        rows = rows.select("did", F.col("_p.tid").alias("_tid"), F.col("_p.s").alias("_s"))
+        parts.append(rows.mapInPandas(_bm25_scan(bc, k, decimals), out_schema))
+    if not parts:
         return spark.createDataFrame([], out_schema).withColumn("rank", F.lit(1))
-    q_ids = np.array(sorted(w_pdf["qid"].unique().tolist()))
-    terms = sorted(w_pdf["term"].unique().tolist())
-    t_index = {t: i for i, t in enumerate(terms)}
-    q_index = {q: i for i, q in enumerate(q_ids.tolist())}
-    wm = np.zeros((len(terms), len(q_ids)))
-    for q, t, w in w_pdf.itertuples(index=False, name=None):
-        wm[t_index[t], q_index[q]] = w
-    bc = spark.sparkContext.broadcast((q_ids, t_index, wm))
-    token_re = re.compile(r"[a-z0-9]+")
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    return topk_per_group(scored, k, ["qid"], decimals=decimals)
+
 
+def _bm25_scan(bc, k: int, decimals: int):
     def scan(batches):
-        q_arr, tix, wmat = bc.value
-        acc_q = np.zeros(0, dtype=np.int64)
-        acc_d = None
-        acc_s = np.zeros(0)
+        q_ids, q_of, t_of, w, n_terms = bc.value
+        q_step = max(1, min(len(q_ids), TILE_SCORES // n_terms))
+        d_step = max(1, min(1024, TILE_SCORES // max(n_terms, q_step)))
+        acc_q, acc_d, acc_s = np.zeros(0, dtype=np.int64), None, np.zeros(0)
+        dense = None
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            rows, cols, vals, dls = [], [], [], []
-            for r, t in enumerate(pdf["_t"].tolist()):
-                toks = token_re.findall((t or "").lower())
-                dls.append(len(toks))
-                counts: dict[int, int] = {}
-                for tok in toks:
-                    j = tix.get(tok)
-                    if j is not None:
-                        counts[j] = counts.get(j, 0) + 1
-                for j, c in counts.items():
-                    rows.append(r)
-                    cols.append(j)
-                    vals.append(c)
-            if not rows:
-                continue
-            rows, cols, tf = np.array(rows), np.array(cols), np.array(vals, dtype=np.float64)
-            dl = np.array(dls, dtype=np.float64)[rows]
-            part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
-            s = np.zeros((len(pdf), wmat.shape[1]))
-            np.add.at(s, rows, part[:, None] * wmat[cols])
-            s = np.round(s, decimals)
-            rr, cc = np.nonzero(s > 0)
-            if rr.size == 0:
-                continue
-            dids = pdf["did"].to_numpy()[rr]
-            sc = s[rr, cc]
-            acc_d = dids if acc_d is None else np.concatenate([acc_d, dids])
-            acc_q = np.concatenate([acc_q, cc.astype(np.int64)])
-            acc_s = np.concatenate([acc_s, sc])
-            keep = _merge_topk(np.zeros(acc_q.size, np.int64), acc_q, acc_d, acc_s, k)
-            acc_q, acc_d, acc_s = acc_q[keep], acc_d[keep], acc_s[keep]
+            dids = pdf["did"].to_numpy()
+            for d0 in range(0, len(pdf), d_step):
+                tids, sats = pdf["_tid"].iloc[d0:d0 + d_step], pdf["_s"].iloc[d0:d0 + d_step]
+                a = np.zeros((len(tids), n_terms))
+                a[np.repeat(np.arange(len(tids)), [len(x) for x in tids]), np.concatenate(tids.to_list())] = np.concatenate(sats.to_list())
+                for q0 in range(0, len(q_ids), q_step):
+                    if dense is None or dense[0] != q0:
+                        m = np.zeros((n_terms, min(q_step, len(q_ids) - q0)))
+                        own = (q_of >= q0) & (q_of < q0 + q_step)
+                        m[t_of[own], q_of[own] - q0] = w[own]
+                        dense = q0, m
+                    s = np.round(a @ dense[1], decimals)
+                    kth = -np.partition(-s, min(k, len(s)) - 1, axis=0)[min(k, len(s)) - 1]
+                    r, c = np.nonzero((s >= kth[None, :]) & (s > 0))
+                    if not r.size:
+                        continue
+                    new = dids[d0 + r]
+                    acc_d = new if acc_d is None else np.concatenate([acc_d, new])
+                    acc_q = np.concatenate([acc_q, c.astype(np.int64) + q0])
+                    acc_s = np.concatenate([acc_s, s[r, c]])
+            if acc_q.size:
+                keep = _merge_topk(np.zeros(acc_q.size, np.int64), acc_q, acc_d, acc_s, k)
+                acc_q, acc_d, acc_s = acc_q[keep], acc_d[keep], acc_s[keep]
         if acc_q.size:
-            yield pd.DataFrame({"qid": q_arr[acc_q], "did": acc_d, "score": acc_s})
+            yield pd.DataFrame({"qid": q_ids[acc_q], "did": acc_d, "score": acc_s})
 
-    scored = ensure_parallel(corpus.select(F.col(did).alias("did"), F.col(dtext).alias("_t"))).mapInPandas(scan, out_schema)
-    return topk_per_group(scored, k, ["qid"], decimals=decimals)
+    return scan
 
 
 # ---------------------------------------------------------------------------
@@ -322,7 +324,7 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict[str, DataFrame]
 
 def rrf(ranked: Sequence[DataFrame], k: int = 60, top_k: int = 10, qid: str = "qid", did: str = "did",
         rank: str = "rank", decimals: int = 6) -> DataFrame:
-    """RET4: ``sum(1 / (k + rank))`` over any number of ranked lists.
+    """RET4 / SET1 / WIN10: ``sum(1 / (k + rank))`` over any number of ranked lists.
 
     Ties keep first-seen order: the list number and rank of the first
     appearance break ties, then ``did``.
@@ -359,7 +361,7 @@ def term_coverage(query_text: Column, doc_text: Column) -> Column:
 def rerank(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, top_k: int = 10,
            scorer: Callable[[Column, Column], Column] | None = None, qid: str = "qid", qtext: str = "text",
            did: str = "did", dtext: str = "text", decimals: int = 6) -> DataFrame:
-    """RET5: attach pair texts to a first-stage list and re-sort by a pair score.
+    """RET5 / JON4 / UDF3: attach pair texts to a first-stage list and re-sort by a pair score.
 
     ``scorer`` maps (query text, doc text) columns to a score column; it may be
     a built-in expression or a Series-to-Series ``pandas_udf`` (a model).
@@ -382,61 +384,86 @@ def rerank(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, top_k: int
 def nearest_rows(big: DataFrame, small: DataFrame, m: int, key: str, vec: str, small_key: str, small_vec: str,
                  metric: str = "cosine", decimals: int = 6, max_bytes: int = DEFAULT_BLOCK_BYTES,
                  carry: Sequence[str] = (), floors: DataFrame | None = None) -> DataFrame:
-    """For every row of ``big``, the ``m`` best rows of a small table (score
+    """For every row of ``big``, the ``m`` best rows of a smaller table (score
     desc, key asc) -> ``(key, near_key, near_rank, near_score, *carry)``.
 
-    The small side is size-checked and broadcast as one matrix; ``big`` is
-    scored batch by batch where it lies (no shuffle, no pair rows). With
-    ``floors`` (``small_key, floor``) the output is instead every small row
-    whose score reaches its own floor (``near_rank`` is then the rank among
-    all small rows)."""
+    The smaller side is broadcast as a matrix, in blocks of at most
+    ``max_bytes`` (one pass over ``big`` per block, merged by key); ``big`` is
+    scored batch by batch where it lies, ``TILE_SCORES`` scores at a time. With
+    ``floors`` (``small_key, floor``) the output is instead every smaller row
+    whose score reaches its own floor, without ranks."""
     spark = big.sparkSession
-    st = small.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(small_vec)).alias("d")).first()
-    if int(st["n"]) * int(st["d"] or 1) * 8 > max_bytes:
-        raise ValueError("broadcast side exceeds max_bytes; use exact_topk blocks instead")
-    pdf = small.select(small_key, small_vec).toPandas()
-    order = np.argsort(pdf[small_key].to_numpy(), kind="stable")
-    keys = pdf[small_key].to_numpy()[order]
-    mat = _prepare(_stack(pdf[small_vec])[order], metric)
-    floor_arr = None
+    side = small.select(F.col(small_key).alias("_k"), F.col(small_vec).alias("_v"))
     if floors is not None:
-        fl = dict(floors.select(small_key, "floor").toPandas().itertuples(index=False, name=None))
-        floor_arr = np.array([fl.get(k_, np.inf) for k_ in keys], dtype=np.float64)
-    bc = spark.sparkContext.broadcast((keys, mat, floor_arr))
-    key_type = big.schema[key].dataType.simpleString()
-    sk_type = small.schema[small_key].dataType.simpleString()
+        side = side.join(floors.select(F.col(small_key).alias("_k"), "floor"), "_k")
+    st = side.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_v")).alias("d")).first()
+    blocks = int(st["n"] or 0) * int(st["d"] or 1) * 8 // max_bytes + 1
     carry = [c for c in carry if c != key]
-    carry_schema = "".join(f", {c} {big.schema[c].dataType.simpleString()}" for c in carry)
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    schema = (f"{key} {kind(big, key)}, near_key {kind(small, small_key)}, near_rank int, near_score double"
+              + "".join(f", {c} {kind(big, c)}" for c in carry))
+    rows = ensure_parallel(big.select(key, vec, *[c for c in carry if c != vec]))
+    parts = []
+    for i in range(blocks):
+        pdf = (side if blocks == 1 else side.filter(F.pmod(F.xxhash64("_k"), F.lit(blocks)) == i)).toPandas()  # one block
+        if len(pdf) == 0:
+            continue
+        pdf = pdf.sort_values("_k", kind="stable")
+        bc = spark.sparkContext.broadcast((pdf["_k"].to_numpy(), _prepare(_stack(pdf["_v"]), metric),
+                                           pdf["floor"].to_numpy(dtype=np.float64) if floors is not None else None))
+        parts.append(rows.mapInPandas(_nearest_scan(bc, m, key, vec, carry, metric, decimals), schema))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if len(parts) > 1 and floors is None:
+        w = Window.partitionBy(key).orderBy(F.col("near_score").desc(), F.col("near_key"))
+        out = out.withColumn("near_rank", F.row_number().over(w)).filter(F.col("near_rank") <= m)
+    return out
 
+
+def _nearest_scan(bc, m: int, key: str, vec: str, carry: Sequence[str], metric: str, decimals: int):
     def fn(batches):
         ks, cm, fa = bc.value
         c_sq = (cm * cm).sum(axis=1)
         mm = min(m, len(ks))
-        for b in batches:
-            if len(b) == 0:
-                continue
-            x = _prepare(_stack(b[vec]), metric)
-            s = np.round(_score_block(metric, x, cm, c_sq), decimals)  # (rows, cells)
-            # stable sort on -score keeps the lower key first among ties
-            idx = np.argsort(-s, axis=1, kind="stable")
-            if fa is None:
-                idx = idx[:, :mm]
-                rows = np.repeat(np.arange(len(b)), mm)
-                cols = idx.ravel()
-                ranks = np.tile(np.arange(1, mm + 1), len(b))
-            else:
-                rank_of = np.empty_like(idx)
-                np.put_along_axis(rank_of, idx, np.arange(1, idx.shape[1] + 1)[None, :].repeat(len(b), 0), axis=1)
-                rows, cols = np.nonzero(s >= fa[None, :])
-                ranks = rank_of[rows, cols]
-            out = {key: b[key].to_numpy()[rows], "near_key": ks[cols], "near_rank": ranks.astype(np.int32),
-                   "near_score": s[rows, cols]}
-            for c in carry:
-                out[c] = b[c].to_numpy()[rows]
-            yield pd.DataFrame(out)
-
-    return ensure_parallel(big.select(key, vec, *[c for c in carry if c != vec])).mapInPandas(
-        fn, f"{key} {key_type}, near_key {sk_type}, near_rank int, near_score double{carry_schema}")
+        step = max(1, TILE_SCORES // max(len(ks), 1))
+        for whole in batches:
+            for at in range(0, len(whole), step):
+                b = whole.iloc[at:at + step]
+                s = np.round(_score_block(metric, _prepare(_stack(b[vec]), metric), cm, c_sq), decimals)  # (rows, cells)
+                if fa is None:
+                    # stable sort on -score keeps the lower key first among ties
+                    cols = np.argsort(-s, axis=1, kind="stable")[:, :mm].ravel()
+                    rows = np.repeat(np.arange(len(b)), mm)
+                    ranks = np.tile(np.arange(1, mm + 1), len(b))
+                else:
+                    rows, cols = np.nonzero(s >= fa[None, :])
+                    ranks = np.zeros(len(rows))
+                out = {key: b[key].to_numpy()[rows], "near_key": ks[cols], "near_rank": ranks.astype(np.int32), "near_score": s[rows, cols]}
+                for c in carry:
+                    out[c] = b[c].to_numpy()[rows]
+                yield pd.DataFrame(out)
+
+    return fn
+
+
+def train_cells(corpus: DataFrame, seeds: DataFrame, rounds: int = 2, did: str = "did", vec: str = "embedding",
+                metric: str = "cosine", decimals: int = 6) -> DataFrame:
+    """RET6 training: Lloyd rounds from the seed cells ``(cell, centroid)``.
+    Each round assigns every vector to its nearest cell and moves the cell to
+    the mean of its vectors (rounded, so that the result does not depend on the
+    order of addition); a cell that lost all vectors stays where it is."""
+    cells = stored(seeds.select("cell", F.transform("centroid", lambda x: x.cast("double")).alias("centroid")), "cells")
+    for _ in range(rounds):
+        near = nearest_rows(corpus, cells, 1, did, vec, "cell", "centroid", metric, carry=[vec])
+        parts = near.select(F.col("near_key").alias("cell"), F.posexplode(vec).alias("pos", "x"))
+        means = parts.groupBy("cell", "pos").agg(F.round(F.avg(F.col("x").cast("double")), decimals).alias("x"))
+        moved = means.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("_p"))  # one vector a cell
+        cells = stored(cells.join(moved, "cell", "left").select(
+            "cell", F.when(F.col("_p").isNotNull(), F.col("_p.x")).otherwise(F.col("centroid")).alias("centroid")), "cells")
+    return cells
 
 
 IVF_CHUNK_ROWS = 50_000  # most vectors one scoring task holds
@@ -452,34 +479,41 @@ def ivf_build(corpus: DataFrame, centroids: DataFrame, did: str = "did", vec: st
     return near.select(did, vec, F.col("near_key").alias("cell"))
 
 
-def _cell_chunks(index: DataFrame, chunk_rows: int) -> DataFrame:
-    """One row per cell with the number of scoring chunks it is cut into, so
-    a hot cell is spread over several tasks."""
-    return index.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_size")).withColumn(
-        "n_chunks", F.greatest(F.lit(1), F.ceil(F.col("cell_size") / F.lit(chunk_rows))).cast("int"))
+def _cell_chunks(rows: DataFrame, chunk_rows: int, name: str) -> DataFrame:
+    """One row per cell with the number of chunks its rows are cut into, so a
+    hot cell is spread over several tasks."""
+    return rows.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows))).cast("int").alias(name))
+
+
+def ivf_probes(queries: DataFrame, centroids: DataFrame, m: int, qid: str = "qid", qvec: str = "embedding",
+               metric: str = "cosine") -> DataFrame:
+    """The ``m`` nearest cells of each query: ``(qid, cell, cell_rank, _qv)``."""
+    near = nearest_rows(queries, centroids, m, qid, qvec, "cell", "centroid", metric, carry=[qvec])
+    return near.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"), F.col(qvec).alias("_qv"))
 
 
 def ivf_topk(queries: DataFrame, index: DataFrame, centroids: DataFrame, k: int = 10, nprobes: Sequence[int] = (1,),
              qid: str = "qid", qvec: str = "embedding", did: str = "did", dvec: str = "embedding",
-             metric: str = "cosine", decimals: int = 6, chunk_rows: int = IVF_CHUNK_ROWS) -> DataFrame:
+             metric: str = "cosine", decimals: int = 6, chunk_rows: int = IVF_CHUNK_ROWS, query_rows: int = 2_000,
+             probes: DataFrame | None = None) -> DataFrame:
     """RET6/RET7: probe the ``nprobe`` nearest cells of each query and score
     only the vectors of those cells, for several probe counts in one job.
 
-    Index rows are grouped by (cell, chunk) (cells larger than ``chunk_rows``
-    are hashed into several chunks); each query is sent to every chunk of its
-    probed cells; one ``cogroup`` task scores a chunk's vectors against its
-    queries with one matrix product and emits each query's exact top-k in
-    that chunk. Top-k over the union of the first ``p`` cells is then the
-    merge of those lists with ``cell_rank <= p``.
+    Both sides of a cell are cut: its vectors into chunks of about
+    ``chunk_rows``, the queries that probe it into chunks of about
+    ``query_rows``; every pair of chunks is one ``cogroup`` task, which scores
+    tile by tile and emits each query's exact top-k in that chunk. Top-k over
+    the union of the first ``p`` cells is then the merge of those lists with
+    ``cell_rank <= p``.
     """
-    max_p = max(nprobes)
-    chunks = F.broadcast(_cell_chunks(index, chunk_rows))
-    probes = nearest_rows(queries, centroids, max_p, qid, qvec, "cell", "centroid", metric, carry=[qvec])
-    probes = probes.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"),
-                           F.col(qvec).alias("_qv"))
-    probes = probes.join(chunks, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
+    probes = probes if probes is not None else ivf_probes(queries, centroids, max(nprobes), qid, qvec, metric)
+    probes = probes.filter(F.col("cell_rank") <= max(nprobes))
+    chunks = _cell_chunks(index, chunk_rows, "n_chunks").join(_cell_chunks(probes, query_rows, "q_chunks"), "cell")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    q = probes.join(chunks, "cell").withColumn("q_chunk", own("qid", "q_chunks")).withColumn("chunk", each("n_chunks"))
     idx = index.select(F.col(did).alias("did"), F.col(dvec).alias("_dv"), "cell").join(chunks, "cell")
-    idx = idx.withColumn("chunk", F.pmod(F.xxhash64("did"), F.col("n_chunks")).cast("int"))
+    idx = idx.withColumn("chunk", own("did", "n_chunks")).withColumn("q_chunk", each("q_chunks"))
     qid_type = queries.schema[qid].dataType.simpleString()
     did_type = index.schema[did].dataType.simpleString()
 
@@ -488,32 +522,34 @@ def ivf_topk(queries: DataFrame, index: DataFrame, centroids: DataFrame, k: int
             return pd.DataFrame({"qid": [], "cell_rank": [], "did": [], "score": []})
         dm = _prepare(_stack(ipdf["_dv"]), metric)
         qm = _prepare(_stack(qpdf["_qv"]), metric)
-        s = np.round(_score_block(metric, dm, qm, (qm * qm).sum(axis=1)), decimals)
-        kk = min(k, s.shape[0])
-        kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
-        rows, cols = np.nonzero(s >= kth[None, :])
-        dids = ipdf["did"].to_numpy()[rows]
-        keep = _merge_topk(np.zeros(rows.size, np.int64), cols.astype(np.int64), dids, s[rows, cols], k)
-        return pd.DataFrame({"qid": qpdf["qid"].to_numpy()[cols[keep]], "cell_rank": qpdf["cell_rank"].to_numpy()[cols[keep]],
-                             "did": dids[keep], "score": s[rows, cols][keep]})
-
-    scored = idx.select("cell", "chunk", "did", "_dv").groupBy("cell", "chunk").cogroup(
-        probes.select("cell", "chunk", "qid", "cell_rank", "_qv").groupBy("cell", "chunk")).applyInPandas(
+        dids, out = ipdf["did"].to_numpy(), []
+        step = max(1, TILE_SCORES // len(dm))
+        for q0 in range(0, len(qm), step):
+            tile = qm[q0:q0 + step]
+            s = np.round(_score_block(metric, dm, tile, (tile * tile).sum(axis=1)), decimals)
+            kk = min(k, s.shape[0])
+            kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
+            rows, cols = np.nonzero(s >= kth[None, :])
+            keep = _merge_topk(np.zeros(rows.size, np.int64), cols.astype(np.int64), dids[rows], s[rows, cols], k)
+            at = q0 + cols[keep]
+            out.append(pd.DataFrame({"qid": qpdf["qid"].to_numpy()[at], "cell_rank": qpdf["cell_rank"].to_numpy()[at],
+                                     "did": dids[rows[keep]], "score": s[rows, cols][keep]}))
+        return pd.concat(out, ignore_index=True)
+
+    keys = ["cell", "chunk", "q_chunk"]
+    scored = idx.select(*keys, "did", "_dv").groupBy(*keys).cogroup(
+        q.select(*keys, "qid", "cell_rank", "_qv").groupBy(*keys)).applyInPandas(
         score_chunk, f"qid {qid_type}, cell_rank int, did {did_type}, score double")
     sweep = scored.withColumn("nprobe", F.explode(F.array(*[F.lit(p) for p in sorted(set(nprobes))])))
     sweep = sweep.filter(F.col("cell_rank") <= F.col("nprobe")).drop("cell_rank")
     return topk_per_group(sweep, k, ["nprobe", "qid"], decimals=decimals)
 
 
-def ivf_cost(queries: DataFrame, index: DataFrame, centroids: DataFrame, nprobes: Sequence[int], qid: str = "qid",
-             qvec: str = "embedding", metric: str = "cosine") -> DataFrame:
+def ivf_cost(probes: DataFrame, index: DataFrame, nprobes: Sequence[int]) -> DataFrame:
     """Vectors scored per query for each probe count: the sum of the sizes of
-    the probed cells (cell sizes are one small aggregate)."""
-    max_p = max(nprobes)
-    probes = nearest_rows(queries, centroids, max_p, qid, qvec, "cell", "centroid", metric)
+    the probed cells."""
     sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_size"))
-    p = probes.select(F.col(qid).alias("qid"), F.col("near_key").alias("cell"), F.col("near_rank").alias("cell_rank"))
-    p = p.join(F.broadcast(sizes), "cell", "left").fillna(0, ["cell_size"])
+    p = probes.select("qid", "cell", "cell_rank").join(sizes, "cell", "left").fillna(0, ["cell_size"])
     p = p.withColumn("nprobe", F.explode(F.array(*[F.lit(x) for x in sorted(set(nprobes))]))).filter(
         F.col("cell_rank") <= F.col("nprobe"))
     return p.groupBy("nprobe", "qid").agg(F.sum("cell_size").alias("candidates"))
@@ -524,17 +560,17 @@ def ivf_cost(queries: DataFrame, index: DataFrame, centroids: DataFrame, nprobes
 # ---------------------------------------------------------------------------
 
 
-def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFrame], qid: str = "qid",
-                      qtext: str = "text", did: str = "did", dtext: str = "text") -> DataFrame:
-    """``(qid, did)`` where the document text contains the item text verbatim.
+def containment_pairs(items: DataFrame, docs: DataFrame, index: dict, qid: str = "qid", qtext: str = "text",
+                      did: str = "did", dtext: str = "text", pattern_block: int = 1_000) -> DataFrame:
+    """JON4: ``(qid, did)`` where the document text contains the item text verbatim.
 
     Candidates come from an equi-join of each item's rarest *interior* token
     (not the first or last, which may be glued to neighbouring characters in a
     document) with the BM25 postings; each candidate is verified with
     ``instr``. Every containing document holds that token, so nothing is
     missed, and no item is compared with the whole corpus. Items with fewer than
-    three tokens have no interior token; they are found by one Aho-Corasick
-    pass over each document (:func:`substring_matches`).
+    three tokens have no interior token; those (a stated set of patterns) are
+    searched in every document, ``pattern_block`` at a time.
     """
     toks = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt"), F.posexplode(tokenize(F.col(qtext))).alias("pos", "term"))
     n_tok = toks.groupBy("qid").agg(F.max("pos").alias("last"))
@@ -548,9 +584,13 @@ def containment_pairs(items: DataFrame, docs: DataFrame, index: dict[str, DataFr
     long_hits = cand.join(texts_q, "qid").join(texts_d, "did").filter(F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
     short = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt")).join(n_tok, "qid", "left") \
         .filter(F.coalesce(F.col("last"), F.lit(-1)) < 2).select("qid", "_qt")
-    short_hits = substring_matches(short, texts_d, "qid", "_qt", "did", "_dt")
-    return long_hits.unionByName(short_hits)
-
+    short = stored(short, "short-items")
+    out = long_hits
+    blocks = -(-short.count() // pattern_block)  # none without short items
+    for i in range(blocks):
+        block = short.filter(F.pmod(F.xxhash64("qid", "_qt"), F.lit(blocks)) == i)
+        out = out.unionByName(texts_d.join(F.broadcast(block), F.instr("_dt", F.col("_qt")) > 0).select("qid", "did"))
+    return out
 
 
 def save_ivf(index: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -598,6 +638,7 @@ class DenseRetriever(Retriever):
         self.corpus, self.metric = corpus, metric
 
     def search(self, queries: DataFrame, k: int) -> DataFrame:
+        """UDF1 by exact dense search."""
         return exact_topk(queries, self.corpus, k, self.metric)
 
 
@@ -607,6 +648,7 @@ class BM25Retriever(Retriever):
         self.index = bm25_index(corpus)
 
     def search(self, queries: DataFrame, k: int) -> DataFrame:
+        """UDF1 by BM25."""
         return bm25_topk(queries, self.corpus, self.index, k)
 
 
@@ -618,55 +660,18 @@ class IVFIndex:
         self.centroids, self.metric, self.index = centroids, metric, None
 
     def build(self, corpus: DataFrame, path: str | None = None) -> DataFrame:
+        """UDF2: assign all vectors and store them by cell."""
         self.index = ivf_build(corpus, self.centroids, metric=self.metric)
         if path:
             save_ivf(self.index, path)
             self.index = corpus.sparkSession.read.parquet(path)
+        else:
+            self.index = stored(self.index, "ivf")
         return self.index
 
+    def footprint(self) -> DataFrame:
+        """Vectors and cells held."""
+        return self.index.agg(F.count(F.lit(1)).alias("vectors"), F.count_distinct("cell").alias("cells"))
+
     def search(self, queries: DataFrame, k: int, nprobes: Sequence[int] = (1,)) -> DataFrame:
         return ivf_topk(queries, self.index, self.centroids, k, nprobes, metric=self.metric)
-
-
-MAX_PATTERN_BYTES = 64 << 20
-
-
-def substring_matches(patterns: DataFrame, docs: DataFrame, pid: str, ptext: str, did: str, dtext: str) -> DataFrame:
-    """``(pid, did)`` for every document containing a pattern verbatim, with
-    one Aho-Corasick pass per document (linear in the document length, no
-    pattern x document loop). The pattern set is size-checked and shipped to
-    every task; empty patterns match every document and are handled apart."""
-    spark = docs.sparkSession
-    size = patterns.select(F.coalesce(F.sum(F.length(ptext)), F.lit(0))).first()[0]
-    if size * 4 > MAX_PATTERN_BYTES:
-        raise ValueError("pattern set too large to ship; index it instead")
-    pats = [(r[0], r[1]) for r in patterns.select(pid, ptext).collect()]  # bounded by the check above
-    pid_type = patterns.schema[pid].dataType.simpleString()
-    did_type = docs.schema[did].dataType.simpleString()
-    empty = [p for p, t in pats if not t]
-    bc = spark.sparkContext.broadcast([(p, t) for p, t in pats if t])
-
-    def fn(batches):
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        by_text: dict[str, list] = {}
-        for p, t in bc.value:
-            by_text.setdefault(t, []).append(p)
-        for t, ps in by_text.items():
-            auto.add_word(t, ps)
-        if by_text:
-            auto.make_automaton()
-        for b in batches:
-            out_p, out_d = [], []
-            for d, text in zip(b[did].tolist(), b[dtext].tolist()):
-                found = set()
-                if by_text and text:
-                    for _, ps in auto.iter(text):
-                        found.update(ps)
-                found.update(empty)
-                out_p.extend(found)
-                out_d.extend([d] * len(found))
-            yield pd.DataFrame({pid: out_p, did: out_d})
-
-    return ensure_parallel(docs.select(did, dtext)).mapInPandas(fn, f"{pid} {pid_type}, {did} {did_type}")

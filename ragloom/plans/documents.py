@@ -3,10 +3,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import documents as D
+from ..session import scratch_path
 from ..sources.tables import table
 from .registry import register
 
@@ -48,19 +51,22 @@ def html_main_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Stand-in files: UTF-8 bytes of each page; declared ``.pdf`` when
-    ``page_id % 3 = 0`` else ``.html``; empty when ``page_id % 7 = 0``."""
-    p = table(spark, sf, "pages")
-    suffix = F.when(F.col("page_id") % 3 == 0, F.lit("pdf")).otherwise(F.lit("html"))
-    content = F.when(F.col("page_id") % 7 == 0, F.lit(b"").cast("binary")).otherwise(F.encode("html", "UTF-8"))
-    return p.select("page_id", F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit("."), suffix).alias("path"),
-                    content.alias("content"))
+    """Stand-in files: the UTF-8 bytes of every page as ``.html``; beside them
+    a copy declared ``.pdf`` of each third page, and an empty file for each
+    seventh."""
+    p = table(spark, sf, "pages").select("page_id", F.encode("html", "UTF-8").alias("content"))
+    named = lambda d, mark, suffix: d.select(
+        "page_id", F.concat(F.lit(mark), F.col("page_id").cast("string"), F.lit(suffix)).alias("path"), "content")
+    wrong = named(p.filter(F.col("page_id") % 3 == 0), "copy_", ".pdf")
+    empty = named(p.filter(F.col("page_id") % 7 == 0).withColumn("content", F.lit(b"").cast("binary")), "empty_", ".html")
+    return named(p, "page_", ".html").unionByName(wrong).unionByName(empty)
 
 
 SQL_FILES = """
 files AS (
-  SELECT page_id, 'page_' || page_id || '.' || CASE WHEN page_id % 3 = 0 THEN 'pdf' ELSE 'html' END AS path,
-         CASE WHEN page_id % 7 = 0 THEN '' ELSE html END AS body FROM pages),
+  SELECT page_id, 'page_' || page_id || '.html' AS path, html AS body FROM pages
+  UNION ALL SELECT page_id, 'copy_' || page_id || '.pdf', html FROM pages WHERE page_id % 3 = 0
+  UNION ALL SELECT page_id, 'empty_' || page_id || '.html', '' FROM pages WHERE page_id % 7 = 0),
 typed AS (
   SELECT page_id, path, body, lower(regexp_extract(path, '\\.([^./]+)$', 1)) AS declared_type,
          CASE WHEN length(body) = 0 THEN NULL
@@ -79,19 +85,19 @@ typed3 AS (
 
 
 @register("type_mismatch", sql=f"""WITH {SQL_FILES}
-SELECT page_id, declared_type, detected_type, is_mismatch, issue FROM typed3""", ops="TXT2 SRC7 FUN7")
+SELECT page_id, path, declared_type, detected_type, is_mismatch, issue FROM typed3""", ops="TXT2 FUN7")
 def type_mismatch(spark: SparkSession, sf: str) -> DataFrame:
     t = D.file_types(raw_files(spark, sf))
-    return t.select("page_id", "declared_type", "detected_type", "is_mismatch", "issue")
+    return t.select("page_id", "path", "declared_type", "detected_type", "is_mismatch", "issue")
 
 
 SQL_PARSE = f"""WITH {SQL_FILES},
 parsed AS (
-  SELECT page_id, declared_type, is_mismatch, issue, length(body) = 0 AS empty,
+  SELECT page_id, path, declared_type, is_mismatch, issue, length(body) = 0 AS empty,
          CASE WHEN length(body) > 0 AND NOT is_mismatch AND declared_type IN ('html', 'htm')
               THEN {_sql_html_text('body')} END AS txt
   FROM typed3)
-SELECT page_id,
+SELECT page_id, path,
        CASE WHEN empty OR is_mismatch OR txt IS NULL THEN 'error' ELSE 'ok' END AS status,
        CASE WHEN empty THEN 'empty' WHEN is_mismatch THEN 'type_mismatch' WHEN txt IS NULL THEN 'corrupted' END AS error_type,
        CASE WHEN empty THEN 'file is empty' WHEN is_mismatch THEN issue
@@ -104,12 +110,13 @@ FROM parsed
 @register("parse_status", sql=SQL_PARSE, ops="TXT4 UDF6 D16")
 def parse_status(spark: SparkSession, sf: str) -> DataFrame:
     p = D.parse_files(raw_files(spark, sf))
-    return p.select("page_id", "status", "error_type", "error_message", F.col("char_count").cast("bigint"))
+    return p.select("page_id", "path", "status", "error_type", "error_message", F.col("char_count").cast("bigint"))
 
 
 @register("parse_summary", sql=f"""WITH q AS ({SQL_PARSE})
 SELECT status, error_type, count(*) AS n FROM q GROUP BY ALL""", ops="AGG23")
 def parse_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG23: files by status and error type."""
     return parse_status(spark, sf).groupBy("status", "error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -164,7 +171,7 @@ SELECT doc_id, chunk_index, CAST(chunk_index * {CHUNK_SIZE - CHUNK_OVERLAP} + 1
        length(substring(text, chunk_index * {CHUNK_SIZE - CHUNK_OVERLAP} + 1, {CHUNK_SIZE})) AS n_chars,
        md5(substring(text, chunk_index * {CHUNK_SIZE - CHUNK_OVERLAP} + 1, {CHUNK_SIZE})) AS chunk_md5
 FROM c
-""", ops="TXT10 (fixed windows)")
+""", ops="TXT10")
 def fixed_chunks(spark: SparkSession, sf: str) -> DataFrame:
     c = D.fixed_chunks(table(spark, sf, "documents"), CHUNK_SIZE, CHUNK_OVERLAP)
     return c.select("doc_id", "chunk_index", "start", F.length("chunk").cast("bigint").alias("n_chars"),
@@ -198,7 +205,7 @@ def recursive_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("doc_id", "chunk_index", "length", F.md5("chunk").alias("chunk_md5"))
 
 
-@register("chunk_index_stats", ops="TXT11 AGG18 FUN4 SNK10")
+@register("chunk_index_stats", ops="TXT11 FUN4")
 def chunk_index_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Chunk index build (500/50 word-token chunks, section, hashed embedding,
     stable ids) and its statistics per source; rows-only check."""
@@ -275,7 +282,7 @@ captions AS (
 
 
 @register("clean_captions", sql=f"WITH {SQL_CAPTIONS} SELECT file, text, length(text) AS n_chars FROM captions",
-          ops="TXT6 TXT7 WIN3 FUN2 FUN3 SRC6 D18")
+          ops="TXT6 WIN3 FUN2 FUN3")
 def clean_captions(spark: SparkSession, sf: str) -> DataFrame:
     return D.clean_captions(caption_lines(spark, sf))
 
@@ -284,9 +291,15 @@ def clean_captions(spark: SparkSession, sf: str) -> DataFrame:
 SELECT count(*) AS files, CAST(sum(length(text)) + 2 * (count(*) - 1) AS BIGINT) AS total_chars FROM captions""",
           ops="TXT7")
 def caption_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus put together (texts in file order with a blank line between
+    them), written as text and measured there."""
     c = D.clean_captions(caption_lines(spark, sf))
-    return c.agg(F.count(F.lit(1)).alias("files"),
-                 (F.sum("n_chars") + 2 * (F.count(F.lit(1)) - 1)).cast("bigint").alias("total_chars"))
+    path = scratch_path(spark, f"corpus-{uuid.uuid4().hex}")
+    D.caption_corpus(c).write.text(path)
+    lines = spark.read.text(path)
+    files = c.agg(F.count(F.lit(1)).alias("files"))
+    chars = lines.agg((F.sum(F.length("value") + 1) - 2).cast("bigint").alias("total_chars"))
+    return files.join(chars, F.lit(True))  # one row each
 
 
 # Fixed rule tables (our own words, chosen to fire on the stand-in text).
@@ -343,7 +356,7 @@ SELECT rule, n, CAST(sum(n) OVER () AS BIGINT) AS total FROM per_rule ORDER BY n
 @register("asr_repair_counts", sql=_asr_sql(), ops="TXT8 AGG17 SRT2")
 def asr_repair_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Dictionary repair of the cleaned captions; per-rule counts, top 30 by
-    count, with the total over all rules."""
+    count (SRT2), with the total over all rules."""
     caps = D.clean_captions(caption_lines(spark, sf))
     _, counts = D.repair(caps, NOISE, EXACT, VARIANTS, PROPER, text="text", id_col="file")
     counts = counts.withColumn("n", F.col("n").cast("bigint"))
@@ -462,6 +475,7 @@ SELECT (SELECT count(*) FROM labels) AS n_labels, (SELECT count(*) FROM miss) AS
                  FROM (SELECT doc_id FROM miss ORDER BY doc_id LIMIT 3)), '') AS sample
 """, ops="JON7 SET3")
 def qrels_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    """JON7 / SET3: labels whose document is missing, with three samples."""
     labels = table(spark, sf, "labels")
     docs = table(spark, sf, "documents")
     miss = labels.join(docs, "doc_id", "left_anti")

@@ -9,6 +9,7 @@ from ..operators import evals as E
 from ..operators import graph as G
 from ..operators import lm as LM
 from ..operators import ml as ML
+from ..operators.common import stored
 from ..operators.documents import section_of
 from ..sources.tables import REQUEST_LOG_SQL, request_log, table
 from .registry import register
@@ -29,21 +30,20 @@ def _esc(c):
     return F.replace(c, F.lit("\t"), F.lit("\\t"))
 
 
-def _first_words(n: int):
-    return F.array_join(F.slice(F.split(F.regexp_replace(F.trim(F.col("text")), r"\s+", " "), " "), 1, n), " ")
+def _squeezed():
+    return F.regexp_replace(F.trim(F.col("text")), r"\s+", " ")
 
 
 def extraction_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Stand-in gold labels and two providers' raw outputs per conversation:
-    user turns are tasks (owner by turn, keywords = first two ASCII words),
+    user turns are tasks (owner by turn, keywords = all ASCII words),
     assistant turns are decisions. The local provider drops some tasks, invents
     an owner on others, wraps some outputs in prose/fences and fails JSON on
     others; the hosted provider is complete."""
     c = table(spark, sf, "conversations")
     words = F.regexp_extract_all(F.lower(F.col("text")), F.lit("([a-z]+)"), 1)
     owner = F.element_at(F.array(*[F.lit(o) for o in OWNERS]), (F.col("turn") % 3 + 1).cast("int"))
-    c = c.select("conv_id", "turn", "role", "text", F.slice(words, 1, 2).alias("kw"), owner.alias("owner"),
-                 _first_words(6).alias("task6"), _first_words(4).alias("dec4"))
+    c = c.select("conv_id", "turn", "role", "text", words.alias("kw"), owner.alias("owner"), _squeezed().alias("said"))
     user = F.col("role") == "user"
     asst = F.col("role") == "assistant"
     gold = c.groupBy(F.col("conv_id").alias("dataset")).agg(
@@ -56,7 +56,7 @@ def extraction_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
              F.transform("_d", lambda x: x["kw"]).alias("decision_keywords"), "decisions_count")
 
     def task_json(o):
-        return F.concat(F.lit('{"owner": "'), _esc(o), F.lit('", "task": "'), _esc(F.col("task6")), F.lit('"}'))
+        return F.concat(F.lit('{"owner": "'), _esc(o), F.lit('", "task": "'), _esc(F.col("said")), F.lit('"}'))
 
     def doc_json(tasks, decs):
         return F.concat(F.lit('{"summary": "conversation '), F.col("dataset").cast("string"), F.lit('", "tasks": ['),
@@ -67,9 +67,9 @@ def extraction_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     per = c.groupBy(F.col("conv_id").alias("dataset")).agg(
         F.sort_array(F.collect_list(F.when(user & (F.col("turn") % 4 != 2), F.struct("turn", task_json(local_owner).alias("j"))))).alias("lt"),
         F.sort_array(F.collect_list(F.when(asst & (F.col("turn") % 3 != 1),
-                                           F.struct("turn", F.concat(F.lit('"'), _esc(F.col("dec4")), F.lit('"')).alias("j"))))).alias("ld"),
+                                           F.struct("turn", F.concat(F.lit('"'), _esc(F.col("said")), F.lit('"')).alias("j"))))).alias("ld"),
         F.sort_array(F.collect_list(F.when(user, F.struct("turn", task_json(F.col("owner")).alias("j"))))).alias("ht"),
-        F.sort_array(F.collect_list(F.when(asst, F.struct("turn", F.concat(F.lit('"'), _esc(F.col("task6")), F.lit('"')).alias("j"))))).alias("hd"),
+        F.sort_array(F.collect_list(F.when(asst, F.struct("turn", F.concat(F.lit('"'), _esc(F.col("said")), F.lit('"')).alias("j"))))).alias("hd"),
         F.floor(F.sum(F.length("text")) / 4).cast("bigint").alias("input_tokens"),
     )
     ljson = doc_json(F.col("lt"), F.col("ld"))
@@ -81,6 +81,8 @@ def extraction_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     outs = per.select("dataset", F.lit("local").alias("provider"), lraw.alias("raw"), "input_tokens").unionByName(
         per.select("dataset", F.lit("hosted").alias("provider"), hraw.alias("raw"), "input_tokens"))
     outs = outs.withColumn("output_tokens", F.greatest(F.lit(1), F.floor(F.length("raw") / 4)).cast("bigint"))
+    per_token = F.when(F.col("provider") == "local", F.lit(9)).otherwise(F.lit(4))
+    outs = outs.withColumn("latency_ms", (F.lit(120) + F.col("input_tokens") + F.col("output_tokens") * per_token).cast("bigint"))
     return outs, gold
 
 
@@ -99,10 +101,9 @@ def _esc_sql(x: str) -> str:
 
 SQL_EXTRACTION = f"""
 c AS (
-  SELECT conv_id, turn, role, text, regexp_extract_all(lower(text), '[a-z]+')[1:2] AS kw,
+  SELECT conv_id, turn, role, text, regexp_extract_all(lower(text), '[a-z]+') AS kw,
          {_OWN}[turn % 3 + 1] AS owner,
-         array_to_string(string_split(regexp_replace(trim(text), '\\s+', ' ', 'g'), ' ')[1:6], ' ') AS task6,
-         array_to_string(string_split(regexp_replace(trim(text), '\\s+', ' ', 'g'), ' ')[1:4], ' ') AS dec4
+         regexp_replace(trim(text), '\\s+', ' ', 'g') AS said
   FROM conversations),
 gold AS (
   SELECT conv_id AS dataset,
@@ -112,12 +113,12 @@ gold AS (
   FROM c GROUP BY conv_id),
 per AS (
   SELECT conv_id AS dataset,
-    coalesce(string_agg('{{"owner": "' || {_esc_sql(f"CASE WHEN turn % 5 = 4 THEN '{HALLUCINATED}' ELSE owner END")} || '", "task": "' || {_esc_sql('task6')} || '"}}', ', ' ORDER BY turn)
+    coalesce(string_agg('{{"owner": "' || {_esc_sql(f"CASE WHEN turn % 5 = 4 THEN '{HALLUCINATED}' ELSE owner END")} || '", "task": "' || {_esc_sql('said')} || '"}}', ', ' ORDER BY turn)
              FILTER (WHERE role = 'user' AND turn % 4 <> 2), '') AS lt,
-    coalesce(string_agg('"' || {_esc_sql('dec4')} || '"', ', ' ORDER BY turn) FILTER (WHERE role = 'assistant' AND turn % 3 <> 1), '') AS ld,
-    coalesce(string_agg('{{"owner": "' || {_esc_sql('owner')} || '", "task": "' || {_esc_sql('task6')} || '"}}', ', ' ORDER BY turn)
+    coalesce(string_agg('"' || {_esc_sql('said')} || '"', ', ' ORDER BY turn) FILTER (WHERE role = 'assistant' AND turn % 3 <> 1), '') AS ld,
+    coalesce(string_agg('{{"owner": "' || {_esc_sql('owner')} || '", "task": "' || {_esc_sql('said')} || '"}}', ', ' ORDER BY turn)
              FILTER (WHERE role = 'user'), '') AS ht,
-    coalesce(string_agg('"' || {_esc_sql('task6')} || '"', ', ' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS hd,
+    coalesce(string_agg('"' || {_esc_sql('said')} || '"', ', ' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS hd,
     CAST(floor(sum(length(text)) / 4) AS BIGINT) AS input_tokens
   FROM c GROUP BY conv_id),
 js AS (
@@ -154,6 +155,7 @@ scores AS (
          AND NOT list_contains({_OWN}, lower(trim(coalesce(m.owner, '')))))) END AS hallucinated_owners,
     CASE WHEN pj IS NULL THEN 0 ELSE len(list_filter(gold.decision_keywords, lambda grp:
          len(list_filter(grp, lambda k: instr(blob, lower(k)) = 0)) = 0)) END AS decisions_found,
+    120 + input_tokens + output_tokens * CASE WHEN provider = 'local' THEN 9 ELSE 4 END AS latency_ms,
     gold.decisions_count AS decisions_total, input_tokens, output_tokens, input_tokens + output_tokens AS total_tokens,
     CASE WHEN provider = 'hosted' THEN input_tokens * 1500 + output_tokens * 6000 ELSE 0 END AS cost_units,
     len(mt) AS n_tasks,
@@ -168,7 +170,7 @@ _EVAL_COLS = ["dataset", "provider", "valid_json", "tasks_found", "tasks_total",
 
 @register("extraction_eval", sql=f"""WITH {SQL_EXTRACTION}
 SELECT {", ".join(_EVAL_COLS)}, CAST((cost_units + 5000) // 10000 AS BIGINT) / 1e6 AS cost_usd FROM scores""",
-          ops="LLM8 AGG15 AGG28 JON8 JON9 FUN8 FUN9 SRC9 SNK11 UDF7 D22")
+          ops="LLM8 AGG15 AGG28 JON8 JON9 FUN8 FUN9")
 def extraction_eval(spark: SparkSession, sf: str) -> DataFrame:
     s = _extraction_scores(spark, sf)
     return s.select(*_EVAL_COLS, E.usd6(F.col("cost_units")).alias("cost_usd"))
@@ -178,7 +180,7 @@ def extraction_eval(spark: SparkSession, sf: str) -> DataFrame:
 SELECT provider, count(*) AS datasets, CAST(sum(CAST(valid_json AS INTEGER)) AS BIGINT) AS valid_json,
        round(sum(tasks_found) / sum(tasks_total), 4) AS task_recall,
        CAST(sum(hallucinated_owners) AS BIGINT) AS hallucinated_owners,
-       round(sum(decisions_found) / sum(decisions_total), 4) AS decision_recall,
+       round(sum(decisions_found) / sum(decisions_total), 4) AS decision_recall, round(avg(latency_ms), 4) AS mean_latency_ms,
        CAST((sum(cost_units) + 5000) // 10000 AS BIGINT) / 1e6 AS cost_usd
 FROM scores GROUP BY provider""", ops="AGG16")
 def extraction_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,7 +194,7 @@ SELECT l.dataset, (NOT l.valid_json OR l.n_tasks = 0 OR l.entangled) AS fallback
        CASE WHEN (NOT l.valid_json OR l.n_tasks = 0 OR l.entangled) THEN h.tasks_found ELSE l.tasks_found END AS tasks_found,
        h.tasks_total,
        CAST(l.cost_units + CASE WHEN (NOT l.valid_json OR l.n_tasks = 0 OR l.entangled) THEN h.cost_units ELSE 0 END AS BIGINT) AS cost_units
-FROM l JOIN h USING (dataset)""", ops="LLM9")
+FROM l JOIN h USING (dataset)""", ops="LLM9 UDF7")
 def provider_routing(spark: SparkSession, sf: str) -> DataFrame:
     return E.provider_routing(_extraction_scores(spark, sf))
 
@@ -234,7 +236,7 @@ sp AS (
 """
 
 
-@register("stratified_split", sql=f"WITH {SQL_LABELED} SELECT doc_id, label, split FROM sp", ops="ML2 ML3")
+@register("stratified_split", sql=f"WITH {SQL_LABELED} SELECT doc_id, label, split FROM sp", ops="ML2")
 def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
     return E.stratified_split(labeled_docs(spark, sf), "label", "doc_id", seed=SEED).select("doc_id", "label", "split")
 
@@ -262,7 +264,7 @@ UNION ALL SELECT 'weighted avg', round(CASE WHEN n <> 0 THEN wp / n ELSE 0.0 END
 """
 
 
-@register("classification_report", sql=_report_sql("split = 'test'"), ops="AGG12 AGG11 FIL13 FUN19")
+@register("classification_report", sql=_report_sql("split = 'test'"), ops="AGG12 FIL13")
 def classification_report(spark: SparkSession, sf: str) -> DataFrame:
     d = E.stratified_split(rule_prediction(labeled_docs(spark, sf)), "label", "doc_id", seed=SEED)
     return E.classification_report(d.filter(F.col("split") == "test"), "label", "prediction")
@@ -277,7 +279,7 @@ f AS (
 g AS (SELECT fold, CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END AS pr,
              CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc FROM f),
 h AS (SELECT fold, round(CASE WHEN pr + rc <> 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END, 4) AS f1 FROM g)
-SELECT count(*) AS folds, round(avg(f1), 4) AS mean, round(stddev_pop(f1), 4) AS std FROM h""", ops="ML9")
+SELECT count(*) AS folds, round(avg(f1), 4) AS mean, round(stddev_pop(f1), 4) AS std FROM h""", ops="AGG11 FIL13")
 def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
     d = E.stratified_folds(rule_prediction(labeled_docs(spark, sf)), "label", "doc_id", k=3, seed=SEED)
     per_fold = E.binary_metrics(d, "label", "prediction", by=["fold"])
@@ -343,7 +345,7 @@ def credit_table(spark: SparkSession, sf: str) -> DataFrame:
 CREDIT_NUMERIC = ["c_acctbal", "n_orders", "total_spend", "avg_order", "n_urgent"]
 
 
-@register("credit_models", ops="ML1 ML4 ML5 ML6 ML7 ML8 ML10 ML11 ML12 AGG11 AGG26 FUN19 D20 D21")
+@register("credit_models", ops="ML4 ML5 ML6 ML7 ML8 ML12 AGG11 AGG26")
 def credit_models(spark: SparkSession, sf: str) -> DataFrame:
     """Experiment table: three classifiers on a stratified 70/15/15 split,
     metrics on val and test, best run by test F1 (rows-only)."""
@@ -354,29 +356,128 @@ def credit_models(spark: SparkSession, sf: str) -> DataFrame:
         "_best", "fit_seconds")
 
 
-@register("registry_promote", ops="ML13 JON13 ML11 SRT2")
-def registry_promote(spark: SparkSession, sf: str) -> DataFrame:
-    """Register every run's model as a version of one name, alias the best as
-    staging, promote it to production when its F1 is not lower, and score the
-    test split with the production model (rows-only)."""
+@register("credit_cv", ops="ML9 ML6 ML5 ML4")
+def credit_cv(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic regression fitted once per fold (3 folds) on the credit table;
+    metrics of the held-out folds (rows-only)."""
+    df = E.stratified_folds(credit_table(spark, sf), "approved", "c_custkey", k=3, seed=SEED)
+    return ML.cross_validate(df, "approved", CREDIT_NUMERIC, ["c_mktsegment"])
+
+
+@register("credit_scores", ops="ML11 ML10")
+def credit_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The logistic model's decisions on the test split, counted, beside its
+    most important feature (rows-only)."""
     df = E.stratified_split(credit_table(spark, sf), "approved", "c_custkey", seed=SEED)
-    runs, models = ML.run_experiments(df, "approved", CREDIT_NUMERIC, ["c_mktsegment"])
-    test = runs.filter(F.col("split") == "test").orderBy("pos").collect()  # one row per run (3)
-    reg = None
-    for i, r in enumerate(test):
-        reg = ML.register(reg, spark, "credit", r["run_id"], r["f1"], float(i))
-    aliases = ML.set_alias(None, spark, "credit", "production", 1)
-    best = ML.best_run(runs).first()
-    best_version = [i + 1 for i, r in enumerate(test) if r["run_id"] == best["run_id"]][0]
-    aliases = ML.set_alias(aliases, spark, "credit", "staging", best_version)
-    aliases, _ = ML.promote(reg, aliases, spark, "credit")
-    prod_version = aliases.filter(F.col("alias") == "production").first()["version"]
-    model = models[test[prod_version - 1]["run_id"]]
+    _, models = ML.run_experiments(df, "approved", CREDIT_NUMERIC, ["c_mktsegment"], configs=ML.DEFAULT_CONFIGS[:1])
+    (model,) = models.values()
+    top = ML.feature_importances(model, CREDIT_NUMERIC, spark).filter("rank = 1").select("feature")
     scored = ML.score(model, df.filter(F.col("split") == "test"))
-    table_v = ML.versions_by_alias(reg, aliases).select("version", "aliases", F.round("f1", 4).alias("f1"))
-    approved = scored.filter(F.col("decision") == "approved").count()
-    return table_v.withColumn("production_version", F.lit(int(prod_version))).withColumn(
-        "production_test_approved", F.lit(int(approved)))
+    counts = scored.groupBy("decision").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("probability_positive"), 4).alias("mean_probability"))
+    return counts.join(top, F.lit(True))  # one row
+
+
+@register("preprocess_statistics", sql=f"""
+WITH o AS (SELECT o_custkey AS c_custkey, count(*) AS n_orders, sum(o_totalprice) AS total_spend, avg(o_totalprice) AS avg_order,
+                  sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS n_urgent FROM orders GROUP BY 1),
+c AS (SELECT c_custkey, c_acctbal, c_mktsegment, coalesce(n_orders, 0) AS n_orders, total_spend, avg_order, coalesce(n_urgent, 0) AS n_urgent
+      FROM customer LEFT JOIN o USING (c_custkey)),
+l AS (SELECT *, CAST(CAST(c_acctbal > 2000 AS INTEGER) * 1.5 + CAST(n_orders >= 10 AS INTEGER) * 1.0 + coalesce(CAST(avg_order > 150000 AS INTEGER), 0) * 1.0
+                     + CAST(n_urgent >= 2 AS INTEGER) * 0.5 >= 2.5 AS INTEGER) AS raw,
+             instr('0123456789abcdef', substr(md5(c_custkey || '-noise'), 1, 1)) - 1 AS h1 FROM c),
+hx AS (SELECT *, list_sum(list_transform([1, 2, 3, 4, 5, 6], lambda i: (instr('0123456789abcdef', substr(md5(c_custkey || '-noise'), CAST(i AS INTEGER), 1)) - 1)
+                 * power(16, 6 - i))) / power(16, 6) < {NOISE_SHARE} AS flip FROM l),
+y AS (SELECT *, CASE WHEN avg_order IS NULL THEN (CASE WHEN flip THEN 1 ELSE 0 END) WHEN flip THEN 1 - raw ELSE raw END AS approved FROM hx),
+r AS (SELECT *, row_number() OVER (PARTITION BY approved ORDER BY md5(c_custkey || '-{SEED}'), c_custkey) AS rk,
+             count(*) OVER (PARTITION BY approved) AS n FROM y),
+t AS (SELECT * FROM r WHERE rk <= round(n * 0.7)),
+long AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM t" for c in ("c_acctbal", "n_orders", "total_spend", "avg_order", "n_urgent"))}),
+med AS (SELECT feature, quantile_disc(v, 0.5) AS m FROM long GROUP BY feature),
+imp AS (SELECT feature, coalesce(v, m) AS v, m FROM long JOIN med USING (feature))
+SELECT feature, 'median' AS statistic, round(any_value(m), 6) AS value FROM imp GROUP BY feature
+UNION ALL SELECT feature, 'mean', round(avg(v), 6) FROM imp GROUP BY feature
+UNION ALL SELECT feature, 'scale', round(stddev_samp(v), 6) FROM imp GROUP BY feature
+UNION ALL SELECT 'c_mktsegment', 'width', CAST(count(DISTINCT c_mktsegment) + 1 AS DOUBLE) FROM t""", ops="ML4 ML5 ML2")
+def preprocess_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians, means, scales and one-hot widths learned from the train split."""
+    df = E.stratified_split(credit_table(spark, sf), "approved", "c_custkey", seed=SEED)
+    return ML.preprocess_statistics(df, CREDIT_NUMERIC, ["c_mktsegment"])
+
+
+SQL_RUNS = f"""
+req AS ({REQUEST_LOG_SQL}),
+runs AS (SELECT model AS name, strftime(created_at, '%Y-%m-%d') AS day,
+                round(1 - sum(CAST(failed AS INTEGER)) / count(*), 4) AS f1 FROM req GROUP BY 1, 2),
+models AS (SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY day) AS INTEGER) AS version, name || '/' || day AS run_id, f1, day AS created FROM runs)
+"""
+
+
+def run_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Stand-in runs: one per model and day, scored by its share of answered
+    requests."""
+    r = request_log(table(spark, sf, "events"))
+    day = F.date_format("created_at", "yyyy-MM-dd")
+    return r.groupBy(F.col("model").alias("name"), day.alias("created")).agg(
+        F.round(1 - F.sum(F.col("failed").cast("int")) / F.count(F.lit(1)), 4).alias("f1")).withColumn(
+        "run_id", F.concat("name", F.lit("/"), "created"))
+
+
+@register("best_runs", sql=f"""WITH {SQL_RUNS}
+SELECT name, arg_max(run_id, f1 * 1e6 - version) AS run_id, max(f1) AS f1 FROM models GROUP BY name""", ops="AGG26")
+def best_runs(spark: SparkSession, sf: str) -> DataFrame:
+    m = ML.register_runs(run_table(spark, sf)).withColumn("model", F.col("name")).withColumn("pos", F.col("version"))
+    return ML.best_run(m, split=None, by=["name"]).select("name", "run_id", "f1")
+
+
+@register("registry_promote", sql=f"""WITH {SQL_RUNS},
+best AS (SELECT name, arg_max(version, f1 * 1e6 - version) AS version FROM models GROUP BY name),
+mid AS (SELECT name, CAST(max(version) // 2 AS INTEGER) AS version FROM models GROUP BY name),
+prod AS (SELECT mid.name, CASE WHEN b.f1 >= m.f1 THEN best.version ELSE mid.version END AS version
+         FROM mid JOIN best USING (name) JOIN models b ON b.name = best.name AND b.version = best.version
+         JOIN models m ON m.name = mid.name AND m.version = mid.version),
+aliases AS (SELECT name, 'staging' AS alias, version FROM best UNION ALL SELECT name, 'production', version FROM prod
+            UNION ALL SELECT name, 'first', 1 FROM best)
+SELECT m.name, m.version, m.run_id, m.f1, coalesce(string_agg(alias, ', ' ORDER BY alias), '—') AS aliases
+FROM models m LEFT JOIN aliases a ON a.name = m.name AND a.version = m.version GROUP BY ALL""", ops="ML13 JON13")
+def registry_promote(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs registered as versions of their model's name; the best one aliased
+    as staging, a middle one as production; production moves to staging where
+    its score is not lower; all versions with their aliases."""
+    runs = run_table(spark, sf)
+    cut = runs.agg(F.min("created")).first()[0]
+    models = ML.register_runs(runs.filter(F.col("created") > cut), ML.register_runs(runs.filter(F.col("created") == cut)))
+    best = ML.best_run(models.withColumn("model", F.col("name")).withColumn("pos", F.col("version")), split=None, by=["name"])
+    staging = best.select("name", "run_id").join(models, ["name", "run_id"]).select("name", F.lit("staging").alias("alias"), "version")
+    middle = models.groupBy("name").agg(F.floor(F.max("version") / 2).alias("version")).withColumn("alias", F.lit("production"))
+    first = models.filter("version = 1").select("name", F.lit("first").alias("alias"), "version")
+    aliases = ML.set_alias(ML.set_alias(ML.set_alias(None, middle), staging), first)
+    return ML.versions_by_alias(models, ML.promote(models, aliases)).select("name", "version", "run_id", "f1", "aliases")
+
+
+CREDIT_PRIME = 1_000_003
+CREDIT_DRAWS = [(i, 104_729 + 7_919 * i, 1_299_709 * i) for i in range(1, 9)]
+
+
+@register("credit_rules", sql=f"""
+WITH u AS (SELECT c_custkey, {", ".join(f"((c_custkey * {a} + {b} + (c_custkey % 97) * c_custkey) % {CREDIT_PRIME} + 0.5) / {CREDIT_PRIME}.0 AS u{i}" for i, a, b in CREDIT_DRAWS)} FROM customer),
+d AS (
+  SELECT c_custkey, u6, u7, CAST(floor(u1 * 46) + 20 AS INTEGER) AS age,
+         CAST(floor(greatest(5000.0, least(120000.0, 35000 + 15000 * sqrt(-2 * ln(u2)) * cos(2 * 3.141592653589793 * u3)))) AS BIGINT) AS monthly_income,
+         {" + ".join(f"CAST(u4 >= {p} AS INTEGER)" for p in ML.POISSON_HALF)} AS num_delinquencies,
+         {ML.CREDIT_TERMS}[CAST(floor(u5 * 6) + 1 AS INTEGER)] AS credit_term_months FROM u),
+e AS (SELECT *, CAST(floor(monthly_income * (1 + 7 * u6)) AS BIGINT) AS credit_amount FROM d),
+f AS (SELECT *, round(credit_amount / (monthly_income * credit_term_months), 3) AS debt_to_income FROM e),
+g AS (SELECT *, CAST(CAST(monthly_income > 20000 AS INTEGER) * 1.5 + CAST(num_delinquencies = 0 AS INTEGER) * 2.0 + CAST(debt_to_income < 0.3 AS INTEGER) * 1.5
+                     + CAST(age > 25 AS INTEGER) * 0.5 + CAST(credit_term_months <= 36 AS INTEGER) * 0.5 >= 3.5 AS INTEGER) AS y FROM f)
+SELECT c_custkey, age, monthly_income, CAST(num_delinquencies AS INTEGER) AS num_delinquencies, credit_term_months, credit_amount, debt_to_income,
+       CASE WHEN u7 < {NOISE_SHARE} THEN 1 - y ELSE y END AS approved FROM g""", ops="ML1 FUN19 FIL13")
+def credit_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The credit table's rules on draws fixed by the customer's key."""
+    k = F.col("c_custkey")
+    draws = table(spark, sf, "customer").select("c_custkey", *[
+        (((k * a + b + (k % 97) * k) % CREDIT_PRIME + 0.5) / float(CREDIT_PRIME)).alias(f"u{i}") for i, a, b in CREDIT_DRAWS])
+    return ML.credit_table(draws, NOISE_SHARE)
 
 
 @register("kmeans_segments", ops="ML14 AGG14")
@@ -389,23 +490,23 @@ def kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# AGG20 / ML15 / ML16 on English documents
+# AGG20 / ML15 / ML16 on documents
 # ---------------------------------------------------------------------------
 
 
-def english(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 @register("char_vocab", sql="""
-WITH ch AS (SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents WHERE lang = 'en')
-SELECT ch, CAST(row_number() OVER (ORDER BY ch) - 1 AS INTEGER) AS id FROM ch WHERE length(ch) > 0""", ops="AGG20 FUN21 D19")
+WITH ch AS (SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents)
+SELECT ch, CAST(row_number() OVER (ORDER BY ch) - 1 AS INTEGER) AS id FROM ch WHERE length(ch) > 0""", ops="AGG20")
 def char_vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return LM.vocabulary(english(spark, sf)).select("ch", F.col("id").cast("int"))
+    return LM.vocabulary(texts(spark, sf)).select("ch", F.col("id").cast("int"))
 
 
 SQL_PAIRS = """
-en AS (SELECT doc_id, string_split(text, '') AS a FROM documents WHERE lang = 'en'),
+en AS (SELECT doc_id, string_split(text, '') AS a FROM documents),
 vocab AS (SELECT count(DISTINCT ch) AS v FROM (SELECT unnest(a) AS ch FROM en) WHERE length(ch) > 0),
 pairs AS (
   SELECT a[i] AS ch, a[i + 1] AS next,
@@ -420,11 +521,11 @@ cc AS (SELECT ch, count(*) AS ch_cnt FROM pairs WHERE split = 'train' GROUP BY c
 s AS (SELECT p.split, -ln((coalesce(pc.cnt, 0) + 1) / (coalesce(cc.ch_cnt, 0) + (SELECT v FROM vocab))) AS nll
       FROM pairs p LEFT JOIN pc USING (ch, next) LEFT JOIN cc USING (ch))
 SELECT split, count(*) AS pairs, round(avg(nll), 6) AS loss, round(exp(avg(nll)), 6) AS perplexity FROM s GROUP BY split""",
-          ops="ML15 WIN8 ML3 TXT14")
+          ops="ML15 WIN8 ML3")
 def bigram_loss(spark: SparkSession, sf: str) -> DataFrame:
-    docs = english(spark, sf)
+    docs = texts(spark, sf)
     v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
-    return LM.cross_entropy(LM.doc_pair_counts(docs), v)
+    return LM.cross_entropy(LM.pair_counts(LM.pairs(docs)), v)
 
 
 TEMPERATURES = (0.5, 1.0, 1.5)
@@ -444,9 +545,9 @@ q AS (SELECT *, e / sum(e) OVER (PARTITION BY ch, temperature, top_k) AS q FROM
 SELECT ch, temperature, top_k, count(*) AS kept, round(-sum(q * ln(q)), 6) + 0.0 AS entropy, round(sum(p), 6) AS kept_mass
 FROM q GROUP BY ch, temperature, top_k""", ops="ML16 FUN15")
 def temperature_topk(spark: SparkSession, sf: str) -> DataFrame:
-    docs = english(spark, sf)
+    docs = texts(spark, sf)
     v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
-    model = LM.bigram_model(LM.doc_pair_counts(docs), v)
+    model = LM.bigram_model(LM.pair_counts(LM.pairs(docs)), v)
     return LM.reshape(model, v, TEMPERATURES, TOP_KS)
 
 
@@ -486,7 +587,7 @@ inner_nodes AS (
   WHERE lv.level > 0 GROUP BY lv.key, lv.level)
 SELECT key, name, CAST(level AS INTEGER) AS level, parent FROM roots
 UNION ALL SELECT key, name, CAST(level AS INTEGER), parent FROM inner_nodes
-""", ops="GRA1 GRA2 JON11 JON12 FIL15 D23")
+""", ops="GRA1 JON11 JON12")
 def concept_expansion(spark: SparkSession, sf: str) -> DataFrame:
     roots = table(spark, sf, "part").select(F.col("p_type").alias("name")).distinct()
     nodes, _ = G.expand(part_edges(spark, sf), roots, MAX_DEPTH)
@@ -505,12 +606,21 @@ def _strip(c):
 
 
 def _rag_sql() -> str:
-    from .retrieval import SQL_DENSE_LEX
+    from .documents import CHUNK_OVERLAP, CHUNK_SIZE
+    from .retrieval import _hashed_sql
 
     nl = "chr(10)"
-    return f"""WITH {SQL_DENSE_LEX},
-r AS (SELECT d.qid, d.did, d.rank, d.score, doc.text AS dtext
-      FROM dense_ranked d JOIN documents doc ON doc.doc_id = d.did WHERE d.rank <= {RAG_K}),
+    step = CHUNK_SIZE - CHUNK_OVERLAP
+    return f"""WITH cd AS (SELECT doc_id, text, CASE WHEN length(text) <= {CHUNK_SIZE} THEN 1
+                 ELSE CAST(ceil((length(text) - {CHUNK_SIZE}) / {step}) AS INTEGER) + 1 END AS cnt FROM documents),
+chunks AS (SELECT doc_id * 1000000 + i AS chunk_id, substring(text, i * {step} + 1, {CHUNK_SIZE}) AS text
+           FROM (SELECT *, CAST(unnest(range(cnt)) AS INTEGER) AS i FROM cd)),
+{_hashed_sql('benchmark', 'item_id', 'hq')},
+{_hashed_sql('chunks', 'chunk_id', 'hd')},
+hashed_scores AS (SELECT hq.id AS qid, hd.id AS did, round(sum(hq.w * hd.w), 6) AS score FROM hq JOIN hd USING (bucket) GROUP BY ALL),
+dense_ranked AS (SELECT qid, did, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, did) AS INTEGER) AS rank
+                 FROM hashed_scores QUALIFY rank <= {RAG_K}),
+r AS (SELECT d.qid, d.did, d.rank, d.score, c.text AS dtext FROM dense_ranked d JOIN chunks c ON c.chunk_id = d.did),
 r2 AS (SELECT qid, did, rank, score,
               nullif(trim(regexp_extract(dtext, '(?m)^[ \\t]*#{{1,3}}[ \\t]+(.+?)[ \\t]*$', 1)), '') AS section,
               regexp_replace(dtext, '^\\s+|\\s+$', '', 'g') AS st
@@ -535,17 +645,25 @@ SELECT qid, CAST(n AS INTEGER) AS n_chunks, length(prompt) AS prompt_chars, md5(
 FROM p"""
 
 
-@register("rag_context", sql=_rag_sql(), ops="RET14 FUN17 RET16 FUN20 FUN5 FUN4 RET2")
+@register("rag_context", sql=_rag_sql(), ops="RET14 FUN17 RET16 FUN20 FUN5 FUN4")
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:
-    """Top-3 hashed-dense documents per benchmark passage -> prompt with
+    """RET14 / FUN17 / RET16 / FUN5 / FUN20: top-3 hashed-dense chunks
+    (fixed windows of the documents) per benchmark passage -> prompt with
     labelled context blocks in rank order, the extractive answer (first
     paragraph of the best chunk cut at a word within 280 characters) and a
     relevance band of the top score."""
-    from .retrieval import hashed_dense_ranked, lexical_inputs
+    from ..operators.documents import fixed_chunks
+    from ..operators.embed import hashed_embedding
+    from ..operators.retrieval import exact_topk
+    from .documents import CHUNK_OVERLAP, CHUNK_SIZE
+    from .retrieval import lexical_inputs
 
     docs, items = lexical_inputs(spark, sf)
-    ranked = hashed_dense_ranked(spark, sf).filter(F.col("rank") <= RAG_K)
-    r = ranked.join(docs.select("did", F.col("text").alias("dtext")), "did")
+    chunks = fixed_chunks(docs, CHUNK_SIZE, CHUNK_OVERLAP, id_col="did").select(
+        (F.col("did") * 1_000_000 + F.col("chunk_index")).alias("did"), F.col("chunk").alias("text"))
+    chunks = stored(chunks, "chunks")
+    ranked = exact_topk(hashed_embedding(items, "qid", "text"), hashed_embedding(chunks, "did", "text"), k=RAG_K)
+    r = ranked.join(chunks.withColumnRenamed("text", "dtext"), "did")
     sec = section_of(F.col("dtext"))
     block = F.concat(F.lit("[chunk_id="), F.col("did").cast("string"), F.lit(" section="),
                      F.when(sec.isNull(), F.lit("None")).otherwise(F.concat(F.lit("'"), sec, F.lit("'"))),

@@ -1,28 +1,46 @@
 """Registered retrieval queries over ``embeddings``, ``documents`` and ``benchmark``.
 
-Dense task (known-item): every vector is a query after zeroing all components
-past the 10th (a degraded copy); its relevant document is the vector itself;
-the corpus is the whole table.
+Dense task (known-item): every vector whose id is divisible by 50 is a query
+after seeded noise on all its components (a degraded copy); its relevant
+document is the vector itself; the corpus is the whole table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import vectors as V
 from ..operators import metrics as M
 from ..operators import retrieval as R
+from ..operators.common import stored
+from ..session import scratch_path
 from ..sources.tables import embeddings, table
 from .registry import register
 
 K = 10
-KEEP_DIMS = 10
+QUERY_EVERY = 50  # the stated query set: ids divisible by this
+NOISE = 0.5
+
+
+def noisy(vec_id, vec):
+    """Every component plus a fixed pseudo-random amount within ``NOISE``
+    (integer arithmetic on id and position, the same in SQL)."""
+    n = lambda i: ((vec_id * 48271 + i * 16807 + vec_id * i * 69621) % 2001 - 1000).cast("double") / 1000.0
+    return F.transform(vec, lambda x, i: x.cast("double") + F.lit(NOISE) * n(i.cast("bigint")))
+
+
+SQL_NOISY = (f"list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) + {NOISE} * CAST((vec_id * 48271 + (i - 1) * 16807 "
+             "+ vec_id * (i - 1) * 69621) % 2001 - 1000 AS DOUBLE) / 1000.0)")
+
+
+def query_vectors(e: DataFrame) -> DataFrame:
+    return e.select(F.col("vec_id").alias("qid"), noisy(F.col("vec_id"), F.col("embedding")).alias("embedding"))
 
 
 def dense_queries(spark: SparkSession, sf: str) -> DataFrame:
-    e = embeddings(spark, sf)
-    return e.select(F.col("vec_id").alias("qid"), V.truncate("embedding", KEEP_DIMS).alias("embedding"))
+    return query_vectors(embeddings(spark, sf).filter(F.col("vec_id") % QUERY_EVERY == 0))
 
 
 def dense_corpus(spark: SparkSession, sf: str) -> DataFrame:
@@ -30,17 +48,18 @@ def dense_corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dense_qrels(spark: SparkSession, sf: str) -> DataFrame:
-    return embeddings(spark, sf).select(F.col("vec_id").alias("qid"), F.col("vec_id").alias("did"))
+    q = embeddings(spark, sf).filter(F.col("vec_id") % QUERY_EVERY == 0)
+    return q.select(F.col("vec_id").alias("qid"), F.col("vec_id").alias("did"))
 
 
 # -- SQL fragments (DuckDB) --------------------------------------------------
 
 SQL_DENSE_SCORES = f"""
-q AS (SELECT vec_id AS qid, CAST(embedding[1:{KEEP_DIMS}] AS DOUBLE[]) AS v FROM embeddings),
+q AS (SELECT vec_id AS qid, {SQL_NOISY} AS v FROM embeddings WHERE vec_id % {QUERY_EVERY} = 0),
 d AS (SELECT vec_id AS did, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 s AS (
   SELECT q.qid, d.did,
-         round(list_dot_product(q.v, d.v[1:{KEEP_DIMS}])
+         round(list_dot_product(q.v, d.v)
                / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(d.v, d.v))), 6) AS score
   FROM q, d),
 ranked AS (
@@ -49,13 +68,13 @@ ranked AS (
 """
 
 
-@register("dense_topk", sql=f"WITH {SQL_DENSE_SCORES} SELECT qid, did, score, rank FROM ranked", ops="RET1 RET15 WIN1 FUN11")
+@register("dense_topk", sql=f"WITH {SQL_DENSE_SCORES} SELECT qid, did, score, rank FROM ranked", ops="RET1 WIN1")
 def dense_topk(spark: SparkSession, sf: str) -> DataFrame:
     return R.exact_topk(dense_queries(spark, sf), dense_corpus(spark, sf), k=K, metric="cosine")
 
 
 SQL_METRICS_TAIL = """
-rel AS (SELECT vec_id AS qid, vec_id AS did FROM embeddings),
+rel AS (SELECT qid, qid AS did FROM q),
 rel_n AS (SELECT qid, count(*) AS n_rel FROM rel GROUP BY qid),
 hits AS (
   SELECT r.qid, min(r.rank) AS first_hit,
@@ -101,9 +120,10 @@ def eval_sample(e: DataFrame) -> DataFrame:
 
 
 def scaling_results(spark: SparkSession, sf: str) -> DataFrame:
+    """RET8: retrieval quality over nested subsets of growing size."""
     e = embeddings(spark, sf)
     ev = eval_sample(e)
-    queries = ev.select(F.col("vec_id").alias("qid"), V.truncate("embedding", KEEP_DIMS).alias("embedding"))
+    queries = query_vectors(ev)
     qrels = ev.select(F.col("vec_id").alias("qid"), F.col("vec_id").alias("did"))
     corpus = e.select(F.col("vec_id").alias("did"), "embedding")
     ranked_corpus = R.subset_rank(corpus, qrels, seed=SEED)
@@ -131,10 +151,10 @@ rc AS (
          row_number() OVER (ORDER BY CASE WHEN ev.vec_id IS NULL THEN 1 ELSE 0 END,
                                      md5(CAST(e.vec_id AS VARCHAR) || '-{SEED}'), e.vec_id) AS subset_rank
   FROM e LEFT JOIN ev ON e.vec_id = ev.vec_id),
-q AS (SELECT vec_id AS qid, CAST(embedding[1:{KEEP_DIMS}] AS DOUBLE[]) AS v FROM ev),
+q AS (SELECT vec_id AS qid, {SQL_NOISY} AS v FROM ev),
 s AS (
   SELECT sizes.size, q.qid, rc.did,
-         round(list_dot_product(q.v, rc.v[1:{KEEP_DIMS}])
+         round(list_dot_product(q.v, rc.v)
                / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(rc.v, rc.v))), 6) AS score
   FROM q, rc, sizes WHERE rc.subset_rank <= sizes.size),
 ranked AS (
@@ -155,7 +175,7 @@ results AS (
 
 
 @register("nested_subset_scaling", sql=f"WITH {SQL_SCALING} SELECT * FROM results",
-          ops="FIL3 FIL4 RET8 RET1 AGG8 SET1")
+          ops="FIL3 FIL4 RET8 RET1 AGG8")
 def nested_subset_scaling(spark: SparkSession, sf: str) -> DataFrame:
     return scaling_results(spark, sf)
 
@@ -165,19 +185,24 @@ KNEE_METRICS = ("hit_rate_at_1", "hit_rate_at_5", "hit_rate_at_10", "mrr_at_10")
 SQL_KNEE = f"""
 WITH {SQL_SCALING},
 long AS (
-  SELECT size, metric, now FROM results
-  UNPIVOT (now FOR metric IN ({", ".join(KNEE_METRICS)}))),
+  SELECT size, metric, now FROM (SELECT *, CAST(size AS DOUBLE) AS work FROM results)
+  UNPIVOT (now FOR metric IN ({", ".join(KNEE_METRICS)}, work))),
 b AS (SELECT metric, arg_min(now, size) AS base, min(size) AS first_size FROM long GROUP BY metric)
 SELECT long.size, long.metric, CAST(long.now AS DOUBLE) AS now, CAST(b.base AS DOUBLE) AS base,
-       round((b.base - long.now) / b.base, 4) AS magnitude
+       round(CASE WHEN metric = 'work' THEN long.now / greatest(b.base, 0.01) ELSE (b.base - long.now) / b.base END, 4) AS magnitude
 FROM long JOIN b USING (metric)
-WHERE long.size <> b.first_size AND (b.base - long.now) / b.base >= 0.2
+WHERE long.size <> b.first_size
+  AND CASE WHEN metric = 'work' THEN long.now / greatest(b.base, 0.01) >= 3 ELSE (b.base - long.now) / b.base >= 0.02 END
 """
 
 
 @register("knee_report", sql=SQL_KNEE, ops="RET13 WIN5")
 def knee_report(spark: SparkSession, sf: str) -> DataFrame:
-    return M.knee(scaling_results(spark, sf), "size", KNEE_METRICS, drop=0.20)
+    """Quality metrics that fell by 2 % or more from the smallest size, and the
+    work per query (vectors scored, in place of a latency) where it has grown
+    three times."""
+    r = scaling_results(spark, sf).withColumn("work", F.col("size").cast("double"))
+    return M.knee(r, "size", KNEE_METRICS, latency="work", drop=0.02, growth=3.0)
 
 
 # ---------------------------------------------------------------------------
@@ -235,7 +260,7 @@ lex_qrels AS (SELECT b.item_id AS qid, d.doc_id AS did FROM benchmark b JOIN doc
 """
 
 
-@register("lexical_qrels", sql=f"WITH {SQL_QRELS} SELECT qid, did FROM lex_qrels", ops="JON4 SET3 FIL2")
+@register("lexical_qrels", sql=f"WITH {SQL_QRELS} SELECT qid, did FROM lex_qrels", ops="JON4")
 def lexical_qrels(spark: SparkSession, sf: str) -> DataFrame:
     docs, items = lexical_inputs(spark, sf)
     return R.containment_pairs(items, docs, R.bm25_index(docs))
@@ -273,7 +298,7 @@ def hashed_dense_ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("hashed_dense_topk", sql=f"WITH {SQL_DENSE_LEX} SELECT qid, did, score, rank FROM dense_ranked",
-          ops="RET9 UDF4 RET1")
+          ops="RET9 RET1")
 def hashed_dense_topk(spark: SparkSession, sf: str) -> DataFrame:
     return hashed_dense_ranked(spark, sf)
 
@@ -359,7 +384,7 @@ UNION ALL {_metrics_sql('rerank_ranked', 'rerank')}
 def lexical_retrieval_eval(spark: SparkSession, sf: str) -> DataFrame:
     docs, items = lexical_inputs(spark, sf)
     bm, index = bm25_ranked(spark, sf, k=100)
-    bm = bm.persist()
+    bm = stored(bm, "bm25")
     dense = hashed_dense_ranked(spark, sf)
     fused = R.rrf([dense, bm.filter(F.col("rank") <= 10)], k=60, top_k=10)
     rr = R.rerank(bm, items, docs, top_k=10)
@@ -378,39 +403,66 @@ def lexical_retrieval_eval(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 NPROBES = (1, 2, 4, 8, 16)
+LLOYD_ROUNDS = 2
 
 
 def ivf_centroids(spark: SparkSession, sf: str) -> DataFrame:
-    """Cells: round(sqrt(N)) seeded vectors (md5 order) as fixed centroids, so
-    the cell count grows with the corpus."""
+    """Cells: seeded by round(sqrt(N)) vectors (md5 order), so that their number
+    grows with the corpus, then trained by two Lloyd rounds."""
     e = embeddings(spark, sf)
     n_cells = int(e.select(F.floor(F.sqrt(F.count(F.lit(1))) + 0.5)).first()[0])
     key = F.md5(F.concat(F.col("vec_id").cast("string"), F.lit("-c")))
     picked = e.select("vec_id", "embedding", key.alias("_k")).orderBy("_k", "vec_id").limit(n_cells)
-    return picked.select(F.row_number().over(Window.orderBy("_k", "vec_id")).alias("cell"),
-                         F.col("embedding").alias("centroid"))
+    seeds = picked.select(F.row_number().over(Window.orderBy("_k", "vec_id")).alias("cell"), F.col("embedding").alias("centroid"))
+    return R.train_cells(dense_corpus(spark, sf), seeds, LLOYD_ROUNDS)
 
 
-def ivf_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    queries, corpus = dense_queries(spark, sf), dense_corpus(spark, sf)
+def ivf_parts(spark: SparkSession, sf: str):
+    """The stored index (clustered by cell), the probes and the approximate
+    lists, each built once."""
+    queries = dense_queries(spark, sf)
     cents = ivf_centroids(spark, sf)
-    index = R.ivf_build(corpus, cents)
-    approx = R.ivf_topk(queries, index, cents, k=K, nprobes=NPROBES)
+    path = scratch_path(spark, f"ivf-{uuid.uuid4().hex}")
+    R.save_ivf(R.ivf_build(dense_corpus(spark, sf), cents), path)
+    index = spark.read.parquet(path)
+    probes = stored(R.ivf_probes(queries, cents, max(NPROBES)), "probes")
+    approx = stored(R.ivf_topk(queries, index, cents, k=K, nprobes=NPROBES, probes=probes), "approximate")
+    return index, probes, approx
+
+
+def ivf_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    index, probes, approx = ivf_parts(spark, sf)
     exact = dense_topk(spark, sf)
     qrels = dense_qrels(spark, sf).withColumn("nprobe", F.explode(F.array(*[F.lit(p) for p in NPROBES])))
     quality = M.retrieval_metrics(approx, qrels, ks=(1, 10), by=["nprobe"]).drop("recall_at_1", "recall_at_10")
-    vs_exact = M.recall_vs_exact(approx, exact, k=K, by=["nprobe"]).drop("n_queries")
-    cost = R.ivf_cost(queries, index, cents, NPROBES).groupBy("nprobe").agg(
+    vs_exact = M.recall_vs_exact(approx, exact, k=K, by="nprobe", values=NPROBES).drop("n_queries")
+    cost = R.ivf_cost(probes, index, NPROBES).groupBy("nprobe").agg(
         F.round(F.avg("candidates"), 4).alias("avg_candidates"))
     return quality.join(vs_exact, "nprobe").join(cost, "nprobe")
 
 
+def _lloyd_sql() -> str:
+    cos = ("round(list_dot_product(d.v, c.c) / (sqrt(list_dot_product(d.v, d.v)) * sqrt(list_dot_product(c.c, c.c))), 6)")
+    out = ["""cent0 AS (
+  SELECT row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || '-c'), vec_id) AS cell, CAST(embedding AS DOUBLE[]) AS c
+  FROM embeddings QUALIFY cell <= (SELECT floor(sqrt(n) + 0.5) FROM ne))"""]
+    for r in range(LLOYD_ROUNDS):
+        out.append(f"""near{r} AS (
+  SELECT d.did, d.v, c.cell FROM d, cent{r} c
+  QUALIFY row_number() OVER (PARTITION BY d.did ORDER BY {cos} DESC, c.cell) = 1),
+mean{r} AS (
+  SELECT cell, list(x ORDER BY pos) AS m FROM (
+    SELECT cell, pos, round(avg(x), 6) AS x FROM (SELECT cell, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM near{r}) GROUP BY cell, pos)
+  GROUP BY cell),
+cent{r + 1} AS (SELECT c.cell, coalesce(m.m, c.c) AS c FROM cent{r} c LEFT JOIN mean{r} m USING (cell))""")
+    out.append(f"cent AS (SELECT * FROM cent{LLOYD_ROUNDS})")
+    return ",\n".join(out)
+
+
 SQL_IVF = f"""
 {SQL_DENSE_SCORES},
 ne AS (SELECT count(*) AS n FROM embeddings),
-cent AS (
-  SELECT row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR) || '-c'), vec_id) AS cell, CAST(embedding AS DOUBLE[]) AS c
-  FROM embeddings QUALIFY cell <= (SELECT floor(sqrt(n) + 0.5) FROM ne)),
+{_lloyd_sql()},
 assign AS (
   SELECT d.did, cent.cell,
          row_number() OVER (PARTITION BY d.did ORDER BY
@@ -420,7 +472,7 @@ assign AS (
 probe AS (
   SELECT q.qid, cent.cell,
          row_number() OVER (PARTITION BY q.qid ORDER BY
-           round(list_dot_product(q.v, cent.c[1:{KEEP_DIMS}]) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(cent.c, cent.c))), 6) DESC,
+           round(list_dot_product(q.v, cent.c) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(cent.c, cent.c))), 6) DESC,
            cent.cell) AS cell_rank
   FROM q, cent),
 np AS (SELECT * FROM (VALUES {", ".join(f"({p})" for p in NPROBES)}) t(nprobe)),
@@ -436,7 +488,7 @@ quality AS (
     round(avg(CASE WHEN h.first_hit <= 1 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_1,
     round(avg(CASE WHEN h.first_hit <= 10 THEN 1.0 ELSE 0.0 END), 4) AS hit_rate_at_10,
     round(avg(CASE WHEN h.first_hit <= 10 THEN 1.0 / h.first_hit ELSE 0.0 END), 4) AS mrr_at_10
-  FROM np CROSS JOIN (SELECT vec_id AS qid FROM embeddings) e
+  FROM np CROSS JOIN (SELECT qid FROM q) e
   LEFT JOIN (SELECT nprobe, qid, min(rank) AS first_hit FROM approx WHERE qid = did GROUP BY ALL) h
     ON h.nprobe = np.nprobe AND h.qid = e.qid
   GROUP BY np.nprobe),
@@ -444,8 +496,9 @@ vs AS (
   SELECT a.nprobe, a.qid, count(r.did) AS n_common
   FROM approx a LEFT JOIN ranked r ON r.qid = a.qid AND r.did = a.did GROUP BY ALL),
 vs_exact AS (
-  SELECT nprobe, round(avg(n_common / least({K}, n_exact)), 4) AS recall_vs_exact_at_{K}
-  FROM vs JOIN (SELECT qid, count(*) AS n_exact FROM ranked GROUP BY qid) USING (qid) GROUP BY nprobe),
+  SELECT np.nprobe, round(avg(coalesce(n_common, 0) / least({K}, n_exact)), 4) AS recall_vs_exact_at_{K}
+  FROM np CROSS JOIN (SELECT qid, count(*) AS n_exact FROM ranked GROUP BY qid) x
+  LEFT JOIN vs ON vs.nprobe = np.nprobe AND vs.qid = x.qid GROUP BY np.nprobe),
 sizes AS (SELECT cell, count(*) AS cell_size FROM assign GROUP BY cell),
 cost AS (
   SELECT nprobe, round(avg(c), 4) AS avg_candidates FROM (
@@ -463,10 +516,8 @@ def ivf_probe_sweep(spark: SparkSession, sf: str) -> DataFrame:
 @register("recall_vs_exact", sql=f"WITH {SQL_IVF} SELECT nprobe, recall_vs_exact_at_{K} FROM sweep",
           ops="AGG10 JON3")
 def recall_vs_exact(spark: SparkSession, sf: str) -> DataFrame:
-    queries, corpus = dense_queries(spark, sf), dense_corpus(spark, sf)
-    cents = ivf_centroids(spark, sf)
-    approx = R.ivf_topk(queries, R.ivf_build(corpus, cents), cents, k=K, nprobes=NPROBES)
-    return M.recall_vs_exact(approx, dense_topk(spark, sf), k=K, by=["nprobe"]).drop("n_queries")
+    _, _, approx = ivf_parts(spark, sf)
+    return M.recall_vs_exact(approx, dense_topk(spark, sf), k=K, by="nprobe", values=NPROBES).drop("n_queries")
 
 
 SQL_PARETO = f"""
@@ -480,7 +531,7 @@ FROM sweep
 """
 
 
-@register("pareto_frontier", sql=SQL_PARETO, ops="RET12 WIN2 FIL16 AGG27")
+@register("pareto_frontier", sql=SQL_PARETO, ops="RET12 WIN2")
 def pareto_frontier(spark: SparkSession, sf: str) -> DataFrame:
     sweep = ivf_sweep(spark, sf).select("nprobe", "avg_candidates", "hit_rate_at_10", f"recall_vs_exact_at_{K}")
     a = M.pareto(sweep, "avg_candidates", "hit_rate_at_10", tie="nprobe", flag="on_frontier_qrels")

@@ -4,20 +4,33 @@ content; the oracle is the SQL of the batch twin."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.tables import REQUEST_LOG_SQL, request_log, table
 from ..streaming import jobs as S
-from .llmops import BREAKER_OPEN_S, BREAKER_WINDOW_S, SQL_BREAKER, SQL_CACHE, _guard_sql, guard_input
+from .llmops import BREAKER_OPEN_S, BREAKER_WINDOW_S, SQL_BREAKER, SQL_CACHE_SEQUENTIAL, _guard_sql, guard_input
 from .registry import register
 
 
-def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = table(spark, sf, name).schema
-    # a file stream watches a folder; the glob picks the one table file
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-            .option("pathGlobFilter", f"{name}.parquet").parquet(sf.rstrip("/")))
+SLICES = 4
+
+
+def stream_of(spark: SparkSession, sf: str, name: str, order: str) -> DataFrame:
+    """A test table as a stream of ``SLICES`` micro-batches in ``order``: the
+    table is written in that many ordered files, one after the other, and read
+    one file at a time."""
+    df = table(spark, sf, name)
+    cuts = df.select(F.percentile_approx(order, [i / SLICES for i in range(1, SLICES)])).first()[0]
+    path = scratch_path(spark, f"streams/in-{uuid.uuid4().hex}")
+    lows = [None, *cuts]
+    for i, (lo, hi) in enumerate(zip(lows, [*cuts, None])):
+        part = df if lo is None else df.filter(F.col(order) > F.lit(lo))
+        (part if hi is None else part.filter(F.col(order) <= F.lit(hi))).coalesce(1).write.parquet(f"{path}/slice={i}")
+    return (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path))
 
 
 @register("token_window_stream", sql=f"""
@@ -26,7 +39,7 @@ SELECT strftime(time_bucket(INTERVAL 1 HOUR, created_at), '%Y-%m-%d %H:%M:%S') A
        CAST(sum(input_tokens + output_tokens) AS BIGINT) AS tokens, count(*) AS requests
 FROM req GROUP BY ALL""", ops="STR1 FUN12")
 def token_window_stream(spark: SparkSession, sf: str) -> DataFrame:
-    log = request_log(stream_of(spark, sf, "events"))
+    log = request_log(stream_of(spark, sf, "events", "ts"))
     out = S.run_to_table(S.stream_token_windows(log, "1 hour", "2 hours"), "token_windows", mode="update")
     r = S.latest_rows(spark, out, ["window_start", "api_key"])
     return r.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
@@ -41,7 +54,7 @@ SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, api_key, cou
        CAST(sum(t) AS BIGINT) AS tokens FROM w GROUP BY ALL""",
           ops="STR2")
 def rolling_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
-    log = request_log(stream_of(spark, sf, "events"))
+    log = request_log(stream_of(spark, sf, "events", "ts"))
     out = S.run_to_table(S.stream_rolling_usage(log), "rolling_usage", mode="update")
     r = S.latest_rows(spark, out, ["window_start", "api_key"])
     return r.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
@@ -49,12 +62,12 @@ def rolling_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("dedupe_stream", sql=f"""
 WITH req AS ({REQUEST_LOG_SQL})
-SELECT request_id, api_key, CAST(input_tokens + output_tokens AS BIGINT) AS tokens FROM req""", ops="STR3 SNK6")
+SELECT request_id, api_key, CAST(input_tokens + output_tokens AS BIGINT) AS tokens FROM req""", ops="STR3")
 def dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Each event is delivered twice (two readers of the same files, as an
     at-least-once source would); the stream keeps one row per request."""
-    a = request_log(stream_of(spark, sf, "events"))
-    b = request_log(stream_of(spark, sf, "events"))
+    a = request_log(stream_of(spark, sf, "events", "ts"))
+    b = request_log(stream_of(spark, sf, "events", "ts"))
     out = S.run_to_table(S.stream_dedupe(a.unionByName(b)), "dedupe")
     return spark.read.parquet(out).select("request_id", "api_key",
                                           (F.col("input_tokens") + F.col("output_tokens")).cast("bigint").alias("tokens"))
@@ -64,12 +77,9 @@ def dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
 SELECT role, reject_reason, pattern, leak_marker, count(*) AS n FROM guarded
 WHERE reject_reason IS NOT NULL OR leak_marker IS NOT NULL GROUP BY ALL""", ops="STR6 SNK7")
 def guard_stream(spark: SparkSession, sf: str) -> DataFrame:
-    from ..session import scratch_path
-    import uuid
-
     run = uuid.uuid4().hex[:12]
     rejected, clean = scratch_path(spark, f"guard/{run}/rejected"), scratch_path(spark, f"guard/{run}/clean")
-    turns = guard_input(stream_of(spark, sf, "conversations"))
+    turns = guard_input(stream_of(spark, sf, "conversations", "conv_id"))
     S.run_to_table(S.stream_guard(turns), "guard", foreach_batch=S.guard_sinks(rejected, clean))
     bad = spark.read.json(rejected)
     return bad.groupBy("role", "reject_reason", "pattern", "leak_marker").agg(F.count(F.lit(1)).alias("n"))
@@ -82,7 +92,7 @@ SELECT model, count(*) AS total, CAST(sum(CAST(cache_hit AS INTEGER)) AS BIGINT)
        CAST(sum(CAST(aborted AS INTEGER)) AS BIGINT) AS aborted
 FROM req GROUP BY model""", ops="STR8 AGG25")
 def service_gauges_stream(spark: SparkSession, sf: str) -> DataFrame:
-    log = request_log(stream_of(spark, sf, "events"))
+    log = request_log(stream_of(spark, sf, "events", "ts"))
     out = S.run_to_table(S.stream_gauges(log), "gauges", mode="update")
     g = S.latest_rows(spark, out, ["model"])
     return g.select("model", "total", *[F.col(c).cast("bigint").alias(c) for c in ("hits", "misses", "failures", "aborted")])
@@ -90,26 +100,22 @@ def service_gauges_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("breaker_stream", sql=SQL_BREAKER, ops="STR4 LLM4")
 def breaker_stream(spark: SparkSession, sf: str) -> DataFrame:
-    log = request_log(stream_of(spark, sf, "events"))
+    log = request_log(stream_of(spark, sf, "events", "ts"))
     out = S.run_to_table(S.stream_breaker(log, 5, BREAKER_WINDOW_S, BREAKER_OPEN_S), "breaker")
     return spark.read.parquet(out).select("request_id", "model", "state_before", "skipped", "state_after",
                                           F.col("recent_failures").cast("int"))
 
 
-@register("semantic_cache_stream", sql=SQL_CACHE, ops="STR5 LLM2 JON10 FIL11")
+@register("semantic_cache_stream", sql=SQL_CACHE_SEQUENTIAL, ops="STR5 LLM2 JON10 FIL11")
 def semantic_cache_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The semantic cache over the request stream (micro-batches, cache state
-    as an entries table in the shared folder); same answers as the batch
-    replay."""
-    import uuid
-
-    from ..session import scratch_path
-
+    """The semantic cache over the request stream (micro-batches in time order,
+    only misses store entries, the entries table in the shared folder as
+    state); same answers as the sequential replay."""
     run = uuid.uuid4().hex[:12]
     entries, results = scratch_path(spark, f"cache/{run}/entries"), scratch_path(spark, f"cache/{run}/results")
-    ev = stream_of(spark, sf, "events")
-    reqs = request_log(ev).select("request_id", "created_at", (F.col("request_id") % 20).alias("vec_id"))
     emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    stream = reqs.join(emb, "vec_id").drop("vec_id")  # stream-static join on a small dimension
+    reqs = request_log(stream_of(spark, sf, "events", "ts")).select(
+        "request_id", "created_at", (F.col("request_id") % F.lit(emb.count())).alias("vec_id"))
+    stream = reqs.join(emb, "vec_id").drop("vec_id")  # stream-static join
     S.run_to_table(stream, "cache", foreach_batch=S.cache_sinks(entries, results, 0.92, 3600))
     return spark.read.parquet(results).drop("batch_id")

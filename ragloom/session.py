@@ -8,6 +8,7 @@ the bench and the driver smoke check only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,6 +23,8 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # windows-1251 / latin-1 decoding of raw bytes (TXT1)
     "spark.sql.legacy.javaCharsets": "true",
+    # list and value state of the breaker stream (STR4)
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -56,13 +59,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder comes from the session configuration and must be a
-    shared file system; only when nothing is configured (local tests) do we pick
-    a fresh scratch folder.
+    The folder must be on a file system that the driver and all executors
+    share. Where nothing is configured, a fresh local folder is used in local
+    mode (one process); on a cluster that is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ragloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc.getCheckpointDir() is None:
@@ -76,6 +81,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked through Spark's own file system
+    layer (any store that Spark can read)."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``ragloom`` importable on every executor's Python workers (the
     functions of ``mapInPandas``/``applyInPandas`` jobs are pickled by

@@ -3,22 +3,30 @@ SRC8, SRC12, SNK1-SNK5, SNK12) and the input filters that go with them
 (FIL1-FIL3, FIL5).
 
 All readers use explicit schemas; file order, where the source depends on it,
-becomes an explicit ``pos`` column (``monotonically_increasing_id`` grows with
-the file offset, so it orders rows as in the file).
+becomes an explicit ``pos`` column: file path, offset of the read block in the
+file, and a number that grows with the row inside the block.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 CORPUS_SCHEMA = "_id string, text string"
 QRELS_SCHEMA = "`query-id` string, `corpus-id` string, score int"
 
 
+def file_position() -> Column:
+    """Order of rows as in the files, files by path (read together with the
+    rows, before any shuffle)."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 # ---------------------------------------------------------------------------
 # SRC1 - SRC3, SRC5
 # ---------------------------------------------------------------------------
@@ -29,14 +37,15 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     kept in ``_corrupt_record`` rather than failing the job."""
     df = (spark.read.schema(CORPUS_SCHEMA + ", _corrupt_record string").option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    return df.withColumn("pos", F.monotonically_increasing_id())
+    return df.withColumn("pos", file_position())
 
 
 def read_qrels(spark: SparkSession, path: str, positive_only: bool = True) -> DataFrame:
-    """SRC2 / SRC3: tab-separated qrels with a header -> ``(qid, did, score)``;
-    only ``score > 0`` counts as relevant unless ``positive_only`` is off."""
+    """SRC2 / SRC3: tab-separated qrels with a header -> ``(qid, did, score,
+    pos)``; only ``score > 0`` counts as relevant unless ``positive_only`` is
+    off."""
     df = spark.read.schema(QRELS_SCHEMA).option("sep", "\t").option("header", True).csv(path)
-    df = df.select(F.col("`query-id`").alias("qid"), F.col("`corpus-id`").alias("did"), "score")
+    df = df.select(F.col("`query-id`").alias("qid"), F.col("`corpus-id`").alias("did"), "score", file_position().alias("pos"))
     return df.filter(F.col("score") > 0) if positive_only else df
 
 
@@ -75,8 +84,7 @@ def queries_with_qrels(queries: DataFrame, qrels: DataFrame) -> DataFrame:
 def pick_eval_queries(queries: DataFrame, qrels: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """FIL3: the first ``n`` queries (by first qrels row) that exist and have a
     non-empty text, with their relevant ids; plus all relevant ids (SET4)."""
-    first = qrels.withColumn("_p", F.monotonically_increasing_id()).groupBy("qid").agg(
-        F.min("_p").alias("first_pos"), F.array_sort(F.collect_set("did")).alias("relevant_ids"))
+    first = qrels.groupBy("qid").agg(F.min("pos").alias("first_pos"), F.array_sort(F.collect_set("did")).alias("relevant_ids"))
     q = queries.filter(F.length(F.trim("text")) > 0).select(F.col("_id").alias("qid"), F.col("text").alias("query"))
     picked = first.join(q, "qid").orderBy("first_pos").limit(n).drop("first_pos")
     all_rel = picked.select(F.explode("relevant_ids").alias("did")).distinct()
@@ -109,30 +117,33 @@ def vector_contract(df: DataFrame, vec: str = "embedding", dim: int | None = Non
 def write_corpus_files(corpus: DataFrame, queries: DataFrame, qrels: DataFrame, out: str,
                        force: bool = False) -> dict[str, int]:
     """SNK1 / SNK2: corpus and queries as JSONL, qrels as TSV with header;
-    existing outputs are kept unless ``force`` (mode ``ignore`` vs
-    ``overwrite``). Row counts come from ``observe`` on the write itself."""
-    mode = "overwrite" if force else "ignore"
+    existing outputs are kept unless ``force``, with a count of -1. Row counts
+    come from ``observe`` on the write itself."""
+    spark = corpus.sparkSession
     counts = {}
     for name, df, fmt in [("corpus", corpus.select("_id", "text"), "json"), ("queries", queries.select("_id", "text"), "json"),
                           ("qrels", qrels, "csv")]:
+        if not force and path_exists(spark, f"{out}/{name}"):
+            counts[name] = -1
+            continue
         obs = Observation(name)
-        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
+        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
         if fmt == "json":
             w.json(f"{out}/{name}")
         else:
             w.option("sep", "\t").option("header", True).csv(f"{out}/{name}")
-        try:
-            counts[name] = int(obs.get["n"])
-        except Exception:  # nothing written in ignore mode: observation never fires
-            counts[name] = -1
+        counts[name] = int(obs.get["n"])
     return counts
 
 
 def write_parts(df: DataFrame, out: str, part_rows: int = 50_000, order: str = "pos") -> DataFrame:
     """SNK3: resumable chunked write. Rows get ``part_id = pos_rank //
-    part_rows``; parts already present under ``out`` are skipped (left anti on
-    the listed part ids), the rest are appended; the final table is checked
-    against the input count. Returns the written table."""
+    part_rows`` by ``order``, which must be unique (so that a resumed run deals
+    the same rows to the same parts); parts already present under ``out`` are
+    skipped (left anti on the listed part ids), the rest are appended; count
+    and content hash of the final table are checked against the input. Returns
+    the written table."""
+    from ..operators.documents import content_hash
     from ..operators.common import global_row_number
 
     spark = df.sparkSession
@@ -142,17 +153,15 @@ def write_parts(df: DataFrame, out: str, part_rows: int = 50_000, order: str = "
     pending = numbered if done is None else numbered.join(done, "part_id", "left_anti")
     pending.write.mode("append").partitionBy("part_id").parquet(out)
     written = spark.read.parquet(out)
-    n_in, n_out = df.count(), written.count()
+    state = [F.count(F.lit(1)).alias("n"), content_hash(df).alias("h")]
+    n_in, n_out = df.agg(*state).first(), written.select(df.columns).agg(*state).first()
     if n_in != n_out:
-        raise ValueError(f"chunked write has {n_out} rows, expected {n_in}")
+        raise ValueError(f"chunked write has (rows, hash) {tuple(n_out)}, expected {tuple(n_in)}")
     return written
 
 
 def _existing_parts(spark: SparkSession, out: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(out).select("part_id").distinct()
-    except Exception:  # nothing written yet
-        return None
+    return spark.read.parquet(out).select("part_id").distinct() if path_exists(spark, out) else None
 
 
 def write_results(df: DataFrame, out: str, fields: Sequence[str], mode: str = "append") -> None:
@@ -174,7 +183,7 @@ def append_results(old: DataFrame, new: DataFrame, out: str) -> DataFrame:
 def read_results(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
     """SRC12: result CSVs back with an explicit schema; missing optional files
     are skipped."""
-    existing = [p for p in paths if os.path.exists(p) or "://" in p]
+    existing = [p for p in paths if path_exists(spark, p)]
     if not existing:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("header", True).csv(existing)
@@ -197,13 +206,14 @@ def raw_vector_mb(df: DataFrame, vec: str = "embedding") -> Column:
 # SRC8: sectioned benchmark log
 # ---------------------------------------------------------------------------
 
+# The three line kinds of the log.
 SECTION_RE = r"^=== (.+?)(?:\s*\(.*\))? ===$"
 INDEX_RE = r"index_time=([\d.]+)s\s+disk=([\d.]+)\s*MB"
 PROBE_RE = r"ef=(\d+):\s+p50=([\d.]+)ms\s+p95=([\d.]+)ms\s+recall_qrels=([\d.]+)\s+recall_flat=([\d.]+)"
 
 
 def parse_sectioned_log(lines: DataFrame, file: str = "file", line_no: str = "line_no", line: str = "line") -> DataFrame:
-    """SRC8: three line kinds -> one row per probe setting. The section name
+    """SRC8 / WIN4: three line kinds -> one row per probe setting. The section name
     and the last index line are carried forward within each file
     (``last(..., ignorenulls)`` over the file's line order); the row name is
     the section name with ``(efS=<ef>)`` (an existing ``efS=`` is rewritten)."""
@@ -244,16 +254,17 @@ def family_of(name: Column, families=None) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def read_caption_files(spark: SparkSession, folder: str, ids: Sequence[str] | None = None, suffix: str = ".vtt") -> DataFrame:
-    """SRC6: every caption file of a folder (or only an allow-list of ids;
+def read_caption_files(spark: SparkSession, folder: str, ids: Sequence[str] | None = None, suffix: str = ".vtt",
+                       name: str = r"([^/]+)$") -> DataFrame:
+    """SRC6: every caption file under a folder (or only an allow-list of names;
     missing ones are simply absent) as numbered lines ``(file, line_no,
     line)``; one row per file is read whole, then split, so line order is kept
-    without a global sort."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").text(folder)
-    df = df.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), "value")
+    without a global sort. ``name`` picks the file's name out of its path."""
+    df = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").text(folder)
+    df = df.select(F.regexp_extract(F.col("_metadata.file_path"), name, 1).alias("file"), "value")
     if ids is not None:
         # the allow-list is given by the caller
-        wanted = spark.createDataFrame([(f"{i}{suffix}",) for i in ids], "file string")
+        wanted = spark.createDataFrame([(n,) for i in ids for n in (str(i), f"{i}{suffix}")], "file string")
         df = df.join(F.broadcast(wanted), "file", "left_semi")
     return df.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
 
@@ -271,5 +282,6 @@ GOLD_SCHEMA = ("dataset string, tasks array<struct<owner:string,task_keywords:ar
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    """SRC9: gold labels, one multi-line JSON document per dataset."""
-    return spark.read.schema(GOLD_SCHEMA).option("multiLine", True).json(path)
+    """SRC9: gold labels, one multi-line JSON document per dataset (files
+    anywhere under ``path``)."""
+    return spark.read.schema(GOLD_SCHEMA).option("multiLine", True).option("recursiveFileLookup", "true").json(path)

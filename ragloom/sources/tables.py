@@ -37,7 +37,7 @@ TIER_TOKENS = {"free": 5000, "pro": 20000, "enterprise": 100000}
 
 
 def request_log(events: DataFrame) -> DataFrame:
-    """Map ``events`` rows to the request-log schema of the cost tracker.
+    """SRC10: map ``events`` rows to the request-log schema of the cost tracker.
 
     Columns: request_id, created_at, api_key, tier, model, input_tokens,
     output_tokens, latency_ms, ttft_ms, cache_hit, fallback_used, failed,

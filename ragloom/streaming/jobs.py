@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import llmops as L
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 
 def stream_token_windows(log: DataFrame, window: str = "60 seconds", watermark: str = "120 seconds") -> DataFrame:
-    """STR1: tokens per key per tumbling window; a key's window state lives
+    """STR1 / FUN12: tokens per key per tumbling window; a key's window state lives
     for the watermark delay (2 x window in the source)."""
     tokens = (F.col("input_tokens") + F.col("output_tokens")).cast("bigint")
     return (log.withWatermark("created_at", watermark)
@@ -54,15 +54,16 @@ def stream_guard(turns: DataFrame, text: str = "text") -> DataFrame:
 
 
 def guard_sinks(rejected_path: str, clean_path: str) -> Callable[[DataFrame, int], None]:
-    """STR6 / SNK7: one micro-batch -> suspicious rows as JSON lines (preview
-    200 characters), clean rows as parquet. Writes are keyed by batch id so a
+    """STR6 / SNK7: one micro-batch -> suspicious rows as JSON lines (preview of
+    200 characters, of a leaking response 300), clean rows as parquet. Writes are keyed by batch id so a
     replayed batch overwrites its own output (idempotent)."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         bad = batch.filter(F.col("reject_reason").isNotNull() | F.col("leak_marker").isNotNull())
         bad.select("conv_id", "turn", "role", "reject_reason", "pattern", "snippet", "leak_marker",
-                   F.length("text").alias("input_len"), F.substring("text", 1, 200).alias("input_preview")) \
+                   F.length("text").alias("input_len"), F.substring("text", 1, 200).alias("input_preview"),
+                   F.when(F.col("leak_marker").isNotNull(), F.substring("text", 1, 300)).alias("response_preview")) \
             .write.mode("overwrite").json(f"{rejected_path}/batch={batch_id}")
         batch.filter(F.col("reject_reason").isNull() & F.col("leak_marker").isNull()) \
             .write.mode("overwrite").parquet(f"{clean_path}/batch={batch_id}")
@@ -93,11 +94,12 @@ def stream_span_batches(spans: DataFrame, window: str = "2 seconds", watermark:
 def file_arrivals(spark: SparkSession, uploads: str, glob: str = "*.pdf") -> DataFrame:
     """STR7 / SRC11: new files under ``uploads`` as a stream of
     ``(path, modificationTime, length, content)``; each file is seen once per
-    checkpoint, duplicates of a path are dropped."""
+    checkpoint, a path that comes again within a day of event time is dropped
+    (the state holds one day)."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     return (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(uploads)
-            .dropDuplicates(["path"]))
+            .withWatermark("modificationTime", "1 day").dropDuplicatesWithinWatermark(["path"]))
 
 
 def processed_key(path: str = "path") -> F.Column:
@@ -106,19 +108,15 @@ def processed_key(path: str = "path") -> F.Column:
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append",
-                 foreach_batch: Callable[[DataFrame, int], None] | None = None, timeout_s: int = 600,
-                 state_partitions: int | None = None) -> str:
+                 foreach_batch: Callable[[DataFrame, int], None] | None = None) -> str:
     """Run a streaming DataFrame to completion (``availableNow``) into a fresh
     parquet folder under the shared checkpoint directory; returns the folder.
     Update-mode aggregates go through ``foreachBatch`` as an upsert log (one
     file set per batch id); read them back with :func:`latest_rows`.
 
-    A new query's state is laid out over ``state_partitions`` (default: the
-    cluster's parallelism) - fixed for the life of a checkpoint, so it is
-    chosen here rather than inherited from a batch-sized shuffle setting."""
+    A query's state is laid out over the session's shuffle partitions, for the
+    life of its checkpoint."""
     spark = stream.sparkSession
-    prev_parts = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     run = uuid.uuid4().hex[:12]
     out = scratch_path(spark, f"streams/{name}-{run}/out")
     ckpt = scratch_path(spark, f"streams/{name}-{run}/checkpoint")
@@ -132,13 +130,7 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append",
             batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
         q = w.foreachBatch(upsert).start()
-    try:
-        q.awaitTermination(timeout_s)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev_parts)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return out
@@ -174,32 +166,20 @@ def _breaker_processor(threshold: int, window_s: float, open_s: float, maxlen: i
             self.breaker = handle.getValueState("breaker", "state string, open_until double")
 
         def handleInputRows(self, key, rows, timerValues):
+            # the times and flags of a model's micro-batch, three small columns
             pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t", "request_id"], kind="stable")
             fails = [r[0] for r in self.failures.get()] if self.failures.exists() else []
             cur = self.breaker.get() if self.breaker.exists() else None
-            state, until = (cur[0], cur[1]) if cur else ("CLOSED", 0.0)
-            out = {"request_id": [], "model": [], "state_before": [], "skipped": [], "state_after": [], "recent_failures": []}
-            for rid, t, failed in zip(pdf["request_id"], pdf["t"], pdf["failed"]):
-                if state == "OPEN" and t >= until:
-                    state = "HALF_OPEN"
-                before, skipped = state, state == "OPEN"
-                if not skipped:
-                    if failed:
-                        fails = [x for x in fails if x >= t - window_s] + [t]
-                        fails = fails[-maxlen:]
-                        if len(fails) >= threshold:
-                            state, until = "OPEN", t + open_s
-                    else:
-                        fails, state, until = [], "CLOSED", 0.0
-                for k_, v in (("request_id", int(rid)), ("model", key[0]), ("state_before", before), ("skipped", bool(skipped)),
-                              ("state_after", state), ("recent_failures", len(fails))):
-                    out[k_].append(v)
-            if fails:
-                self.failures.put([(float(x),) for x in fails])
+            breaker = L.Breaker(threshold, window_s, open_s, maxlen, *((cur[0], cur[1]) if cur else ("CLOSED", 0.0)), fails)
+            steps = [breaker.call(t, f) for t, f in zip(pdf["t"], pdf["failed"])]
+            if breaker.failures:
+                self.failures.put([(float(x),) for x in breaker.failures])
             else:  # the store keeps no empty lists
                 self.failures.clear()
-            self.breaker.update((state, float(until)))
-            yield pd.DataFrame(out).astype({"recent_failures": "int32"})
+            self.breaker.update((breaker.state, float(breaker.open_until)))
+            yield pd.DataFrame({"request_id": pdf["request_id"].astype("int64"), "model": key[0], "state_before": [s[0] for s in steps],
+                                "skipped": [s[1] for s in steps], "state_after": [s[2] for s in steps],
+                                "recent_failures": [s[3] for s in steps]}).astype({"recent_failures": "int32"})
 
         def close(self) -> None:
             pass
@@ -209,12 +189,12 @@ def _breaker_processor(threshold: int, window_s: float, open_s: float, maxlen: i
 
 def stream_breaker(calls: DataFrame, threshold: int = 5, window_s: float = 60, open_s: float = 60,
                    maxlen: int | None = None, key: str = "model", ts: str = "created_at") -> DataFrame:
-    """STR4: breaker state per model with ``transformWithStateInPandas`` (list
-    state of failures, value state of the breaker). Needs the RocksDB state
-    store, which this sets on the session."""
-    spark = calls.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """STR4 / LLM4: breaker state per model with ``transformWithStateInPandas`` (list
+    state of failures, value state of the breaker). The session must use the
+    RocksDB state store (``ragloom.session.SESSION_DEFAULTS`` names it)."""
+    provider = calls.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass")
+    if "RocksDB" not in provider:
+        raise ValueError("set spark.sql.streaming.stateStore.providerClass to the RocksDB provider")
     c = calls.select(F.col("request_id").cast("long"), F.col(key).alias("model"),
                      (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t"), F.col("failed"))
     proc = _breaker_processor(threshold, float(window_s), float(open_s), maxlen or threshold * 2)
@@ -243,13 +223,15 @@ def stream_first_token(tokens: DataFrame, request: str = "request_id", ts: str =
 
 def cache_sinks(entries_path: str, results_path: str, threshold: float = 0.92, ttl_s: int = 3600,
                 id_col: str = "request_id", ts: str = "created_at", vec: str = "embedding") -> Callable[[DataFrame, int], None]:
-    """STR5 / LLM2 (independent form) per micro-batch. The cache state is a
-    table of entries in the shared folder (one folder per batch id, so a
-    replayed batch overwrites its own files). For each batch, the live entries
-    (created within one TTL before the batch's first request) and the batch
-    itself go through the exact batch replay; results are kept for the batch's
-    requests only, and the batch's requests are added as entries. Entries older
-    than the TTL are never read again (expiry by predicate, S13)."""
+    """STR5 / LLM2 per micro-batch, as the service works: only misses store an
+    entry. The cache state is a table of entries in the shared folder (one
+    folder per batch id, so a replayed batch overwrites its own files). For
+    each batch, the stored entries that may still live (created within one TTL
+    before the batch's first request) and the batch itself go through the
+    sequential replay; results are kept for the batch's requests, and its
+    misses are added as entries. Entries older than the TTL are never read
+    again (expiry by predicate, S13). Batches must come in time order, as they
+    do from the request log; a failed read of the entries fails the batch."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cur = batch.select(F.col(id_col).alias("request_id"), F.col(ts).cast("timestamp").alias("created_at"),
@@ -258,15 +240,15 @@ def cache_sinks(entries_path: str, results_path: str, threshold: float = 0.92, t
         if lo is None:
             cur.unpersist()
             return
-        try:
+        prev = None
+        if path_exists(spark, entries_path):
             prev = spark.read.parquet(entries_path).filter(F.col("batch_id") < batch_id).drop("batch_id")
             prev = prev.filter(F.col("created_at") > F.lit(lo) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_s)))
-        except Exception:  # first batch: no entries yet
-            prev = None
-        both = cur if prev is None else prev.unionByName(cur)
-        res = L.cache_replay(both, threshold, ttl_s).join(cur.select("request_id"), "request_id", "left_semi")
+        res = L.cache_replay_sequential(cur, threshold, ttl_s, entries=prev).drop("rounds")
         res.write.mode("overwrite").parquet(f"{results_path}/batch_id={batch_id}")
-        cur.write.mode("overwrite").parquet(f"{entries_path}/batch_id={batch_id}")
+        done = spark.read.parquet(f"{results_path}/batch_id={batch_id}")
+        missed = done.filter(~F.col("hit")).select("request_id")
+        cur.join(missed, "request_id", "left_semi").write.mode("overwrite").parquet(f"{entries_path}/batch_id={batch_id}")
         cur.unpersist()
 
     return fn

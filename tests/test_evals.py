@@ -32,9 +32,9 @@ def test_extraction_scoring_rules(spark):
         "decision_keywords array<array<string>>, decisions_count int")
     outs = spark.createDataFrame([
         ("d1", "p", '{"tasks": [{"owner": " ann ", "task": "Write REPORT"}, {"owner": "Zed", "task": "x"}],'
-                    ' "decisions": ["Launch on Friday"]}', 10, 5),
-        ("d1", "q", "garbage", 10, 1),
-    ], "dataset string, provider string, raw string, input_tokens long, output_tokens long")
+                    ' "decisions": ["Launch on Friday"]}', 10, 5, 300),
+        ("d1", "q", "garbage", 10, 1, 20),
+    ], "dataset string, provider string, raw string, input_tokens long, output_tokens long, latency_ms long")
     r = {x["provider"]: x for x in E.extraction_eval(outs, gold).collect()}
     assert (r["p"]["tasks_found"], r["p"]["hallucinated_owners"], r["p"]["decisions_found"]) == (1, 1, 1)
     assert (r["q"]["tasks_found"], r["q"]["tasks_total"], r["q"]["decisions_total"]) == (0, 2, 2)

@@ -69,7 +69,7 @@ def test_first_token_stream_and_span_batches(spark):
     assert names == ["embed>generate", "store"]
 
 
-def test_cache_stream_across_micro_batches_equals_batch(spark):
+def test_cache_stream_across_micro_batches_equals_sequential_replay(spark):
     import datetime as dt
 
     import numpy as np
@@ -91,6 +91,6 @@ def test_cache_stream_across_micro_batches_equals_batch(spark):
     S.run_to_table(src, "cache_t", foreach_batch=S.cache_sinks(entries, results, 0.92, 3600))
     got = {r["request_id"]: (r["hit"], r["matched_request_id"]) for r in spark.read.parquet(results).collect()}
     exp = {r["request_id"]: (r["hit"], r["matched_request_id"])
-           for r in L.cache_replay(spark.createDataFrame(rows, schema), 0.92, 3600).collect()}
+           for r in L.cache_replay_sequential(spark.createDataFrame(rows, schema), 0.92, 3600).collect()}
     assert spark.read.parquet(results).select("batch_id").distinct().count() == 4
     assert got == exp and any(h for h, _ in exp.values())
