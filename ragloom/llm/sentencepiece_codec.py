@@ -13,14 +13,17 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shingles import text_blocks
+
 MARK = "▁"
-TABLE_ENTRIES = 200_000
+TABLE_ENTRIES = 300_000
 
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -65,23 +68,23 @@ class ChunkTable:
         chunks = [c for c in chunks if c != MARK]
         ids = self.sp.encode([c[1:].replace(MARK, " ") for c in chunks], num_threads=1)
         for c, i, text in zip(chunks, ids, self.sp.decode(ids), strict=True):
-            self.table[c] = (b"".join([x.to_bytes(4, "little") for x in i]), " " + text)
+            self.table[c] = (array("I", i).tobytes(), " " + text)
         self.table[MARK] = (self.sp.piece_to_id(MARK).to_bytes(4, "little"), " ")
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """Ids with begin and end as little-endian unsigned 32-bit integers,
-        and what they decode to."""
-        if not text:
-            return self.bos + self.eos, ""
-        chunks = _CHUNK.findall(MARK + text.replace(" ", MARK))
-        distinct = set(chunks)
+    def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[bytes, str]]:
+        """For each text, ids with begin and end as little-endian unsigned
+        32-bit integers, and what they decode to. The new words of all texts
+        are segmented in one call."""
+        chunks = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        distinct = set().union(*chunks)
         new = [c for c in distinct if c not in self.table]
         if len(self.table) + len(new) > self.entries:
             self.table, new = {}, list(distinct)
         if new:
             self._add(new)
-        pairs = [self.table[c] for c in chunks]
-        return self.bos + b"".join([p[0] for p in pairs]) + self.eos, "".join([p[1] for p in pairs])[1:]
+        for own in chunks:
+            pairs = [self.table[c] for c in own]
+            yield self.bos + b"".join([p[0] for p in pairs]) + self.eos, "".join([p[1] for p in pairs])[1:]
 
 
 def encode_decode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text",
@@ -95,7 +98,8 @@ def encode_decode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
     names may clash. A null text counts as empty: two ids (begin, end) and an
     empty decoded text. A marker character in the text decodes to a space, as
     in the library. Repeated rows and null ids stay; an empty table gives an
-    empty one. Memory: one Arrow batch, the word table, and one text's ids.
+    empty one. Memory: one Arrow batch, the word table, and the ids of one block of
+    texts (or of one longer text).
     """
     check_model(model)
     extra = (", ids array<int>" if with_ids else "") + (", decoded string" if with_text else "")
@@ -105,11 +109,11 @@ def encode_decode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model)
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
+            texts = batch.column(1).to_pylist()
+            for i, j in text_blocks(texts):
+                part = batch.slice(i, j - i)
                 n, digest, back_digest, ids, back = [], [], [], [], []
-                for value in part.column(1):
-                    raw, text = table.encode(value.as_py())
+                for raw, text in table.encode(texts[i:j]):
                     n.append(len(raw) // 4)
                     digest.append(hashlib.sha256(raw).hexdigest())
                     back_digest.append(hashlib.sha256(text.encode("utf-8")).hexdigest())

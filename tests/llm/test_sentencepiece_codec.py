@@ -3,7 +3,7 @@ import hashlib
 import public_tokenizers
 import pytest
 import sentencepiece
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from ragloom.llm import queries
@@ -22,17 +22,18 @@ def plain(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" ▁\n\t a"))))
-def test_table_equals_library(text):
-    assert C.ChunkTable(MODEL).encode(text) == plain(text)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" ▁\n\t a"))), max_size=4))
+@example(["a ", " ", "a▁", "▁", " a", "a  b  ", "\n \n", ""])
+def test_table_equals_library(texts):
+    assert list(C.ChunkTable(MODEL).encode(texts)) == [plain(t) for t in texts]
 
 
 @pytest.mark.parametrize("entries", [1, 3, 50])
 def test_a_small_table_changes_nothing(entries):
     table = C.ChunkTable(MODEL, entries)
     for t in ["a b c d a b", "  x  y ", "", None, "a b", " ".join(map(str, range(200))), "▁▁ b", "one two three four five", "b a"]:
-        assert table.encode(t) == plain(t)
-        assert len(table.table) <= max(entries, 201)
+        assert list(table.encode([t, "k", t])) == [plain(t), plain("k"), plain(t)]
+        assert len(table.table) <= max(entries, 203)
 
 
 def test_query_and_edge_rows(spark):
