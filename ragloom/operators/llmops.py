@@ -9,6 +9,7 @@ latency_ms, ttft_ms, cache_hit, fallback_used, failed, aborted``).
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Sequence
 
 import numpy as np
@@ -16,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # ---------------------------------------------------------------------------
 # D11 prices, JON5 / FUN14 / S18 cost
 # ---------------------------------------------------------------------------
@@ -606,96 +609,105 @@ def assemble_traces(spans: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _cache_centroids(base: DataFrame, n: int) -> DataFrame:
-    """About ``n`` seeded request vectors with distinct values as cell
-    centroids (duplicate vectors would make empty twin cells); cells are
-    numbered in seed order. ``orderBy().limit()`` is a top-n (no full sort)."""
-    picked = (base.select("v", F.md5(F.concat(F.col("rid").cast("string"), F.lit("-cache"))).alias("_k"), "rid")
-              .orderBy("_k", "rid").limit(max(4 * n, 1)).dropDuplicates(["v"]).orderBy("_k", "rid").limit(max(n, 1)))
-    return picked.select(F.row_number().over(Window.orderBy("_k", "rid")).alias("cell"), F.col("v").alias("centroid"))
+def _cache_rows(requests: DataFrame, entries: DataFrame | None, threshold: float, id_col: str, ts: str, vec: str, decimals: int) -> DataFrame:
+    """The rows that a cache replay walks through, group by group: first each
+    distinct vector's list of similar vectors, then the requests (and ``old``
+    entries) in time order.
+
+    Equal vectors are one node, named by its smallest request id; nodes are
+    compared with all others in blocks (:func:`nearest_rows`), and only pairs at
+    the threshold leave a task. A group is a connected component of that graph:
+    no request of another group can be answered from it."""
+    from .graph import connected
+    from .retrieval import nearest_rows
+
+    columns = [F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v")]
+    base = requests.select(*columns, F.lit(False).alias("old"))
+    if entries is not None:
+        base = base.unionByName(entries.select(*columns, F.lit(True).alias("old")))
+    base = base.withColumn("k", F.struct(F.xxhash64(F.lit(1), "v").alias("a"), F.xxhash64(F.lit(2), "v").alias("b")))
+    nodes = stored(base.groupBy("k").agg(F.min("rid").alias("vid"), F.first("v").alias("v")), "cache-vectors")
+    floors = nodes.select("vid", F.lit(float(threshold)).alias("floor"))
+    pairs = nearest_rows(nodes.select("vid", "v"), nodes, 1, "vid", "v", "vid", "v", decimals=decimals, floors=floors)
+    pairs = stored(pairs.select("vid", F.col("near_key").alias("nid"), F.col("near_score").alias("sim")), "cache-pairs")
+    groups = connected(pairs.select(F.col("vid").alias("u"), F.col("nid").alias("v")))
+    near = pairs.groupBy("vid").agg(F.sort_array(F.collect_list(F.struct((-F.col("sim")).alias("d"), "nid"))).alias("near"))
+    lists = near.join(groups, F.col("vid") == F.col("node")).select(
+        "component", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("us"), F.lit(None).cast(requests.schema[id_col].dataType).alias("rid"), "vid",
+        F.col("near.nid").alias("nids"), F.transform("near.d", lambda d: -d).alias("sims"), F.lit(False).alias("old"))
+    asked = base.join(nodes.select("k", "vid"), "k").join(groups, F.col("vid") == F.col("node")).select(
+        "component", F.lit(1).alias("kind"), F.unix_micros("t").alias("us"), "rid", "vid", F.lit(None).cast(lists.schema["nids"].dataType).alias("nids"),
+        F.lit(None).cast("array<double>").alias("sims"), "old")
+    return lists.unionByName(asked).repartition("component").sortWithinPartitions("component", "kind", "us", "rid")
+
+
+def _walk(ttl_us: int, only_misses: bool):
+    """Replay over sorted rows, batch by batch. Kept per group: the lists of
+    similar vectors and, per vector, the live entries that can still be the
+    answer (an entry gives way to a later one with a smaller id)."""
+    def fn(batches):
+        group, near, live = None, {}, {}
+        for b in batches:
+            out: list[tuple] = []
+            for comp, kind, us, rid, vid, nids, sims, old in zip(*(b[c].tolist() for c in
+                                                                   ("component", "kind", "us", "rid", "vid", "nids", "sims", "old"))):
+                if comp != group:
+                    group, near, live = comp, {}, {}
+                if kind == 0:
+                    near[vid] = list(zip(nids, sims))
+                    continue
+                rid, best = int(rid), None
+                if not old:
+                    for nid, sim in near[vid]:  # most similar first
+                        if best is not None and sim < best[0]:
+                            break
+                        held = live.get(nid)
+                        while held and held[0][0] + ttl_us <= us:
+                            held.popleft()
+                        if held and (best is None or held[0][1] < best[1]):
+                            best = (sim, held[0][1], held[0][0])
+                    out.append((rid, best is not None, *((best[1], best[0], (us // 1_000_000) - (best[2] // 1_000_000)) if best else (None, None, None))))
+                if old or best is None or not only_misses:
+                    held = live.setdefault(vid, deque())
+                    while held and held[-1][1] >= rid:
+                        held.pop()
+                    held.append((us, rid))
+            frame = pd.DataFrame(out, columns=["rid", "hit", "eid", "sim", "age"])
+            yield frame.astype({"eid": "Int64", "age": "Int64", "sim": "float64"})
+
+    return fn
+
+
+def _cache_replay(requests, entries, threshold, ttl_s, id_col, ts, vec, decimals, only_misses) -> DataFrame:
+    rows = _cache_rows(requests, entries, threshold, id_col, ts, vec, decimals)
+    out = rows.mapInPandas(_walk(int(ttl_s * 1_000_000), only_misses), "rid bigint, hit boolean, eid bigint, sim double, age bigint")
+    return out.select(F.col("rid").alias(id_col), "hit", F.col("eid").alias("matched_request_id"), F.col("sim").alias("similarity"),
+                      F.col("age").alias("age_seconds"))
 
 
 def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
-                 ts: str = "created_at", vec: str = "embedding", decimals: int = 6, bucket_s: int | None = None,
-                 target_group_rows: int = 2000) -> DataFrame:
-    """LLM2, independent form: every earlier request has stored an entry; a
-    request hits when its most similar *live* entry (``created <= t <
-    created + ttl``, strictly earlier in (time, id)) has cosine >= threshold
-    (S13). Output: ``hit, matched_request_id, similarity, age_seconds``.
-
-    Exact candidate blocking (no all-pairs scan of a time window): requests are
-    assigned to their nearest of ~sqrt(N) seeded centroids; each cell keeps its
-    angular radius ``r`` (largest angle of a member to the centroid); an entry
-    is copied to every cell whose centroid is within ``acos(threshold) + r`` of
-    it, which by the triangle inequality on angles covers every request that
-    can reach the threshold. Entries are also copied to the next time bucket
-    (buckets are at least one TTL wide), so the live window is an equi-join on
-    (cell, bucket); each (cell, bucket) group is scored with one matrix product
-    in a ``cogroup``. Without ``bucket_s`` the bucket width is a whole number of
-    TTLs chosen so a group holds about ``target_group_rows`` requests (one TTL
-    on dense logs, wider on sparse ones).
+                 ts: str = "created_at", vec: str = "embedding", decimals: int = 6) -> DataFrame:
+    """LLM2 / JON10 / FIL11 / FUN13, independent form: every earlier request
+    has stored an entry; a request (whole-number id) hits when its most similar
+    *live* entry (``created <= t < created + ttl``, strictly earlier in (time,
+    id)) has cosine >= threshold (S13), the smallest id among equally similar
+    ones. Output: ``hit, matched_request_id, similarity, age_seconds``.
+
+    Requests are grouped by what their vectors are similar to
+    (:func:`_cache_rows`) and walked through in time order; a group's rows
+    stream through a task, which holds only live entries.
     """
-    from .retrieval import _prepare, _stack, nearest_rows
-
-    base = requests.select(F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v"))
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("t")).alias("lo"), F.max(F.unix_seconds("t")).alias("hi")).first()
-    n = int(np.floor(np.sqrt(st["n"] or 0) + 0.5)) or 1
-    if bucket_s is None:
-        span_ttls = max(1.0, ((st["hi"] or 0) - (st["lo"] or 0)) / ttl_s)
-        per_group = max(st["n"] or 1, 1) / (n * span_ttls)
-        bucket_s = ttl_s * max(1, int(np.ceil(target_group_rows / max(per_group, 1e-9))))
-    bucket_s = max(int(bucket_s), ttl_s)
-    cents = _cache_centroids(base, n)
-    cents = cents.checkpoint(eager=True)  # small; fixes the seeded centroid choice once
-    own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"])
-    own = own.select("rid", F.col("near_key").alias("cell"), "t", "v",
-                     F.acos(F.least(F.greatest(F.col("near_score"), F.lit(-1.0)), F.lit(1.0))).alias("ang"))
-    reach = float(np.arccos(max(-1.0, min(1.0, threshold - 10.0 ** -decimals)))) + 1e-9
-    floors = own.groupBy("cell").agg(F.max("ang").alias("radius")).select(
-        "cell", F.cos(F.least(F.col("radius") + F.lit(reach), F.lit(float(np.pi)))).alias("floor"))
-    replicas = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"], floors=floors)
-    bucket = lambda c: F.floor(F.unix_seconds(c) / bucket_s).cast("bigint")
-    q = own.select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v")
-    e = replicas.select(F.col("near_key").alias("cell"), F.col("rid").alias("eid"), F.col("t").alias("et"), F.col("v").alias("ev"),
-                        F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket"))
-    e = e.join(q.select("cell", "bucket").distinct(), ["cell", "bucket"], "left_semi")  # only groups with requests
-    ttl = np.timedelta64(int(ttl_s), "s")
-    rid_type = requests.schema[id_col].dataType.simpleString()
-
-    def best_live(qp: pd.DataFrame, ep: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"rid": pd.Series([], dtype="int64"), "eid": pd.Series([], dtype="int64"),
-                              "sim": pd.Series([], dtype="float64"), "et": pd.Series([], dtype="datetime64[us]")})
-        if len(qp) == 0 or len(ep) == 0:
-            return empty
-        qm, em = _prepare(_stack(qp["v"]), "cosine"), _prepare(_stack(ep["ev"]), "cosine")
-        sim = np.round(qm @ em.T, decimals)
-        tq = qp["t"].to_numpy(dtype="datetime64[us]")[:, None]
-        te = ep["et"].to_numpy(dtype="datetime64[us]")[None, :]
-        rq = qp["rid"].to_numpy()[:, None]
-        re_ = ep["eid"].to_numpy()[None, :]
-        ok = (te <= tq) & (te + ttl > tq) & ((te < tq) | (re_ < rq)) & (sim >= threshold)
-        if not ok.any():
-            return empty
-        # best = highest similarity, then the lowest entry id (no per-row sort)
-        key = np.where(ok, sim, -np.inf)
-        top = key.max(axis=1)
-        rows = np.flatnonzero(np.isfinite(top))
-        tied = key[rows] == top[rows, None]
-        ids = np.where(tied, np.broadcast_to(re_, ok.shape)[rows].astype(np.float64), np.inf)
-        cols = ids.argmin(axis=1)
-        return pd.DataFrame({"rid": qp["rid"].to_numpy()[rows], "eid": ep["eid"].to_numpy()[cols],
-                             "sim": sim[rows, cols], "et": ep["et"].to_numpy()[cols]})
-
-    hits = q.groupBy("cell", "bucket").cogroup(e.groupBy("cell", "bucket")).applyInPandas(
-        best_live, f"rid {rid_type}, eid {rid_type}, sim double, et timestamp")
-    out = base.select("rid", "t").join(hits, "rid", "left")
-    return out.select(
-        F.col("rid").alias(id_col),
-        F.col("eid").isNotNull().alias("hit"),
-        F.col("eid").alias("matched_request_id"),
-        F.col("sim").alias("similarity"),
-        (F.unix_seconds("t") - F.unix_seconds(F.col("et"))).alias("age_seconds"),
-    )
+    return _cache_replay(requests, None, threshold, ttl_s, id_col, ts, vec, decimals, only_misses=False)
+
+
+def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
+                            ts: str = "created_at", vec: str = "embedding", decimals: int = 6, entries: DataFrame | None = None) -> DataFrame:
+    """LLM2 / FIL11 / FUN13, sequential form (the service's behaviour): only
+    misses store an entry, so a hit depends on earlier answers. One walk in time
+    order per group, as in :func:`cache_replay`. ``entries`` (same columns) are
+    stored entries from before; they answer no request.
+    """
+    return _cache_replay(requests, entries, threshold, ttl_s, id_col, ts, vec, decimals, only_misses=True)
 
 
 def admit(requests: DataFrame, tier_table: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -709,111 +721,3 @@ def sse_event(kind: Column | str, payload: Column) -> Column:
     """FUN10: one server-sent event line ``data: {json}\\n\\n`` (non-ASCII kept)."""
     k = F.lit(kind) if isinstance(kind, str) else kind
     return F.concat(F.lit("data: "), F.to_json(F.struct(k.alias("type"), payload.alias("content"))), F.lit("\n\n"))
-
-
-def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
-                            ts: str = "created_at", vec: str = "embedding", decimals: int = 6, bucket_s: int | None = None,
-                            target_group_rows: int = 2000, entries: DataFrame | None = None) -> DataFrame:
-    """LLM2, sequential form (the service's behaviour): only misses store an
-    entry, so a hit depends on earlier answers.
-
-    Same exact blocking as :func:`cache_replay`. Each (cell, bucket) group
-    replays its own requests in time order, deciding their stored flags as it
-    goes; entries copied in from other cells or from the previous bucket use
-    the flags computed for them in the previous round (all stored in round 0).
-    Rounds repeat until no flag changes; the fixed point is the sequential
-    answer (a request's flag only depends on earlier requests, so every round
-    settles at least the next one of each chain). Each round is checkpointed.
-    ``entries`` (same columns) are stored before the replay begins and answer
-    no requests. Output adds ``rounds``.
-    """
-    from .retrieval import _prepare, _stack, nearest_rows
-
-    columns = [F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v")]
-    asked = requests.select(*columns)
-    base = asked.withColumn("old", F.lit(False))
-    if entries is not None:
-        base = base.unionByName(entries.select(*columns).withColumn("old", F.lit(True)))
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_seconds("t")).alias("lo"), F.max(F.unix_seconds("t")).alias("hi")).first()
-    n = int(np.floor(np.sqrt(st["n"] or 0) + 0.5)) or 1
-    if bucket_s is None:
-        span_ttls = max(1.0, ((st["hi"] or 0) - (st["lo"] or 0)) / ttl_s)
-        per_group = max(st["n"] or 1, 1) / (n * span_ttls)
-        bucket_s = ttl_s * max(1, int(np.ceil(target_group_rows / max(per_group, 1e-9))))
-    bucket_s = max(int(bucket_s), ttl_s)
-    cents = _cache_centroids(base, n)
-    cents = cents.checkpoint(eager=True)
-    own = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v", "old"])
-    own = own.select("rid", F.col("near_key").alias("cell"), "t", "v", "old",
-                     F.acos(F.least(F.greatest(F.col("near_score"), F.lit(-1.0)), F.lit(1.0))).alias("ang"))
-    reach = float(np.arccos(max(-1.0, min(1.0, threshold - 10.0 ** -decimals)))) + 1e-9
-    floors = own.groupBy("cell").agg(F.max("ang").alias("radius")).select(
-        "cell", F.cos(F.least(F.col("radius") + F.lit(reach), F.lit(float(np.pi)))).alias("floor"))
-    replicas = nearest_rows(base, cents, 1, "rid", "v", "cell", "centroid", decimals=12, carry=["t", "v"], floors=floors)
-    bucket = lambda c: F.floor(F.unix_seconds(c) / bucket_s).cast("bigint")
-    q = own.filter(~F.col("old")).select("cell", bucket(F.col("t")).alias("bucket"), "rid", "t", "v").checkpoint(eager=True)
-    e = replicas.select(F.col("near_key").alias("cell"), F.col("rid").alias("eid"), F.col("t").alias("et"), F.col("v").alias("ev"),
-                        F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) + 1)).alias("bucket"))
-    e = e.join(q.select("cell", "bucket").distinct(), ["cell", "bucket"], "left_semi").checkpoint(eager=True)
-    ttl = np.timedelta64(int(ttl_s), "s")
-    rid_type = requests.schema[id_col].dataType.simpleString()
-    out_schema = f"rid {rid_type}, hit boolean, eid {rid_type}, sim double, et timestamp"
-
-    def replay(qp: pd.DataFrame, ep: pd.DataFrame) -> pd.DataFrame:
-        if len(qp) == 0:
-            return pd.DataFrame({"rid": pd.Series([], dtype="int64"), "hit": pd.Series([], dtype=bool),
-                                 "eid": pd.Series([], dtype="int64"), "sim": pd.Series([], dtype="float64"),
-                                 "et": pd.Series([], dtype="datetime64[us]")})
-        qp = qp.sort_values(["t", "rid"], kind="stable").reset_index(drop=True)
-        nq = len(qp)
-        rids = qp["rid"].to_numpy()
-        hit = np.zeros(nq, dtype=bool)
-        best_e = np.full(nq, -1, dtype=np.int64)
-        best_s = np.full(nq, np.nan)
-        best_t = np.full(nq, np.datetime64("NaT"), dtype="datetime64[us]")
-        if len(ep):
-            qm, em = _prepare(_stack(qp["v"]), "cosine"), _prepare(_stack(ep["ev"]), "cosine")
-            sim = np.round(qm @ em.T, decimals)
-            tq = qp["t"].to_numpy(dtype="datetime64[us]")[:, None]
-            te = ep["et"].to_numpy(dtype="datetime64[us]")[None, :]
-            eids = ep["eid"].to_numpy()
-            ok = (te <= tq) & (te + ttl > tq) & ((te < tq) | (eids[None, :] < rids[:, None])) & (sim >= threshold)
-            pos_of = {r: i for i, r in enumerate(rids.tolist())}
-            own_idx = np.array([pos_of.get(x, -1) for x in eids.tolist()])  # entry decided in this group
-            prev = ep["stored_prev"].to_numpy(dtype=bool)
-            et_arr = ep["et"].to_numpy(dtype="datetime64[us]")
-            for i in range(nq):
-                cand = np.flatnonzero(ok[i])
-                if cand.size:
-                    stored = np.where(own_idx[cand] >= 0, ~hit[np.maximum(own_idx[cand], 0)], prev[cand])
-                    cand = cand[stored]
-                if cand.size:
-                    order = np.lexsort((eids[cand], -sim[i, cand]))
-                    j = cand[order[0]]
-                    hit[i], best_e[i], best_s[i], best_t[i] = True, eids[j], sim[i, j], et_arr[j]
-        return pd.DataFrame({"rid": rids, "hit": hit, "eid": best_e, "sim": best_s, "et": best_t})
-
-    flags = None
-    res = None
-    rounds = 0
-    while True:
-        rounds += 1
-        er = e if flags is None else e.join(flags, "eid", "left")
-        er = er.withColumn("stored_prev", F.coalesce(F.col("stored_prev"), F.lit(True))) if flags is not None \
-            else er.withColumn("stored_prev", F.lit(True))
-        res = q.groupBy("cell", "bucket").cogroup(er.groupBy("cell", "bucket")).applyInPandas(replay, out_schema)
-        res = res.checkpoint(eager=True)
-        new_flags = res.select(F.col("rid").alias("eid"), (~F.col("hit")).alias("stored_prev"))
-        if flags is not None:
-            changed = new_flags.join(flags.withColumnRenamed("stored_prev", "_old"), "eid").filter(
-                F.col("stored_prev") != F.col("_old"))
-            if changed.isEmpty():
-                break
-        flags = new_flags.checkpoint(eager=True)
-    out = asked.select("rid", "t").join(res, "rid", "left")
-    return out.select(
-        F.col("rid").alias(id_col), F.col("hit"),
-        F.when(F.col("hit"), F.col("eid")).alias("matched_request_id"),
-        F.when(F.col("hit"), F.col("sim")).alias("similarity"),
-        F.when(F.col("hit"), F.unix_seconds("t") - F.unix_seconds(F.col("et"))).alias("age_seconds"),
-        F.lit(rounds).alias("rounds"))

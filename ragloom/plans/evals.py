@@ -43,7 +43,7 @@ def extraction_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     c = table(spark, sf, "conversations")
     words = F.regexp_extract_all(F.lower(F.col("text")), F.lit("([a-z]+)"), 1)
     owner = F.element_at(F.array(*[F.lit(o) for o in OWNERS]), (F.col("turn") % 3 + 1).cast("int"))
-    c = c.select("conv_id", "turn", "role", "text", words.alias("kw"), owner.alias("owner"), _squeezed().alias("said"))
+    c = c.select("conv_id", "turn", "role", "text", F.array_distinct(words).alias("kw"), owner.alias("owner"), _squeezed().alias("said"))
     user = F.col("role") == "user"
     asst = F.col("role") == "assistant"
     gold = c.groupBy(F.col("conv_id").alias("dataset")).agg(
@@ -101,7 +101,7 @@ def _esc_sql(x: str) -> str:
 
 SQL_EXTRACTION = f"""
 c AS (
-  SELECT conv_id, turn, role, text, regexp_extract_all(lower(text), '[a-z]+') AS kw,
+  SELECT conv_id, turn, role, text, list_distinct(regexp_extract_all(lower(text), '[a-z]+')) AS kw,
          {_OWN}[turn % 3 + 1] AS owner,
          regexp_replace(trim(text), '\\s+', ' ', 'g') AS said
   FROM conversations),
@@ -525,7 +525,7 @@ SELECT split, count(*) AS pairs, round(avg(nll), 6) AS loss, round(exp(avg(nll))
 def bigram_loss(spark: SparkSession, sf: str) -> DataFrame:
     docs = texts(spark, sf)
     v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
-    return LM.cross_entropy(LM.pair_counts(LM.pairs(docs)), v)
+    return LM.cross_entropy(stored(LM.corpus_pair_counts(docs), "pairs"), v)
 
 
 TEMPERATURES = (0.5, 1.0, 1.5)
@@ -547,7 +547,7 @@ FROM q GROUP BY ch, temperature, top_k""", ops="ML16 FUN15")
 def temperature_topk(spark: SparkSession, sf: str) -> DataFrame:
     docs = texts(spark, sf)
     v = LM.vocabulary(docs).select(F.count(F.lit(1))).scalar()
-    model = LM.bigram_model(LM.pair_counts(LM.pairs(docs)), v)
+    model = LM.bigram_model(stored(LM.corpus_pair_counts(docs), "pairs"), v)
     return LM.reshape(model, v, TEMPERATURES, TOP_KS)
 
 

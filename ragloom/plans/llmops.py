@@ -558,7 +558,6 @@ FROM walk
 
 @register("semantic_cache_sequential", sql=SQL_CACHE_SEQUENTIAL, ops="LLM2 FIL11 FUN13")
 def semantic_cache_sequential(spark: SparkSession, sf: str) -> DataFrame:
-    """Sequential cache replay (only misses store entries), exact by rounds to
-    a fixed point (the twin walks the requests one by one in a recursive
-    CTE)."""
-    return L.cache_replay_sequential(cache_requests(spark, sf), threshold=0.92, ttl_s=3600).drop("rounds")
+    """Sequential cache replay (only misses store entries); the twin walks the
+    requests one by one in a recursive CTE."""
+    return L.cache_replay_sequential(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)

@@ -244,7 +244,7 @@ def cache_sinks(entries_path: str, results_path: str, threshold: float = 0.92, t
         if path_exists(spark, entries_path):
             prev = spark.read.parquet(entries_path).filter(F.col("batch_id") < batch_id).drop("batch_id")
             prev = prev.filter(F.col("created_at") > F.lit(lo) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_s)))
-        res = L.cache_replay_sequential(cur, threshold, ttl_s, entries=prev).drop("rounds")
+        res = L.cache_replay_sequential(cur, threshold, ttl_s, entries=prev)
         res.write.mode("overwrite").parquet(f"{results_path}/batch_id={batch_id}")
         done = spark.read.parquet(f"{results_path}/batch_id={batch_id}")
         missed = done.filter(~F.col("hit")).select("request_id")

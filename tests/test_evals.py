@@ -89,3 +89,9 @@ def test_encode_decode_roundtrip(spark):
     assert {r["doc_id"]: r["text"] for r in LM.decode(enc, vocab).collect()} == {1: "abca", 2: "ba"}
     blocks = LM.training_blocks(enc, block=2, stride=1).collect()
     assert all(len(b["x"]) == 2 and b["y"][0] == b["x"][1] for b in blocks)
+
+
+def test_corpus_pair_counts_equal_the_row_form(spark):
+    docs = spark.createDataFrame([(1, "abcabca"), (2, "é🙂é🙂x"), (3, ""), (4, None), (5, "a"), (6, "ab" * 50)], "doc_id long, text string")
+    rows = lambda d: sorted(map(tuple, d.select("split", "ch", "next", "cnt").collect()))
+    assert rows(LM.corpus_pair_counts(docs)) == rows(LM.pair_counts(LM.pairs(docs.filter(F.length("text") > 0))))

@@ -183,7 +183,7 @@ def test_cache_sequential_matches_plain_loop(spark):
         rows.append((i, ts(i * 70 + (i % 7)), [float(x) for x in v]))
     df = spark.createDataFrame(rows, "request_id long, created_at timestamp, embedding array<double>")
     got = {r["request_id"]: (r["hit"], r["matched_request_id"])
-           for r in L.cache_replay_sequential(df, 0.92, 3600, bucket_s=3600).collect()}
+           for r in L.cache_replay_sequential(df, 0.92, 3600).collect()}
     vec = {r[0]: np.array(r[2]) / np.linalg.norm(r[2]) for r in rows}
     tt = {r[0]: r[1] for r in rows}
     stored = []
