@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linear import sigmoid
-from .shingles import mix, text_blocks, word_hashes
+from .shingles import column_blocks, mix, text_blocks, word_hashes
 
 UNIT_BITS = 14
 _U = np.uint64
@@ -191,6 +191,6 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(network.predict(batch.column(1).to_pylist()))], [id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.zeros(0), *(network.predict(texts) for _, _, texts in column_blocks(batch.column(1)))]))], [id_col, "score"])
 
     return src.mapInArrow(run, f"`{id_col}` {src.schema['_id'].dataType.simpleString()}, score double")

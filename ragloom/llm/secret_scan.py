@@ -19,6 +19,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shingles import column_blocks
+
 # The base patterns and the least length of what they find.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ASSIGN_LEAST = 6
@@ -190,13 +192,14 @@ def redact_documents(docs: DataFrame, text_col: str = "text", length_col: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = list(batch.columns)
-            old = batch.column(at).to_pylist()
-            new = [redact(t, all_spans(t, rule)[1], mark) for t in old]
-            cols[at] = pa.array(new, batch.column(at).type)
-            if length_at is not None:
-                had = batch.column(length_at)
-                cols[length_at] = pa.array([h if o == n else len(n) for h, o, n in zip(had.to_pylist(), old, new, strict=True)], had.type)
-            yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
+            for i, j, old in column_blocks(batch.column(at)):
+                part = batch.slice(i, j - i)
+                cols = list(part.columns)
+                new = [redact(t, all_spans(t, rule)[1], mark) for t in old]
+                cols[at] = pa.array(new, cols[at].type)
+                if length_at is not None:
+                    had = cols[length_at]
+                    cols[length_at] = pa.array([h if o == n else len(n) for h, o, n in zip(had.to_pylist(), old, new, strict=True)], had.type)
+                yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
 
     return docs.mapInArrow(run, fields)

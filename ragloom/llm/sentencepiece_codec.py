@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shingles import text_blocks
+from .shingles import column_blocks
 
 MARK = "▁"
 TABLE_ENTRIES = 300_000
@@ -109,11 +109,10 @@ def encode_decode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i, j in text_blocks(texts):
+            for i, j, texts in column_blocks(batch.column(1)):
                 part = batch.slice(i, j - i)
                 n, digest, back_digest, ids, back = [], [], [], [], []
-                for raw, text in table.encode(texts[i:j]):
+                for raw, text in table.encode(texts):
                     n.append(len(raw) // 4)
                     digest.append(hashlib.sha256(raw).hexdigest())
                     back_digest.append(hashlib.sha256(text.encode("utf-8")).hexdigest())

@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 19
 SHINGLE_WORDS = 5
@@ -58,6 +60,17 @@ def text_blocks(texts: Sequence[str | None], max_bytes: int = BLOCK_BYTES) -> It
         yield start, len(texts)
 
 
+def column_blocks(column: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Consecutive slices of a text column of about ``max_bytes`` as lists of
+    strings, with their index ranges; one slice is held at a time."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = (np.cumsum(size) - size) // max_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(column)]
+    for i, j in zip(cuts, cuts[1:], strict=False):
+        if j > i:
+            yield i, j, column.slice(i, j - i).to_pylist()
+
+
 def _words(texts: Sequence[str | None], lower: bool, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Running hash sums over the bytes of all texts, starts and ends of the
     words, and the offsets of each text's words."""

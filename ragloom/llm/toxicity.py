@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linear import Sparse, fit_logistic, sigmoid
-from .shingles import beginning_hashes, text_blocks
+from .shingles import beginning_hashes, column_blocks, text_blocks
 
 _U = np.uint64
 BUCKET_BITS = 20
@@ -55,9 +56,8 @@ def _featured(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i, j in text_blocks(texts):
-                buckets, owner = features(texts[i:j])
+            for i, j, texts in column_blocks(batch.column(1)):
+                buckets, owner = features(texts)
                 key = np.unique(owner.astype(np.int64) << BUCKET_BITS | buckets)
                 ends = np.searchsorted(key >> BUCKET_BITS, np.arange(j - i + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)))
@@ -76,10 +76,20 @@ class Chain:
     columns: np.ndarray
     models: tuple[tuple[np.ndarray, np.ndarray, float], ...]
 
-    def predict(self, texts: Sequence[str | None]) -> np.ndarray:
-        """Probabilities, texts x categories."""
+    @cached_property
+    def places(self) -> np.ndarray:
+        """Each bucket's column, -1 for those not in use."""
         place = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
         place[self.columns] = np.arange(len(self.columns))
+        return place
+
+    def predict_column(self, column: pa.Array) -> np.ndarray:
+        """Probabilities of a text column, block by block."""
+        return np.concatenate([np.zeros((0, len(self.categories))), *(self.predict(texts) for _, _, texts in column_blocks(column))])
+
+    def predict(self, texts: Sequence[str | None]) -> np.ndarray:
+        """Probabilities, texts x categories."""
+        place = self.places
         out = np.zeros((len(texts), len(self.categories)))
         for i, j in text_blocks(texts):
             buckets, owner = features(texts[i:j])
@@ -158,7 +168,7 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = chain.predict(batch.column(1).to_pylist())
+            p = chain.predict_column(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(p[:, c]) for c in range(p.shape[1])), pa.array(p[:, -1] >= threshold)],
                                              [id_col, *names, "toxic"])
 
@@ -173,6 +183,6 @@ def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text", threshold:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(chain.predict(batch.column(at).to_pylist())[:, -1] < threshold))
+            yield batch.filter(pa.array(chain.predict_column(batch.column(at))[:, -1] < threshold))
 
     return docs.mapInArrow(run, fields)
