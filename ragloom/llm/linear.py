@@ -14,7 +14,8 @@ class Sparse:
 
     def __init__(self, columns: np.ndarray, offsets: np.ndarray, width: int):
         self.columns, self.offsets, self.width = columns, offsets, width
-        self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        small = np.int64 if len(columns) < 1 << 22 else np.int32  # what is counted with often, and what is only large
+        self.row = np.repeat(np.arange(len(offsets) - 1, dtype=small), np.diff(offsets))
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -22,8 +23,11 @@ class Sparse:
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.columns], minlength=len(self))
 
-    def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.columns, r[self.row], minlength=self.width)
+    def back(self, r: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+        out = np.zeros(self.width)
+        for i in range(0, len(self.columns), step):
+            out += np.bincount(self.columns[i:i + step], r[self.row[i:i + step]], minlength=self.width)
+        return out
 
     def rows(self, keep: np.ndarray) -> Sparse:
         inside = keep[self.row]

@@ -131,15 +131,17 @@ def fit_chain(labelled: DataFrame, categories: Sequence[str], id_col: str = "doc
     lists = got.column("_buckets").combine_chunks()
     lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
     offsets = lists.offsets.to_numpy().astype(np.int64) if len(lists) else np.zeros(1, np.int64)
-    flat = lists.values.to_numpy()[offsets[0]:offsets[-1]].astype(np.int64) if len(lists) else np.zeros(0, np.int64)
+    flat = lists.values.to_numpy()[offsets[0]:offsets[-1]] if len(lists) else np.zeros(0, np.int32)
     y = np.stack([got.column(c).to_numpy() for c in categories], axis=1).astype(float) if len(lists) else np.zeros((0, len(categories)))
     whole = Sparse(flat, offsets - offsets[0], 1 << BUCKET_BITS)
     columns = _pick(whole, y, settings.columns)
-    place = np.full(whole.width, -1)
+    place = np.full(whole.width, -1, dtype=np.int32)
     place[columns] = np.arange(len(columns))
-    used = place[whole.columns] >= 0
+    column = place[whole.columns]
+    used = column >= 0
     n = np.bincount(whole.row[used], minlength=len(whole))
-    x = Sparse(place[whole.columns[used]], np.concatenate([[0], np.cumsum(n)]).astype(np.int64), len(columns))
+    x = Sparse(column[used].astype(np.int64), np.concatenate([[0], np.cumsum(n)]).astype(np.int64), len(columns))
+    del whole, column, used, flat, lists, got
     fold = np.arange(len(x)) % settings.folds  # rows are in hash order
     unseen = np.zeros((len(x), len(categories)))
     models = []
