@@ -35,7 +35,7 @@ class Sparse:
         return Sparse(self.columns[inside], np.concatenate([[0], np.cumsum(n)]), self.width)
 
 
-def fit_logistic(x: Sparse, extra: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray, float]:
+def fit_logistic(x: Sparse, extra: np.ndarray, y: np.ndarray, l2: float = 3e-4, steps: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights of sparse columns, of dense ``extra`` columns, and the bias, by
     full-batch Adam on the mean log loss, both classes with the same total
     weight (a class that does not occur leaves the bias far on the other side)."""
