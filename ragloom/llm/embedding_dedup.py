@@ -5,9 +5,11 @@ between the nearest binary code and the best rotation onto it) turns vectors
 into balanced binary codes. The codes are cut into substrings of about
 log2(rows) bits; each substring is the key of a table, and vectors that agree in
 a substring are candidates. As keys get longer with the number of rows, buckets
-keep their size, and more substrings (of further rotations once a code is used
-up) keep the share of pairs found. Candidates are ranked by the cosine of the
-original vectors in double precision.
+keep their size, and more substrings (of random rotations of the same axes once
+the learned code is used up) keep the share of pairs found. How many are needed
+depends on how the data lie around their mean, so it is counted on planted pairs
+at the threshold that go through the same keys. Candidates are ranked by the
+cosine of the original vectors in double precision.
 
 Links are counted where they are found and never listed as pairs: each task
 returns, per vector, its number of new links and the smallest vector that they
@@ -31,10 +33,11 @@ from .session import stored
 
 @dataclass(frozen=True)
 class Index:
-    """``least``: cosine of a link; ``miss``: expected share of pairs just at
-    ``least`` that no table finds; ``bucket``: rows per bucket that key lengths
-    aim at; ``block``: rows of a bucket that are compared at a time; ``sample``:
-    vectors the rotations are learned on; ``rounds``: of learning."""
+    """``least``: cosine of a link; ``miss``: share of planted pairs at
+    ``least`` that no table may find; ``bucket``: rows per bucket that key
+    lengths aim at; ``block``: rows of a bucket that are compared at a time;
+    ``sample``: vectors the rotations are learned on and pairs are planted at;
+    ``rounds``: of learning; ``pairs``: planted of each kind."""
 
     least: float = 0.9
     miss: float = 0.02
@@ -42,13 +45,11 @@ class Index:
     block: int = 1024
     sample: int = 10_000
     rounds: int = 30
+    pairs: int = 4_000
 
-    def tables(self, rows: int) -> tuple[int, int]:
-        """Bits of a key and number of tables for so many rows. Two vectors at
-        the threshold differ in a sign with probability angle / pi."""
-        bits = max(6, math.ceil(math.log2(max(rows, 1) / self.bucket + 1)))
-        agree = (1 - math.acos(self.least) / math.pi) ** bits
-        return bits, math.ceil(math.log(self.miss) / math.log(1 - agree))
+    def bits(self, rows: int) -> int:
+        """Bits of a key for so many rows."""
+        return max(6, math.ceil(math.log2(max(rows, 1) / self.bucket + 1)))
 
 
 def learn_rotation(sample: np.ndarray, rounds: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,9 +69,13 @@ def learn_rotation(sample: np.ndarray, rounds: int, seed: int) -> tuple[np.ndarr
     return mean, axes @ r
 
 
+def _signs(unit: np.ndarray, models: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    return np.concatenate([(unit - mean) @ matrix >= 0 for mean, matrix in models], axis=1)
+
+
 def _keys(unit: np.ndarray, models: list[tuple[np.ndarray, np.ndarray]], bits: int, tables: int) -> np.ndarray:
     """Keys of each vector in each table (vectors x tables)."""
-    signs = np.concatenate([(unit - mean) @ matrix >= 0 for mean, matrix in models], axis=1)
+    signs = _signs(unit, models)
     out = np.zeros((len(unit), tables), dtype=np.int64)
     for t in range(tables):
         for b in range(t * bits, (t + 1) * bits):
@@ -78,6 +83,80 @@ def _keys(unit: np.ndarray, models: list[tuple[np.ndarray, np.ndarray]], bits: i
     return out
 
 
+def planted_pairs(unit: np.ndarray, least: float, n: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the sample and partners at cosine ``least``: ``n`` that differ
+    in any direction, then ``n`` that differ as the vectors of the sample do
+    (all of it on the principal axes)."""
+    left = unit[rng.integers(0, len(unit), 2 * n)]
+    free = rng.standard_normal(left.shape)
+    off = free.copy()
+    off[n:] = unit[rng.integers(0, len(unit), n)] - unit[rng.integers(0, len(unit), n)]
+    across = lambda x: x - (x * left).sum(axis=1, keepdims=True) * left
+    length = lambda x: np.sqrt((x * x).sum(axis=1, keepdims=True))
+    off = across(off)
+    off = np.where(length(off) > 1e-6, off, across(free))
+    right = least * left + math.sqrt(1 - least * least) * off / np.maximum(length(off), 1e-12)
+    return left, right / length(right)
+
+
+def _needed(agree: np.ndarray, bits: int, miss: float) -> float:
+    """Independent tables until pairs of these sign agreements are missed with
+    ``miss`` on average."""
+    lost = 1 - agree ** bits
+    low, high = 0, 1
+    while (lost ** high).mean() > miss:
+        low, high = high, high * 2
+        if high > 1 << 20:
+            return math.inf
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if (lost ** mid).mean() > miss else (low, mid)
+    return high
+
+
+def plan_tables(unit: np.ndarray, rows: int, index: Index) -> tuple[list[tuple[np.ndarray, np.ndarray]], int, int]:
+    """Rotations, bits of a key and number of tables for ``rows`` vectors like
+    those of the sample.
+
+    Tables are added until no more than ``index.miss`` of the planted pairs of
+    either kind (two standard deviations included) share no key. Where the
+    vectors lie so close together that shorter keys (down to none: all pairs
+    are compared) take less than a quarter of the work, keys are shorter."""
+    rng = np.random.default_rng(0)
+    models = [learn_rotation(unit, index.rounds, 0)]
+    width = models[0][1].shape[1]
+
+    def further() -> None:
+        r, _ = np.linalg.qr(rng.standard_normal((width, width)))
+        models.append((models[0][0], models[0][1] @ r))
+
+    while len(models) * width < 256:
+        further()
+    n = index.pairs
+    left, right = planted_pairs(unit, index.least, n, rng)
+    same = (_signs(left, models) == _signs(right, models)).mean(axis=1)
+    chance = (_signs(left[:n], models) == _signs(unit[rng.integers(0, len(unit), n)], models)).mean(axis=1)
+
+    def work(bits: int) -> float:  # carrying a vector counts as comparing it with a bucket
+        return max(_needed(same[:n], bits, index.miss), _needed(same[n:], bits, index.miss)) * (index.bucket + rows * (chance ** bits).mean())
+
+    bits = index.bits(rows)
+    best = min(range(bits + 1), key=work)
+    bits = best if work(best) < work(bits) / 4 else bits
+    lost, tables, at, codes = np.ones(2 * n, dtype=bool), 0, 0, np.zeros((2 * n, 0), dtype=bool)
+    while True:
+        while codes.shape[1] < bits:
+            if at == len(models):
+                further()
+            codes = np.concatenate([codes, _signs(left, models[at:at + 1]) == _signs(right, models[at:at + 1])], axis=1)
+            at += 1
+        lost &= ~codes[:, :bits].all(axis=1)
+        codes, tables = codes[:, bits:], tables + 1
+        most = max(lost[:n].sum(), lost[n:].sum())
+        if most + 2 * math.sqrt(most) <= index.miss * n:
+            return models[:max(at, 1)], bits, tables
+
+
 def _unit(column: pa.Array, size: int) -> np.ndarray:
     rows = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     x = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
@@ -132,8 +211,9 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Other columns are not read; an empty table gives an empty one.
 
     The rotations are fitted to at most ``index.sample`` vectors; all rows are
-    indexed. A link is found with a probability of ``1 - index.miss`` or more;
-    none below the threshold is returned.
+    indexed. Of links just at the threshold a share of ``1 - index.miss`` or more
+    is found, as counted on pairs planted at those vectors; none below the
+    threshold is returned.
     """
     src = rows.select(rows[id_col].alias("_id"), rows[vector_col].cast("array<double>").alias("_v"))
     named = src.where(F.col("_id").isNotNull())
@@ -169,11 +249,8 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 def _links(nodes: DataFrame, size: int, rows: int, index: Index) -> DataFrame:
     """(_node, links, root) rows of all tables, for vectors of one length."""
-    bits, tables = index.tables(rows)
     sample = nodes.select("_node", "_v").orderBy(F.xxhash64("_node"), "_node").limit(index.sample).toArrow()
-    unit = _unit(sample.column("_v"), size)
-    width = min(size, 64)
-    models = [learn_rotation(unit, index.rounds, seed) for seed in range(math.ceil(tables * bits / width))]
+    models, bits, tables = plan_tables(_unit(sample.column("_v"), size), rows, index)
     kind = nodes.schema["_node"].dataType.simpleString()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

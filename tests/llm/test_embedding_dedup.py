@@ -74,3 +74,31 @@ def test_rotation_gives_balanced_close_codes():
     _, raw = E.learn_rotation(x, 0, 0)
     loss = lambda m: (((x - mean) @ m - np.where((x - mean) @ m >= 0, 1, -1)) ** 2).sum()
     assert loss(matrix) < loss(raw) and np.allclose(matrix.T @ matrix, np.eye(48), atol=1e-8)
+
+
+def around_mean(n, cosine, seed, d=64):
+    """Unit vectors whose average cosine is ``cosine``, and a partner of each at 0.9."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(np.sqrt(cosine) * np.eye(d)[:1] + np.sqrt(1 - cosine) * unit(rng.standard_normal((n, d))))
+    off = rng.standard_normal((n, d))
+    off = unit(off - (off * x).sum(axis=1, keepdims=True) * x)
+    return x, 0.9 * x + np.sqrt(0.19) * off
+
+
+def test_recall_with_a_common_mean_and_long_keys():
+    for cosine in (0, 0.5, 0.7):
+        left, right = around_mean(4000, cosine, 3)
+        for rows in (50_000, 5_000_000):
+            models, bits, tables = E.plan_tables(left, rows, E.Index())
+            shared = (E._keys(left, models, bits, tables) == E._keys(right, models, bits, tables)).any(axis=1)
+            assert bits == E.Index().bits(rows) and shared.mean() >= 0.97, (cosine, rows, tables)
+
+
+def test_links_around_a_common_mean_equal_brute_force(spark):
+    left, right = around_mean(1000, 0.7, 4)
+    rows = {i: v.tolist() for i, v in enumerate(np.concatenate([left, right]))}
+    want = plain(rows, 0.9 - 1e-9)
+    have = got(spark.createDataFrame(list(rows.items()), "vec_id bigint, embedding array<double>"), index=E.Index(least=0.9 - 1e-9, bucket=8))
+    assert all(have[i][0] <= want[i][0] for i in want)
+    assert sum(h[0] for h in have.values()) >= 0.97 * sum(w[0] for w in want.values())
