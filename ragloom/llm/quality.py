@@ -4,8 +4,9 @@ two-layer network with temperature-calibrated probabilities.
 A token gives two units, its lower-cased letters and its shape (runs of capital
 letters, other letters, digits, and every other character as itself). Each unit
 has a random index vector (sparse, of -1 and 1) and a unit's vector is the sum
-of the index vectors of the tokens next to it, over all its places. A document
-is the mean and the spread of its units' vectors.
+of the index vectors of the tokens next to it, over all its places in all
+documents (whole numbers, summed in tasks). A document is the mean and the spread
+of its units' vectors.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from .linear import sigmoid
 from .shingles import column_blocks, mix, text_blocks, word_hashes
 
 UNIT_BITS = 14
+CHUNK = 1 << 4  # units whose sums travel in one row
 _U = np.uint64
 
 _TOKEN = np.array([b > 32 for b in range(256)])
@@ -68,11 +70,9 @@ def index_vectors(settings: QualitySettings) -> np.ndarray:
     return rng.choice(np.array([-1.0, 0, 0, 0, 0, 0, 0, 0, 0, 1.0], dtype=np.float32), size=(2 << UNIT_BITS, settings.size))
 
 
-def unit_vectors(texts: Sequence[str | None], settings: QualitySettings) -> np.ndarray:
-    """Vectors of all units (words, then shapes): index vectors of the tokens
-    before and after, summed over the texts and brought to length one."""
-    index = index_vectors(settings)
-    total = np.zeros_like(index)
+def add_neighbours(total: np.ndarray, texts: Sequence[str | None], index: np.ndarray) -> None:
+    """Add to ``total`` (units x size, whole numbers), for every token, the index
+    vectors of the tokens before and after it in its text."""
     for i, j in text_blocks(texts):
         w, s, offsets = units(texts[i:j])
         own = index[w] + index[(1 << UNIT_BITS) + s]
@@ -82,12 +82,61 @@ def unit_vectors(texts: Sequence[str | None], settings: QualitySettings) -> np.n
         near[1:] += own[:-1] * same
         near[:-1] += own[1:] * same
         for ids in (w, s + (1 << UNIT_BITS)):
-            order = np.argsort(ids, kind="stable")
+            order = np.argsort(ids.astype(np.uint16), kind="stable")
             first = np.flatnonzero(np.diff(ids[order], prepend=-1))
             if len(first):
-                total[ids[order][first]] += np.add.reduceat(near[order], first, axis=0)
-    length = np.sqrt((total * total).sum(axis=1, keepdims=True))
-    return total / np.maximum(length, 1e-6)
+                total[ids[order][first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.float64).astype(np.int64)
+
+
+def _directions(total: np.ndarray) -> np.ndarray:
+    length = np.sqrt((total.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
+    return (total / np.maximum(length, 1e-6)).astype(np.float32)
+
+
+def unit_vectors(texts: Sequence[str | None], settings: QualitySettings) -> np.ndarray:
+    """Vectors of all units (words, then shapes): index vectors of the tokens
+    before and after, summed over the texts and brought to length one."""
+    index = index_vectors(settings)
+    total = np.zeros(index.shape, dtype=np.int64)
+    add_neighbours(total, texts, index)
+    return _directions(total)
+
+
+def corpus_vectors(docs: DataFrame, text_col: str, settings: QualitySettings) -> np.ndarray:
+    """:func:`unit_vectors` of all rows of ``docs``. Each task sums its texts and
+    gives the sums of ``CHUNK`` units a row; only the matrix, whose size is
+    fixed, reaches the driver. Sums are whole numbers, so their order is free."""
+    size = settings.size
+    kind = "chunk int, sums array<bigint>"
+
+    def rows(chunks: list[int], sums: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if chunks:
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1) * CHUNK * size, pa.int32()), pa.array(np.concatenate(sums), pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), lists], ["chunk", "sums"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = index_vectors(settings)
+        total = np.zeros(index.shape, dtype=np.int64)
+        for batch in batches:
+            for _, _, texts in column_blocks(batch.column(0)):
+                add_neighbours(total, texts, index)
+        chunks = total.reshape(-1, CHUNK * size)
+        some = np.flatnonzero(chunks.any(axis=1))
+        yield from rows(some.tolist(), list(chunks[some]))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            parts = batch.column(1).flatten().to_numpy().reshape(-1, CHUNK * size)
+            for c, sums in zip(batch.column(0).to_pylist(), parts, strict=True):
+                total[c] = total[c] + sums if c in total else sums.copy()
+        yield from rows(list(total), list(total.values()))
+
+    got = docs.select(text_col).mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).toArrow()
+    total = np.zeros(((2 << UNIT_BITS) // CHUNK, CHUNK * size), dtype=np.int64)
+    for c, sums in zip(got.column("chunk").to_pylist(), got.column("sums"), strict=True):
+        total[c] = sums.values.to_numpy()
+    return _directions(total.reshape(-1, size))
 
 
 def pooled(texts: Sequence[str | None], vectors: np.ndarray) -> np.ndarray:
@@ -148,13 +197,11 @@ def _train(x: np.ndarray, y: np.ndarray, settings: QualitySettings) -> tuple[np.
     return p[0], p[1], p[2], float(p[3][0])
 
 
-def fit_network(texts: Sequence[str | None], labels: np.ndarray, settings: QualitySettings = QualitySettings()) -> Network:
-    """Vectors, network and temperature from a bounded list of labelled texts.
-    A fifth of the rows is kept from training to find the temperature (the one
-    of least log loss there). With one class only, or no rows, the network
+def fit_network(x: np.ndarray, labels: np.ndarray, vectors: np.ndarray, settings: QualitySettings = QualitySettings()) -> Network:
+    """Network and temperature from a bounded list of pooled features of labelled
+    texts. A fifth of the rows is kept from training to find the temperature (the
+    one of least log loss there). With one class only, or no rows, the network
     gives that class's rate, or one half."""
-    vectors = unit_vectors(texts, settings)
-    x = pooled(texts, vectors)
     y = np.asarray(labels, dtype=float)
     centre = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
     scale = x.std(axis=0) + 1e-3 if len(x) else np.ones(x.shape[1])
@@ -171,12 +218,26 @@ def fit_network(texts: Sequence[str | None], labels: np.ndarray, settings: Quali
     return Network(vectors, centre, scale, layers, float(grid[int(np.argmin(loss))]))
 
 
-def fit(labelled: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", settings: QualitySettings = QualitySettings()) -> Network:
-    """Fit to at most ``settings.rows`` labelled rows (those with the smallest
-    hashes of their ids); rows with a null label are left out."""
-    rows = (labelled.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(label_col).cast("int").alias("_y"))
-            .orderBy(F.xxhash64("_id"), "_id").limit(settings.rows).toArrow())
-    return fit_network(rows.column("_text").to_pylist(), rows.column("_y").to_numpy(), settings)
+def fit(labelled: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", settings: QualitySettings = QualitySettings(),
+        docs: DataFrame | None = None) -> Network:
+    """Word vectors from all rows of ``docs`` (of ``labelled`` where it is None),
+    and a network fitted to at most ``settings.rows`` labelled rows (those with
+    the smallest hashes of their ids), of which only the pooled features reach
+    the driver; rows with a null label are left out."""
+    vectors = corpus_vectors(labelled if docs is None else docs, text_col, settings)
+    rows = labelled.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"), F.col(text_col).alias("_text"))
+    width = 4 * settings.size + 1
+
+    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, texts in column_blocks(batch.column(2)):
+                x = pa.array(list(pooled(texts, vectors)), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns[:2], x], ["_id", "_y", "_x"])
+
+    kind = rows.schema["_id"].dataType.simpleString()
+    got = (rows.mapInArrow(pool, f"_id {kind}, _y int, _x array<double>").orderBy(F.xxhash64("_id"), "_id").limit(settings.rows).toArrow())
+    x = got.column("_x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return fit_network(x, got.column("_y").to_numpy(), vectors, settings)
 
 
 def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -157,6 +157,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all ``documents``."""
     docs = _table(spark, sf_dir, "documents")
     rows = labelled_documents(spark, docs, sf_dir, "quality", QUALITY_ROWS, mod_rest=True)
-    network = quality.fit(rows, "quality", settings=quality.QualitySettings(rows=QUALITY_ROWS))
+    network = quality.fit(rows, "quality", settings=quality.QualitySettings(rows=QUALITY_ROWS), docs=docs)
     return quality.score(docs, network).select(
         "doc_id", F.coalesce(quality_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -50,3 +50,15 @@ def test_vectors_come_from_neighbours():
     v = quality.unit_vectors(["red car drives", "red bus drives", "blue sky shines"] * 3, settings)
     unit = lambda w: quality.units([w])[0][0]
     assert v[unit("car")] @ v[unit("bus")] > 0.9 > 0.8 > v[unit("car")] @ v[unit("sky")]
+
+
+def test_query_sums_the_vectors_of_all_documents(spark, tmp_path, monkeypatch):
+    texts = [f"{a} {b} end" for a in ("red", "blue") for b in ("car", "bus", "sky")] + ["unlabelled words stand here", None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    used = []
+    score = quality.score
+    monkeypatch.setattr(quality, "score", lambda docs, network, *a, **kw: used.append(network) or score(docs, network, *a, **kw))
+    queries.op10_quality(spark, str(tmp_path)).collect()
+    assert np.array_equal(used[0].vectors, quality.unit_vectors(texts, quality.QualitySettings()))
+    assert np.abs(used[0].vectors[quality.units(["words"])[0][0]]).sum() > 0
