@@ -5,14 +5,17 @@ novelty method looks at every other token of secret-like characters that stands
 in a sensitive context: the surrounding code together with a dictionary of
 identifiers primes a zstandard compressor, and the bytes that the token adds to
 the compressed size tell how much of it is new. A token that costs nearly its
-own length is random to the compressor and is reported.
+own length, or as much as evenly used characters of its alphabet must cost, is
+random to the compressor and is reported, with the lines that carry it on.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +41,13 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Words that make what follows on the line sensitive.
 CONTEXT = re.compile(r"(?:pass(?:wor|wd|phrase)|secret|token|api.?key|access.?key|private.?key|credential|bearer|authorization|signature|client.?id)", re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
+# A private key in armour, up to its last line.
+ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----(?=(.*?)-----END )", re.DOTALL)
+# A line break (also an escaped one, or one between quoted pieces) and a line
+# that is a candidate as a whole.
+_BREAK = r"""["']?[,;]?[ \t]*[+\\]?[ \t]*(?:\r?\n|(?:\\r)?\\n)"""
+NEXT_LINE = re.compile(_BREAK + r"""[ \t]*["'#>]?[ \t]*([A-Za-z0-9+/_=-]+)(?=["',;]*[ \t]*[+\\]?[ \t]*(?:\r?\n|\\[rn]|\Z)|["'])""")
+ARMOUR_END = re.compile(_BREAK + r"""[ \t]*["'#>]?[ \t]*-----END """)
 
 # Identifiers of ordinary code and configuration, the least frequent first
 # (zstandard reaches the end of a dictionary with the shortest offsets).
@@ -67,14 +77,19 @@ class NoveltyRule:
     ``least``: characters of a candidate; ``before``: characters in front of it
     in which a sensitive word must end; ``around``: characters of code on each
     side that prime the compressor; ``ratio``: added bytes per character from
-    which it is reported (random base-64 costs about 0.75 and more); ``level``:
-    of compression.
+    which it is reported (random base-64 costs about 0.75 and more); ``coded``:
+    characters from which the compressor codes single characters, so that fewer
+    added bytes are enough for a smaller alphabet, if its characters are used
+    evenly (entropy at least ``even`` of the alphabet's); ``level``: of
+    compression.
     """
 
     least: int = 16
     before: int = 40
     around: int = 512
     ratio: float = 0.7
+    coded: int = 64
+    even: float = 0.9
     level: int = 3
 
 
@@ -111,23 +126,64 @@ def base_spans(text: str | None) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _least_ratio(candidate: str, rule: NoveltyRule) -> float:
+    """Added bytes per character from which a candidate is reported."""
+    n, counts = len(candidate), Counter(candidate)
+    if n < rule.coded or len(counts) < 2:
+        return rule.ratio
+    most = math.log2(len(counts))
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    return min(rule.ratio, most / 8) if entropy >= rule.even * most else rule.ratio
+
+
+def _is_novel(text: str, s: int, e: int, rule: NoveltyRule) -> bool:
+    if e - s < rule.least:
+        return False
+    cost = marginal_bytes(text[s:e], text[max(0, s - rule.around):s], text[e:e + rule.around], level=rule.level)
+    return cost >= _least_ratio(text[s:e], rule) * (e - s)
+
+
+def _carried_on(text: str, e: int, width: int, rule: NoveltyRule) -> int:
+    """End of the block whose line of ``width`` characters ends at ``e``: lines
+    as long as that one or novel themselves belong to it, and a shorter last
+    line that is not a plain word or stands before the end of an armour."""
+    while m := NEXT_LINE.match(text, e):
+        line, n = m[1], len(m[1])
+        if (n != width or n < rule.least) and not _is_novel(text, *m.span(1), rule):
+            last = n < width and (ARMOUR_END.match(text, m.end(1)) or re.search(r"[0-9+/=]", line) and re.search(r"[A-Za-z0-9]", line))
+            return m.end(1) if last else e
+        e, width = m.end(1), n
+    return e
+
+
 def novel_spans(text: str | None, taken: list[tuple[int, int, str]], rule: NoveltyRule) -> list[tuple[int, int, str]]:
-    """Spans of incompressible candidates in a sensitive context that no span
-    of ``taken`` overlaps."""
+    """Spans of incompressible candidates in a sensitive context, each with the
+    lines that carry it on, and of such lines behind a span of ``taken``. Apart
+    from those lines no span of ``taken`` is overlapped."""
     if not text:
         return []
     found: dict[int, tuple[int, int, str]] = {}
-    for c in CONTEXT.finditer(text):
-        stop = c.end() + rule.before
-        for m in CANDIDATE.finditer(text, c.end()):
+    inside = lambda s: any(a <= s < b for a, b, _ in found.values())
+
+    def look(start: int, stop: int) -> None:
+        for m in CANDIDATE.finditer(text, start):
             s, e = m.span()
             if s > stop:
                 break
-            if s in found or e - s < rule.least or any(a < e and s < b for a, b, _ in taken):
+            if s in found or e - s < rule.least or any(a < e and s < b for a, b, _ in taken) or inside(s):
                 continue
-            cost = marginal_bytes(m[0], text[max(0, s - rule.around):s], text[e:e + rule.around], level=rule.level)
-            if cost >= rule.ratio * (e - s):
-                found[s] = (s, e, "novel")
+            if _is_novel(text, s, e, rule):
+                escaped = text[s - 1:s + 1] == "\\n"  # the letter of a line break
+                found[s] = (s, _carried_on(text, e, e - s - escaped, rule), "novel")
+
+    for a, b, _ in taken:
+        m = NEXT_LINE.match(text, b)
+        if m and not inside(m.start(1)) and _is_novel(text, *m.span(1), rule) and not any(x < m.end(1) and m.start(1) < y for x, y, _ in taken):
+            found[m.start(1)] = (m.start(1), _carried_on(text, m.end(1), len(m[1]), rule), "novel")
+    for c in CONTEXT.finditer(text):
+        look(c.end(), c.end() + rule.before)
+    for c in ARMOUR.finditer(text):
+        look(c.end(), c.end(1) - 1)
     return list(found.values())
 
 

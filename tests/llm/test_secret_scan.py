@@ -71,3 +71,35 @@ def test_redaction(spark):
     out = S.redact_documents(df)
     assert out.columns == df.columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a [SECRET] b [SECRET] c", 2: None, 3: "clean", None: ""}
+
+
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def test_the_whole_of_a_wrapped_key_is_found():
+    rng = random.Random(7)
+    lines = ["".join(rng.choice(BASE64) for _ in range(n)) for n in [64] * 24 + [20]]
+    for kind in ("RSA PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY"):
+        for brk in ("\n", "\r\n", "\\n", "\n    ", '\\n"\n  "'):
+            for head in ("", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,3F17F5316E2BAC89\n\n"):
+                text = f"key:{brk}-----BEGIN {kind}-----{brk}{head}{brk.join(lines)}{brk}-----END {kind}-----{brk}thanks for reading"
+                left = S.redact(text, S.all_spans(text, S.NoveltyRule())[1])
+                assert not any(line in left for line in lines), (kind, brk, head)
+                assert f"-----END {kind}-----{brk}thanks for reading" in left
+    text = "bearer " + "\n".join(lines[:3]) + "\nthanks\nfor reading"
+    assert S.redact(text, S.all_spans(text, S.NoveltyRule())[1]) == "bearer [SECRET]\nthanks\nfor reading"
+    text = "secret=" + "\n".join(lines)
+    assert S.redact(text, S.all_spans(text, S.NoveltyRule())[1]) == "[SECRET]\n[SECRET]"
+
+
+def test_long_random_strings_of_small_alphabets_are_found():
+    rng = random.Random(8)
+    for letters in ("0123456789ABCDEF", "GHIJKLMN", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", BASE64):
+        for n in (32, 64, 96, 128, 512, 2000):
+            found = 0
+            for _ in range(50):
+                key = "".join(rng.choice(letters) for _ in range(n))
+                found += S.all_spans(f"it uses bearer {key} today", S.NoveltyRule())[1] == [(15, 15 + n, "novel")]
+            assert found >= 49, (letters, n, found)
+    for plain_run in ("=" * 80, "=-" * 50, "GHIJKLMNOP" * 10):
+        assert S.all_spans(f"bearer {plain_run}", S.NoveltyRule())[1] == [], plain_run
