@@ -25,12 +25,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class, the one with the smallest id.
-    Rows that repeat an id are one document, of which one row stays; rows with
-    a null id belong to no class and stay."""
+    Rows that repeat an id and a text are one document, of which one row stays;
+    an id with different texts is as many documents. Rows with a null id belong
+    to no class and stay."""
     prepare(spark)
-    classes = minhash_dedup.near_duplicates(docs.select("doc_id", "text"))
-    kept = classes.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # whole-number ids in hexadecimal, in their order; then the text
+    number = F.lpad(F.hex(F.col("doc_id").cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    keyed = docs.withColumn("_row", F.concat(number, *(F.lpad(F.hex(F.xxhash64(F.lit(k), "text")), 16, "0") for k in (1, 2))))
+    classes = minhash_dedup.near_duplicates(keyed.select("_row", "text"), id_col="_row")
+    kept = classes.where(F.col("kept") & F.col("_row").isNotNull()).select("_row")
+    named = keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"])
     return named.select(docs.columns).unionAll(docs.where(F.col("doc_id").isNull()))
 
 

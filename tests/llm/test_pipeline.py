@@ -51,3 +51,10 @@ def test_stages_take_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.lit(False))
     for _, stage in P.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_minhash_stage_keeps_a_row_of_every_class_of_a_repeated_id(spark):
+    one, two = "a b c d e f", "u v w x y z"
+    rows = [(-3, one), (7, one), (7, two), (9, two), (12, one), (20, two), (20, None)]
+    out = P.minhash_stage(spark, documents(spark, rows), SF)
+    assert sorted((r.doc_id, r.text or "-") for r in out.collect()) == [(-3, one), (7, two), (20, "-")]
