@@ -16,12 +16,14 @@ from . import (
     secret_scan,
     sentencepiece_codec,
     sharding,
+    speculative_bpe,
     toxicity,
     url_filter,
 )
 from .session import prepare
 
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_MODEL = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +45,13 @@ def piece_model() -> bytes:
     return sentencepiece_codec.read_model(public_tokenizers.path(PIECE_MODEL))
 
 
+def word_tokenizer() -> str:
+    """The text of the public tokenizer file that the query names."""
+    import public_tokenizers
+
+    return speculative_bpe.read_tokenizer(public_tokenizers.path(WORD_MODEL))
+
+
 @_query
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ``pages`` url judged by rules, else by the n-gram model."""
@@ -160,3 +169,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = quality.fit(rows, "quality", settings=quality.QualitySettings(rows=QUALITY_ROWS), docs=docs)
     return quality.score(docs, network).select(
         "doc_id", F.coalesce(quality_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op13_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` encoded and decoded."""
+    return speculative_bpe.encode_decode(_table(spark, sf_dir, "documents"), word_tokenizer(), with_ids=False, with_text=False)
