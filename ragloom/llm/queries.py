@@ -16,6 +16,7 @@ from . import (
     secret_scan,
     sentencepiece_codec,
     sharding,
+    source_divergence,
     speculative_bpe,
     toxicity,
     url_filter,
@@ -171,6 +172,45 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(quality_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@_query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every (lang, source) of ``documents``, by terms in at
+    least 30 documents of the language."""
+    return source_divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+SQL["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+held AS (
+  SELECT r, lang, source, term, count(*) AS n FROM (
+    SELECT r, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM held GROUP BY lang, term HAVING count(*) >= 30),
+langs AS (
+  SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS size FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+counts AS (SELECT lang, source, term, sum(held.n) AS n FROM held JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (
+  SELECT lang, source, any_value(v) AS v, any_value(size) AS lang_size, coalesce(sum(n), 0) AS size
+  FROM (SELECT DISTINCT lang, source FROM d) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * CAST(coalesce(c.n, 0) + 5 AS HUGEINT)) // (g.size + 5 * g.v) AS p,
+         1 + (1000000000 * CAST(k.n + 5 AS HUGEINT)) // (g.lang_size + 5 * g.v) AS q
+  FROM grp g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS f
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) <= 50
+"""
+
+
 @_query
 def op13_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded and decoded."""
