@@ -11,6 +11,7 @@ from . import (
     chat_format,
     decontamination,
     embedding_dedup,
+    hard_negatives,
     minhash_dedup,
     quality,
     secret_scan,
@@ -211,6 +212,35 @@ FROM found QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source
 """
 
 
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the anchors of ``embeddings``; rows whose id is
+    divisible by 7 have the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), label=label)
+
+
+SQL["op12_hard_negatives"] = r"""
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.id <> r.id AND len(a.v) = len(r.v) WHERE a.id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
 @_query
 def op13_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded and decoded."""
