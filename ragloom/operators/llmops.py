@@ -9,7 +9,6 @@ latency_ms, ttft_ms, cache_hit, fallback_used, failed, aborted``).
 from __future__ import annotations
 
 import math
-from collections import deque
 from collections.abc import Sequence
 
 import numpy as np
@@ -17,8 +16,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored
-
 # ---------------------------------------------------------------------------
 # D11 prices, JON5 / FUN14 / S18 cost
 # ---------------------------------------------------------------------------
@@ -604,112 +601,6 @@ def assemble_traces(spans: DataFrame) -> DataFrame:
                     F.array_join(F.transform("spans", lambda x: x["name"]), ">").alias("span_path"), "spans")
 
 
-# ---------------------------------------------------------------------------
-# JON10 / LLM2: semantic-cache replay (independent form)
-# ---------------------------------------------------------------------------
-
-
-def _cache_rows(requests: DataFrame, entries: DataFrame | None, threshold: float, id_col: str, ts: str, vec: str, decimals: int) -> DataFrame:
-    """The rows that a cache replay walks through, group by group: first each
-    distinct vector's list of similar vectors, then the requests (and ``old``
-    entries) in time order.
-
-    Equal vectors are one node, named by its smallest request id; nodes are
-    compared with all others in blocks (:func:`nearest_rows`), and only pairs at
-    the threshold leave a task. A group is a connected component of that graph:
-    no request of another group can be answered from it."""
-    from .graph import connected
-    from .retrieval import nearest_rows
-
-    columns = [F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("t"), F.col(vec).alias("v")]
-    base = requests.select(*columns, F.lit(False).alias("old"))
-    if entries is not None:
-        base = base.unionByName(entries.select(*columns, F.lit(True).alias("old")))
-    base = base.withColumn("k", F.struct(F.xxhash64(F.lit(1), "v").alias("a"), F.xxhash64(F.lit(2), "v").alias("b")))
-    nodes = stored(base.groupBy("k").agg(F.min("rid").alias("vid"), F.first("v").alias("v")), "cache-vectors")
-    floors = nodes.select("vid", F.lit(float(threshold)).alias("floor"))
-    pairs = nearest_rows(nodes.select("vid", "v"), nodes, 1, "vid", "v", "vid", "v", decimals=decimals, floors=floors)
-    pairs = stored(pairs.select("vid", F.col("near_key").alias("nid"), F.col("near_score").alias("sim")), "cache-pairs")
-    groups = connected(pairs.select(F.col("vid").alias("u"), F.col("nid").alias("v")))
-    near = pairs.groupBy("vid").agg(F.sort_array(F.collect_list(F.struct((-F.col("sim")).alias("d"), "nid"))).alias("near"))
-    lists = near.join(groups, F.col("vid") == F.col("node")).select(
-        "component", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("us"), F.lit(None).cast(requests.schema[id_col].dataType).alias("rid"), "vid",
-        F.col("near.nid").alias("nids"), F.transform("near.d", lambda d: -d).alias("sims"), F.lit(False).alias("old"))
-    asked = base.join(nodes.select("k", "vid"), "k").join(groups, F.col("vid") == F.col("node")).select(
-        "component", F.lit(1).alias("kind"), F.unix_micros("t").alias("us"), "rid", "vid", F.lit(None).cast(lists.schema["nids"].dataType).alias("nids"),
-        F.lit(None).cast("array<double>").alias("sims"), "old")
-    return lists.unionByName(asked).repartition("component").sortWithinPartitions("component", "kind", "us", "rid")
-
-
-def _walk(ttl_us: int, only_misses: bool):
-    """Replay over sorted rows, batch by batch. Kept per group: the lists of
-    similar vectors and, per vector, the live entries that can still be the
-    answer (an entry gives way to a later one with a smaller id)."""
-    def fn(batches):
-        group, near, live = None, {}, {}
-        for b in batches:
-            out: list[tuple] = []
-            for comp, kind, us, rid, vid, nids, sims, old in zip(*(b[c].tolist() for c in
-                                                                   ("component", "kind", "us", "rid", "vid", "nids", "sims", "old"))):
-                if comp != group:
-                    group, near, live = comp, {}, {}
-                if kind == 0:
-                    near[vid] = list(zip(nids, sims))
-                    continue
-                rid, best = int(rid), None
-                if not old:
-                    for nid, sim in near[vid]:  # most similar first
-                        if best is not None and sim < best[0]:
-                            break
-                        held = live.get(nid)
-                        while held and held[0][0] + ttl_us <= us:
-                            held.popleft()
-                        if held and (best is None or held[0][1] < best[1]):
-                            best = (sim, held[0][1], held[0][0])
-                    out.append((rid, best is not None, *((best[1], best[0], (us // 1_000_000) - (best[2] // 1_000_000)) if best else (None, None, None))))
-                if old or best is None or not only_misses:
-                    held = live.setdefault(vid, deque())
-                    while held and held[-1][1] >= rid:
-                        held.pop()
-                    held.append((us, rid))
-            frame = pd.DataFrame(out, columns=["rid", "hit", "eid", "sim", "age"])
-            yield frame.astype({"eid": "Int64", "age": "Int64", "sim": "float64"})
-
-    return fn
-
-
-def _cache_replay(requests, entries, threshold, ttl_s, id_col, ts, vec, decimals, only_misses) -> DataFrame:
-    rows = _cache_rows(requests, entries, threshold, id_col, ts, vec, decimals)
-    out = rows.mapInPandas(_walk(int(ttl_s * 1_000_000), only_misses), "rid bigint, hit boolean, eid bigint, sim double, age bigint")
-    return out.select(F.col("rid").alias(id_col), "hit", F.col("eid").alias("matched_request_id"), F.col("sim").alias("similarity"),
-                      F.col("age").alias("age_seconds"))
-
-
-def cache_replay(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
-                 ts: str = "created_at", vec: str = "embedding", decimals: int = 6) -> DataFrame:
-    """LLM2 / JON10 / FIL11 / FUN13, independent form: every earlier request
-    has stored an entry; a request (whole-number id) hits when its most similar
-    *live* entry (``created <= t < created + ttl``, strictly earlier in (time,
-    id)) has cosine >= threshold (S13), the smallest id among equally similar
-    ones. Output: ``hit, matched_request_id, similarity, age_seconds``.
-
-    Requests are grouped by what their vectors are similar to
-    (:func:`_cache_rows`) and walked through in time order; a group's rows
-    stream through a task, which holds only live entries.
-    """
-    return _cache_replay(requests, None, threshold, ttl_s, id_col, ts, vec, decimals, only_misses=False)
-
-
-def cache_replay_sequential(requests: DataFrame, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id",
-                            ts: str = "created_at", vec: str = "embedding", decimals: int = 6, entries: DataFrame | None = None) -> DataFrame:
-    """LLM2 / FIL11 / FUN13, sequential form (the service's behaviour): only
-    misses store an entry, so a hit depends on earlier answers. One walk in time
-    order per group, as in :func:`cache_replay`. ``entries`` (same columns) are
-    stored entries from before; they answer no request.
-    """
-    return _cache_replay(requests, entries, threshold, ttl_s, id_col, ts, vec, decimals, only_misses=True)
-
-
 def admit(requests: DataFrame, tier_table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """FIL9 / JON6: requests with a known key get their tier (broadcast inner
     join); unknown keys are the rejected stream (``left_anti``)."""

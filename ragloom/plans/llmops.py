@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import llmops as L
 from ..operators import metrics as M
+from ..operators import semantic_cache as C
 from ..sources.tables import REQUEST_LOG_SQL, request_log, table, tiers
 from .registry import register
 
@@ -501,63 +502,87 @@ def trace_assembly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cache_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """Stand-in request vectors: request i asks with vector i of the whole
-    ``embeddings`` table, round and round."""
-    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    r = requests(spark, sf).select("request_id", "created_at", (F.col("request_id") % F.lit(e.count())).alias("vec_id"))
-    return r.join(e, "vec_id").drop("vec_id")
+    """Stand-in request vectors: two of three requests ask about one of 20
+    topics (vectors of ``embeddings``), the others about any vector of the
+    table, and each adds up to 0.6 of another vector, so that cosines of one
+    topic lie on both sides of the threshold."""
+    return with_vectors(requests(spark, sf), table(spark, sf, "embeddings"))
 
 
+def with_vectors(log: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """``request_id, created_at, api_key, embedding`` (see :func:`cache_requests`)."""
+    n, i = F.lit(embeddings.count()), F.col("request_id")
+    topic = embeddings.select(F.col("vec_id").alias("_topic"), F.col("embedding").alias("_a"))
+    other = embeddings.select(F.col("vec_id").alias("_other"), F.col("embedding").alias("_b"))
+    asked = log.select("request_id", "created_at", "api_key", F.when(i % 3 != 0, i % 20).otherwise(i % n).alias("_topic"), ((i * 31 + 7) % n).alias("_other"))
+    vector = F.zip_with("_a", "_b", lambda x, y: x.cast("double") + y.cast("double") * ((i % 7).cast("double") / 10.0))
+    return asked.join(topic, "_topic").join(other, "_other").select("request_id", "created_at", "api_key", vector.alias("embedding"))
+
+
+# Request vectors in SQL: times in microseconds, directions of length one.
+SQL_CACHE_VECTORS = f"""
+req AS ({REQUEST_LOG_SQL}),
+raw AS (
+  SELECT r.request_id, epoch_us(r.created_at) AS tus, r.api_key,
+         list_transform(range(1, len(a.embedding) + 1),
+                        lambda k: CAST(a.embedding[k] AS DOUBLE) + CAST(b.embedding[k] AS DOUBLE) * (CAST(r.request_id % 7 AS DOUBLE) / 10.0)) AS v
+  FROM req r
+  JOIN embeddings a ON a.vec_id = CASE WHEN r.request_id % 3 <> 0 THEN r.request_id % 20 ELSE r.request_id % (SELECT count(*) FROM embeddings) END
+  JOIN embeddings b ON b.vec_id = (r.request_id * 31 + 7) % (SELECT count(*) FROM embeddings)),
+rv AS (SELECT *, sqrt(list_dot_product(v, v)) AS nv, tus // 3600000000 AS slice FROM raw)
+"""
+
 SQL_CACHE = f"""
-WITH req AS ({REQUEST_LOG_SQL}),
-rv AS (SELECT r.request_id, r.created_at, CAST(e.embedding AS DOUBLE[]) AS v
-       FROM req r JOIN embeddings e ON e.vec_id = r.request_id % (SELECT count(*) FROM embeddings)),
+WITH {SQL_CACHE_VECTORS},
 pairs AS (
-  SELECT a.request_id, b.request_id AS eid, b.created_at AS et,
-         round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 6) AS sim
-  FROM rv a JOIN rv b ON b.created_at <= a.created_at AND b.created_at + INTERVAL 3600 SECOND > a.created_at
-       AND (b.created_at < a.created_at OR b.request_id < a.request_id)),
+  SELECT a.request_id, b.request_id AS eid, b.tus AS et, round(list_dot_product(a.v, b.v) / (a.nv * b.nv), 6) AS sim
+  FROM rv a JOIN (SELECT *, unnest([slice, slice + 1]) AS meets FROM rv) b ON b.meets = a.slice
+  WHERE b.tus <= a.tus AND b.tus + 3600000000 > a.tus AND (b.tus < a.tus OR b.request_id < a.request_id)),
 best AS (
-  SELECT request_id, arg_max(eid, sim * 1e12 - eid) AS eid, max(sim) AS sim, arg_max(et, sim * 1e12 - eid) AS et
-  FROM pairs WHERE sim >= 0.92 GROUP BY request_id)
+  SELECT request_id, eid, et, sim FROM pairs WHERE sim >= 0.92
+  QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY sim DESC, eid) = 1)
 SELECT rv.request_id, best.eid IS NOT NULL AS hit, best.eid AS matched_request_id, best.sim AS similarity,
-       CAST(floor(epoch(rv.created_at)) - floor(epoch(best.et)) AS BIGINT) AS age_seconds
+       CAST(rv.tus // 1000000 - best.et // 1000000 AS BIGINT) AS age_seconds
 FROM rv LEFT JOIN best USING (request_id)
 """
 
 
 @register("semantic_cache_candidates", sql=SQL_CACHE, ops="JON10 LLM2 FIL11 D8 FUN13")
 def semantic_cache_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return L.cache_replay(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
+    return C.cache_replay(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
 
 
-SQL_CACHE_SEQUENTIAL = f"""
-WITH RECURSIVE req AS ({REQUEST_LOG_SQL}),
-rv AS (SELECT r.request_id, epoch_us(r.created_at) AS tus, CAST(e.embedding AS DOUBLE[]) AS v,
-              sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))) AS nv,
-              row_number() OVER (ORDER BY r.created_at, r.request_id) AS rn
-       FROM req r JOIN embeddings e ON e.vec_id = r.request_id % (SELECT count(*) FROM embeddings)),
+def _sequential_sql(cache: str) -> str:
+    """The service's walk: one request of every ``cache`` after the other, with
+    the list of stored entries."""
+    return f"""
+WITH RECURSIVE {SQL_CACHE_VECTORS},
+line AS (SELECT *, {cache} AS k, row_number() OVER (PARTITION BY {cache} ORDER BY tus, request_id) AS rn FROM rv),
 walk AS (
-  SELECT rn, request_id, tus, false AS hit, CAST(NULL AS STRUCT(ns DOUBLE, id BIGINT, tus BIGINT)) AS best,
+  SELECT k, rn, request_id, tus, CAST(NULL AS STRUCT(ns DOUBLE, id BIGINT, tus BIGINT)) AS best,
          [{{'id': request_id, 'tus': tus, 'v': v, 'nv': nv}}] AS store
-  FROM rv WHERE rn = 1
+  FROM line WHERE rn = 1
   UNION ALL
-  SELECT rn, request_id, tus, b IS NOT NULL, b,
+  SELECT k, rn, request_id, tus, b,
          CASE WHEN b IS NULL THEN list_append(live, {{'id': request_id, 'tus': tus, 'v': v, 'nv': nv}}) ELSE live END
   FROM (
-    SELECT c.rn, c.request_id, c.tus, c.v, c.nv, l.live,
+    SELECT c.k, c.rn, c.request_id, c.tus, c.v, c.nv, l.live,
            list_min(list_filter(list_transform(l.live, lambda s: {{'ns': -round(list_dot_product(s.v, c.v) / (s.nv * c.nv), 6),
                                                                    'id': s.id, 'tus': s.tus}}), lambda x: -x.ns >= 0.92)) AS b
-    FROM walk w JOIN rv c ON c.rn = w.rn + 1,
+    FROM walk w JOIN line c ON c.k = w.k AND c.rn = w.rn + 1,
          (SELECT list_filter(w.store, lambda s: s.tus + 3600000000 > c.tus) AS live) l))
-SELECT request_id, hit, best.id AS matched_request_id, -best.ns AS similarity,
-       CAST(floor(tus / 1e6) - floor(best.tus / 1e6) AS BIGINT) AS age_seconds
+SELECT request_id, best IS NOT NULL AS hit, best.id AS matched_request_id, -best.ns AS similarity,
+       CAST(tus // 1000000 - best.tus // 1000000 AS BIGINT) AS age_seconds
 FROM walk
 """
 
 
+SQL_CACHE_SEQUENTIAL = _sequential_sql("0")
+SQL_CACHE_BY_KEY = _sequential_sql("api_key")
+
+
 @register("semantic_cache_sequential", sql=SQL_CACHE_SEQUENTIAL, ops="LLM2 FIL11 FUN13")
 def semantic_cache_sequential(spark: SparkSession, sf: str) -> DataFrame:
     """Sequential cache replay (only misses store entries); the twin walks the
     requests one by one in a recursive CTE."""
-    return L.cache_replay_sequential(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
+    return C.cache_replay_sequential(cache_requests(spark, sf), threshold=0.92, ttl_s=3600)
