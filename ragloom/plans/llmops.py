@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import llmops as L
 from ..operators import metrics as M
 from ..operators import semantic_cache as C
+from ..operators.common import ensure_parallel
 from ..sources.tables import REQUEST_LOG_SQL, request_log, table, tiers
 from .registry import register
 
@@ -514,7 +515,7 @@ def with_vectors(log: DataFrame, embeddings: DataFrame) -> DataFrame:
     n, i = F.lit(embeddings.count()), F.col("request_id")
     topic = embeddings.select(F.col("vec_id").alias("_topic"), F.col("embedding").alias("_a"))
     other = embeddings.select(F.col("vec_id").alias("_other"), F.col("embedding").alias("_b"))
-    asked = log.select("request_id", "created_at", "api_key", F.when(i % 3 != 0, i % 20).otherwise(i % n).alias("_topic"), ((i * 31 + 7) % n).alias("_other"))
+    asked = ensure_parallel(log).select("request_id", "created_at", "api_key", F.when(i % 3 != 0, i % 20).otherwise(i % n).alias("_topic"), ((i * 31 + 7) % n).alias("_other"))
     vector = F.zip_with("_a", "_b", lambda x, y: x.cast("double") + y.cast("double") * ((i % 7).cast("double") / 10.0))
     return asked.join(topic, "_topic").join(other, "_other").select("request_id", "created_at", "api_key", vector.alias("embedding"))
 
