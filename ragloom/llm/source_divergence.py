@@ -24,7 +24,8 @@ from .session import stored
 SEPARATOR = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what stands between terms, once A-Z is lower-cased
 BLOCK_BYTES = 4 << 20
 TABLE_ROWS = 600_000  # partial counts that a task holds before it gives them on
-CELLS = 1 << 20  # sources times terms of a shard
+CELLS = 1 << 16  # sources times terms of a shard; with many sources more, so that it has about as many terms as sources
+MOST_CELLS = 1 << 22
 SMOOTHING = 5
 SCALE = 1_000_000_000
 
@@ -155,7 +156,7 @@ def audit(docs: DataFrame, min_docs: int = 30, top_terms: int = 50, lang_col: st
         kept.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.sum(F.when(F.col("term").isNotNull(), F.col("first")).otherwise(0)).alias("own"))
         .select("lang", "source", "size", F.sum("own").over(lang).alias("terms"), F.sum("size").over(lang).alias("lang_size"),
                 F.count(F.lit(1)).over(lang).alias("sources"))
-        .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("terms") * F.col("sources") / CELLS)).cast("bigint")), "source-groups")
+        .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("terms") * F.col("sources") / F.greatest(F.lit(CELLS), F.least(F.col("sources") * F.col("sources"), F.lit(MOST_CELLS))))).cast("bigint")), "source-groups")
     counts = (kept.where(F.col("term").isNotNull()).join(groups, ["lang", "source"])
               .withColumn("p", _share(F.col("n"), F.col("size"), F.col("terms"))))
 
