@@ -41,7 +41,7 @@ from .retrieval import (
     ivf_centroids,
     lexical_inputs,
 )
-from .streams import stream_of
+from .streams import arriving
 
 # ---------------------------------------------------------------------------
 # Search variants and contracts
@@ -212,8 +212,8 @@ SELECT request_id, (min(us) - min(st)) / 1000.0 AS ttft_ms, count(*) AS tokens,
 FROM tok GROUP BY request_id""", ops="STR9 AGG29")
 def first_token_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Time to first token as the token stream arrives."""
-    toks = answer_tokens(request_log(stream_of(spark, sf, "events", "ts")))
-    out = S.run_to_table(S.stream_first_token(toks), "first-token", mode="update")
+    came = arriving(spark, sf, "events", "ts")
+    out = S.run_to_table(S.stream_first_token(answer_tokens(request_log(came.stream()))), "first-token", mode="update", arrivals=came)
     return S.latest_rows(spark, out, ["request_id"])
 
 
@@ -225,11 +225,12 @@ sp AS (SELECT request_id AS trace_id, epoch_us(created_at) + i * 1500000 AS us,
 SELECT trace_id, us // 2000000 * 2000 AS window_ms, count(*) AS spans, string_agg(name, '>' ORDER BY us) AS names FROM sp GROUP BY ALL""", ops="STR10")
 def span_batch_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Spans of each trace in two-second batches."""
-    r = request_log(stream_of(spark, sf, "events", "ts"))
+    came = arriving(spark, sf, "events", "ts")
+    r = request_log(came.stream())
     names = F.array(*[F.lit(n) for n in SPAN_NAMES])
     spans = r.select(F.col("request_id").alias("trace_id"), "created_at", F.posexplode(names).alias("i", "name")).select(
         "trace_id", "name", F.timestamp_micros(F.unix_micros("created_at") + F.col("i") * 1_500_000).alias("start_ts"))
-    out = S.run_to_table(S.stream_span_batches(spans), "span-batches", mode="update")
+    out = S.run_to_table(S.stream_span_batches(spans), "span-batches", mode="update", arrivals=came)
     return S.latest_rows(spark, out, ["trace_id", "window_start"]).select(
         "trace_id", F.unix_millis("window_start").alias("window_ms"), "spans", "names")
 
@@ -237,27 +238,30 @@ def span_batch_stream(spark: SparkSession, sf: str) -> DataFrame:
 @register("daily_usage_stream", sql=f"""WITH req AS ({REQUEST_LOG_SQL})
 SELECT strftime(created_at, '%Y-%m-%d') AS day, api_key, count(*) AS requests, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS tokens FROM req GROUP BY ALL""", ops="STR2")
 def daily_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
-    logs = request_log(stream_of(spark, sf, "events", "ts"))
-    out = S.run_to_table(S.stream_rolling_usage(logs, "1 day", "1 day"), "daily", mode="update")
+    came = arriving(spark, sf, "events", "ts")
+    out = S.run_to_table(S.stream_rolling_usage(request_log(came.stream()), "1 day", "1 day"), "daily", mode="update", arrivals=came)
     r = S.latest_rows(spark, out, ["window_start", "api_key"])
     return r.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "api_key", "requests", "tokens")
 
 
 @register("late_rows_stream", sql=f"""WITH req AS ({REQUEST_LOG_SQL}), m AS (SELECT max(created_at) AS hi FROM req)
-SELECT model, count(*) AS n FROM req, m WHERE created_at > hi - INTERVAL 1 DAY GROUP BY model""", ops="STR3")
+SELECT 'kept' AS outcome, model, count(*) AS n FROM req, m WHERE created_at > hi - INTERVAL 1 DAY GROUP BY model
+UNION ALL SELECT 'late', NULL, count(*) FROM req, m WHERE created_at <= hi - INTERVAL 1 DAY
+UNION ALL SELECT 'repeated', NULL, count(*) FROM req, m WHERE created_at > hi - INTERVAL 1 DAY
+UNION ALL SELECT 'read', NULL, count(*) + count(*) FILTER (created_at > hi - INTERVAL 1 DAY) FROM req, m""", ops="STR3")
 def late_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The newest day, the same once more, then everything older: the repeats
     count once, and what is older than the watermark of the batch before is late
-    and dropped."""
+    and dropped. Rows that were kept, and how many were late or repeated, so
+    that nothing goes missing unseen."""
     ev = table(spark, sf, "events")
-    path = scratch_path(spark, f"streams/late-{uuid.uuid4().hex}")
     newest = ev.filter(F.col("ts").cast("timestamp") > ev.select(F.max(F.col("ts").cast("timestamp")) - F.expr("INTERVAL 1 DAY")).scalar())
     old = ev.join(newest.select("event_id"), "event_id", "left_anti").select(ev.columns)
-    for i, part in enumerate((newest, newest, old)):
-        part.coalesce(1).write.parquet(f"{path}/slice={i}")
-    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
-    once = S.stream_dedupe(request_log(src), watermark="1 day")
-    return spark.read.parquet(S.run_to_table(once, "late")).groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+    came = S.Arrivals(spark, [newest, newest, old])
+    run = S.run_counted(S.stream_dedupe(request_log(came.stream()), watermark="1 day"), "late", arrivals=came, settle=True)
+    kept = spark.read.parquet(run.path).groupBy("model").agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("outcome"), "model", "n")
+    counts = [("late", None, run.late), ("repeated", None, run.repeats), ("read", None, run.rows)]
+    return kept.unionByName(spark.createDataFrame(counts, "outcome string, model string, n bigint"))
 
 
 _VARIANTS = """

@@ -81,11 +81,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, asked through Spark's own file system
     layer (any store that Spark can read)."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+    fs, jvm_path = _file_system(spark, path)
+    return fs.exists(jvm_path)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jvm_path = _file_system(spark, path)
+    fs.mkdirs(jvm_path)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within one store."""
+    fs, jvm_path = _file_system(spark, source)
+    if not fs.rename(jvm_path, _file_system(spark, target)[1]):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def ship_package(spark: SparkSession) -> None:

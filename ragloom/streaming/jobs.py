@@ -1,24 +1,26 @@
-"""Structured Streaming twins of the batch jobs (STR1-STR3, STR6-STR8, STR10).
-
-The reference works request by request; here the same rules run as event-time
-streaming queries with watermarks. Late rows (older than the watermark) are
-dropped by Spark and are not in the output. Every job returns a streaming
-DataFrame; :func:`run_to_table` drives one to completion with an
-``availableNow`` trigger into a parquet folder under the shared checkpoint
-directory (exactly-once file sink + checkpoint), which is how the registered
-queries and the tests read them back.
+"""Structured Streaming twins of the batch jobs (STR1-STR3, STR6-STR9, STR10 in
+windows); those with keyed state and timers are in ``stateful``.
+
+The rules run as event-time streaming queries with watermarks. Late rows (older
+than the watermark) are dropped by Spark; :func:`run_counted` reports how many.
+Every job returns a streaming DataFrame; :func:`run_to_table` drives one to
+completion into a parquet folder under the shared checkpoint directory
+(exactly-once file sink + checkpoint), which is how the registered queries and
+the tests read them back.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import llmops as L
-from ..session import path_exists, scratch_path
+from ..session import make_folder, move, scratch_path
 
 
 def stream_token_windows(log: DataFrame, window: str = "60 seconds", watermark: str = "120 seconds") -> DataFrame:
@@ -107,33 +109,102 @@ def processed_key(path: str = "path") -> F.Column:
     return F.regexp_replace(F.regexp_replace(F.col(path), "/uploads/", "/processed/"), r"\.pdf$", ".txt")
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append",
-                 foreach_batch: Callable[[DataFrame, int], None] | None = None) -> str:
-    """Run a streaming DataFrame to completion (``availableNow``) into a fresh
-    parquet folder under the shared checkpoint directory; returns the folder.
-    Update-mode aggregates go through ``foreachBatch`` as an upsert log (one
-    file set per batch id); read them back with :func:`latest_rows`.
+class Arrivals:
+    """A table that arrives part after part: the source of a stream over a
+    growing folder. Each part is written by as many tasks as its scan has and
+    then moved into the folder at once, so a micro-batch sees whole parts."""
+
+    def __init__(self, spark: SparkSession, parts: Sequence[DataFrame]):
+        self.spark, self.parts = spark, list(parts)
+        self.path = scratch_path(spark, f"streams/in-{uuid.uuid4().hex}")
+        make_folder(spark, self.path)
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.parts[0].schema).option("recursiveFileLookup", "true").parquet(self.path)
+
+    def deliver(self) -> Iterator[None]:
+        """Write the next part; once for every part."""
+        for i, part in enumerate(self.parts):
+            part.write.parquet(f"{self.path}-staged/part={i}")
+            move(self.spark, f"{self.path}-staged/part={i}", f"{self.path}/part={i}")
+            yield
+
+
+@dataclass
+class Run:
+    """Where the output is, and the rows that went in, were dropped as late,
+    and were dropped as repeats, over all micro-batches; ``state_rows`` after
+    each of them."""
+
+    path: str
+    rows: int
+    late: int
+    repeats: int
+    state_rows: list[int]
+
+
+def run_counted(stream: DataFrame, name: str, mode: str = "append", foreach_batch: Callable[[DataFrame, int], None] | None = None,
+                arrivals: Arrivals | None = None, settle: bool = False) -> Run:
+    """Run a streaming DataFrame to completion into a fresh parquet folder under
+    the shared checkpoint directory, and count what its state operators dropped
+    (§2.12: rows behind the watermark; a grouped count drops them after its
+    partial aggregation, so it counts groups there).
 
-    A query's state is laid out over the session's shuffle partitions, for the
-    life of its checkpoint."""
+    Without ``arrivals`` the input folder is read once (``availableNow``). With
+    it, the parts arrive one after the other, each when the one before has been
+    processed; with ``settle`` a batch without rows follows each, in which timers
+    up to the new watermark fire (else they wait for the next rows).
+
+    Update-mode aggregates go through ``foreachBatch`` as an upsert log (one
+    file set per batch id); read them back with :func:`latest_rows`. A query's
+    state is laid out over the session's shuffle partitions, for the life of
+    its checkpoint."""
     spark = stream.sparkSession
     run = uuid.uuid4().hex[:12]
     out = scratch_path(spark, f"streams/{name}-{run}/out")
-    ckpt = scratch_path(spark, f"streams/{name}-{run}/checkpoint")
-    w = stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).outputMode(mode)
+    w = stream.writeStream.option("checkpointLocation", scratch_path(spark, f"streams/{name}-{run}/checkpoint")).outputMode(mode)
+    if arrivals is None:
+        w = w.trigger(availableNow=True)
     if foreach_batch is not None:
-        q = w.foreachBatch(foreach_batch).start()
+        w = w.foreachBatch(foreach_batch)
     elif mode == "append":
-        q = w.format("parquet").option("path", out).start()
+        w = w.format("parquet").option("path", out)
     else:
         def upsert(batch: DataFrame, batch_id: int, out=out) -> None:
             batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-        q = w.foreachBatch(upsert).start()
-    q.awaitTermination()
+        w = w.foreachBatch(upsert)
+    options = {"spark.sql.streaming.numRecentProgressUpdates": "10000", "spark.sql.streaming.noDataMicroBatches.enabled": str(settle or arrivals is None).lower()}
+    before = {k: spark.conf.get(k) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    q = w.start()
+    for k, v in before.items():  # the query has its own copy
+        spark.conf.set(k, v)
+    if arrivals is None:
+        q.awaitTermination()
+    else:
+        try:
+            for _ in arrivals.deliver():
+                q.processAllAvailable()
+        finally:
+            q.stop()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return out
+    return _counted(out, [json.loads(p.json) for p in q.recentProgress])
+
+
+def _counted(path: str, progress: list[dict]) -> Run:
+    batches = {p["batchId"]: p for p in progress}  # an idle moment reports its batch again
+    state = [op for _, p in sorted(batches.items()) for op in p["stateOperators"]]
+    return Run(path, sum(p["numInputRows"] for p in batches.values()), sum(op.get("numRowsDroppedByWatermark", 0) for op in state),
+               sum(op.get("customMetrics", {}).get("numDroppedDuplicateRows", 0) for op in state), [op["numRowsTotal"] for op in state])
+
+
+def run_to_table(stream: DataFrame, name: str, mode: str = "append", foreach_batch: Callable[[DataFrame, int], None] | None = None,
+                 arrivals: Arrivals | None = None, settle: bool = False) -> str:
+    """The folder of :func:`run_counted`'s output."""
+    return run_counted(stream, name, mode, foreach_batch, arrivals, settle).path
 
 
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -145,62 +216,6 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return last.select(*keys, "_r.*")
 
 
-# ---------------------------------------------------------------------------
-# STR4: circuit breaker as a stateful stream
-# ---------------------------------------------------------------------------
-
-BREAKER_OUT = "request_id long, model string, state_before string, skipped boolean, state_after string, recent_failures int"
-
-
-def _breaker_processor(threshold: int, window_s: float, open_s: float, maxlen: int):
-    import pandas as pd
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-    class BreakerProcessor(StatefulProcessor):
-        """Per model: list state of recent failure times (at most ``maxlen``),
-        value state (state, open_until). Rows of one micro-batch are applied in
-        event-time order with the same rules as the batch replay."""
-
-        def init(self, handle) -> None:
-            self.failures = handle.getListState("failures", "t double")
-            self.breaker = handle.getValueState("breaker", "state string, open_until double")
-
-        def handleInputRows(self, key, rows, timerValues):
-            # the times and flags of a model's micro-batch, three small columns
-            pdf = pd.concat(list(rows), ignore_index=True).sort_values(["t", "request_id"], kind="stable")
-            fails = [r[0] for r in self.failures.get()] if self.failures.exists() else []
-            cur = self.breaker.get() if self.breaker.exists() else None
-            breaker = L.Breaker(threshold, window_s, open_s, maxlen, *((cur[0], cur[1]) if cur else ("CLOSED", 0.0)), fails)
-            steps = [breaker.call(t, f) for t, f in zip(pdf["t"], pdf["failed"])]
-            if breaker.failures:
-                self.failures.put([(float(x),) for x in breaker.failures])
-            else:  # the store keeps no empty lists
-                self.failures.clear()
-            self.breaker.update((breaker.state, float(breaker.open_until)))
-            yield pd.DataFrame({"request_id": pdf["request_id"].astype("int64"), "model": key[0], "state_before": [s[0] for s in steps],
-                                "skipped": [s[1] for s in steps], "state_after": [s[2] for s in steps],
-                                "recent_failures": [s[3] for s in steps]}).astype({"recent_failures": "int32"})
-
-        def close(self) -> None:
-            pass
-
-    return BreakerProcessor()
-
-
-def stream_breaker(calls: DataFrame, threshold: int = 5, window_s: float = 60, open_s: float = 60,
-                   maxlen: int | None = None, key: str = "model", ts: str = "created_at") -> DataFrame:
-    """STR4 / LLM4: breaker state per model with ``transformWithStateInPandas`` (list
-    state of failures, value state of the breaker). The session must use the
-    RocksDB state store (``ragloom.session.SESSION_DEFAULTS`` names it)."""
-    provider = calls.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass")
-    if "RocksDB" not in provider:
-        raise ValueError("set spark.sql.streaming.stateStore.providerClass to the RocksDB provider")
-    c = calls.select(F.col("request_id").cast("long"), F.col(key).alias("model"),
-                     (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t"), F.col("failed"))
-    proc = _breaker_processor(threshold, float(window_s), float(open_s), maxlen or threshold * 2)
-    return c.groupBy("model").transformWithStateInPandas(proc, BREAKER_OUT, "Append", "None")
-
-
 def stream_first_token(tokens: DataFrame, request: str = "request_id", ts: str = "ts", start: str = "start_ts",
                        watermark: str = "5 minutes") -> DataFrame:
     """STR9 / AGG29: per request, time to first token, token count, total time
@@ -214,41 +229,3 @@ def stream_first_token(tokens: DataFrame, request: str = "request_id", ts: str =
     return g.select(request, ((F.col("_first") - F.col("_start")) / 1000.0).alias("ttft_ms"), "tokens",
                     total.alias("total_ms"),
                     F.round(F.when(total > 0, F.col("tokens") / (total / 1000.0)), 3).alias("tokens_per_s"))
-
-
-# ---------------------------------------------------------------------------
-# STR5: semantic cache over a request stream
-# ---------------------------------------------------------------------------
-
-
-def cache_sinks(entries_path: str, results_path: str, threshold: float = 0.92, ttl_s: int = 3600,
-                id_col: str = "request_id", ts: str = "created_at", vec: str = "embedding") -> Callable[[DataFrame, int], None]:
-    """STR5 / LLM2 per micro-batch, as the service works: only misses store an
-    entry. The cache state is a table of entries in the shared folder (one
-    folder per batch id, so a replayed batch overwrites its own files). For
-    each batch, the stored entries that may still live (created within one TTL
-    before the batch's first request) and the batch itself go through the
-    sequential replay; results are kept for the batch's requests, and its
-    misses are added as entries. Entries older than the TTL are never read
-    again (expiry by predicate, S13). Batches must come in time order, as they
-    do from the request log; a failed read of the entries fails the batch."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cur = batch.select(F.col(id_col).alias("request_id"), F.col(ts).cast("timestamp").alias("created_at"),
-                           F.col(vec).alias("embedding")).persist()
-        lo = cur.select(F.min("created_at")).first()[0]
-        if lo is None:
-            cur.unpersist()
-            return
-        prev = None
-        if path_exists(spark, entries_path):
-            prev = spark.read.parquet(entries_path).filter(F.col("batch_id") < batch_id).drop("batch_id")
-            prev = prev.filter(F.col("created_at") > F.lit(lo) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_s)))
-        res = L.cache_replay_sequential(cur, threshold, ttl_s, entries=prev)
-        res.write.mode("overwrite").parquet(f"{results_path}/batch_id={batch_id}")
-        done = spark.read.parquet(f"{results_path}/batch_id={batch_id}")
-        missed = done.filter(~F.col("hit")).select("request_id")
-        cur.join(missed, "request_id", "left_semi").write.mode("overwrite").parquet(f"{entries_path}/batch_id={batch_id}")
-        cur.unpersist()
-
-    return fn

@@ -24,6 +24,35 @@ def test_token_windows_stream_equals_batch(spark):
     assert got == exp
 
 
+def test_arrivals_come_whole_and_in_order_with_null_keys(spark):
+    from ragloom.plans.streams import SLICES, arriving
+
+    came = arriving(spark, SF, "events", "ts")
+    run = S.run_counted(came.stream().select("event_id", "ts"), "arrivals-test", arrivals=came)
+    assert run.rows == table(spark, SF, "events").count() == spark.read.parquet(run.path).count()
+    nulls = spark.createDataFrame([(1, None), (2, 5), (3, None), (4, 9), (5, 1), (6, 7)], "event_id int, k int").repartition(3)
+    nulls.write.parquet(os.path.join(tempfile.mkdtemp(prefix="ragloom-nulls-"), "t.parquet"))
+    c = F.col("k")
+    came = S.Arrivals(spark, [nulls.filter(c.isNull() | (c <= 4)), nulls.filter(c > 4)])
+    run = S.run_counted(came.stream(), "null-keys", arrivals=came)
+    assert sorted(r["event_id"] for r in spark.read.parquet(run.path).collect()) == [1, 2, 3, 4, 5, 6]
+    assert SLICES == 4
+
+
+def test_dropped_rows_are_counted(spark):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    part = lambda rows: spark.createDataFrame([(i, t0 + dt.timedelta(hours=h)) for i, h in rows], "request_id long, created_at timestamp")
+    came = S.Arrivals(spark, [part([(1, 10), (2, 11), (2, 11)]), part([(3, 12), (1, 10), (4, 1), (5, 2)]), part([(6, 13), (7, 3)])])
+    run = S.run_counted(S.stream_dedupe(came.stream(), watermark="2 hours"), "dropped", arrivals=came, settle=True)
+    kept = sorted(r["request_id"] for r in spark.read.parquet(run.path).collect())
+    assert kept == [1, 2, 3, 6] and (run.rows, run.late, run.repeats) == (9, 3, 2)
+    windows = S.Arrivals(spark, [part([(1, 10)]), part([(2, 12), (3, 1)])])
+    tokens = windows.stream().selectExpr("*", "'k' as api_key", "1 as input_tokens", "1 as output_tokens")
+    assert S.run_counted(S.stream_token_windows(tokens, "1 hour", "2 hours"), "late-windows", mode="update", arrivals=windows, settle=True).late == 1
+
+
 def test_dedupe_stream_keeps_one_row_per_request(spark):
     a = request_log(_stream(spark, "events"))
     out = S.run_to_table(S.stream_dedupe(a.unionByName(request_log(_stream(spark, "events")))), "d")
@@ -67,30 +96,3 @@ def test_first_token_stream_and_span_batches(spark):
     out2 = S.run_to_table(S.stream_span_batches(s2), "spans", mode="update")
     names = sorted(r["names"] for r in S.latest_rows(spark, out2, ["trace_id", "window_start"]).collect())
     assert names == ["embed>generate", "store"]
-
-
-def test_cache_stream_across_micro_batches_equals_sequential_replay(spark):
-    import datetime as dt
-
-    import numpy as np
-
-    from ragloom.operators import llmops as L
-
-    rng = np.random.default_rng(21)
-    base = rng.normal(size=(4, 8))
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [(i, t0 + dt.timedelta(seconds=i * 200), [float(x) for x in base[i % 4] + rng.normal(scale=0.1, size=8)])
-            for i in range(80)]
-    root = tempfile.mkdtemp(prefix="ragloom-cache-stream-")
-    schema = "request_id long, created_at timestamp, embedding array<double>"
-    for part in range(4):  # four files -> four micro-batches in time order
-        spark.createDataFrame(rows[part * 20:(part + 1) * 20], schema).coalesce(1).write.parquet(os.path.join(root, "in", f"p{part}"))
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(
-        os.path.join(root, "in"))
-    entries, results = os.path.join(root, "entries"), os.path.join(root, "results")
-    S.run_to_table(src, "cache_t", foreach_batch=S.cache_sinks(entries, results, 0.92, 3600))
-    got = {r["request_id"]: (r["hit"], r["matched_request_id"]) for r in spark.read.parquet(results).collect()}
-    exp = {r["request_id"]: (r["hit"], r["matched_request_id"])
-           for r in L.cache_replay_sequential(spark.createDataFrame(rows, schema), 0.92, 3600).collect()}
-    assert spark.read.parquet(results).select("batch_id").distinct().count() == 4
-    assert got == exp and any(h for h, _ in exp.values())
