@@ -93,6 +93,29 @@ def latency_summary(df: DataFrame, value: str = "latency_ms", by: Sequence[str]
     )
 
 
+SKETCH_K = 400
+
+
+def quantile_sketch(df: DataFrame, value: str, by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """AGG5 / AGG4, approximate: one KLL sketch per group as a column ``sketch``
+    (a few kilobytes whatever the group holds), which merges with others."""
+    return df.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """AGG5: sketches of finer groups (hours) merged to coarser ones (days, keys)
+    without the rows."""
+    return sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_summary(sketches: DataFrame, by: Sequence[str] = (), quantiles: Sequence[tuple[str, float]] = (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))) -> DataFrame:
+    """AGG5: ``n`` and the quantiles of every sketch. With the default size the
+    rank of an answer is within 1 % of the asked one (99 % of the time, single
+    queries); groups of up to ``SKETCH_K`` values are exact."""
+    return sketches.select(*by, F.kll_sketch_get_n_double("sketch").alias("n"),
+                           *[F.kll_sketch_get_quantile_double("sketch", F.lit(q).cast("double")).alias(name) for name, q in quantiles])
+
+
 def index_percentile(values_sorted: Column, q: float) -> Column:
     """AGG4 on a sorted array: ``sorted[int(n*q)]`` (0-based)."""
     n = F.size(values_sorted)

@@ -7,7 +7,10 @@ and ties are broken by ``did`` ascending (the reference leaves them arbitrary).
 
 from __future__ import annotations
 
+import functools
+import json
 import math
+import re
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -358,6 +361,37 @@ def term_coverage(query_text: Column, doc_text: Column) -> Column:
     return F.when(F.size(qt) > 0, F.size(F.array_intersect(qt, dt)) / F.size(qt)).otherwise(F.lit(0.0))
 
 
+WORD = "[a-z0-9]+"
+LOADED: list[str] = []  # models loaded by this Python worker, in order
+
+
+@functools.lru_cache(maxsize=4)
+def _pair_model(spec: str) -> dict:
+    """A pair model from its JSON ``{"power": p}``: a shared word counts with its
+    length to the power p. Loaded once per worker and specification."""
+    LOADED.append(spec)
+    return json.loads(spec)
+
+
+def model_scorer(spec: str) -> Callable[[Column, Column], Column]:
+    """UDF3: a batch pair scorer as a Series-to-Series ``pandas_udf``: the
+    weighted share of the query's words that the document has. The model behind
+    it is loaded once in a Python worker, not per batch."""
+    def score(query: pd.Series, doc: pd.Series) -> pd.Series:
+        power = _pair_model(spec)["power"]
+        out = np.zeros(len(query))
+        words: dict[str, dict[str, float]] = {}
+        for i, (q, d) in enumerate(zip(query, doc, strict=True)):
+            if q not in words:
+                words[q] = {w: len(w) ** power for w in set(re.findall(WORD, (q or "").lower()))}
+            own = words[q]
+            if own:
+                out[i] = sum(own[w] for w in own.keys() & set(re.findall(WORD, (d or "").lower()))) / sum(own.values())
+        return pd.Series(out)
+
+    return F.pandas_udf(score, "double")
+
+
 def rerank(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, top_k: int = 10,
            scorer: Callable[[Column, Column], Column] | None = None, qid: str = "qid", qtext: str = "text",
            did: str = "did", dtext: str = "text", decimals: int = 6) -> DataFrame:

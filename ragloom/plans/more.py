@@ -461,15 +461,6 @@ def chunk_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return D.chunk_stats(fixed_chunk_points(spark, sf), "token_count")
 
 
-@register("chunk_upsert", sql=f"""WITH {SQL_CHUNKS}
-SELECT CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END AS version, count(*) AS points, count(DISTINCT point_id) AS distinct_points FROM pt GROUP BY 1""", ops="SNK10")
-def chunk_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Every third document's points sent again: they replace the old ones."""
-    p = fixed_chunk_points(spark, sf).select("point_id", "doc_id").withColumn("version", F.lit(1))
-    again = p.filter(F.col("doc_id") % 3 == 0).withColumn("version", F.lit(2))
-    return D.upsert(p, again).groupBy("version").agg(F.count(F.lit(1)).alias("points"), F.count_distinct("point_id").alias("distinct_points"))
-
-
 @register("order_tables", sql="""
 WITH o AS (SELECT o_custkey, o_orderkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS p,
                   CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS row_no FROM orders)

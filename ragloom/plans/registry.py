@@ -39,6 +39,6 @@ def register(name: str, sql: str | None = None, ops: str = ""):
 
 def load_all() -> dict[str, Registered]:
     # import for side effects: every module registers its queries
-    from . import documents, evals, files, llmops, more, retrieval, streams  # noqa: F401
+    from . import documents, evals, files, llmops, more, retrieval, stores, streams  # noqa: F401
 
     return REGISTRY
