@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 13
+BUCKETS = 1 << 16
 
 # Fixed values: (verdict, host, path) of the url rules.
 RULES = (
@@ -25,39 +25,30 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 
-# A small hand-labelled table: urls to block (1) and to allow (0).
-BLOCKED_URLS = """
-http://cheap-pills.example.com/en/44 http://www.cheap-pills.example.com/fr/310 https://m.cheap-pills.example.org/es/7?page=2
-https://spam-farm.example.org/en/1 http://www.spam-farm.example.com/fr/52 https://blog.spam-farm.example.com/en/903/
-http://free-bets.example.com/en/27 https://m.free-bets.example.org/de/118 http://www.free-bets.example.com/en/5.html
-http://ads-track.example.org/en/584 https://www.ads-track.example.com/es/61 http://m.ads-track.example.com/en/222/
-http://casino-bonus.example.com/en/12 https://www.casino-bonus.example.org/fr/8 http://lucky-casino.example.com/en/740
-http://adult-cams.example.com/en/3 http://xxx-videos.example.org/en/66 https://hot-singles.example.com/es/19
-http://viagra-discount.example.com/en/510 https://www.online-pharmacy.example.org/en/88 http://cheap-viagra.example.com/fr/2
-http://win-prize.example.com/en/17 https://free-iphone.example.org/en/401 http://click-here.example.com/en/9
-http://payday-loans.example.com/en/33 http://www.cheap-loans.example.org/en/650 https://replica-watches.example.com/fr/14
-http://warez-crack.example.org/en/71 https://torrent-crack.example.com/en/205 http://link-farm.example.com/en/1
-http://buy-followers.example.com/en/48 https://phishing-login.example.org/en/7 http://make-money-fast.example.com/en/90
-http://miracle-diet.example.com/es/21 https://www.poker-online.example.com/en/6 http://sports-betting.example.org/en/11
-http://popup-ads.example.com/en/128 https://click-track.example.com/en/36 http://content-farm.example.org/en/59
-http://spam-links.example.com/en/410 https://m.casino-win.example.com/en/62 http://casino-win.example.org/fr/15 http://free-pills.example.org/en/83 http://bet-bonus.example.com/de/29
+# The labelled table is made of these words by rule (:func:`labelled_urls`):
+# words of sites to block, and of sites to allow.
+BLOCKED_WORDS = """
+adult ads affiliate bet bets betting bingo bonus cam cams cash casino cheap claim click clicks clone coupon crack cracked credit crypto dating debt deal
+diet discount dose drugs earn escort farm fast followers forex free gambling gift giveaway hack hot instant jackpot keygen
+likes link links loan loans lottery lotto lucky meds miracle money nude offer offers online payday pharma pharmacy phish pill pills poker popup porn
+prize profit promo replica rich scam seo sex sexy singles slots spam spin stream sweepstakes tracker track traffic viagra warez watches
+webcam weightloss win winner xxx
 """.split()
-ALLOWED_URLS = """
-https://www.example.com/en/120 https://blog.example.com/en/2020 https://m.example.org/en/12
-http://thre.example.com/fr/825?page=2 https://ther.example.org/en/685 http://ander.example.com/en/676
-https://blog.than.example.com/en/853/ http://blog.the.example.org/en/960 https://m.our.example.com/en/474.html
-https://thin.example.com/en/671?utm_source=feed http://ing.example.org/en/453#top https://www.then.example.com/en/148.html
-https://blog.tion.example.org/es/978 https://hat.example.com/es/797 http://ther.example.org/fr/414
-https://www.erst.example.org/en/471 https://m.rea.example.com/en/9/ http://www.ation.example.com/fr/31
-https://shop.books.example.com/en/77 https://www.museum.example.org/en/40 https://forum.example.org/en/55
-https://recipes.example.com/en/210 https://travel.example.com/es/64 https://support.example.com/en/18
-https://developer.example.com/en/333 https://www.school.example.org/en/5 https://health.example.org/en/71
-https://weather.example.com/en/8 https://music.example.com/fr/902 https://www.law.example.org/en/13
-https://open-data.example.org/en/3 https://www.hospital.example.com/en/27 https://science-news.example.org/en/9
-https://m.ead.example.com/en/44 http://onthe.example.com/en/521 https://www.in-depth.example.org/en/66
-https://blog.city-guide.example.com/en/117 http://erin.example.com/es/6.html https://docs.example.org/en/650
-https://m.other.example.com/en/38 https://m.station.example.org/fr/7 https://www.this.example.com/fr/88 https://blog.sharing.example.com/en/27 https://library.example.org/fr/240 https://www.university.example.com/en/22
+ALLOWED_WORDS = """
+academy air anatomy animal archive art atlas author autumn baker bank bay bird blog board book books botany bread bridge build cable camera canal
+castle cat center chemistry choir church cinema citizen city clay clinic coast code coffee college community cooking council county course craft culture
+data design dentist developer dictionary docs earth east economics editor education energy engine english essay ethics events family field film
+forest forum garden gazette geology german glass global grammar green guide harbor hat health herald hill history home horse hospital house
+in inn institute island journal kitchen lab lake language law learn leather letter library light local magazine maker map market math
+media medicine mill mind monitor motion mountain museum music nation nature network news north notes nurse ocean office opera orchard other our
+paper parent park pen people physics piano planet poem poet portal press project public radio rail rain reader recipe research review river road
+school science sea shop sister society soil song south space sport staff station stone street student studio summer support teacher tech than that the
+theatre theme then there thing this thread time tion town trade trail train travel tree union university village vision voice wall water weather west
+wiki wind winter wood word work world writer yard
 """.split()
+_PREFIXES = "", "www.", "m.", "blog."
+_ENDS = ".example.com", ".example.org"
+_PATHS = "/en/{}", "/fr/{}", "/es/{}/", "/de/{}.html", "/en/{}?page=2", "/{}"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -70,20 +61,35 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 def _ngrams(text: Column, tag: str, sizes: Sequence[int]) -> Column:
     marked = F.concat(F.lit("^"), text, F.lit("$"))
-    grams = [F.transform(F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - n + 1)).otherwise(F.array().cast("array<int>")),
-                         lambda i, n=n: F.concat(F.lit(tag), F.substring(marked, i, F.lit(n)))) for n in sizes]
-    return F.concat(*grams)
+    none = F.array().cast("array<string>")
 
+    def grams(n: int) -> Column:
+        # the function takes the place alone: a second parameter would be the index
+        return F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.concat(F.lit(tag), F.substring(marked, i, F.lit(n))))
 
-def url_ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5, 6)) -> Column:
+    return F.concat(*[F.when(F.length(marked) >= n, grams(n)).otherwise(none) for n in sizes])
+
+
+def url_ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5), path_sizes: Sequence[int] = (3,)) -> Column:
     """Character n-grams of host and path, each with its part's tag."""
-    return F.concat(_ngrams(host, "h:", sizes), _ngrams(path, "p:", sizes))
+    return F.concat(_ngrams(host, "h:", sizes), _ngrams(path, "p:", path_sizes))
+
+
+def _urls(words: Sequence[str], steps: Sequence[int]) -> list[str]:
+    """Each word alone and joined with the word so many places on, under hosts
+    and paths that take turns."""
+    names = [*words, *(f"{w}-{words[(i + k) % len(words)]}" for k in steps for i, w in enumerate(words))]
+    return [f"http://{_PREFIXES[i % 4]}{name}{_ENDS[i % 7 % 2]}{_PATHS[i % 5 if i % 3 else 5].format(i * 37 % 997)}" for i, name in enumerate(names)]
+
+
+def labelled_rows() -> list[tuple[str, float]]:
+    """The labelled table: urls to block (1) and to allow (0)."""
+    return [(u, 1.0) for u in _urls(BLOCKED_WORDS, (5, 23, 41))] + [(u, 0.0) for u in _urls(ALLOWED_WORDS, (7, 61))]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The built-in labelled table (url, label)."""
-    rows = [(u, 1.0) for u in BLOCKED_URLS] + [(u, 0.0) for u in ALLOWED_URLS]
-    return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(u).alias("url"), F.lit(x).alias("label")) for u, x in rows])))
+    """:func:`labelled_rows` as a table (url, label)."""
+    return spark.createDataFrame(labelled_rows(), "url string, label double")
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -91,18 +97,18 @@ def _features(df: DataFrame) -> DataFrame:
     return HashingTF(numFeatures=BUCKETS, binary=True, inputCol="_grams", outputCol="_features").transform(grams)
 
 
-def fit_urls(labelled: DataFrame, strength: float = 0.01):
+def fit_urls(labelled: DataFrame, strength: float = 0.003):
     """The logistic regression, fitted to the labelled table (url, label 0/1).
     The table is small by contract; it is brought into one partition so that
     the fit does not depend on how it is spread."""
     host, path = url_parts(F.col("url"))
     rows = _features(labelled.select(host.alias("_host"), path.alias("_path"), F.col("label").cast("double").alias("_label")))
-    return LogisticRegression(featuresCol="_features", labelCol="_label", regParam=strength, maxIter=50, tol=1e-9,
+    return LogisticRegression(featuresCol="_features", labelCol="_label", regParam=strength, maxIter=100, tol=1e-9, standardization=False,
                               rawPredictionCol="_raw", probabilityCol="_prob", predictionCol="_pred").fit(rows.coalesce(1))
 
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence[tuple[str, str, str]] = RULES,
-          id_col: str = "page_id", url_col: str = "url", threshold: float = 0.6) -> DataFrame:
+          id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
     """Judge every url.
 
     Returns one row per input row: the id column, ``host``, ``path``, ``rule``
@@ -113,7 +119,8 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence[t
     rule's; of two of equal length the first listed wins. A null url or one
     without ``://`` has an empty host and path and is judged by the model.
     Other columns are not read. Repeated rows stay; an empty table gives an
-    empty one. Nothing is shuffled.
+    empty one. A url of n characters has about 4 n n-grams, whatever its length.
+    Nothing is shuffled.
     """
     model = fit_urls(labelled if labelled is not None else labelled_urls(pages.sparkSession))
     host, path = url_parts(F.col("_url"))
