@@ -101,11 +101,33 @@ def test_blocks_find_everything_within_the_radius():
     match = D.Match()
     index = D.ItemIndex(list(range(300)), [prose(30, s) for s in range(300)], match)
     key = next(iter(index.hamming))
-    _, prints, _ = index.hamming[key]
+    own, prints, _ = index.hamming[key]
     probes = np.unpackbits(prints[rng.integers(0, 300, 400)], axis=1)
     for row in probes:  # flip up to radius + 4 bits
-        row[rng.choice(128, rng.integers(0, match.radius + 5), replace=False)] ^= 1
+        row[rng.choice(256, rng.integers(0, match.radius + 5), replace=False)] ^= 1
     probes = np.packbits(probes, axis=1)
-    w, j, far = index._near(probes, key)
+    w, j, far = index._near(probes, key, own)
     exact = (np.unpackbits(probes, axis=1)[:, None, :] != np.unpackbits(prints, axis=1)[None, :, :]).sum(axis=2)
     assert set(zip(w.tolist(), j.tolist(), far.tolist(), strict=True)) == {(a, b, exact[a, b]) for a, b in zip(*np.nonzero(exact <= match.radius), strict=True)}
+
+
+def test_the_tables_prune_unrelated_fingerprints():
+    """The share of unrelated pairs that the blocks let through to the distance."""
+    index = D.ItemIndex(list(range(400)), [prose(30, s) for s in range(400)], D.Match())
+    key = max(index.hamming, key=lambda k: len(index.hamming[k][0]))
+    probes = np.random.default_rng(5).integers(0, 256, (2000, 32), dtype=np.uint8)
+    index._near(probes, key, index.hamming[key][0])
+    assert index.passed <= 0.003 * index.asked
+
+
+def test_repetitive_text_beside_a_passage(spark):
+    """A repeated shingle weighs by its square in the fingerprint, not in the
+    similarity: such windows are not held to the radius."""
+    item = prose(504, 21)
+    text = " ".join(item.split()[:449]) + " again" * 55
+    items = spark.createDataFrame([(7, item)], "item_id smallint, text string")
+    docs = [(1, text), (2, text + " " + prose(300, 4)), (3, prose(500, 5))]
+    rows = D.matches(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()
+    want = check(rows, docs, [(7, item)])
+    assert set(want) == {(1, 7), (2, 7)} and all(r.hamming > 62 for r in rows)
+    assert D.clean(spark.createDataFrame(docs, "doc_id bigint, text string"), items).count() == 1

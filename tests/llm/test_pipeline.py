@@ -58,3 +58,11 @@ def test_minhash_stage_keeps_a_row_of_every_class_of_a_repeated_id(spark):
     rows = [(-3, one), (7, one), (7, two), (9, two), (12, one), (20, two), (20, None)]
     out = P.minhash_stage(spark, documents(spark, rows), SF)
     assert sorted((r.doc_id, r.text or "-") for r in out.collect()) == [(-3, one), (7, two), (20, "-")]
+
+
+def test_minhash_stage_keeps_columns_of_any_name_and_the_smallest_row(spark):
+    rows = [(1, "a b c d e f", "x", 3), (1, "a b c d e f", "x", 1), (2, "other words stay here too", "y", 2), (None, "n", "z", 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row string, _ROW_ int").repartition(3)
+    out = P.minhash_stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted((tuple(r) for r in out.collect()), key=str) == [(1, "a b c d e f", "x", 1), (2, "other words stay here too", "y", 2), (None, "n", "z", 5)]
