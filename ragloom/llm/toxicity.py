@@ -31,13 +31,11 @@ class ChainSettings:
     """``rows``: at most so many labelled rows are used (those with the
     smallest hashes of their ids); ``columns``: features kept, those whose
     share differs most between rows with and without a category; ``folds``: of
-    the out-of-fold predictions; ``threshold``: probability from which a
-    category is given."""
+    the out-of-fold predictions."""
 
     rows: int = 8_000
     columns: int = 3_000
     folds: int = 3
-    threshold: float = 0.4
 
 
 def features(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -121,13 +119,14 @@ def fit_chain(labelled: DataFrame, categories: Sequence[str], id_col: str = "doc
     """Fit the chain to a bounded sample of the labelled rows.
 
     ``labelled`` holds the id, the text and a 0/1 column per category; rows
-    with a null text count as empty, rows with a null label are left out. The
-    texts are turned to features on the executors; at most ``settings.rows``
-    rows of features reach the driver.
+    with a null text count as empty, rows with a null label are left out;
+    repeated rows count each. The texts, however long, are turned to features on
+    the executors; at most ``settings.rows`` rows of features reach the driver.
+    Without rows, or with one class, a category is never (or always) given.
     """
     src = labelled.select(labelled[id_col].alias("_id"), labelled[text_col].alias("_text"), *(labelled[c].cast("int").alias(c) for c in categories))
-    src = src.dropna(subset=list(categories)).orderBy(F.xxhash64("_id"), "_id").limit(settings.rows)
-    got = _featured(src, categories).toArrow()
+    # the texts become features where they lie; only features are put in order
+    got = _featured(src.dropna(subset=list(categories)), categories).orderBy(F.xxhash64("_id"), "_id", "_buckets", *categories).limit(settings.rows).toArrow()
     lists = got.column("_buckets").combine_chunks()
     lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
     offsets = lists.offsets.to_numpy().astype(np.int64) if len(lists) else np.zeros(1, np.int64)
@@ -161,7 +160,8 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     Returns one row per input row: the id column, ``p_<category>`` for each
     category and ``toxic`` (the last category's probability is ``threshold`` or
     more). Both classes weigh the same in the fit, so the probabilities hold
-    for as many rows with as without the category. Null and empty texts get the models' biases. Repeated rows and null
+    for as many rows with as without the category. Null and empty texts get the
+    models' biases; a very long text is a block of its own. Repeated rows and null
     ids stay; other columns are not read; an empty table gives an empty one.
     Nothing is shuffled.
     """
@@ -180,7 +180,10 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text", threshold: float = 0.4) -> DataFrame:
     """The rows of ``docs``, with all columns, whose last category's
-    probability is below ``threshold``."""
+    probability is below ``threshold``. Null and empty texts have the models'
+    biases; repeated rows share their fate; null ids and columns of any name are
+    kept as they are; an empty table gives an empty one; a very long text is a
+    block of its own."""
     at, fields = docs.columns.index(text_col), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
