@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -64,3 +65,37 @@ def test_rebalance_edits_rather_than_deals_anew():
     moved = sum(a != b for a, b in zip(sharding.first_map(100, 4), grown, strict=True))
     assert moved == 20 and Counter(grown) == {k: 20 for k in range(5)}
     assert sharding.rebalance(grown, sizes, 5) == grown
+
+
+def test_stored_map_is_taken_up(spark, tmp_path):
+    """New rows and another shard edit the latest version; nothing to move, no version."""
+    store = str(tmp_path / "map")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    part = docs.where("doc_id % 2 = 0")
+    versions = []
+    for df, shards in ((part, 6), (part, 6), (docs, 6), (docs, 7), (docs, 5)):
+        placed, maps = sharding.shard(df, shards, store=store)
+        rows = placed.collect()
+        check(rows, texts if df is docs else [(d, t) for d, t in texts if d % 2 == 0], shards)
+        load = Counter()
+        for r in rows:
+            load[r.shard] += r["size"]
+        assert len(load) == shards and max(load.values()) - min(load.values()) < 0.02 * sum(load.values()) / shards
+        held = defaultdict(dict)
+        for r in maps.collect():
+            held[r.version][r.virtual_slot] = r.shard
+        versions.append(dict(held))
+    assert [max(v) for v in versions] == [1, 1, 2, 3, 4]
+    last = versions[-1]
+    moved = [sum(last[v][s] != last[v - 1][s] for s in last[v]) for v in (2, 3, 4)]
+    slots = sharding.VIRTUAL_SLOTS
+    assert moved[0] < 0.2 * slots and moved[1] < 0.3 * slots and moved[2] < 0.4 * slots  # a seventh and two sevenths have to move
+    with pytest.raises(ValueError, match="slots"):
+        sharding.shard(docs, 6, slots=64, store=store)
+
+
+def test_a_hot_key_and_equal_rows(spark):
+    rows = [(None, f"text {i % 40}") for i in range(400)] + [(5, "same")] * 300 + [(i, None) for i in range(20)]
+    placed, _ = sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), 3)
+    check(placed.collect(), rows, 3)
