@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import global_row_number
+from .common import ensure_parallel, global_row_number
 
 # ---------------------------------------------------------------------------
 # FUN8 / FUN9
@@ -57,17 +57,20 @@ def extraction_eval(outputs: DataFrame, gold: DataFrame) -> DataFrame:
     found when all its keywords occur in the joined decisions (S26).
     Unparseable output scores zero against the gold totals.
     """
+    # both sides are normalised once, below the join, and not again for every pair
     parsed, valid = lenient_json(F.col("raw"))
-    o = outputs.withColumn("parsed", parsed).withColumn("valid_json", valid)
-    j = o.join(gold, "dataset")
-    mt = F.coalesce(F.col("parsed.tasks"), F.array().cast("array<struct<owner:string,task:string,deadline:string>>"))
-    found = F.size(F.filter(F.col("tasks"), lambda g: F.exists(
-        mt, lambda m: (norm(m["owner"]) == norm(g["owner"])) & F.exists(
-            g["task_keywords"], lambda k: F.instr(norm(m["task"]), F.lower(k)) > 0))))
-    valid_lower = F.transform(F.col("valid_owners"), lambda v: F.lower(v))
-    halluc = F.size(F.filter(mt, lambda m: (norm(m["owner"]) != "") & ~F.array_contains(valid_lower, norm(m["owner"]))))
-    blob = F.lower(F.array_join(F.coalesce(F.col("parsed.decisions"), F.array().cast("array<string>")), " "))
-    dfound = F.size(F.filter(F.col("decision_keywords"), lambda grp: F.forall(grp, lambda k: F.instr(blob, F.lower(k)) > 0)))
+    none = F.array().cast("array<struct<owner:string,task:string,deadline:string>>")
+    o = ensure_parallel(outputs).withColumn("parsed", parsed).withColumn("valid_json", valid)
+    o = o.withColumn("_made", F.transform(F.coalesce(F.col("parsed.tasks"), none), lambda m: F.struct(norm(m["owner"]).alias("owner"), norm(m["task"]).alias("task"))))
+    o = o.withColumn("_blob", F.lower(F.array_join(F.coalesce(F.col("parsed.decisions"), F.array().cast("array<string>")), " ")))
+    lower_all = lambda c: F.transform(c, lambda x: F.lower(x))
+    g = gold.withColumn("_gold", F.transform("tasks", lambda g: F.struct(norm(g["owner"]).alias("owner"), lower_all(g["task_keywords"]).alias("words"))))
+    g = g.withColumn("_valid", lower_all(F.col("valid_owners"))).withColumn("_groups", F.transform("decision_keywords", lower_all))
+    j = o.join(g, "dataset")
+    mt = F.col("_made")
+    found = F.size(F.filter("_gold", lambda g: F.exists(mt, lambda m: (m["owner"] == g["owner"]) & F.exists(g["words"], lambda k: F.instr(m["task"], k) > 0))))
+    halluc = F.size(F.filter(mt, lambda m: (m["owner"] != "") & ~F.array_contains("_valid", m["owner"])))
+    dfound = F.size(F.filter("_groups", lambda grp: F.forall(grp, lambda k: F.instr(F.col("_blob"), k) > 0)))
     ok = F.col("parsed").isNotNull()
     price_in = F.lit(0)
     price_out = F.lit(0)
@@ -87,8 +90,7 @@ def extraction_eval(outputs: DataFrame, gold: DataFrame) -> DataFrame:
         (F.col("input_tokens") + F.col("output_tokens")).cast("bigint").alias("total_tokens"),
         "latency_ms", units.cast("bigint").alias("cost_units"),
         F.size(mt).alias("n_tasks"),
-        F.exists(mt, lambda m: F.exists(F.col("valid_owners"), lambda v: (F.lower(v) != norm(m["owner"]))
-                                        & (F.instr(norm(m["task"]), F.lower(v)) > 0))).alias("entangled"),
+        F.exists(mt, lambda m: F.exists("_valid", lambda v: (v != m["owner"]) & (F.instr(m["task"], v) > 0))).alias("entangled"),
     )
 
 

@@ -11,6 +11,7 @@ import functools
 import json
 import math
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..session import move, path_exists
 from .common import ensure_parallel, global_row_number, stored
 
 # ---------------------------------------------------------------------------
@@ -232,6 +234,28 @@ def bm25_index(corpus: DataFrame, did: str = "did", text: str = "text") -> dict:
     return {"postings": postings, "terms_raw": stored(raw, "terms"), "n_docs": n_docs, "avgdl": total / n_docs if n_docs else 0.0}
 
 
+def bm25_stored(corpus: DataFrame, store: str, did: str = "did", text: str = "text") -> dict:
+    """RET3: the index of :func:`bm25_index`, kept in the folder ``store`` per
+    version of the corpus and built only for a version that is not there yet. A
+    version is named by the number of documents and order-free sums of hashes
+    over their ids and texts. It is put together beside its place and moved
+    there whole, so readers never see a part of it."""
+    spark = corpus.sparkSession
+    sums = [F.sum(F.xxhash64(F.lit(seed), F.col(did), F.col(text)).cast("decimal(38,0)")) for seed in (1, 2)]
+    n, a, b = corpus.agg(F.count(F.lit(1)), *sums).first()
+    path = f"{store.rstrip('/')}/corpus-{n}-{(int(a or 0) % 2**64):016x}{(int(b or 0) % 2**64):016x}"
+    if not path_exists(spark, path):
+        index = bm25_index(corpus, did, text)
+        made = f"{store.rstrip('/')}/making-{uuid.uuid4().hex}"
+        index["postings"].write.parquet(f"{made}/postings")
+        index["terms_raw"].write.parquet(f"{made}/terms")
+        spark.createDataFrame([(index["n_docs"], float(index["avgdl"]))], "n_docs bigint, avgdl double").write.parquet(f"{made}/numbers")
+        if not path_exists(spark, path):
+            move(spark, made, path)
+    n_docs, avgdl = spark.read.parquet(f"{path}/numbers").first()
+    return {"postings": spark.read.parquet(f"{path}/postings"), "terms_raw": spark.read.parquet(f"{path}/terms"), "n_docs": n_docs, "avgdl": avgdl}
+
+
 def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict | None = None, k: int = 10,
               qid: str = "qid", qtext: str = "text", did: str = "did", dtext: str = "text", k1: float = 1.5,
               b: float = 0.75, eps: float = 0.25, decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:

@@ -220,9 +220,15 @@ def lexical_inputs(spark: SparkSession, sf: str):
     return docs, items
 
 
+def lexical_index(spark: SparkSession, docs: DataFrame) -> dict:
+    """The corpus's index from the shared folder, built by the first query that
+    asks for this version of the corpus."""
+    return R.bm25_stored(docs, scratch_path(spark, "bm25-v1"))
+
+
 def bm25_ranked(spark: SparkSession, sf: str, k: int = 100):
     docs, items = lexical_inputs(spark, sf)
-    index = R.bm25_index(docs)
+    index = lexical_index(spark, docs)
     return R.bm25_topk(items, docs, index, k=k), index
 
 
@@ -263,7 +269,7 @@ lex_qrels AS (SELECT b.item_id AS qid, d.doc_id AS did FROM benchmark b JOIN doc
 @register("lexical_qrels", sql=f"WITH {SQL_QRELS} SELECT qid, did FROM lex_qrels", ops="JON4")
 def lexical_qrels(spark: SparkSession, sf: str) -> DataFrame:
     docs, items = lexical_inputs(spark, sf)
-    return R.containment_pairs(items, docs, R.bm25_index(docs))
+    return R.containment_pairs(items, docs, lexical_index(spark, docs))
 
 
 def _hashed_sql(src: str, id_col: str, name: str) -> str:

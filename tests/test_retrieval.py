@@ -164,3 +164,21 @@ def test_containment_pairs_short_and_long_items(spark):
     items = spark.createDataFrame([(10, "quick brown fox"), (11, "cat"), (12, "")], "qid long, text string")
     got = sorted((r["qid"], r["did"]) for r in R.containment_pairs(items, docs, R.bm25_index(docs)).collect())
     assert got == [(10, 1), (10, 3), (11, 2), (12, 1), (12, 2), (12, 3)]
+
+
+def test_stored_index_is_built_once_a_version(spark, tmp_path):
+    import os
+
+    store = str(tmp_path / "bm25")
+    docs = spark.createDataFrame([(1, "a b b"), (2, "b c"), (3, ""), (4, None)], "did int, text string")
+    items = spark.createDataFrame([(1, "b c")], "qid int, text string")
+    first = R.bm25_stored(docs, store)
+    built = sorted(os.listdir(store))
+    again = R.bm25_stored(docs.repartition(3), store)  # another order, the same version
+    assert sorted(os.listdir(store)) == built and len(built) == 1
+    want = sorted(tuple(r) for r in R.bm25_topk(items, docs).collect())
+    for index in (first, again):
+        assert (index["n_docs"], index["avgdl"]) == (4, 5 / 4)
+        assert sorted(tuple(r) for r in R.bm25_topk(items, docs, index).collect()) == want
+    changed = docs.filter("did < 4")
+    assert R.bm25_stored(changed, store)["n_docs"] == 3 and len(os.listdir(store)) == 2
