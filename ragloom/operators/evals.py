@@ -242,6 +242,16 @@ def stratified_split(df: DataFrame, label: str, id_col: str, fractions: Sequence
     return d.withColumn("split", expr).drop("class_rank", "class_n")
 
 
+def plain_split(df: DataFrame, id_col: str, train: float = 0.8, seed: int = 42) -> DataFrame:
+    """ML3: ``split`` is ``train`` for the first ``train`` share of all rows in
+    the order of a seeded hash of the id, else ``test`` (70/30 and 80/20 in the
+    source), whatever their class. Rows are numbered without a one-task window."""
+    order = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
+    numbered = global_row_number(df.withColumn("_order", order), ["_order", id_col], "_no")
+    size = numbered.count()
+    return numbered.withColumn("split", F.when(F.col("_no") <= F.round(F.lit(size * train)), F.lit("train")).otherwise(F.lit("test"))).drop("_order", "_no")
+
+
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 3, seed: int = 42) -> DataFrame:
     """ML9: fold = (rank within class - 1) mod k."""
     d = rank_within_class(df, label, id_col, seed)

@@ -241,6 +241,35 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
     return E.stratified_split(labeled_docs(spark, sf), "label", "doc_id", seed=SEED).select("doc_id", "label", "split")
 
 
+@register("plain_splits", sql=f"""
+WITH n AS (SELECT doc_id, quality, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || '-{SEED}'), doc_id) AS no, count(*) OVER () AS n FROM labels)
+SELECT doc_id, quality, CASE WHEN no <= round(n * 0.7) THEN 'train' ELSE 'test' END AS split_70, CASE WHEN no <= round(n * 0.8) THEN 'train' ELSE 'test' END AS split_80
+FROM n""", ops="ML3")
+def plain_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The labelled rows split 70/30 and 80/20."""
+    rows = table(spark, sf, "labels").select("doc_id", "quality")
+    seventy = E.plain_split(rows, "doc_id", 0.7, SEED).withColumnRenamed("split", "split_70")
+    return E.plain_split(seventy, "doc_id", 0.8, SEED).withColumnRenamed("split", "split_80")
+
+
+@register("synthetic_credit_checks", sql="""
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS wrong_ratio, true AS noise_as_asked, true AS both_classes FROM customer""", ops="ML1 FUN19")
+def synthetic_credit_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """As many random rows as customers: ranges, the ratio, and labels that
+    leave the rule in about the asked share of rows."""
+    t = ML.synthetic_credit_table(spark, table(spark, sf, "customer").count(), seed=SEED, noise=NOISE_SHARE)
+    out = ~(F.col("age").between(20, 65) & F.col("monthly_income").between(5000, 120000) & F.col("num_delinquencies").between(0, 10)
+            & F.col("credit_term_months").isin(ML.CREDIT_TERMS) & (F.col("credit_amount") >= F.col("monthly_income")) & (F.col("credit_amount") <= 8 * F.col("monthly_income")))
+    ratio = F.abs(F.col("debt_to_income") - E.feature_ratio(F.col("credit_amount"), F.col("monthly_income"), F.col("credit_term_months"))) > 1e-9
+    rule = E.rule_score([(F.col("monthly_income") > 20000, 1.5), (F.col("num_delinquencies") == 0, 2.0), (F.col("debt_to_income") < 0.3, 1.5),
+                         (F.col("age") > 25, 0.5), (F.col("credit_term_months") <= 36, 0.5)]) >= 3.5
+    flipped, n = F.avg((rule.cast("int") != F.col("approved")).cast("double")), F.count(F.lit(1))
+    # four standard deviations of a share of n draws
+    near = F.abs(flipped - NOISE_SHARE) <= 4 * F.sqrt(F.lit(NOISE_SHARE * (1 - NOISE_SHARE)) / n)
+    return t.agg(n.alias("n"), F.sum(out.cast("bigint")).alias("out_of_range"), F.sum(ratio.cast("bigint")).alias("wrong_ratio"),
+                 near.alias("noise_as_asked"), (F.count_distinct("approved") == 2).alias("both_classes"))
+
+
 def _report_sql(where: str) -> str:
     return f"""WITH {SQL_LABELED},
 t AS (SELECT CAST(label AS VARCHAR) AS y, CAST(prediction AS VARCHAR) AS p FROM sp WHERE {where}),

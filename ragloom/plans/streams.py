@@ -27,10 +27,15 @@ def arriving(spark: SparkSession, sf: str, name: str, order: str) -> S.Arrivals:
     cuts = df.select(F.percentile_approx(order, [i / SLICES for i in range(1, SLICES)])).first()[0] or []
     c = F.col(order)
     bounds = [None, *cuts, None]
-    return S.Arrivals(spark, [
-        df.filter((c.isNull() if lo is None else c > F.lit(lo)) if hi is None and lo is not None else
-                  F.lit(True) if hi is None else (c.isNull() | (c <= F.lit(hi))) if lo is None else (c > F.lit(lo)) & (c <= F.lit(hi)))
-        for lo, hi in zip(bounds, bounds[1:], strict=False)])
+    parts = []
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        inside = F.lit(True)
+        if lo is not None:
+            inside = inside & (c > F.lit(lo))
+        if hi is not None:
+            inside = inside & (c <= F.lit(hi))
+        parts.append(df.filter(inside | c.isNull() if lo is None else inside))
+    return S.Arrivals(spark, parts)
 
 
 @register("token_window_stream", sql=f"""
