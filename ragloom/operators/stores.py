@@ -39,12 +39,12 @@ class PointStore:
         return self.spark.read.parquet(self.path).drop("bucket")
 
     def recreate(self, points: DataFrame) -> None:
-        """Replace everything that is stored."""
+        """SNK10: replace everything that is stored."""
         rows = self._once(points).select("*", self._bucket()).repartition(self.buckets, "bucket")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(self.path)
 
     def upsert(self, points: DataFrame) -> int:
-        """Add new points and replace those whose key is sent again; returns how
+        """SNK10: add new points and replace those whose key is sent again; returns how
         many buckets were rewritten. The rewritten buckets are put together in
         the scratch folder first, so a failed job leaves the store as it was."""
         new = stored(self._once(points), "points-sent")
@@ -71,13 +71,13 @@ class ModelStore:
         return f"{self.root.rstrip('/')}/{name}/version={version}"
 
     def save(self, name: str, version: int, model: PipelineModel) -> str:
-        """Versions are never overwritten."""
+        """ML13: store a fitted model; versions are never overwritten."""
         path = self.path(name, version)
         model.save(path)
         return path
 
     def load(self, aliases: DataFrame, name: str, alias: str) -> PipelineModel:
-        """The model that the alias table ``(name, alias, version)`` points to."""
+        """JON13: the model that the alias table ``(name, alias, version)`` points to."""
         row = aliases.filter((F.col("name") == name) & (F.col("alias") == alias)).select("version").first()
         if row is None:
             raise KeyError(f"{name} has no alias {alias}")

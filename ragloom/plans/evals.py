@@ -253,7 +253,7 @@ def plain_splits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("synthetic_credit_checks", sql="""
-SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS wrong_ratio, true AS noise_as_asked, true AS both_classes FROM customer""", ops="ML1 FUN19")
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS wrong_ratio, true AS noise_as_asked, true AS both_classes FROM customer""", ops="ML1 FUN19 FIL13")
 def synthetic_credit_checks(spark: SparkSession, sf: str) -> DataFrame:
     """As many random rows as customers: ranges, the ratio, and labels that
     leave the rule in about the asked share of rows."""
