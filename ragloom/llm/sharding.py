@@ -181,7 +181,7 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
               .select("virtual_slot", "part", "version", "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")))
     earlier = Window.partitionBy("virtual_slot", "part").orderBy("_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = (same.withColumn("at", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-              .join(F.broadcast(starts), ["virtual_slot", "part"])  # at most PARTS rows per slot
+              .join(starts, ["virtual_slot", "part"])  # laid out by these keys already
               .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
               .select(F.col("_id").alias(id_col), "size", "text_crc32", "virtual_slot", "shard",
                       (F.col("start") + F.col("at") + F.col("copy")).cast("bigint").alias("slot"), F.col("version").alias("map_version")))
