@@ -24,6 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import stored
 from .evals import binary_metrics, feature_ratio, rule_score
 
@@ -73,6 +74,20 @@ def _learner(cfg: ModelConfig, n_train: int, label: str, seed: int):
     raise ValueError(cfg.name)
 
 
+def _fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """The fitted pipeline without its learner's training summary. A summary
+    holds the session, and every task that scores would be sent it; a session
+    that has observed a write cannot be sent. What is stored and read back is
+    the learner alone, without its summary."""
+    model = pipeline.fit(train)
+    last = model.stages[-1]
+    if not getattr(last, "hasSummary", False):
+        return model
+    path = scratch_path(train.sparkSession, f"learner-{uuid.uuid4().hex}")
+    last.save(path)
+    return PipelineModel(stages=[*model.stages[:-1], type(last).load(path)])
+
+
 def _ml_layout(df: DataFrame) -> DataFrame:
     """Iterative learners aggregate over every partition per iteration: merge
     tiny partitions (no shuffle) down to about twice the cluster's cores.
@@ -94,7 +109,7 @@ def run_experiments(df: DataFrame, label: str, numeric: Sequence[str], categoric
         run_id = uuid.uuid5(uuid.NAMESPACE_OID, f"{cfg.name}-{sorted(cfg.params.items())}-{seed}").hex[:12]
         pipe = Pipeline(stages=preprocessor(numeric, categorical) + [_learner(cfg, n_train, label, seed)])
         t0 = time.time()
-        model = pipe.fit(train)
+        model = _fit(pipe, train)
         fit_s = time.time() - t0
         models[run_id] = model
         pred = model.transform(df.filter(F.col(split_col).isin("val", "test")))
@@ -125,7 +140,7 @@ def cross_validate(df: DataFrame, label: str, numeric: Sequence[str], categorica
     out = None
     for fold in sorted(r[0] for r in df.select(fold_col).distinct().collect()):  # a handful of folds
         train = df.filter(F.col(fold_col) != fold)
-        model = Pipeline(stages=preprocessor(numeric, categorical) + [_learner(config, train.count(), label, seed)]).fit(train)
+        model = _fit(Pipeline(stages=preprocessor(numeric, categorical) + [_learner(config, train.count(), label, seed)]), train)
         one = binary_metrics(model.transform(df.filter(F.col(fold_col) == fold)), label, "prediction", by=[fold_col])
         one = stored(one, "fold-metrics")  # one row
         out = one if out is None else out.unionByName(one)

@@ -59,6 +59,23 @@ def test_model_by_alias_scores_as_before_saving(spark):
         store.save("m", 1, list(models.values())[0])
 
 
+def test_models_score_in_a_session_that_has_observed_a_write(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("rows")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(fresh())
+    assert seen.get["n"] == 5
+    rows = [(i, float(i % 10), int(i % 10 > 4), "train" if i % 3 else "test", i // 10 % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, x double, approved int, split string, fold int")
+    configs = [ML.ModelConfig("logistic_regression", {"C": 1.0}), ML.ModelConfig("random_forest", {"numTrees": 3, "maxDepth": 2}),
+               ML.ModelConfig("gradient_boosting", {"maxIter": 2, "maxDepth": 2})]
+    runs, models = ML.run_experiments(df, "approved", ["x"], configs=configs)
+    assert [r["accuracy"] for r in runs.orderBy("pos").collect()] == [1.0, 1.0, 1.0]
+    for model in models.values():
+        assert {(r["approved"], r["decision"]) for r in ML.score(model, df).collect()} == {(1, "approved"), (0, "rejected")}
+    assert [r["accuracy"] for r in ML.cross_validate(df, "approved", ["x"]).orderBy("fold").collect()] == [1.0, 1.0]
+
+
 def test_merged_sketches_stay_within_the_rank_error(spark):
     rng = np.random.default_rng(5)
     values = np.concatenate([rng.lognormal(3, 1, 20_000), np.full(5_000, 42.0)])
