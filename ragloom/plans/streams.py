@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sources.tables import REQUEST_LOG_SQL, request_log, table
 from ..streaming import jobs as S
 from ..streaming import stateful as T
-from .llmops import BREAKER_OPEN_S, BREAKER_WINDOW_S, SQL_BREAKER, SQL_CACHE_BY_KEY, _guard_sql, guard_input, with_vectors
+from .llmops import BREAKER_OPEN_S, BREAKER_WINDOW_S, SQL_BREAKER, SQL_CACHE_SEQUENTIAL, _guard_sql, guard_input, with_vectors
 from .registry import register
 
 
@@ -132,13 +132,15 @@ def breaker_snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
     return T.breaker_snapshot(_breaker_rows(spark, sf, settle=True))
 
 
-@register("semantic_cache_stream", sql=SQL_CACHE_BY_KEY, ops="STR5 LLM2 FIL11")
+@register("semantic_cache_stream", sql=SQL_CACHE_SEQUENTIAL, ops="STR5 LLM2 FIL11")
 def semantic_cache_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """One semantic cache per API key over the request stream, entries in keyed
-    state that expire by timers; same answers as the sequential replay per key."""
+    """The semantic cache that all API keys share over the request stream, with
+    the live entries as state; same answers as the sequential replay."""
     came = arriving(spark, sf, "events", "ts")
     asked = with_vectors(request_log(came.stream()), table(spark, sf, "embeddings"))
-    return spark.read.parquet(S.run_to_table(T.stream_cache(asked, "api_key"), "cache", arrivals=came))
+    path = scratch_path(spark, f"cache/{uuid.uuid4().hex}")
+    S.run_to_table(asked, "cache", foreach_batch=T.shared_cache(path), arrivals=came)
+    return spark.read.parquet(f"{path}/answers").drop("row", "batch")
 
 
 @register("gauge_ticks_stream", sql=f"""

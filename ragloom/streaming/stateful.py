@@ -13,7 +13,7 @@ it comes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..operators.llmops import Breaker
-from ..operators.semantic_cache import LiveEntries, direction
+from ..operators.semantic_cache import LiveEntries, cache_replay_sequential, direction
 
 
 def _needs_rocksdb(df: DataFrame) -> None:
@@ -134,6 +134,40 @@ def stream_cache(requests: DataFrame, block: str, threshold: float = 0.92, ttl_s
     return r.groupBy("block").transformWithStateInPandas(processor, CACHE_OUT, "Append", "EventTime")
 
 
+def shared_cache(path: str, threshold: float = 0.92, ttl_s: int = 3600, id_col: str = "request_id", ts: str = "created_at",
+                 vec: str = "embedding", decimals: int = 6) -> Callable[[DataFrame, int], None]:
+    """STR5 / LLM2 / FIL11: one semantic cache that all callers share, over a
+    request stream, as the service works. No key splits it, so each micro-batch
+    is replayed by the whole cluster (:func:`cache_replay_sequential`) with the
+    entries that live on from the batches before.
+
+    Under ``path`` lie the ``answers`` and the state, ``entries``: for each
+    batch those that its misses stored and the earlier ones that still live
+    after its last request. A batch that is run again writes its own folders
+    again. Rows without a time or a vector miss and store nothing."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        cols = [id_col, ts, vec, "row"]
+        asked = batch.withColumn("row", F.monotonically_increasing_id()).select(*cols)
+        asked.write.mode("overwrite").parquet(f"{path}/asked/batch={batch_id}")
+        asked = spark.read.schema(asked.schema).parquet(f"{path}/asked/batch={batch_id}")
+        held = spark.read.schema(asked.schema).parquet(f"{path}/entries/batch={batch_id - 1}") if batch_id else None
+        replay = cache_replay_sequential(asked, threshold, ttl_s, id_col, ts, vec, decimals, row_col="row", held=held, keep_row=True)
+        replay.write.mode("overwrite").parquet(f"{path}/answers/batch={batch_id}")
+        missed = spark.read.schema(replay.schema).parquet(f"{path}/answers/batch={batch_id}").where(~F.col("hit")).select("row")
+        stored = asked.where(F.col(ts).isNotNull() & F.col(vec).isNotNull())
+        last = stored.select(ts) if held is None else stored.select(ts).unionAll(held.select(ts))
+        last_us = last.agg(F.max(_us(ts))).first()[0]
+        entries = stored.join(missed, "row", "left_semi").select(*cols)
+        entries = entries if held is None else entries.unionAll(held)
+        if last_us is not None:
+            entries = entries.where(_us(ts) + int(ttl_s * 1_000_000) > last_us)
+        (entries.withColumn("row", -1 - F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{path}/entries/batch={batch_id}"))
+
+    return fn
+
+
 # ---------------------------------------------------------------------------
 # STR4: circuit breaker
 # ---------------------------------------------------------------------------

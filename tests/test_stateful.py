@@ -41,6 +41,36 @@ def test_cache_stream_equals_the_replay_and_its_state_shrinks(spark):
     assert max(run.state_rows) > run.state_rows[-1] >= 1
 
 
+def test_cache_query_shares_one_cache_between_keys(spark, tmp_path):
+    """Requests of 12 API keys about 20 topics: answers come from entries of any
+    key, and equal the batch replay's, where ids repeat too."""
+    from ragloom.plans.registry import load_all
+
+    rng = np.random.default_rng(4)
+    events = [(i, at(20 * i), int(rng.integers(0, 50)), "view", 1.0, '{"k": 3}') for i in range(600)]
+    events += [(7, at(140), 3, "view", 1.0, '{"k": 3}'), (601, None, 3, "view", 1.0, '{"k": 3}')]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    vectors = [(i, [float(x) for x in rng.normal(size=8)], 0) for i in range(40)] + [(40, None, 0)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = load_all()["semantic_cache_stream"].fn(spark, str(tmp_path)).collect()
+    got = {r["request_id"]: tuple(r) for r in rows if r["request_id"] != 7}
+    want = {r["request_id"]: tuple(r) for r in load_all()["semantic_cache_sequential"].fn(spark, str(tmp_path)).collect() if r["request_id"] != 7}
+    assert got == want and len(rows) == len(got) + 2 and not got[601][1]
+    again = sorted(tuple(r) for r in rows if r["request_id"] == 7)
+    assert again[-1][1:] == (True, 7, 1.0, 0) if not again[0][1] else again[0] == again[1]
+    key = {e[0]: e[2] % 12 for e in events}
+    assert any(r[1] and key[r[0]] != key[r[2]] for r in got.values())
+
+
+def test_shared_cache_keeps_live_entries_only(spark, tmp_path):
+    rows = [(i, at(i * 60), [float(j == i) for j in range(240)]) for i in range(240)]
+    came = parts(spark, rows, "request_id long, created_at timestamp, embedding array<double>", 4)
+    S.run_to_table(came.stream(), "shared-test", foreach_batch=T.shared_cache(str(tmp_path)), arrivals=came)
+    answers = spark.read.parquet(f"{tmp_path}/answers")
+    assert answers.count() == 240 and answers.filter("hit").isEmpty()
+    assert [spark.read.parquet(f"{tmp_path}/entries/batch={b}").count() for b in range(4)] == [60] * 4
+
+
 def test_cache_state_holds_live_entries_only(spark):
     """Entries of one cache, all different: never more than a TTL of them."""
     processor = T.CacheProcessor(0.92, 3600 * 10**6, 6)
