@@ -9,12 +9,15 @@ smoothing, loss on the held-out tail, and sampling-time reshaping.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+PAIR_CHARS = 1 << 19  # characters whose pairs are counted at a time
+
+
 def chars(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per character with its position: ``(id, pos, ch, n)``."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
@@ -64,29 +67,51 @@ def corpus_pair_counts(docs: DataFrame, train_fraction: float = 0.9, text: str =
     character: each Arrow batch is one array of code points, its pairs are
     counted by value, and a batch emits at most one row per distinct pair and
     split, which a final ``groupBy`` sums. (The row form makes a row for every
-    character of the corpus, ten times slower on the test tables.)"""
+    character of the corpus, ten times slower on the test tables.) What a task
+    holds beside a batch is bounded by ``PAIR_CHARS`` and the longest text."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+
+    def counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        n = np.array([len(t) for t in texts])
+        code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        size = np.repeat(n, n)
+        pos = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
+        left = np.flatnonzero(pos < size - 1)
+        train = pos[left] + 1 < size[left] * train_fraction
+        return np.unique(code[left] << np.uint64(22) | code[left + 1] << np.uint64(1) | train.astype(np.uint64), return_counts=True)
+
+    def groups(column) -> Iterator[list[str]]:
+        """Texts of a batch, about ``PAIR_CHARS`` characters at a time."""
+        held, n = [], 0
+        for value in column:
+            t = value.as_py()
+            if not t:
+                continue
+            held.append(t)
+            n += len(t)
+            if n >= PAIR_CHARS:
+                yield held
+                held, n = [], 0
+        if held:
+            yield held
 
     def fn(batches):
-        for pdf in batches:
-            texts = [t for t in pdf[text].tolist() if t]
-            if not texts:
-                continue
-            n = np.array([len(t) for t in texts])
-            code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-            size = np.repeat(n, n)
-            pos = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
-            left = np.flatnonzero(pos < size - 1)
-            train = pos[left] + 1 < size[left] * train_fraction
-            key, cnt = np.unique(code[left] << np.uint64(22) | code[left + 1] << np.uint64(1) | train.astype(np.uint64), return_counts=True)
-            char = lambda c: [chr(x) for x in c.tolist()]
-            yield pd.DataFrame({"split": np.where(key & np.uint64(1), "train", "val"), "ch": char(key >> np.uint64(22)),
-                                "next": char(key >> np.uint64(1) & np.uint64((1 << 21) - 1)), "cnt": cnt.astype("int64")})
+        for b in batches:
+            key, cnt = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+            for texts in groups(b.column(0)):
+                k, c = counts(texts)
+                key, at = np.unique(np.concatenate([key, k]), return_inverse=True)
+                both = np.zeros(len(key), dtype=np.int64)
+                np.add.at(both, at, np.concatenate([cnt, c]))
+                cnt = both
+            char = lambda c: pa.array([chr(x) for x in c.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(np.where(key & np.uint64(1), "train", "val").tolist(), pa.string()), char(key >> np.uint64(22)),
+                                              char(key >> np.uint64(1) & np.uint64((1 << 21) - 1)), pa.array(cnt)], ["split", "ch", "next", "cnt"])
 
     from .common import ensure_parallel
 
-    local = ensure_parallel(docs.select(text)).mapInPandas(fn, "split string, ch string, next string, cnt long")
+    local = ensure_parallel(docs.select(text)).mapInArrow(fn, "split string, ch string, next string, cnt long")
     return local.groupBy("split", "ch", "next").agg(F.sum("cnt").alias("cnt"))
 
 

@@ -95,3 +95,10 @@ def test_corpus_pair_counts_equal_the_row_form(spark):
     docs = spark.createDataFrame([(1, "abcabca"), (2, "é🙂é🙂x"), (3, ""), (4, None), (5, "a"), (6, "ab" * 50)], "doc_id long, text string")
     rows = lambda d: sorted(map(tuple, d.select("split", "ch", "next", "cnt").collect()))
     assert rows(LM.corpus_pair_counts(docs)) == rows(LM.pair_counts(LM.pairs(docs.filter(F.length("text") > 0))))
+
+
+def test_pair_counts_are_made_some_characters_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(LM, "PAIR_CHARS", 5)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["abcabca", "é🙂é🙂x", "", None, "a", "ab" * 50, "bc", "ca"])], "doc_id long, text string").coalesce(1)
+    rows = lambda d: sorted(map(tuple, d.select("split", "ch", "next", "cnt").collect()))
+    assert rows(LM.corpus_pair_counts(docs)) == rows(LM.pair_counts(LM.pairs(docs.filter(F.length("text") > 0))))
