@@ -147,3 +147,19 @@ def test_inflight_matches_sweep(spark):
     for i, s0, _ in rows:
         exp = sum(1 for j, s1, e1 in rows if (s1 < s0 or (s1 == s0 and j <= i)) and e1 > s0)
         assert got[i] == exp
+
+
+def test_breaker_session_is_a_stream_of_batches():
+    """One session in batches of any size: the breaker goes on from one to the next."""
+    import pandas as pd
+
+    failed = np.random.default_rng(6).random(500) < 0.6
+    rows = pd.DataFrame({"request_id": range(500), "model": "m", "session": np.repeat([1, 2], 250), "t": np.arange(500.0) * 7, "failed": failed})
+    run = L._breaker_fn(5, 60, 60, 10)
+    whole, parts = (pd.concat(list(run(iter(rows[i:i + n] for i in range(0, 500, n))))) for n in (500, 33))
+    assert whole.reset_index(drop=True).equals(parts.reset_index(drop=True))
+    want = []
+    for s in (1, 2):
+        b = L.Breaker(5, 60, 60, 10)
+        want += [b.call(t, f)[0] for t, f in rows[rows["session"] == s][["t", "failed"]].itertuples(index=False)]
+    assert whole["state_before"].tolist() == want and {"OPEN", "CLOSED"} <= set(want)
