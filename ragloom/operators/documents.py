@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Sequence
-from itertools import accumulate, groupby
+from itertools import accumulate, groupby, islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -316,28 +316,33 @@ def split_text(text: str, size: int, overlap: int, separators: Sequence[str] = D
     return out
 
 
+CHUNK_ROWS = 4096  # chunks that a task gives out at a time
+
+
 def recursive_chunks(docs: DataFrame, size: int = 512, overlap: int = 50, separators: Sequence[str] = DEFAULT_SEPARATORS,
                      length: Callable[[str], int] = char_length, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """TXT10 / UDF5: recursive chunks per document ``(id, chunk_index, chunk,
     length)`` computed over Arrow batches of documents (documents are never
-    grouped or collected)."""
+    grouped or collected); a task holds one document's chunks and some rows."""
     id_type = docs.schema[id_col].dataType.simpleString()
     seps = list(separators)
 
+    def rows(batch):
+        for i, t in zip(batch.column(0), batch.column(1), strict=True):
+            for j, c in enumerate(split_text(t.as_py() or "", size, overlap, seps, length)):
+                yield i.as_py(), j, c, length(c)
+
     def fn(batches):
-        for pdf in batches:
-            ids, idx, chunks, lens = [], [], [], []
-            for i, t in zip(pdf[id_col].tolist(), pdf[text].tolist()):
-                for j, c in enumerate(split_text(t or "", size, overlap, seps, length)):
-                    ids.append(i)
-                    idx.append(j)
-                    chunks.append(c)
-                    lens.append(length(c))
-            yield pd.DataFrame({id_col: ids, "chunk_index": idx, "chunk": chunks, "length": lens})
+        for b in batches:
+            chunked = rows(b)
+            while part := list(islice(chunked, CHUNK_ROWS)):
+                ids, idx, chunks, lens = zip(*part, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(idx, pa.int32()), pa.array(chunks, pa.string()), pa.array(lens, pa.int32())],
+                                                 [id_col, "chunk_index", "chunk", "length"])
 
     from .common import ensure_parallel
 
-    return ensure_parallel(docs.select(id_col, text)).mapInPandas(
+    return ensure_parallel(docs.select(id_col, text)).mapInArrow(
         fn, f"{id_col} {id_type}, chunk_index int, chunk string, length int")
 
 

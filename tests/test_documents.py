@@ -127,3 +127,11 @@ def test_pluggable_embedder_batches_and_normalises(spark):
     out = {r["id"]: r["embedding"] for r in embed(df, "text", factory, id_col="id", batch=4, prefix="q: ").collect()}
     assert len(out) == 29
     assert all(abs(sum(x * x for x in v) - 1.0) < 1e-5 for v in out.values())
+
+
+def test_recursive_chunks_in_small_parts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "word " * 400), (2, ""), (3, None), (None, "a b c"), (5, "x" * 900)], "doc_id long, text string").coalesce(1)
+    rows = lambda: sorted(D.recursive_chunks(docs, 50, 10).collect(), key=lambda r: (r[0] or 0, r[1]))
+    whole = rows()
+    monkeypatch.setattr(D, "CHUNK_ROWS", 3)
+    assert rows() == whole and len({r["doc_id"] for r in whole}) >= 3
