@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..session import move, path_exists
+from ..session import move, path_exists, scratch_path
 from .common import ensure_parallel, global_row_number, stored
 
 # ---------------------------------------------------------------------------
@@ -48,7 +48,8 @@ def topk_per_group(df: DataFrame, k: int, group: Sequence[str], score: str = "sc
 # ---------------------------------------------------------------------------
 
 DEFAULT_BLOCK_BYTES = 64 << 20  # largest block shipped to every task
-TILE_SCORES = 4 << 20  # scores held at a time: rows x queries
+TILE_SCORES = 1 << 20  # scores held at a time: rows x queries
+TILE_ROWS = 1 << 10  # most rows of a tile
 
 
 def _stack(col: pd.Series) -> np.ndarray:
@@ -87,18 +88,53 @@ def _merge_topk(gi: np.ndarray, qi: np.ndarray, dd: np.ndarray, sc: np.ndarray,
     return order[keep]
 
 
+class _RunningTopK:
+    """Exact top-k per (group, query) over tiles of scores that come one after
+    the other. Queries come in tiles that start at the same places every time;
+    what is held is ``k`` entries per query and one tile's candidates."""
+
+    def __init__(self, k: int):
+        self.k, self.held = k, {}
+
+    def add(self, group: int, q0: int, ids: np.ndarray, s: np.ndarray, above: float = -np.inf) -> None:
+        """Scores ``s`` (rows x queries from ``q0``) of the rows ``ids``; only those over ``above`` count."""
+        kk = min(self.k, len(s))
+        kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]  # tie-inclusive: every score >= the k-th best
+        q, d, v, floor = self.held.get((group, q0), (None, None, None, -np.inf))
+        kth = np.fmax(kth, floor)
+        hit = s >= kth[None, :]
+        rows, cols = np.nonzero(hit if above == -np.inf else hit & (s > above))
+        if not rows.size:
+            return
+        new = cols.astype(np.int64), ids[rows], s[rows, cols]
+        if q is not None:
+            new = tuple(np.concatenate([a, b]) for a, b in zip((q, d, v), new, strict=True))
+        keep = _merge_topk(np.zeros(new[0].size, np.int64), *new, self.k)
+        q, d, v = (x[keep] for x in new)
+        n = np.bincount(q, minlength=s.shape[1])
+        floor = np.full(s.shape[1], -np.inf)
+        floor[n == self.k] = v[np.cumsum(n)[n == self.k] - 1]
+        self.held[group, q0] = q, d, v, floor
+
+    def rows(self):
+        """``(group, query, id, score)`` arrays, one tile of queries at a time."""
+        for (group, q0), (q, d, v, _) in self.held.items():
+            yield group, q + q0, d, v
+
+
 def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine",
                qid: str = "qid", qvec: str = "embedding", did: str = "did", dvec: str = "embedding",
-               by: str | None = None, decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+               by: str | None = None, decimals: int = 6, block_bytes: int = DEFAULT_BLOCK_BYTES, spread: bool = True) -> DataFrame:
     """RET1 / RET15: exact top-k of every query over the whole corpus.
 
-    The corpus is never shuffled: each task scores its own Arrow batches
-    against a broadcast block of query vectors, tile by tile (at most
+    The corpus is never shuffled (but for a small one, which is dealt over the
+    cluster first unless ``spread`` is off): each task scores its own Arrow
+    batches against a broadcast block of query vectors, tile by tile (at most
     ``TILE_SCORES`` scores are held), and keeps a running exact top-k per query
-    (at most ``k`` rows per query leave a task). A final ``row_number`` merge
-    per query picks the global top-k (planned as a partial + final
-    ``WindowGroupLimit``). The query side is shipped in blocks of at most
-    ``block_bytes``; a larger query set takes one pass over the corpus per
+    (at most ``k`` rows per query are held and leave a task). A final
+    ``row_number`` merge per query picks the global top-k (planned as a partial
+    + final ``WindowGroupLimit``). The query side is shipped in blocks of at
+    most ``block_bytes``; a larger query set takes one pass over the corpus per
     block.
 
     ``by`` names an integer corpus column (e.g. a subset size): top-k is then
@@ -121,7 +157,7 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str =
     doc_cols = [F.col(did).alias("did"), F.col(dvec).alias("_dv")]
     if by:
         doc_cols.append(F.col(by).cast("bigint").alias("_grp"))
-    docs = ensure_parallel(corpus.select(*doc_cols))
+    docs = ensure_parallel(corpus.select(*doc_cols)) if spread else corpus.select(*doc_cols)
     parts = []
     for b in range(n_blocks):
         block = q if n_blocks == 1 else q.filter(F.col("_blk") == b)
@@ -134,38 +170,21 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str =
         def score_partition(batches, bc=bc):
             q_ids, qm = bc.value
             q_sq = (qm * qm).sum(axis=1)
-            acc_g = np.zeros(0, dtype=np.int64)
-            acc_q = np.zeros(0, dtype=np.int64)
-            acc_d = None
-            acc_s = np.zeros(0)
-            for pdf_docs in batches:
-                if len(pdf_docs) == 0:
-                    continue
-                dm = _prepare(_stack(pdf_docs["_dv"]), metric)
-                grp = pdf_docs["_grp"].to_numpy(dtype=np.int64) if "_grp" in pdf_docs else np.zeros(len(pdf_docs), np.int64)
-                dids = pdf_docs["did"].to_numpy()
-                step = max(1, TILE_SCORES // len(dm))
-                for g in np.unique(grp):
-                    sel = np.flatnonzero(grp == g)
-                    own = dm if len(sel) == len(dm) else dm[sel]
-                    for q0 in range(0, len(qm), step):
-                        s = np.round(_score_block(metric, own, qm[q0:q0 + step], q_sq[q0:q0 + step]), decimals)
-                        kk = min(k, s.shape[0])
-                        # tie-inclusive candidates per query: every score >= k-th best
-                        kth = -np.partition(-s, kk - 1, axis=0)[kk - 1]
-                        rows, cols = np.nonzero(s >= kth[None, :])
-                        new_d = dids[sel][rows]
-                        acc_d = new_d if acc_d is None else np.concatenate([acc_d, new_d])
-                        acc_g = np.concatenate([acc_g, np.full(rows.size, g, dtype=np.int64)])
-                        acc_q = np.concatenate([acc_q, cols.astype(np.int64) + q0])
-                        acc_s = np.concatenate([acc_s, s[rows, cols]])
-                keep = _merge_topk(acc_g, acc_q, acc_d, acc_s, k)
-                acc_g, acc_q, acc_d, acc_s = acc_g[keep], acc_q[keep], acc_d[keep], acc_s[keep]
-            if acc_q.size:
-                out = {"qid": q_ids[acc_q], "did": acc_d, "score": acc_s}
-                if by:
-                    out = {by: acc_g, **out}
-                yield pd.DataFrame(out)
+            best, step = _RunningTopK(k), max(1, TILE_SCORES // TILE_ROWS)
+            for whole in batches:
+                for at in range(0, len(whole), TILE_ROWS):
+                    pdf_docs = whole.iloc[at:at + TILE_ROWS]
+                    dm = _prepare(_stack(pdf_docs["_dv"]), metric)
+                    grp = pdf_docs["_grp"].to_numpy(dtype=np.int64) if "_grp" in pdf_docs else np.zeros(len(pdf_docs), np.int64)
+                    dids = pdf_docs["did"].to_numpy()
+                    for g in np.unique(grp):
+                        sel = np.flatnonzero(grp == g)
+                        own = dm if len(sel) == len(dm) else dm[sel]
+                        for q0 in range(0, len(qm), step):
+                            best.add(int(g), q0, dids[sel], np.round(_score_block(metric, own, qm[q0:q0 + step], q_sq[q0:q0 + step]), decimals))
+            for g, at_q, d, s in best.rows():
+                out = {"qid": q_ids[at_q], "did": d, "score": s}
+                yield pd.DataFrame({by: np.full(len(d), g), **out} if by else out)
 
         parts.append(docs.mapInPandas(score_partition, out_schema))
     scored = parts[0]
@@ -216,22 +235,104 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1)
 
 
+TOKEN_CHARS = 4 << 20  # characters of texts whose term counts are given out at a time
+
+
+def _term_counts(docs: DataFrame) -> DataFrame:
+    """``(did, text)`` -> ``(did, terms, tfs, dls)``: the distinct tokens of each
+    text that has any, how often each occurs, and the text's number of tokens
+    (beside each term), counted where the row lies."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    kind = docs.schema["did"].dataType.simpleString()
+    schema = f"did {kind}, terms array<string>, tfs array<int>, dls array<int>"
+    word = re.compile(WORD)
+
+    def fn(batches):
+        for b in batches:
+            at, sizes, terms, tfs, dl, n = [], [], [], [], [], 0
+
+            def out():
+                ends = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x, kind)) for x, kind in (
+                    (terms, pa.string()), (tfs, pa.int32()), (np.repeat(np.array(dl, dtype=np.int32), sizes), pa.int32()))]
+                return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *lists], ["did", "terms", "tfs", "dls"])
+
+            for i, value in enumerate(b.column(1)):
+                text = value.as_py() or ""
+                toks = word.findall(text)
+                n += len(text)
+                if toks:
+                    c = Counter(toks)
+                    at.append(i)
+                    sizes.append(len(c))
+                    terms.extend(c)
+                    tfs.extend(c.values())
+                    dl.append(len(toks))
+                if at and n >= TOKEN_CHARS:
+                    yield out()
+                    at, sizes, terms, tfs, dl, n = [], [], [], [], [], 0
+            if at:
+                yield out()
+
+    return ensure_parallel(docs).select("did", F.lower("text").alias("_t")).mapInArrow(fn, schema)
+
+
+def postings_of(index: dict) -> DataFrame:
+    """The index's postings ``(did, term, tf, dl)``, one row each."""
+    z = F.arrays_zip("terms", "tfs", "dls")
+    return index["documents"].select("did", F.explode(z).alias("_p")).select(
+        "did", F.col("_p.terms").alias("term"), F.col("_p.tfs").alias("tf"), F.col("_p.dls").alias("dl"))
+
+
+def _one_row_per_id(counted: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows of ``repeated`` ids as one row each: counts of texts of one length
+    are added up."""
+    same = lambda df: df["did"].eqNullSafe(repeated["did"])
+    several = counted.join(repeated, same(counted), "left_semi")
+    p = postings_of({"documents": several}).groupBy("did", "dl", "term").agg(F.sum("tf").cast("int").alias("tf"))
+    merged = p.groupBy("did").agg(F.collect_list(F.struct("term", "tf", "dl")).alias("_p")).select(
+        "did", F.col("_p.term").alias("terms"), F.col("_p.tf").alias("tfs"), F.col("_p.dl").alias("dls"))
+    return counted.join(repeated, same(counted), "left_anti").unionByName(merged)
+
+
+def _build_index(corpus: DataFrame, path: str, did: str, text: str) -> None:
+    spark = corpus.sparkSession
+    docs = corpus.select(F.col(did).alias("did"), F.col(text).alias("text"))
+    repeated = docs.groupBy("did").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("did")
+    counted = _term_counts(docs)
+    if not repeated.isEmpty():
+        counted = _one_row_per_id(stored(counted, "term-counts"), stored(repeated, "repeated-ids"))
+    counted.write.parquet(f"{path}/documents")
+    postings = postings_of({"documents": spark.read.parquet(f"{path}/documents")})
+    n_docs = docs.count()
+    df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n"))
+    df_t.select("term", "df", (F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"), "n").write.parquet(f"{path}/terms")
+    total = spark.read.parquet(f"{path}/terms").agg(F.sum("n")).first()[0] or 0
+    avgdl = total / n_docs if n_docs else 0.0
+    spark.createDataFrame([(n_docs, float(avgdl))], "n_docs bigint, avgdl double").write.parquet(f"{path}/numbers")
+
+
+def _read_index(spark, path: str) -> dict:
+    n_docs, avgdl = spark.read.parquet(f"{path}/numbers").first()
+    return {"documents": spark.read.parquet(f"{path}/documents"), "terms_raw": spark.read.parquet(f"{path}/terms").drop("n"),
+            "n_docs": n_docs, "avgdl": avgdl}
+
+
 def bm25_index(corpus: DataFrame, did: str = "did", text: str = "text") -> dict:
     """Build the BM25 index once, as tables in the shared scratch folder:
-    ``postings (did, dl, term, tf)``; with ``terms_raw (term, df, raw_idf)``,
-    ``n_docs`` and ``avgdl`` (documents without tokens count).
-
-    A document's tokens lie in one task, so its term counts are complete before
-    the shuffle; the shuffle only lays the postings out."""
-    toks = ensure_parallel(corpus.select(F.col(did).alias("did"), F.col(text).alias("_t"))).select(
-        "did", tokenize(F.col("_t")).alias("toks"))
-    split = toks.select("did", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
-    postings = stored(split.groupBy("did", "dl", "term").agg(F.count(F.lit(1)).cast("int").alias("tf")), "postings")
-    n_docs = corpus.count()
-    total = postings.agg(F.sum("tf")).first()[0] or 0
-    df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = df_t.select("term", "df", (F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf"))
-    return {"postings": postings, "terms_raw": stored(raw, "terms"), "n_docs": n_docs, "avgdl": total / n_docs if n_docs else 0.0}
+    ``documents (did, terms, tfs, dls)``, a row per document that has tokens;
+    with ``terms_raw (term, df, raw_idf)``, ``n_docs`` and ``avgdl`` (documents
+    without tokens count).
+
+    A document's terms are counted where its row lies and stay with it, so
+    neither tokens nor postings are shuffled; only the terms' frequencies are,
+    added up per task first, and the postings of ids that come several times."""
+    path = scratch_path(corpus.sparkSession, f"bm25-{uuid.uuid4().hex}")
+    _build_index(corpus, path, did, text)
+    return _read_index(corpus.sparkSession, path)
 
 
 def bm25_stored(corpus: DataFrame, store: str, did: str = "did", text: str = "text") -> dict:
@@ -245,15 +346,14 @@ def bm25_stored(corpus: DataFrame, store: str, did: str = "did", text: str = "te
     n, a, b = corpus.agg(F.count(F.lit(1)), *sums).first()
     path = f"{store.rstrip('/')}/corpus-{n}-{(int(a or 0) % 2**64):016x}{(int(b or 0) % 2**64):016x}"
     if not path_exists(spark, path):
-        index = bm25_index(corpus, did, text)
         made = f"{store.rstrip('/')}/making-{uuid.uuid4().hex}"
-        index["postings"].write.parquet(f"{made}/postings")
-        index["terms_raw"].write.parquet(f"{made}/terms")
-        spark.createDataFrame([(index["n_docs"], float(index["avgdl"]))], "n_docs bigint, avgdl double").write.parquet(f"{made}/numbers")
+        _build_index(corpus, made, did, text)
         if not path_exists(spark, path):
             move(spark, made, path)
-    n_docs, avgdl = spark.read.parquet(f"{path}/numbers").first()
-    return {"postings": spark.read.parquet(f"{path}/postings"), "terms_raw": spark.read.parquet(f"{path}/terms"), "n_docs": n_docs, "avgdl": avgdl}
+    return _read_index(spark, path)
+
+
+BM25_TILE = 4 << 20  # numbers of a tile of documents x terms or terms x queries
 
 
 def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict | None = None, k: int = 10,
@@ -262,13 +362,13 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict | None = None,
     """RET3: Okapi BM25 top-k of every query over the whole corpus.
 
     Query-term weights are ``qtf * idf`` (idf from the index; negative idf
-    becomes ``eps * mean idf`` as in the published package). The postings of the
-    query terms are gathered per document with their saturated term frequencies
-    (native), and tasks multiply tiles of documents x terms with terms x queries
-    (at most ``TILE_SCORES`` numbers each), keeping a running exact top-k per
-    query (score desc, did asc). Only ``k`` rows per query leave a task, and
-    posting lists are never joined to queries, so common terms make no hot keys
-    and no pair rows. Weights are shipped in blocks of at most ``block_bytes``;
+    becomes ``eps * mean idf`` as in the published package). Each task reads its
+    documents' terms from the index, keeps those of the queries with their
+    saturated frequencies, and multiplies tiles of documents x terms with terms
+    x queries (at most ``BM25_TILE`` numbers each), keeping a running exact
+    top-k per query (score desc, did asc). Postings are not shuffled, only ``k``
+    rows per query leave a task, and posting lists are never joined to queries,
+    so common terms make no hot keys and no pair rows. Weights are shipped in blocks of at most ``block_bytes``;
     a larger query set runs block by block. Documents without a query term are
     never returned.
     """
@@ -284,8 +384,6 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict | None = None,
     blocks = weights.count() * 64 // block_bytes + 1
     did_type = corpus.schema[did].dataType.simpleString()
     out_schema = f"qid {queries.schema[qid].dataType.simpleString()}, did {did_type}, score double"
-    tf = F.col("tf")
-    saturated = tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl or 1.0)))
     parts = []
     for i in range(blocks):
         pdf = (weights if blocks == 1 else weights.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i)).toPandas()  # one block
@@ -293,12 +391,9 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict | None = None,
             continue
         q_of, q_ids = pd.factorize(pdf["qid"], sort=True)
         t_of, terms = pd.factorize(pdf["term"], sort=True)
-        bc = spark.sparkContext.broadcast((np.asarray(q_ids), q_of, t_of, pdf["w"].to_numpy(), len(terms)))
-        names = spark.createDataFrame([(t, n) for n, t in enumerate(terms.tolist())], "term string, tid int")
-        rows = (index["postings"].join(F.broadcast(names), "term")  # the terms of one block
-                .groupBy("did").agg(F.collect_list(F.struct("tid", saturated.alias("s"))).alias("_p")))
-        rows = rows.select("did", F.col("_p.tid").alias("_tid"), F.col("_p.s").alias("_s"))
-        parts.append(rows.mapInPandas(_bm25_scan(bc, k, decimals), out_schema))
+        bc = spark.sparkContext.broadcast((np.asarray(q_ids), q_of, t_of, pdf["w"].to_numpy(), list(terms)))
+        scan = _bm25_scan(bc, k, decimals, k1, b, avgdl or 1.0)
+        parts.append(index["documents"].select("did", "terms", "tfs", "dls").mapInArrow(scan, out_schema))
     if not parts:
         return spark.createDataFrame([], out_schema).withColumn("rank", F.lit(1))
     scored = parts[0]
@@ -307,39 +402,42 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, index: dict | None = None,
     return topk_per_group(scored, k, ["qid"], decimals=decimals)
 
 
-def _bm25_scan(bc, k: int, decimals: int):
+def _bm25_scan(bc, k: int, decimals: int, k1: float, b: float, avgdl: float):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def flat(column, start: int, n: int):
+        return column.slice(start, n).flatten()
+
     def scan(batches):
-        q_ids, q_of, t_of, w, n_terms = bc.value
-        q_step = max(1, min(len(q_ids), TILE_SCORES // n_terms))
-        d_step = max(1, min(1024, TILE_SCORES // max(n_terms, q_step)))
-        acc_q, acc_d, acc_s = np.zeros(0, dtype=np.int64), None, np.zeros(0)
-        dense = None
-        for pdf in batches:
-            dids = pdf["did"].to_numpy()
-            for d0 in range(0, len(pdf), d_step):
-                tids, sats = pdf["_tid"].iloc[d0:d0 + d_step], pdf["_s"].iloc[d0:d0 + d_step]
-                a = np.zeros((len(tids), n_terms))
-                a[np.repeat(np.arange(len(tids)), [len(x) for x in tids]), np.concatenate(tids.to_list())] = np.concatenate(sats.to_list())
+        q_ids, q_of, t_of, w, names = bc.value
+        wanted, n_terms = pa.array(names, pa.string()), len(names)
+        q_step = max(1, min(len(q_ids), BM25_TILE // n_terms))
+        d_step = max(1, min(1024, BM25_TILE // max(n_terms, q_step)))
+        best, dense = _RunningTopK(k), None
+        for batch in batches:
+            ids, terms, tfs, dls = batch.columns
+            dids = ids.to_pandas().to_numpy()
+            for d0 in range(0, len(dids), d_step):
+                sizes = pc.list_value_length(terms.slice(d0, d_step)).to_numpy(zero_copy_only=False)
+                tid = pc.index_in(flat(terms, d0, d_step), value_set=wanted)
+                hit = np.flatnonzero(pc.is_valid(tid).to_numpy(zero_copy_only=False))
+                if not hit.size:
+                    continue
+                row = np.repeat(np.arange(len(sizes)), sizes)[hit]
+                tf, dl = (flat(x, d0, d_step).to_numpy(zero_copy_only=False)[hit] for x in (tfs, dls))
+                sat = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
+                place = row * n_terms + pc.fill_null(tid, 0).to_numpy(zero_copy_only=False)[hit]
+                a = np.bincount(place, weights=sat, minlength=len(sizes) * n_terms).reshape(len(sizes), n_terms)
                 for q0 in range(0, len(q_ids), q_step):
                     if dense is None or dense[0] != q0:
                         m = np.zeros((n_terms, min(q_step, len(q_ids) - q0)))
                         own = (q_of >= q0) & (q_of < q0 + q_step)
                         m[t_of[own], q_of[own] - q0] = w[own]
                         dense = q0, m
-                    s = np.round(a @ dense[1], decimals)
-                    kth = -np.partition(-s, min(k, len(s)) - 1, axis=0)[min(k, len(s)) - 1]
-                    r, c = np.nonzero((s >= kth[None, :]) & (s > 0))
-                    if not r.size:
-                        continue
-                    new = dids[d0 + r]
-                    acc_d = new if acc_d is None else np.concatenate([acc_d, new])
-                    acc_q = np.concatenate([acc_q, c.astype(np.int64) + q0])
-                    acc_s = np.concatenate([acc_s, s[r, c]])
-            if acc_q.size:
-                keep = _merge_topk(np.zeros(acc_q.size, np.int64), acc_q, acc_d, acc_s, k)
-                acc_q, acc_d, acc_s = acc_q[keep], acc_d[keep], acc_s[keep]
-        if acc_q.size:
-            yield pd.DataFrame({"qid": q_ids[acc_q], "did": acc_d, "score": acc_s})
+                    best.add(0, q0, dids[d0:d0 + d_step], np.round(a @ dense[1], decimals), above=0.0)
+        for _, at_q, d, s in best.rows():
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({"qid": q_ids[at_q], "did": d, "score": s}), preserve_index=False)
 
     return scan
 
@@ -428,7 +526,8 @@ def rerank(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, top_k: int
     scorer = scorer or term_coverage
     q = queries.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt"))
     c = corpus.select(F.col(did).alias("did"), F.col(dtext).alias("_dt"))
-    pairs = ranked.select("qid", "did", F.col("rank").alias("first_rank")).join(q, "qid").join(c, "did")
+    pairs = stored(ranked.select("qid", "did", F.col("rank").alias("first_rank")), "first-stage")  # known small: texts then stay where they lie
+    pairs = pairs.join(c, "did").join(q, "qid")
     scored = pairs.select("qid", "did", "first_rank", F.round(scorer(F.col("_qt"), F.col("_dt")), decimals).alias("score"))
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("first_rank"), F.col("did"))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k)
@@ -619,13 +718,13 @@ def ivf_cost(probes: DataFrame, index: DataFrame, nprobes: Sequence[int]) -> Dat
 
 
 def containment_pairs(items: DataFrame, docs: DataFrame, index: dict, qid: str = "qid", qtext: str = "text",
-                      did: str = "did", dtext: str = "text", pattern_block: int = 1_000) -> DataFrame:
+                      did: str = "did", dtext: str = "text", pattern_block: int = 1_000, anchor_block: int = 500_000) -> DataFrame:
     """JON4: ``(qid, did)`` where the document text contains the item text verbatim.
 
     Candidates come from an equi-join of each item's rarest *interior* token
     (not the first or last, which may be glued to neighbouring characters in a
-    document) with the BM25 postings; each candidate is verified with
-    ``instr``. Every containing document holds that token, so nothing is
+    document) with the index's terms where they lie (anchors are shipped in
+    blocks of about ``anchor_block``); each candidate is verified with ``instr``. Every containing document holds that token, so nothing is
     missed, and no item is compared with the whole corpus. Items with fewer than
     three tokens have no interior token; those (a stated set of patterns) are
     searched in every document, ``pattern_block`` at a time.
@@ -636,10 +735,17 @@ def containment_pairs(items: DataFrame, docs: DataFrame, index: dict, qid: str =
     dft = index["terms_raw"].select("term", "df")
     # items of 3+ tokens: rarest interior token
     anchor = interior.join(dft, "term").groupBy("qid").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
-    cand = anchor.join(index["postings"].select("term", "did"), "term")
+    anchor = stored(anchor, "anchors")  # one term an item
+    n_blocks = anchor.count() // anchor_block + 1
+    terms = index["documents"].select("did", F.explode("terms").alias("term"))
+    cand = None
+    for i in range(n_blocks):
+        block = anchor if n_blocks == 1 else anchor.filter(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == i)
+        hits = terms.join(F.broadcast(block), "term").select("qid", "did")
+        cand = hits if cand is None else cand.unionByName(hits)
     texts_q = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt"))
     texts_d = docs.select(F.col(did).alias("did"), F.col(dtext).alias("_dt"))
-    long_hits = cand.join(texts_q, "qid").join(texts_d, "did").filter(F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
+    long_hits = stored(cand, "candidates").join(texts_d, "did").join(texts_q, "qid").filter(F.instr("_dt", F.col("_qt")) > 0).select("qid", "did")
     short = items.select(F.col(qid).alias("qid"), F.col(qtext).alias("_qt")).join(n_tok, "qid", "left") \
         .filter(F.coalesce(F.col("last"), F.lit(-1)) < 2).select("qid", "_qt")
     short = stored(short, "short-items")

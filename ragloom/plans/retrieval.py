@@ -223,7 +223,7 @@ def lexical_inputs(spark: SparkSession, sf: str):
 def lexical_index(spark: SparkSession, docs: DataFrame) -> dict:
     """The corpus's index from the shared folder, built by the first query that
     asks for this version of the corpus."""
-    return R.bm25_stored(docs, scratch_path(spark, "bm25-v1"))
+    return R.bm25_stored(docs, scratch_path(spark, "bm25-v2"))
 
 
 def bm25_ranked(spark: SparkSession, sf: str, k: int = 100):
@@ -300,7 +300,7 @@ def hashed_dense_ranked(spark: SparkSession, sf: str) -> DataFrame:
     docs, items = lexical_inputs(spark, sf)
     dq = hashed_embedding(items, "qid", "text")
     dd = hashed_embedding(docs, "did", "text")
-    return R.exact_topk(dq, dd, k=10, metric="cosine")
+    return R.exact_topk(dq, dd, k=10, metric="cosine", spread=False)  # the texts are spread already
 
 
 @register("hashed_dense_topk", sql=f"WITH {SQL_DENSE_LEX} SELECT qid, did, score, rank FROM dense_ranked",
@@ -391,7 +391,7 @@ def lexical_retrieval_eval(spark: SparkSession, sf: str) -> DataFrame:
     docs, items = lexical_inputs(spark, sf)
     bm, index = bm25_ranked(spark, sf, k=100)
     bm = stored(bm, "bm25")
-    dense = hashed_dense_ranked(spark, sf)
+    dense = stored(hashed_dense_ranked(spark, sf), "dense")
     fused = R.rrf([dense, bm.filter(F.col("rank") <= 10)], k=60, top_k=10)
     rr = R.rerank(bm, items, docs, top_k=10)
     qrels = R.containment_pairs(items, docs, index)

@@ -182,3 +182,40 @@ def test_stored_index_is_built_once_a_version(spark, tmp_path):
         assert sorted(tuple(r) for r in R.bm25_topk(items, docs, index).collect()) == want
     changed = docs.filter("did < 4")
     assert R.bm25_stored(changed, store)["n_docs"] == 3 and len(os.listdir(store)) == 2
+
+
+def _shuffles(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_bm25_moves_only_the_lists_of_each_task(spark, tmp_path):
+    """Postings stay with their documents: the one shuffle is that of the k best rows a task."""
+    docs = spark.createDataFrame([(i, f"alpha w{i} " + "beta " * (i % 3)) for i in range(40)], "did long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    q = spark.createDataFrame([(1, "alpha beta")], "qid long, text string")
+    top = R.bm25_topk(q, docs, R.bm25_index(spark.read.parquet(str(tmp_path / "docs"))), k=5)
+    assert all("qid" in line and "did" not in line for line in _shuffles(top)) and top.count() == 5
+
+
+def test_bm25_index_adds_up_repeated_and_null_ids(spark):
+    docs = spark.createDataFrame([(1, "a a b"), (1, "a a b"), (None, "c"), (None, "c"), (2, "B \u212a"), (3, ""), (4, None)], "did long, text string")
+    index = R.bm25_index(docs)
+    got = {(r["did"], r["term"]): (r["tf"], r["dl"]) for r in R.postings_of(index).collect()}
+    assert got == {(1, "a"): (4, 3), (1, "b"): (2, 3), (None, "c"): (2, 1), (2, "b"): (1, 2), (2, "k"): (1, 2)}
+    assert index["n_docs"] == 7 and index["avgdl"] == 10 / 7 and index["documents"].count() == 3
+
+
+def test_running_topk_holds_k_entries_a_query():
+    """Whatever the number of tiles, k entries per query are held, ties by the smaller id."""
+    rng = np.random.default_rng(5)
+    s = rng.integers(0, 6, size=(50, 4)).astype(float)
+    best = R._RunningTopK(3)
+    for at in range(0, 50, 7):
+        best.add(0, 0, np.arange(at, min(50, at + 7)), s[at:at + 7])
+        assert all(len(held[0]) <= 3 * 4 for held in best.held.values())
+    got = {}
+    for _, q, d, v in best.rows():
+        for x in zip(q.tolist(), d.tolist(), v.tolist()):
+            got.setdefault(x[0], []).append(x[1:])
+    for j in range(4):
+        assert got[j] == [(i, s[i, j]) for i in sorted(range(50), key=lambda i: (-s[i, j], i))[:3]]
