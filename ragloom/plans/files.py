@@ -44,8 +44,9 @@ PICKED = 10
 
 def retrieval_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stand-in corpus (documents), queries (benchmark items) and qrels (labels:
-    document d is judged for query d % 50, relevant when toxic), in id order."""
-    ordered = lambda df, key: df.repartitionByRange(4, key).sortWithinPartitions(key)
+    document d is judged for query d % 50, relevant when toxic), in id order; the
+    number of parts follows the session's shuffle partitions and the data."""
+    ordered = lambda df, key: df.repartitionByRange(key).sortWithinPartitions(key)
     docs = ordered(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     corpus = docs.select(F.col("doc_id").cast("string").alias("_id"), "text")
     items = table(spark, sf, "benchmark").select(F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("_id"), "text")

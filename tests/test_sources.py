@@ -82,3 +82,17 @@ def test_caption_raw_and_gold_readers(spark):
     assert raw["b.vtt"]["suffix"] == "vtt" and raw["b.vtt"]["size"] == 7
     g = SF.read_gold(spark, os.path.join(d, "gold.json")).first()
     assert g["dataset"] == "d1" and g["decision_keywords"] == [["a", "b"]]
+
+
+def test_corpus_parts_follow_the_session(spark):
+    """The corpus and the qrels are put in order by as many tasks as the session shuffles with."""
+    from ragloom.plans.files import retrieval_tables
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        for df in retrieval_tables(spark, "/root/testdata/sf0.001")[::2]:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "rangepartitioning(doc_id" in plan and ", 9)" in plan, plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
