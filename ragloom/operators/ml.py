@@ -240,17 +240,19 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 3, restarts
     the lowest training cost kept; clusters renumbered by ascending mean of the
     first feature. Returns ``(assignments, profile)`` (AGG14)."""
     feats = list(features)
+    df = stored(df, "segments")  # its joins end here: a merged task would hold those of all its parts
     prep = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="raw"),
                             StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]).fit(df)
-    x = _ml_layout(prep.transform(df)).persist()
+    x = prep.transform(df)
+    points = _ml_layout(x.select("features")).persist()
     best = None
     for r in range(restarts):
-        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(x)
+        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(points)
         cost = m.summary.trainingCost
         if best is None or cost < best[0]:
             best = (cost, m)
+    points.unpersist()
     assigned = best[1].transform(x).drop("raw", "features")
-    x.unpersist()
     order = assigned.groupBy("cluster").agg(F.avg(feats[0]).alias("_m"))
     order = order.select("cluster", (F.row_number().over(Window.orderBy("_m", "cluster")) - 1).alias("segment"))
     assigned = assigned.join(F.broadcast(order), "cluster").drop("cluster")

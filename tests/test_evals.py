@@ -102,3 +102,14 @@ def test_pair_counts_are_made_some_characters_at_a_time(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["abcabca", "é🙂é🙂x", "", None, "a", "ab" * 50, "bc", "ca"])], "doc_id long, text string").coalesce(1)
     rows = lambda d: sorted(map(tuple, d.select("split", "ch", "next", "cnt").collect()))
     assert rows(LM.corpus_pair_counts(docs)) == rows(LM.pair_counts(LM.pairs(docs.filter(F.length("text") > 0))))
+
+
+def test_kmeans_learns_from_stored_rows(spark):
+    """The joins and groups behind the rows end before partitions are merged for the learners."""
+    from ragloom.operators import ml as ML
+
+    df = spark.range(90).select((F.col("id") % 30).alias("key"), (F.col("id") % 3 * 10.0).alias("v")).groupBy("key").agg(F.sum("v").alias("a"), F.count("v").alias("b"))
+    assigned, profile = ML.kmeans_segments(df.withColumn("a", F.col("a") + F.col("key") / 100), ["a"], k=3, restarts=2)
+    plan = assigned._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(key" not in plan and "FileScan parquet" in plan
+    assert sorted(r["size"] for r in profile.collect()) == [10, 10, 10]
