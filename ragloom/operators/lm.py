@@ -26,21 +26,81 @@ def chars(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
 
 
 def vocabulary(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """AGG20: sorted distinct characters -> dense 0-based ids. Distinct is
-    pre-aggregated per partition; the id is a row number over the (small)
-    distinct set."""
-    v = chars(docs, id_col, text).select("ch").distinct()
+    """AGG20: sorted distinct characters -> dense 0-based ids. A task gathers
+    the characters of its texts and emits each once (at most one per code
+    point), without a row per character; the id is a row number over the
+    (small) distinct set."""
+    import pyarrow as pa
+
+    def fn(batches):
+        seen = set()
+        for b in batches:
+            for value in b.column(0):
+                seen.update(value.as_py() or "")
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string())], ["ch"])
+
+    from .common import ensure_parallel
+
+    v = ensure_parallel(docs.select(text)).mapInArrow(fn, "ch string").distinct()
     return v.select("ch", (F.row_number().over(Window.orderBy("ch")) - 1).alias("id"))
 
 
+def _in_id_order(vocab: DataFrame) -> list[str]:
+    """The characters of a vocabulary (at most one per code point) in id order."""
+    return vocab.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "ch"))), lambda x: x["ch"])).first()[0]
+
+
+def _row_groups(sizes, limit: int = PAIR_CHARS) -> Iterator[tuple[int, int]]:
+    """``(start, rows)`` of consecutive rows with about ``limit`` characters together."""
+    start, n = 0, 0
+    for i, size in enumerate(sizes):
+        n += size
+        if n >= limit:
+            yield start, i + 1 - start
+            start, n = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes) - start
+
+
+def _lists(values, row, nulls):
+    """Lists from flat ``values`` whose rows are ``row`` (ascending), null where ``nulls``."""
+    import numpy as np
+    import pyarrow as pa
+
+    ends = np.r_[0, np.cumsum(np.bincount(row, minlength=len(nulls)))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array(nulls))
+
+
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """FUN21: characters -> ids in order (unknown characters dropped, as when
-    serving); one array per document, made in place. The vocabulary (at most
-    one entry per code point) travels with the rows as one string of characters
-    in id order, and a character's id is its place there."""
-    alphabet = vocab.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "ch"))), lambda x: x["ch"]), "").alias("_a"))
-    places = F.transform(F.split(F.col(text), ""), lambda c: F.when(F.length(c) > 0, F.instr(F.col("_a"), c) - 1).otherwise(F.lit(-1)))
-    return docs.join(F.broadcast(alphabet), F.lit(True)).select(F.col(id_col), F.filter(places, lambda x: x >= 0).alias("ids"))  # one row
+    serving); one array per document, made where its row lies. The vocabulary
+    (at most one entry per code point) is shipped to the tasks, a character's id
+    is its place there, and the code points of some thousand texts are looked up
+    at once (``PAIR_CHARS`` characters and the longest text are held)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    codes = lambda t: np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    alphabet = docs.sparkSession.sparkContext.broadcast("".join(_in_id_order(vocab)))
+
+    def fn(batches):
+        known = codes(alphabet.value)
+        place = np.full(0x110000, -1, dtype=np.int32)
+        place[known[::-1]] = np.arange(len(known), dtype=np.int32)[::-1]  # the first place counts
+        for b in batches:
+            size = pc.fill_null(pc.utf8_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+            for at, n in _row_groups(size.tolist()):
+                part = b.slice(at, n)
+                ids = place[codes("".join(t or "" for t in part.column(1).to_pylist()))]
+                row = np.repeat(np.arange(n), size[at:at + n])
+                lists = _lists(pa.array(ids[ids >= 0], pa.int32()), row[ids >= 0], part.column(1).is_null().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], [id_col, "ids"])
+
+    from .common import ensure_parallel
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return ensure_parallel(docs.select(id_col, text)).mapInArrow(fn, f"{id_col} {kind}, ids array<int>")
 
 
 def pairs(docs: DataFrame, train_fraction: float = 0.9, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -172,8 +232,26 @@ def training_blocks(ids: DataFrame, block: int = 128, id_col: str = "doc_id", st
 
 
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """FUN21: token ids back to text, in place; ids missing from the vocabulary
-    are dropped (the serving rule)."""
-    known = vocab.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "ch"))), lambda x: x["ch"]).alias("_k"))
-    chars_of = F.transform("ids", lambda i: F.try_element_at(F.col("_k"), i + 1))
-    return ids.join(F.broadcast(known), F.lit(True)).select(id_col, F.array_join(chars_of, "").alias("text"))  # one row
+    """FUN21: token ids back to text, where the row lies; ids missing from the
+    vocabulary are dropped (the serving rule). The ids of some texts are looked
+    up at once, as in :func:`encode`."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    known_bc = ids.sparkSession.sparkContext.broadcast(_in_id_order(vocab))
+
+    def fn(batches):
+        known = pa.array(known_bc.value, pa.string())
+        for b in batches:
+            size = pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+            for at, n in _row_groups(size.tolist()):
+                part = b.slice(at, n)
+                found = pc.fill_null(part.column(1).flatten(), -1).to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(n), size[at:at + n])
+                ok = (found >= 0) & (found < len(known))
+                lists = _lists(known.take(pa.array(found[ok])), row[ok], part.column(1).is_null().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([part.column(0), pc.binary_join(lists, "")], [id_col, "text"])
+
+    kind = ids.schema[id_col].dataType.simpleString()
+    return ids.select(id_col, "ids").mapInArrow(fn, f"{id_col} {kind}, text string")

@@ -389,14 +389,17 @@ BLOCK = 128
 SELECT doc_id, CAST(length(text) AS INTEGER) AS n_ids, CASE WHEN length(text) > {BLOCK} THEN CAST(floor((length(text) - {BLOCK} - 1) / {BLOCK}) + 1 AS BIGINT) ELSE 0 END AS blocks,
        true AS same FROM documents""", ops="FUN21 TXT14 AGG20")
 def char_codec(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts to ids, to training blocks, and back."""
+    """Texts to ids, to training blocks, and back. The ids are stored once; each
+    step's result is brought down to a few bytes a row where it lies (texts to
+    their SHA-256), and only those are joined."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     vocab = stored(LM.vocabulary(docs), "vocabulary")
-    ids = LM.encode(docs, vocab)
+    ids = stored(LM.encode(docs, vocab), "ids")
     blocks = LM.training_blocks(ids, BLOCK).filter(F.slice("x", 2, BLOCK - 1) == F.slice("y", 1, BLOCK - 1)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("blocks"))
-    back = LM.decode(ids, vocab).withColumnRenamed("text", "_back")
-    j = docs.join(ids, "doc_id").join(back, "doc_id").join(blocks, "doc_id", "left")
-    return j.select("doc_id", F.size("ids").alias("n_ids"), F.coalesce("blocks", F.lit(0)).alias("blocks"), (F.col("text") == F.col("_back")).alias("same"))
+    digest = F.sha2("text", 256)
+    back = LM.decode(ids, vocab).select("doc_id", digest.alias("_back"))
+    j = docs.select("doc_id", digest.alias("_text")).join(ids.select("doc_id", F.size("ids").alias("n_ids")), "doc_id").join(back, "doc_id").join(blocks, "doc_id", "left")
+    return j.select("doc_id", "n_ids", F.coalesce("blocks", F.lit(0)).alias("blocks"), (F.col("_text") == F.col("_back")).alias("same"))
 
 
 @register("decode_bytes", sql="""

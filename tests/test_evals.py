@@ -91,6 +91,27 @@ def test_encode_decode_roundtrip(spark):
     assert all(len(b["x"]) == 2 and b["y"][0] == b["x"][1] for b in blocks)
 
 
+def test_codec_runs_over_whole_texts_without_a_row_per_character(spark):
+    rows = [(1, "é🙂ab"), (2, ""), (3, None), (4, "x" * 300 + "b"), (4, "a"), (None, "ß")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = LM.vocabulary(docs)
+    assert "Generate" not in vocab._jdf.queryExecution().optimizedPlan().toString()
+    order = sorted({c for _, t in rows for c in t or ""})
+    assert {r["ch"]: r["id"] for r in vocab.collect()} == {c: i for i, c in enumerate(order)}
+    known = vocab.filter("ch <> 'a'")
+    left = [c for c in order if c != "a"]
+    ids = LM.encode(docs, known)
+    plan = ids._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "instr" not in plan
+    want = sorted(((d, None if t is None else [left.index(c) for c in t if c != "a"]) for d, t in rows), key=str)
+    assert sorted(((r["doc_id"], r["ids"]) for r in ids.collect()), key=str) == want
+    back = sorted(((r["doc_id"], r["text"]) for r in LM.decode(ids, known).collect()), key=str)
+    assert back == sorted(((d, t and t.replace("a", "")) for d, t in rows), key=str)
+    odd = spark.createDataFrame([(1, [0, 99, None, 1])], "doc_id long, ids array<int>")
+    assert LM.decode(odd, known).first()["text"] == "".join(left[:2])
+    assert list(LM._row_groups([3, 3, 1, 9, 0], 4)) == [(0, 2), (2, 2), (4, 1)]
+
+
 def test_corpus_pair_counts_equal_the_row_form(spark):
     docs = spark.createDataFrame([(1, "abcabca"), (2, "é🙂é🙂x"), (3, ""), (4, None), (5, "a"), (6, "ab" * 50)], "doc_id long, text string")
     rows = lambda d: sorted(map(tuple, d.select("split", "ch", "next", "cnt").collect()))
