@@ -409,16 +409,17 @@ def clean_captions(lines: DataFrame, file: str = "file", line_no: str = "line_no
     non-empty cleaned line of each cue is kept (so text after a blank-looking
     line is lost, S20); consecutive repeats are dropped; lines are joined with
     spaces, whitespace squeezed and sentences broken after ``.!?``. Ordering
-    is per file only.
+    is per file only; the lines are read once.
     """
     l = lines.select(F.col(file).alias("file"), F.col(line_no).alias("line_no"), F.col(line).alias("line"))
     is_time = F.col("line").rlike(CUE_TIME)
     is_blank = F.col("line").rlike(r"^\s*$")
     l = l.withColumn("_time", is_time).withColumn("_blank", is_blank & ~is_time)
     w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    l = l.withColumn("seg", F.sum((F.col("_time") | F.col("_blank")).cast("int")).over(w))
-    starts = l.filter(F.col("_time") | F.col("_blank")).select("file", "seg", F.col("_time").alias("in_cue"))
-    body = l.filter(~F.col("_time") & ~F.col("_blank")).join(starts, ["file", "seg"]).filter("in_cue")
+    mark = F.col("_time") | F.col("_blank")
+    l = l.filter(F.col("file").isNotNull()).withColumn("seg", F.sum(mark.cast("int")).over(w)).withColumn(
+        "in_cue", F.last(F.when(mark, F.col("_time")), ignorenulls=True).over(w))
+    body = l.filter(~F.col("_time") & ~F.col("_blank") & F.col("in_cue"))
     body = body.withColumn("clean", clean_caption_line(F.col("line"))).filter(F.length("clean") > 0)
     cues = body.groupBy("file", "seg").agg(F.max_by("clean", "line_no").alias("clean"))
     wd = Window.partitionBy("file").orderBy("seg")

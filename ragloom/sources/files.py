@@ -9,7 +9,8 @@ file, and a number that grows with the row inside the block.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -254,13 +255,27 @@ def family_of(name: Column, families=None) -> Column:
 # ---------------------------------------------------------------------------
 
 
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks a core; Spark's default is a task per
+    folder up to ten thousand."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_caption_files(spark: SparkSession, folder: str, ids: Sequence[str] | None = None, suffix: str = ".vtt",
                        name: str = r"([^/]+)$") -> DataFrame:
     """SRC6: every caption file under a folder (or only an allow-list of names;
     missing ones are simply absent) as numbered lines ``(file, line_no,
     line)``; one row per file is read whole, then split, so line order is kept
     without a global sort. ``name`` picks the file's name out of its path."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").text(folder)
+    with _few_listing_tasks(spark):
+        df = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").text(folder)
     df = df.select(F.regexp_extract(F.col("_metadata.file_path"), name, 1).alias("file"), "value")
     if ids is not None:
         # the allow-list is given by the caller

@@ -68,6 +68,14 @@ def test_captions_rules(spark):
     assert r["text"] == "hello world a &gt; b.\nnext one"
 
 
+def test_caption_lines_are_read_once(spark):
+    lines = _lines(spark, "00:00:01.000 --> 00:00:02.000\na").unionByName(_lines(spark, "b").select(
+        F.lit(None).cast("int").alias("file"), "line_no", "line"))
+    out = D.clean_captions(lines)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["file"], r["text"]) for r in out.collect()] == [(1, "a")]
+
+
 def test_recursive_chunks_properties(spark):
     text = ("Para one sentence. " * 40 + "\n\n" + "Second paragraph words here. " * 30 + "\n" + "x" * 700)
     chunks = D.split_text(text, 200, 0)

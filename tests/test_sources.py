@@ -84,6 +84,27 @@ def test_caption_raw_and_gold_readers(spark):
     assert g["dataset"] == "d1" and g["decision_keywords"] == [["a", "b"]]
 
 
+def test_caption_folders_are_listed_by_few_tasks(spark):
+    d = _tmp()
+    for i in range(60):
+        os.makedirs(os.path.join(d, f"file={i}"))
+        with open(os.path.join(d, f"file={i}", "part.txt"), "w") as f:
+            f.write(f"line {i}")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.parallelPartitionDiscovery.parallelism",)}
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    try:
+        lines = SF.read_caption_files(spark, d, suffix=".txt", name=r"file=([^/]+)/")
+        tracker = sc.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        assert max(tracker.getStageInfo(s).numTasks for s in stages) <= 4 * sc.defaultParallelism
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert {k: spark.conf.get(k) for k in before} == before
+    assert sorted((r["file"], r["line"]) for r in lines.collect()) == sorted((str(i), f"line {i}") for i in range(60))
+
+
 def test_corpus_parts_follow_the_session(spark):
     """The corpus and the qrels are put in order by as many tasks as the session shuffles with."""
     from ragloom.plans.files import retrieval_tables
