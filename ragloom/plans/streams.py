@@ -89,7 +89,7 @@ def guard_stream(spark: SparkSession, sf: str) -> DataFrame:
     rejected, clean = scratch_path(spark, f"guard/{run}/rejected"), scratch_path(spark, f"guard/{run}/clean")
     came = arriving(spark, sf, "conversations", "conv_id")
     S.run_to_table(S.stream_guard(guard_input(came.stream())), "guard", foreach_batch=S.guard_sinks(rejected, clean), arrivals=came)
-    bad = spark.read.json(rejected)
+    bad = spark.read.schema("role string, reject_reason string, pattern string, leak_marker string").json(rejected)
     return bad.groupBy("role", "reject_reason", "pattern", "leak_marker").agg(F.count(F.lit(1)).alias("n"))
 
 

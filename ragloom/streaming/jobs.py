@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import llmops as L
+from ..operators.common import ensure_parallel
 from ..session import make_folder, move, scratch_path
 
 
@@ -52,7 +53,8 @@ def stream_dedupe(log: DataFrame, key: str = "request_id", ts: str = "created_at
 def stream_guard(turns: DataFrame, text: str = "text") -> DataFrame:
     """STR6: stateless guard projection; route with :func:`guard_sinks`."""
     g = L.guard(turns, text)
-    return g.withColumn("leak_marker", F.when(F.col("role") == "assistant", L.leak_scan(F.col(text))))
+    answer = F.when(F.col("role") == "assistant", F.lower(text))
+    return g.withColumn("_answer", answer).withColumn("leak_marker", L.leak_scan(F.col(text), low=F.col("_answer"))).drop("_answer")
 
 
 def guard_sinks(rejected_path: str, clean_path: str) -> Callable[[DataFrame, int], None]:
@@ -111,8 +113,9 @@ def processed_key(path: str = "path") -> F.Column:
 
 class Arrivals:
     """A table that arrives part after part: the source of a stream over a
-    growing folder. Each part is written by as many tasks as its scan has and
-    then moved into the folder at once, so a micro-batch sees whole parts."""
+    growing folder. Each part is written by as many tasks as its scan has, or
+    dealt over the cluster where that is less (so a micro-batch has a file for
+    every core), and moved into the folder at once: a micro-batch sees whole parts."""
 
     def __init__(self, spark: SparkSession, parts: Sequence[DataFrame]):
         self.spark, self.parts = spark, list(parts)
@@ -125,7 +128,7 @@ class Arrivals:
     def deliver(self) -> Iterator[None]:
         """Write the next part; once for every part."""
         for i, part in enumerate(self.parts):
-            part.write.parquet(f"{self.path}-staged/part={i}")
+            ensure_parallel(part).write.parquet(f"{self.path}-staged/part={i}")
             move(self.spark, f"{self.path}-staged/part={i}", f"{self.path}/part={i}")
             yield
 
